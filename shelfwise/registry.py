@@ -16,7 +16,7 @@ from shelfwise.plans import analytics, dashboard, quality, reports, transform, w
 from shelfwise.schema import LAKE_SCHEMA, NA_TOKENS
 from shelfwise.session import scratch_dir
 from shelfwise.sources.batches import micro_batches, with_split
-from shelfwise.sources.csv import read_listing_csv
+from shelfwise.sources.csv import scan_listing_csv
 from shelfwise.sources.lake import hour_counts
 from shelfwise.streaming import jobs, messages
 
@@ -46,7 +46,7 @@ def src_csv_na_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
         writer.csv(path)
 
     path = staging.staged(spark, sf_dir, "csv", write)
-    return read_listing_csv(spark, path).select(
+    return scan_listing_csv(spark, path).select(
         "_batch_id", "_row_id", "product_id", "title", "ratings_count", "videos", "variations"
     )
 

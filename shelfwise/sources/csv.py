@@ -11,7 +11,7 @@ from shelfwise.functions.text import na_to_null
 _SURPLUS = "_surplus_field"
 
 
-def read_listing_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def scan_listing_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """A CSV file, or a directory of files with one header, all columns strings.
 
     Missing-value tokens become NULL, short rows are filled up with NULL, and a
@@ -19,11 +19,13 @@ def read_listing_csv(spark: SparkSession, path: str, multi_line: bool = True) ->
     such files are read by one task each, so deliver many files, or pass
     `multi_line=False` where no value holds a line break to split them.
     """
-    reader = spark.read.option("header", True).option("escape", '"')
-    names = reader.option("multiLine", multi_line).csv(path).columns
+    reader = (
+        spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    )
+    names = reader.csv(path).columns
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _SURPLUS]])
-    rows = reader.option("multiLine", multi_line).schema(schema).csv(path)
     surplus = F.when(
         F.col(_SURPLUS).isNotNull(), F.raise_error(F.lit(f"row with more than {len(names)} values"))
     ).otherwise(F.lit(True))
-    return rows.where(surplus.cast("boolean")).select(*[na_to_null(F.col(n)).alias(n) for n in names])
+    rows = reader.schema(schema).csv(path).where(surplus.cast("boolean"))
+    return rows.withColumns({n: na_to_null(F.col(n)) for n in names}).drop(_SURPLUS)

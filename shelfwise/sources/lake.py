@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.schema import LAKE_SCHEMA
+from shelfwise.schema import LAKE_SCHEMA, RAW_COLUMNS
 
 HOUR_COLUMNS = ["ingest_year", "ingest_month", "ingest_day", "ingest_hour"]
 
@@ -51,27 +52,46 @@ def read_lake(spark: SparkSession, path: str, since: datetime | None = None) ->
     return rows.where(reached)
 
 
-def read_foreign_lake(spark: SparkSession, path: str) -> DataFrame:
-    """Every Parquet file below a path, columns united by name.
+def read_foreign_lake(
+    spark: SparkSession, path: str, extra_columns: Sequence[str] = ()
+) -> DataFrame:
+    """Every Parquet file below a path, columns united by name, absent ones NULL.
 
-    The hour comes from a year/month/day/hour path. Rows get the file and their
-    place in it as order columns, for lakes that carry no row numbers.
+    Files written batch by batch give a column without any value the type null,
+    which neither schema merging nor the vectorized reader takes for a string.
+    The plain reader does, so the frame comes from a session of its own that
+    uses it; write it to the raw lake (`import_foreign_lake`) for fast reads.
+
+    The place of a row in its file and the file's path complete the order of
+    arrival. Rows without time of arrival get the hour their path names.
     """
+    session = spark.newSession()
+    session.conf.set("spark.sql.parquet.enableVectorizedReader", "false")
+    texts = [*RAW_COLUMNS, *extra_columns, "_ingested_at"]
+    schema = ", ".join([f"`{c}` STRING" for c in texts] + ["_batch_id BIGINT"])
     rows = (
-        spark.read.option("recursiveFileLookup", True)
+        session.read.schema(schema)
+        .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
-        .option("mergeSchema", True)
         .parquet(path)
     )
     file_path = F.col("_metadata.file_path")
-    hour = {
-        name: F.regexp_extract(file_path, _HOUR_PATH, i).try_cast("int")
-        for i, name in enumerate(HOUR_COLUMNS, start=1)
-    }
-    located = rows.withColumns({**hour, "_source_file": file_path})
-    if "_row_id" not in rows.columns:
-        located = located.withColumn("_row_id", F.col("_metadata.row_index"))
-    return located
+    hour = [F.regexp_extract(file_path, _HOUR_PATH, i).try_cast("int") for i in range(1, 5)]
+    of_path = F.make_timestamp_ntz(*hour, F.lit(0), F.lit(0))
+    return rows.withColumns(
+        {
+            "_row_id": F.col("_metadata.row_index"),
+            "_source_file": file_path,
+            "_ingested_at": F.coalesce(F.col("_ingested_at").try_cast("timestamp_ntz"), of_path),
+        }
+    )
+
+
+def import_foreign_lake(
+    spark: SparkSession, source: str, lake: str, extra_columns: Sequence[str] = ()
+) -> None:
+    """Appends a foreign lake's rows to the raw lake, arrival times unchanged."""
+    append_to_lake(read_foreign_lake(spark, source, extra_columns).drop("_source_file"), lake)
 
 
 def hour_counts(lake: DataFrame) -> DataFrame:

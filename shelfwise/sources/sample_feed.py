@@ -73,6 +73,9 @@ def _units(cents: Column, grouped: bool = False) -> Column:
 
 
 def _spread(lines: DataFrame) -> DataFrame:
-    """Shuffles a table with fewer files than cores, which one task would read."""
+    """Shuffles a table that would be read by fewer tasks than there are cores.
+
+    A table of many files or large files is left as it is.
+    """
     cores = lines.sparkSession.sparkContext.defaultParallelism
-    return lines if len(lines.inputFiles()) >= cores else lines.repartition(cores)
+    return lines if lines.rdd.getNumPartitions() >= cores else lines.repartition(cores)
