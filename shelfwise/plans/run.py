@@ -28,7 +28,8 @@ def ingest_csv(
 ) -> None:
     """Appends a CSV source to the raw lake in numbered micro-batches."""
     rows = with_split(scan_listing_csv(spark, source, multi_line))
-    append_to_lake(micro_batches(rows, conf.batch_rows).withColumn("_ingested_at", utc_now()), lake)
+    stamped = micro_batches(rows, conf.batch_rows).withColumn("_ingested_at", utc_now())
+    append_to_lake(stamped, lake, many_hours=False)
 
 
 def load(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise import staging
+from shelfwise.functions.sql import register_functions
 from shelfwise.functions.text import to_identifier
 from shelfwise.operators import clean
 from shelfwise.operators.features import add_features
@@ -88,8 +89,7 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = staging.lake_path(spark, sf_dir)
     out = scratch_dir(spark)
-    files = max(1, len(staging.lake(spark, sf_dir).inputFiles()) // 2)
-    rows = jobs.file_stream(spark, source, LAKE_SCHEMA, files)
+    rows = jobs.file_stream(spark, source, LAKE_SCHEMA)
     identified = rows.withColumn("product_id", to_identifier(F.col("product_id")))
     jobs.fold_latest(identified, f"{out}/latest", f"{out}/checkpoint").awaitTermination()
     return jobs.read_latest(spark, f"{out}/latest", identified.schema)
@@ -158,6 +158,18 @@ def validate_clamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.validate(typed).select("product_id", "rating", "_batch_id", "_row_id")
 
 
+def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register_functions(spark)
+    typed = clean.enforce_schema(staging.lake(spark, sf_dir))
+    return typed.selectExpr(
+        "_batch_id",
+        "_row_id",
+        "clean_price(final_price) AS price",
+        "price_bucket(clean_price(final_price)) AS price_bucket",
+        "ratings_tier(rating) AS ratings_tier",
+    )
+
+
 def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transform.latest_versions(staging.lake(spark, sf_dir))
 
@@ -192,6 +204,7 @@ def queries() -> dict[str, Query]:
         fill_discount_median,
         feature_engineering,
         validate_clamp,
+        sql_functions,
         dedup_latest,
         step_counters,
     ]

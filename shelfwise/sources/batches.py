@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.session import scratch_dir
+
 SPLIT_COLUMNS = ["_file", "_block"]
+LARGEST_BROADCAST = 1_000_000  # blocks; a row is a path and three numbers
 
 
 def with_split(scan: DataFrame) -> DataFrame:
@@ -20,11 +23,14 @@ def with_split(scan: DataFrame) -> DataFrame:
 def source_ordinal(scan: DataFrame, name: str = "_ordinal") -> DataFrame:
     """0-based position of each row over all files, in path order.
 
-    Takes a frame from `with_split` that nothing but projections separates from
-    the files. One pass counts the rows of each block; the running total of
-    these counts (one row per block, not per row) then gives the position of a
-    block's first row. The second pass adds the position within the block.
+    Takes a frame from `with_split` that nothing but projections and filters
+    separates from the files. A first job counts the rows of each block and
+    writes the position of every block's first row, a table with one row per
+    block. The rows then get their place within the block from the scan itself
+    and the block's start from that table, so they are not shuffled as long as
+    the table, whose size is known by then, may be broadcast.
     """
+    spark = scan.sparkSession
     located = scan.withColumn("_position", F.monotonically_increasing_id())
     blocks = located.groupBy(*SPLIT_COLUMNS).agg(
         F.count("*").alias("_rows"), F.min("_position").alias("_first")
@@ -33,6 +39,11 @@ def source_ordinal(scan: DataFrame, name: str = "_ordinal") -> DataFrame:
     starts = blocks.select(
         *SPLIT_COLUMNS, "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start")
     )
+    path = f"{scratch_dir(spark)}/block_starts"
+    starts.write.parquet(path)
+    starts = spark.read.parquet(path)
+    if starts.count() <= LARGEST_BROADCAST:
+        starts = F.broadcast(starts)
     ordinal = F.col("_start") + F.col("_position") - F.col("_first")
     return (
         located.join(starts, SPLIT_COLUMNS)

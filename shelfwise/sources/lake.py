@@ -29,13 +29,16 @@ def with_hour(df: DataFrame, stamp: str = "_ingested_at") -> DataFrame:
     )
 
 
-def append_to_lake(df: DataFrame, path: str) -> None:
+def append_to_lake(df: DataFrame, path: str, many_hours: bool = True) -> None:
     """Appends stamped rows, an hour per directory.
 
-    The rebalance hint gathers an hour into few files, and lets adaptive
-    execution split an hour that is larger than others.
+    With `many_hours`, the rebalance hint gathers an hour into few files and
+    lets adaptive execution split an hour that is larger than others. Rows that
+    share one time of arrival are written without a shuffle.
     """
-    hourly = with_hour(df).hint("rebalance", *HOUR_COLUMNS)
+    hourly = with_hour(df)
+    if many_hours:
+        hourly = hourly.hint("rebalance", *HOUR_COLUMNS)
     hourly.write.mode("append").partitionBy(*HOUR_COLUMNS).parquet(path)
 
 

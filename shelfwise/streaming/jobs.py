@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +20,8 @@ from shelfwise.schema import ORDER_COLUMNS
 from shelfwise.sources.batches import micro_batches, with_split
 from shelfwise.sources.lake import HOUR_COLUMNS, utc_now, with_hour
 
+_END = "position BIGINT"
+
 
 def file_stream(
     spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1000
@@ -56,13 +59,11 @@ def replay(rows: DataFrame, path: str, checkpoint: str, batch_rows: int = 50) ->
         spark = batch.sparkSession
         start = 0
         if epoch > 0:
-            start = spark.read.schema("position bigint").parquet(_epoch(f"{path}/ends", epoch - 1)).first()[0]
+            start = spark.read.schema(_END).parquet(_epoch(f"{path}/ends", epoch - 1)).first()[0]
         stamped = micro_batches(batch, batch_rows, start).withColumn("_ingested_at", utc_now())
         target = _epoch(f"{path}/rows", epoch)
         stamped.write.mode("overwrite").parquet(target)
-        written = spark.read.parquet(target).count()
-        end = spark.range(1).select(F.lit(start + written).cast("bigint").alias("position"))
-        end.write.mode("overwrite").parquet(_epoch(f"{path}/ends", epoch))
+        _note(spark, start + spark.read.parquet(target).count(), _epoch(f"{path}/ends", epoch))
 
     return (
         with_split(rows)
@@ -74,9 +75,11 @@ def replay(rows: DataFrame, path: str, checkpoint: str, batch_rows: int = 50) ->
 
 
 def read_replay(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The rows a replay has written."""
+    """The rows of all micro-batches a replay has finished."""
     added = "_row_id BIGINT, _batch_id BIGINT, _ingested_at TIMESTAMP_NTZ, epoch BIGINT"
-    return spark.read.schema(f"{schema.toDDL()}, {added}").parquet(f"{path}/rows").drop("epoch")
+    finished = spark.read.schema(f"{_END}, epoch BIGINT").parquet(f"{path}/ends").agg(F.max("epoch"))
+    rows = spark.read.schema(f"{schema.toDDL()}, {added}").parquet(f"{path}/rows")
+    return rows.where(F.col("epoch") <= finished.scalar()).drop("epoch")
 
 
 def fold_latest(
@@ -90,11 +93,13 @@ def fold_latest(
 
     A micro-batch writes its own newest rows only. Readers merge these, so
     nothing written before is rewritten, no state grows on the executors, and a
-    late row loses against a newer one that came earlier.
+    late row loses against a newer one that came earlier. `compact_latest`
+    bounds what readers have to merge.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
-        keep_latest(batch, key, order).write.mode("overwrite").parquet(_epoch(path, epoch))
+        target = _epoch(f"{path}/changes", epoch)
+        keep_latest(batch, key, order).write.mode("overwrite").parquet(target)
 
     return (
         rows.writeStream.foreachBatch(write)
@@ -111,10 +116,51 @@ def read_latest(
     key: str = "product_id",
     order: Sequence[str] = ORDER_COLUMNS,
 ) -> DataFrame:
-    """The newest version per key over all micro-batches written so far."""
-    versions = spark.read.schema(f"{schema.toDDL()}, epoch BIGINT").parquet(path).drop("epoch")
+    """The newest version per key: the last snapshot and the changes since."""
+    done = _compacted(spark, path)
+    versions = _changes(spark, path, schema).where(F.col("epoch") > done).drop("epoch")
+    if done >= 0:
+        versions = spark.read.schema(schema).parquet(f"{path}/snapshots/{done}").unionByName(versions)
     return keep_latest(versions, key, order)
 
 
+def compact_latest(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    key: str = "product_id",
+    order: Sequence[str] = ORDER_COLUMNS,
+) -> None:
+    """Writes a new snapshot of all changes so far; run it between streams.
+
+    The snapshot counts once it is complete and noted. Older snapshots and the
+    changes it covers are no longer read and may be deleted.
+    """
+    last = _changes(spark, path, schema).agg(F.max("epoch")).first()[0]
+    if last is None or last <= _compacted(spark, path):
+        return
+    newest = read_latest(spark, path, schema, key, order)
+    newest.write.mode("overwrite").parquet(f"{path}/snapshots/{last}")
+    _note(spark, last, f"{path}/compacted", mode="append")
+
+
+def _changes(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(f"{schema.toDDL()}, epoch BIGINT").parquet(f"{path}/changes")
+
+
+def _compacted(spark: SparkSession, path: str) -> int:
+    """The last micro-batch in the newest snapshot, -1 without one."""
+    try:
+        notes = spark.read.schema(_END).parquet(f"{path}/compacted")
+    except AnalysisException:  # nothing compacted yet
+        return -1
+    return notes.agg(F.max("position")).first()[0]
+
+
+def _note(spark: SparkSession, position: int, path: str, mode: str = "overwrite") -> None:
+    note = spark.range(1).select(F.lit(position).cast("bigint").alias("position"))
+    note.write.mode(mode).parquet(path)
+
+
 def _epoch(path: str, epoch: int) -> str:
     return f"{path}/epoch={epoch}"

@@ -242,6 +242,22 @@ SELECT product_id, _batch_id, _row_id, discount_amount, is_discounted, price_buc
 FROM featured""",
     ),
     "validate_clamp": _typed(f"SELECT product_id, {CLAMP} AS rating, _batch_id, _row_id FROM typed"),
+    "sql_functions": _with(
+        FEED,
+        f"""
+priced AS (
+  SELECT _batch_id, _row_id, TRY_CAST(regexp_replace(final_price, '[^0-9.]', '', 'g') AS DOUBLE) AS price,
+    {_number('rating')} AS r
+  FROM feed
+)""",
+        select="""
+SELECT _batch_id, _row_id, price,
+  CASE WHEN price IS NULL THEN 'unknown' WHEN price < 500 THEN 'budget' WHEN price < 2000 THEN 'mid_range'
+       WHEN price < 5000 THEN 'premium' ELSE 'luxury' END AS price_bucket,
+  CASE WHEN r IS NULL THEN 'unknown' WHEN r >= 4.5 THEN 'excellent' WHEN r >= 4.0 THEN 'good'
+       WHEN r >= 3.0 THEN 'average' ELSE 'poor' END AS ratings_tier
+FROM priced""",
+    ),
     "dedup_latest": _with(
         FEED,
         LATEST.format(source="feed"),

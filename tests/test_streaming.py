@@ -72,6 +72,18 @@ def test_fold_latest_is_the_batch_result(spark, tmp_path):
     assert got == batch()
     assert run() == got
 
+    identified = spark.read.schema(LAKE_SCHEMA).parquet(f"{source}/*").withColumn("product_id", F.lit(0).cast("long"))
+    for _ in range(2):  # the second finds nothing to do
+        jobs.compact_latest(spark, out, identified.schema)
+        assert run() == got
+    for i, stamp in enumerate([("1", 4, "older than the snapshot"), ("2", 9, "newer"), ("3", 1, "first")]):
+        raw_rows(spark, [dict(zip(["product_id", "_batch_id", "title"], stamp))]).coalesce(1).write.parquet(
+            f"{source}/9{i}"
+        )
+    after = run()
+    assert {(r.product_id, r.title) for r in after} == {(1, "new"), (2, "newer"), (3, "first"), (None, "x")}
+    assert after == batch()
+
 
 def test_land_appends_to_the_lake(spark, tmp_path):
     source, target, marks = str(tmp_path / "in"), str(tmp_path / "lake"), str(tmp_path / "marks")
