@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -101,6 +100,7 @@ def fold_latest(
         target = _epoch(f"{path}/changes", epoch)
         keep_latest(batch, key, order).write.mode("overwrite").parquet(target)
 
+    _note(rows.sparkSession, -1, f"{path}/compacted", mode="ignore")
     return (
         rows.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
@@ -150,11 +150,7 @@ def _changes(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 def _compacted(spark: SparkSession, path: str) -> int:
     """The last micro-batch in the newest snapshot, -1 without one."""
-    try:
-        notes = spark.read.schema(_END).parquet(f"{path}/compacted")
-    except AnalysisException:  # nothing compacted yet
-        return -1
-    return notes.agg(F.max("position")).first()[0]
+    return spark.read.schema(_END).parquet(f"{path}/compacted").agg(F.max("position")).first()[0]
 
 
 def _note(spark: SparkSession, position: int, path: str, mode: str = "overwrite") -> None:

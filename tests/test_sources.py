@@ -47,11 +47,22 @@ def test_csv_matches_pandas(spark, tmp_path):
     )
 
 
-def test_csv_surplus_value_fails(spark, tmp_path):
+@pytest.mark.parametrize("row", ["3,4,5", "3,4,", '3,"4","5",6', '"x\ny",4,5'])
+@pytest.mark.parametrize("column", ["a", "b"])
+def test_csv_surplus_value_fails(spark, tmp_path, row, column):
     path = tmp_path / "feed.csv"
-    path.write_text("a,b\n1,2\n3,4,5\n")
+    path.write_text(f"a,b\n1,2\n{row}\n5\n")
     with pytest.raises(Exception, match="more than 2 values"):
-        scan_listing_csv(spark, str(path)).select("a").collect()
+        scan_listing_csv(spark, str(path)).select(column).collect()
+    with pytest.raises(Exception, match="more than 2 values"):
+        scan_listing_csv(spark, str(path)).count()
+
+
+def test_csv_other_header_fails(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "2.csv").write_text("b,a\n1,2\n")
+    with pytest.raises(Exception, match="header"):
+        scan_listing_csv(spark, str(tmp_path)).collect()
 
 
 def test_csv_missing_path_fails(spark, tmp_path):
