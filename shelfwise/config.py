@@ -17,5 +17,5 @@ class ListingConfig:
     rating_min: float = 0.0
     rating_max: float = 5.0
     kafka_servers: str = "localhost:9092"
-    kafka_topic: str = "ecommerce_raw_events"
+    kafka_topic: str = "raw_listings"
     kafka_starting_offsets: str = "earliest"
