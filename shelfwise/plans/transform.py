@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.config import ListingConfig
-from shelfwise.functions import listing, text
+from shelfwise.functions import text
 from shelfwise.operators.clean import (
     clean_prices,
     discount_fill_value,

@@ -28,7 +28,7 @@ def scratch_dir(spark: SparkSession) -> str:
     Only a local session may go without that setting; it then gets a temporary
     folder, since its executors run on this machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
