@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from shelfwise.schema import NA_TOKENS
 
-# Plain decimal notation with optional exponent, or an infinity. Spark's own
-# cast would also take `1d`, `1f` and hexadecimal floats.
-_NUMBER = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf(?:inity)?))\s*$"
+# Plain decimal notation with optional exponent. Spark's own cast would also
+# take `1d`, `1f` and hexadecimal floats.
+_NUMBER = r"^\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\s*$"
+_INFINITY = r"^[+-]?(?i:inf(?:inity)?)$"
 _INTEGER = r"^\s*[+-]?\d+\s*$"
 _LARGEST_EXACT = float(2**53)
 
@@ -20,8 +21,10 @@ def na_to_null(text: Column) -> Column:
 
 
 def to_number(text: Column) -> Column:
-    """Text as DOUBLE; NULL where it is not a plain number."""
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    """Text as DOUBLE; NULL where it is not a plain number or too large for one."""
+    number = text.try_cast("double")
+    finite = F.when(F.abs(number) < F.lit(float("inf")), number)
+    return F.when(text.rlike(_NUMBER), finite).when(text.rlike(_INFINITY), number)
 
 
 def to_identifier(text: Column) -> Column:

@@ -1,7 +1,10 @@
 """Edge values of the column expressions, with hand-computed results."""
 
 import math
+import random
+import re
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -22,7 +25,7 @@ def test_na_tokens(spark):
 
 NUMBERS = {
     "12": 12.0, " 12 ": 12.0, "\t7\n": 7.0, "1e3": 1000.0, "+5": 5.0, "-5.5": -5.5, ".5": 0.5, "5.": 5.0,
-    "inf": math.inf, "-Infinity": -math.inf, "1,000": None, "₹3": None, "1d": None, "1f": None,
+    "inf": math.inf, "-Infinity": -math.inf, " inf ": None, "1e400": None, "1,000": None, "₹3": None, "1d": None, "1f": None,
     "0x1p3": None, "True": None, "": None, ".": None, "1 2": None, "1e": None, "nan": None, None: None,
 }
 
@@ -31,6 +34,25 @@ def test_numbers(spark):
     assert apply(spark, text.to_number, list(NUMBERS)) == list(NUMBERS.values())
 
 
+def test_numbers_like_pandas(spark):
+    rng = random.Random(1)
+    signs = "00123456789+-.eE dfxinfaN,_\t"
+    texts = sorted({"".join(rng.choice(signs) for _ in range(rng.randrange(1, 6))) for _ in range(5000)})
+    texts = [t for t in texts if not re.search(r"[eE]\+?\d{3}", t)]  # pandas gives 0e400 up, 0.0 here
+    expected = pd.to_numeric(pd.Series([*texts, "not a number"], dtype=object), errors="coerce")
+    for text_, got, value in zip(texts, apply(spark, text.to_number, texts), expected):
+        assert (got is None) == math.isnan(value), text_
+        assert got is None or got == pytest.approx(value, rel=1e-14), text_
+
+
+def test_texts_like_pandas(spark):
+    rng = random.Random(2)
+    texts = pd.Series(["".join(rng.choice("aB \t\n  é-x") for _ in range(rng.randrange(9))) for _ in range(500)])
+    slugs = texts.str.lower().str.strip().str.replace(r"\s+", "-", regex=True)
+    assert apply(spark, text.slug, texts.tolist()) == slugs.tolist()
+    assert apply(spark, text.word_count, texts.tolist()) == texts.str.split().str.len().tolist()
+
+
 IDENTIFIERS = {
     "12": 12, "12.0": 12, "1.2e1": 12, " 12 ": 12, "-3": -3, "9007199254740993": 9007199254740993,
     "12.5": None, "x": None, "inf": None, "1e300": None, "99999999999999999999": None, None: None,
