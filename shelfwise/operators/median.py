@@ -2,69 +2,59 @@
 
 from __future__ import annotations
 
+from math import inf
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _ACCURACY = 10_000
-_MARGIN = 3.0 / _ACCURACY
+_MARGIN = 3.0 / _ACCURACY  # of the rows, on both sides; the sketch errs by a third of it
 
 
 def exact_median(df: DataFrame, value: Column, max_values: int = 200_000) -> float | None:
     """Interpolated median, NULLs left out; None when there is no value.
 
-    Rows are first collapsed to value counts. While more than `max_values`
-    distinct values remain, a quantile sketch narrows them to a bracket around
-    the middle ranks, whose exact rank is counted before it is trusted. Only
-    the last bracket, of a checked size, is sorted in one task. Each pass reads
-    one column and returns scalars.
+    Rows are collapsed to value counts, and these summed up in order. While more
+    than `max_values` distinct values remain, a quantile sketch first narrows
+    them to a bracket around the middle, which is kept only if counting shows
+    that it holds the middle ranks. Every pass reads one column and returns
+    scalars.
     """
-    values = df.select(value.cast("double").alias("v")).where(F.col("v").isNotNull())
-    total, distinct = values.agg(F.count("v"), F.approx_count_distinct("v")).first()
-    if not total:
+    inside = df.select(value.cast("double").alias("v")).where(F.col("v").isNotNull())
+    size, distinct = inside.agg(F.count("v"), F.approx_count_distinct("v")).first()
+    if not size:
         return None
-    middle = ((total - 1) // 2, total // 2)
+    ranks = ((size - 1) // 2, size // 2)  # 0-based, among the values inside the bracket
 
-    below = 0  # rows smaller than the bracket
-    inside, size = values, total
     while distinct > max_values:
-        quantiles = [(middle[0] - below) / size - _MARGIN, (middle[1] - below) / size + _MARGIN]
-        clipped = [min(max(q, 0.0), 1.0) for q in quantiles]
-        low, high = inside.agg(F.percentile_approx("v", clipped, _ACCURACY)).first()[0]
-        low, high = _confirmed(inside, low, high, middle, below)
-        if low == high:
+        quantiles = [max(ranks[0] / size - _MARGIN, 0.0), min(ranks[1] / size + _MARGIN, 1.0)]
+        low, high = inside.agg(F.percentile_approx("v", quantiles, _ACCURACY)).first()[0]
+        for bracket in ((low, high), (-inf, high), (low, inf)):
+            within = F.col("v").between(*bracket)
+            smaller, kept, kept_distinct = inside.agg(
+                F.count_if(F.col("v") < bracket[0]),
+                F.count_if(within),
+                F.approx_count_distinct(F.when(within, F.col("v"))),
+            ).first()
+            if smaller <= ranks[0] and ranks[1] < smaller + kept:
+                break
+        if low == high == bracket[0] == bracket[1]:
             return low
-        narrowed = inside.where(F.col("v").between(low, high))
-        smaller, kept, kept_distinct = inside.agg(
-            F.count_if(F.col("v") < low),
-            F.count_if(F.col("v").between(low, high)),
-            F.approx_count_distinct(F.when(F.col("v").between(low, high), F.col("v"))),
-        ).first()
         if kept == size:
-            break  # nothing left to cut off; the sketch cannot tell the values apart
-        inside, size, distinct, below = narrowed, kept, kept_distinct, below + smaller
-    return _at_ranks(inside, [rank - below for rank in middle])
-
-
-def _confirmed(
-    inside: DataFrame, low: float, high: float, middle: tuple[int, int], below: int
-) -> tuple[float, float]:
-    """The bracket, opened on a side where the sketch missed a middle rank."""
-    smaller, up_to, first, last = inside.agg(
-        F.count_if(F.col("v") < low), F.count_if(F.col("v") <= high), F.min("v"), F.max("v")
-    ).first()
-    if below + smaller > middle[0]:
-        low = first
-    if below + up_to <= middle[1]:
-        high = last
-    return low, high
+            break
+        inside, size, distinct = inside.where(within), kept, kept_distinct
+        ranks = (ranks[0] - smaller, ranks[1] - smaller)
+    return _at_ranks(inside, ranks)
 
 
-def _at_ranks(values: DataFrame, ranks: list[int]) -> float:
+def _at_ranks(values: DataFrame, ranks: tuple[int, int]) -> float:
     """Mean of the values at two 0-based ranks, from running value counts."""
-    counts = values.groupBy("v").agg(F.count("*").alias("n"))
-    running = counts.select(
-        "v", F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)).alias("upto")
+    so_far = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    running = (
+        values.groupBy("v")
+        .agg(F.count("*").alias("n"))
+        .select("v", F.sum("n").over(so_far).alias("up_to"))
     )
-    picks = [F.min(F.when(F.col("upto") > rank, F.col("v"))) for rank in ranks]
+    picks = [F.min(F.when(F.col("up_to") > rank, F.col("v"))) for rank in ranks]
     lower, upper = running.agg(*picks).first()
     return lower if lower == upper else (lower + upper) / 2

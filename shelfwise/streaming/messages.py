@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfwise.config import ListingConfig
-from shelfwise.schema import LAKE_SCHEMA
+from shelfwise.schema import LAKE_SCHEMA, RAW_SCHEMA
 
 
 def encode(df: DataFrame) -> DataFrame:
@@ -27,7 +27,21 @@ def decode(messages: DataFrame, schema: T.StructType = LAKE_SCHEMA) -> DataFrame
     return messages.select(parsed.alias("record")).select("record.*")
 
 
+def from_topic(messages: DataFrame) -> DataFrame:
+    """Listings of a topic's messages; their place in the topic orders them.
+
+    Partition and offset take the place of batch and row number.
+    """
+    parsed = F.from_json(F.col("value").cast("string"), RAW_SCHEMA)
+    return messages.select(
+        parsed.alias("record"),
+        F.col("partition").cast("bigint").alias("_batch_id"),
+        F.col("offset").alias("_row_id"),
+    ).select("record.*", "_batch_id", "_row_id")
+
+
 def kafka_source(spark: SparkSession, conf: ListingConfig = ListingConfig()) -> DataFrame:
+    """A topic as a stream of listings, for `jobs.land` or `jobs.fold_latest`."""
     messages = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", conf.kafka_servers)
@@ -35,7 +49,7 @@ def kafka_source(spark: SparkSession, conf: ListingConfig = ListingConfig()) ->
         .option("startingOffsets", conf.kafka_starting_offsets)
         .load()
     )
-    return decode(messages)
+    return from_topic(messages)
 
 
 def kafka_sink(rows: DataFrame, checkpoint: str, conf: ListingConfig = ListingConfig()) -> StreamingQuery:

@@ -103,3 +103,15 @@ def test_messages_keep_nulls(spark):
     assert messages.decode(encoded).collect() == rows.collect()
     as_bytes = encoded.select(F.col("value").cast("binary").alias("value"))
     assert messages.decode(as_bytes).collect() == rows.collect()
+
+
+def test_topic_messages_get_their_place(spark):
+    listing = messages.encode(raw_rows(spark, [{"product_id": "1", "title": "t"}])).first().value
+    topic = spark.createDataFrame(
+        [(bytearray(listing, "utf8"), 3, 41), (bytearray(b"not json"), 3, 42)],
+        "value binary, partition int, offset long",
+    )
+    rows = messages.from_topic(topic).orderBy("_row_id").collect()
+    assert [(r.product_id, r.title, r._batch_id, r._row_id) for r in rows] == [
+        ("1", "t", 3, 41), (None, None, 3, 42),
+    ]
