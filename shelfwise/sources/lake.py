@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.operators.union import union_by_name
 from shelfwise.schema import LAKE_SCHEMA, RAW_COLUMNS
 
 HOUR_COLUMNS = ["ingest_year", "ingest_month", "ingest_day", "ingest_hour"]
@@ -36,25 +38,49 @@ def append_to_lake(df: DataFrame, path: str, many_hours: bool = True) -> None:
     lets adaptive execution split an hour that is larger than others. Rows that
     share one time of arrival are written without a shuffle.
     """
+    if written_by_stream(df.sparkSession, path):
+        raise ValueError(f"{path} belongs to a stream, readers would not see these rows")
     hourly = with_hour(df)
     if many_hours:
         hourly = hourly.hint("rebalance", *HOUR_COLUMNS)
     hourly.write.mode("append").partitionBy(*HOUR_COLUMNS).parquet(path)
 
 
-def read_lake(spark: SparkSession, path: str, since: datetime | None = None) -> DataFrame:
-    """The lake's rows, optionally from an hour on; other hours are not read."""
+def read_lake(spark: SparkSession, *paths: str, since: datetime | None = None) -> DataFrame:
+    """The rows of one or more lake directories, optionally from an hour on.
+
+    Directories of earlier hours are not read then.
+    """
     hours = ", ".join(f"{c} INT" for c in HOUR_COLUMNS)
-    rows = spark.read.schema(f"{LAKE_SCHEMA.toDDL()}, {hours}").parquet(path)
+    schema = f"{LAKE_SCHEMA.toDDL()}, {hours}"
+    rows = union_by_name([spark.read.schema(schema).parquet(path) for path in paths])
     if since is None:
         return rows
-    reached = F.lit(False)
+    reached = F.lit(True)
     for column, part in reversed(list(zip(HOUR_COLUMNS, [since.year, since.month, since.day, since.hour]))):
-        at_least = F.col(column) >= part if column == HOUR_COLUMNS[-1] else F.lit(False)
-        reached = (F.col(column) > part) | ((F.col(column) == part) & (reached | at_least))
+        reached = (F.col(column) > part) | ((F.col(column) == part) & reached)
     return rows.where(reached)
 
 
+def written_by_stream(spark: SparkSession, path: str) -> bool:
+    """Whether a streaming sink keeps the list of a directory's files."""
+    return _exists(spark, f"{path}/_spark_metadata")
+
+
+def holds_batch_files(spark: SparkSession, path: str) -> bool:
+    return _exists(spark, path) and not written_by_stream(spark, path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.text(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
 def read_foreign_lake(
     spark: SparkSession, path: str, extra_columns: Sequence[str] = ()
 ) -> DataFrame:

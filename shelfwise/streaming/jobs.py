@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from shelfwise.operators.dedup import keep_latest
 from shelfwise.schema import ORDER_COLUMNS
 from shelfwise.sources.batches import micro_batches, with_split
-from shelfwise.sources.lake import HOUR_COLUMNS, utc_now, with_hour
+from shelfwise.sources.lake import HOUR_COLUMNS, holds_batch_files, utc_now, with_hour
 
 _END = "position BIGINT"
 
@@ -35,7 +35,14 @@ def file_stream(
 
 
 def land(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Appends a stream to the raw lake, stamped with its time of arrival."""
+    """Appends a stream to the raw lake, stamped with its time of arrival.
+
+    The sink writes every row once and keeps a list of its files, which readers
+    follow. Streams and batch jobs therefore need a directory each; `read_lake`
+    takes several.
+    """
+    if holds_batch_files(rows.sparkSession, path):
+        raise ValueError(f"{path} holds files of batch jobs, readers would no longer see them")
     stamped = with_hour(rows.withColumn("_ingested_at", utc_now()))
     return (
         stamped.writeStream.format("parquet")

@@ -118,7 +118,7 @@ def test_lake_reads_only_hours_since(spark, tmp_path):
     path = str(tmp_path / "lake")
     lake.append_to_lake(stamped(spark), path)
     since = datetime(2024, 2, 5, 13)
-    recent = lake.read_lake(spark, path, since)
+    recent = lake.read_lake(spark, path, since=since)
     assert recent.count() == stamped(spark).where(F.col("_ingested_at") >= F.lit(since)).count()
     plan = recent._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan

@@ -1,6 +1,7 @@
 """Streams against their batch counterparts, restarts included."""
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,6 +96,15 @@ def test_land_appends_to_the_lake(spark, tmp_path):
     assert sorted(r.title for r in landed.collect()) == ["a", "b"]
     assert landed.where("_ingested_at is null").count() == 0
 
+    ours = str(tmp_path / "batch")
+    rows = raw_rows(spark, [{"product_id": "3", "title": "c"}]).withColumn("_ingested_at", lake.utc_now())
+    lake.append_to_lake(rows, ours)
+    assert sorted(r.title for r in lake.read_lake(spark, target, ours).collect()) == ["a", "b", "c"]
+    with pytest.raises(ValueError, match="belongs to a stream"):
+        lake.append_to_lake(rows, target)
+    with pytest.raises(ValueError, match="files of batch jobs"):
+        jobs.land(jobs.file_stream(spark, source, LAKE_SCHEMA), ours, marks)
+
 
 def test_messages_keep_nulls(spark):
     rows = raw_rows(spark, [{"product_id": "1", "title": '₹ "quoted"\n', "rating": None}])
