@@ -38,14 +38,18 @@ def load(
     warehouse: str,
     run_id: str,
     conf: ListingConfig = ListingConfig(),
+    newest: DataFrame | None = None,
 ) -> Star:
     """Processed table and star schema of one run, published once they pass.
 
+    `newest` holds the newest raw versions where a stream keeps them, see
+    `process`; else they are picked from all of `raw`.
+
     Every run writes directories of its own. Readers look up the last published
     run, so they see all tables change at once, and never a run that failed.
     """
     target = f"{warehouse}/runs/{run_id}"
-    process(raw, conf).write.mode("overwrite").parquet(f"{target}/processed")
+    process(raw, conf, newest).write.mode("overwrite").parquet(f"{target}/processed")
     write_star(spark.read.schema(PROCESSED_SCHEMA).parquet(f"{target}/processed"), target)
     star = read_star(spark, target)
     require_quality(quality_check(star, conf))

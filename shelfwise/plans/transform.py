@@ -26,17 +26,23 @@ def latest_versions(raw: DataFrame) -> DataFrame:
     return keep_latest(identified)
 
 
-def process(raw: DataFrame, conf: ListingConfig = ListingConfig()) -> DataFrame:
+def process(
+    raw: DataFrame, conf: ListingConfig = ListingConfig(), newest: DataFrame | None = None
+) -> DataFrame:
     """Cleaned newest versions with features, one row per product.
 
     The fill median is taken over all raw rows. All other steps look at one row
     only, so superseded versions are dropped first and never cleaned. Features
     precede validation: they see unclamped ratings. Surplus columns pass.
+
+    `newest` is what `latest_versions(raw)` gives, where a stream keeps it
+    (`streaming.jobs.read_latest`); of `raw`, only the discounts are read then.
     """
     discount = discount_fill_value(raw, conf)
+    if newest is None:
+        newest = latest_versions(raw)
     cleaned = (
-        latest_versions(raw)
-        .transform(enforce_schema)
+        newest.transform(enforce_schema)
         .transform(drop_metadata)
         .transform(clean_prices)
         .transform(lambda df: fill_missing(df, discount))

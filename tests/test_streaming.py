@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.functions.text import to_identifier
-from shelfwise.plans.transform import latest_versions
+from shelfwise.plans.transform import latest_versions, process
 from shelfwise.schema import LAKE_SCHEMA
 from shelfwise.sources import lake
 from shelfwise.streaming import jobs, messages
@@ -85,6 +85,10 @@ def test_fold_latest_is_the_batch_result(spark, tmp_path):
     assert {(r.product_id, r.title) for r in after} == {(1, "new"), (2, "newer"), (3, "first"), (None, "x")}
     assert after == batch()
 
+    raw = spark.read.schema(LAKE_SCHEMA).parquet(f"{source}/*")
+    kept = process(raw, newest=jobs.read_latest(spark, out, identified.schema))
+    assert sorted(kept.collect(), key=str) == sorted(process(raw).collect(), key=str)
+
 
 def test_land_appends_to_the_lake(spark, tmp_path):
     source, target, marks = str(tmp_path / "in"), str(tmp_path / "lake"), str(tmp_path / "marks")
