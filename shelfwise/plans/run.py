@@ -24,7 +24,7 @@ def ingest_csv(
     source: str,
     lake: str,
     conf: ListingConfig = ListingConfig(),
-    multi_line: bool = True,
+    multi_line: bool | None = None,
 ) -> None:
     """Appends a CSV source to the raw lake in numbered micro-batches."""
     rows = with_split(scan_listing_csv(spark, source, multi_line))

@@ -19,8 +19,10 @@ _HOUR_PATH = r"/(\d{4})/(\d{2})/(\d{2})/(\d{2})/[^/]*$"
 
 
 def utc_now() -> Column:
-    """The current instant as naive UTC."""
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.localtimestamp())
+    """The current instant as naive UTC, whatever the session's time zone."""
+    seconds = F.unix_micros(F.current_timestamp()).cast("decimal(20,0)") / F.lit(1_000_000)
+    since_epoch = F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since_epoch
 
 
 def with_hour(df: DataFrame, stamp: str = "_ingested_at") -> DataFrame:

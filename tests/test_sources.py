@@ -1,6 +1,6 @@
 """CSV, micro-batches and the raw lake."""
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 import pandas as pd
 import pytest
@@ -65,6 +65,36 @@ def test_csv_other_header_fails(spark, tmp_path):
         scan_listing_csv(spark, str(tmp_path)).collect()
 
 
+@pytest.mark.parametrize(
+    "text, rows",
+    [
+        ('a,b\n1,"x"\n2,"y ""z"" w"\n', 2),  # every row on a line of its own
+        ('a,b\n1,"x\ny"\n', 1),
+        ('a,b\n5" nail,"x\ny"\n', 1),  # an even number of quotes, and yet open
+        ('a,b\n1,"""x\n"""\n', 1),
+        ('a,b\r\n1,x\r\n2,"y"\r\n', 2),
+    ],
+)
+def test_csv_line_breaks_are_found(spark, tmp_path, text, rows):
+    path = tmp_path / "feed.csv"
+    path.write_bytes(text.encode())
+    got = scan_listing_csv(spark, str(path)).collect()
+    assert len(got) == rows
+    assert got == scan_listing_csv(spark, str(path), multi_line=True).collect()
+
+
+def test_csv_without_line_breaks_is_split(spark, tmp_path):
+    path = tmp_path / "feed.csv"
+    path.write_text("a,b\n" + '1,"x, y"\n' * 10000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 20_000)
+    try:
+        rows = scan_listing_csv(spark, str(path))
+        assert rows.rdd.getNumPartitions() > 4
+        assert rows.where("b = 'x, y'").count() == 10000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_csv_missing_path_fails(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         scan_listing_csv(spark, str(tmp_path / "absent.csv"))
@@ -87,7 +117,7 @@ def test_ordinals_over_split_text(spark, tmp_path):
     path.write_text("n,pad\n" + "".join(f"{i},{'x' * 50}\n" for i in range(5000)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", 20_000)
     try:
-        rows = scan_listing_csv(spark, str(path), multi_line=False)
+        rows = scan_listing_csv(spark, str(path))
         assert rows.rdd.getNumPartitions() > 4
         got = micro_batches(with_split(rows), 50, 100).collect()
     finally:
@@ -161,8 +191,12 @@ def test_foreign_lake_import(spark, tmp_path):
     assert done == {1: "x", 2: "none", None: "none"}
 
 
-def test_utc_now(spark):
-    seconds = spark.range(1).select(
-        F.timestamp_diff("SECOND", lake.utc_now(), F.lit(pd.Timestamp.now("UTC").tz_localize(None)).cast("timestamp_ntz"))
-    )
-    assert abs(seconds.first()[0]) < 60
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kolkata", "America/New_York"])
+def test_utc_now(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        now = spark.range(1).select(lake.utc_now()).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert abs((datetime.now(timezone.utc).replace(tzinfo=None) - now).total_seconds()) < 60
