@@ -2,6 +2,7 @@
 
 import pandas as pd
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +50,31 @@ def test_repeated_micro_batch_overwrites_itself(spark, tmp_path):
     assert jobs.read_replay(spark, out, NUMBERS).count() == 110
 
 
+def test_crash_between_rows_and_end_mark(spark, tmp_path, monkeypatch):
+    """The unfinished micro-batch is not read, and a restart writes it anew."""
+    source, out, marks = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "marks")
+
+    def run():
+        rows = jobs.file_stream(spark, str(source), NUMBERS, files_per_trigger=1)
+        jobs.replay(rows, out, marks, batch_rows=50).awaitTermination()
+
+    def crash(*args, **more):
+        raise RuntimeError("lost before the end mark")
+
+    add_files(source, 0, [30])
+    run()
+    add_files(source, 1, [75])
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs, "_note", crash)
+        with pytest.raises(StreamingQueryException, match="lost before the end mark"):
+            run()
+    assert spark.read.parquet(f"{out}/rows").count() == 105  # written, but not finished
+    assert jobs.read_replay(spark, out, NUMBERS).count() == 30
+    run()
+    rows = jobs.read_replay(spark, out, NUMBERS).orderBy("_row_id").collect()
+    assert [(r._row_id, r.n, r._batch_id) for r in rows] == [(i, i, i // 50) for i in range(105)]
+
+
 def versions(spark, path, stamps):
     for i, (product, batch, title) in enumerate(stamps):
         row = {"product_id": product, "_batch_id": batch, "title": title}
