@@ -76,7 +76,7 @@ def main(args: list[str]) -> int:
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     failed = 0
-    for name in args[1:] or queries:
+    for name in args[1:] or oracle:
         start = time.time()
         try:
             got = queries[name](spark, sf_dir).toPandas()
