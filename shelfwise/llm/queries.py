@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import contamination, packing, token_records
+from shelfwise.llm import contamination, packing, quality_classifier, token_records, toxicity
 from shelfwise.session import scratch_dir
 
 
@@ -47,7 +47,28 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
 
 
-QUERIES = {q.__name__: q for q in (op1_token_records, op2_contamination, op5_packing)}
+def _fold(n: int) -> Column:
+    """The remainder by which labelled rows are held out."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_classifier.train(docs, _table(spark, sf_dir, "labels"), _fold(5) != 0)
+    return quality_classifier.add_scores(docs, model).select(
+        "doc_id", (_fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"), _fold(4) != 2)
+    return toxicity.add_scores(docs, model).select(
+        "doc_id", (_fold(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+QUERIES = {q.__name__: q for q in (op1_token_records, op2_contamination, op5_packing, op9_quality, op10_toxicity)}
 
 _OP2_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
