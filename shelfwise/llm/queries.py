@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import contamination, packing, quality_classifier, token_records, toxicity
+from shelfwise.llm import contamination, packing, private_data, quality_classifier, token_records, toxicity
 from shelfwise.session import scratch_dir
 
 
@@ -40,6 +40,16 @@ def op2_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = private_data.find_private(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        *[n.alias(name) for name, n in private_data.counts(F.col("base")).items()],
+        F.sha2(private_data.digest_text(F.col("base")), 256).alias("base_sha256"),
+        private_data.digest_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(
         _table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1
@@ -68,7 +78,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op1_token_records, op2_contamination, op5_packing, op9_quality, op10_toxicity)}
+QUERIES = {q.__name__: q for q in (op1_token_records, op2_contamination, op3_private_data, op5_packing, op9_quality, op10_toxicity)}
 
 _OP2_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
