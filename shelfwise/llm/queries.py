@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import contamination, packing, private_data, quality_classifier, token_records, toxicity
+from shelfwise.llm import contamination, jaccard_join, packing, private_data, quality_classifier, token_records, toxicity
 from shelfwise.session import scratch_dir
 
 
@@ -57,6 +57,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def _fold(n: int) -> Column:
     """The remainder by which labelled rows are held out."""
     return F.crc32(F.col("doc_id").cast("string")) % n
@@ -78,7 +82,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op1_token_records, op2_contamination, op3_private_data, op5_packing, op9_quality, op10_toxicity)}
+QUERIES = {q.__name__: q for q in (op1_token_records, op2_contamination, op3_private_data, op5_packing, op6_jaccard_join, op9_quality, op10_toxicity)}
 
 _OP2_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
@@ -108,5 +112,29 @@ WITH items AS (
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(words.n_hit, 0) AS n_hit, coalesce(found.n_items, 0) AS n_items,
        sha256(coalesce(found.ids, '')) AS items_sha256, coalesce(words.n_hit, 0) > 0 AS contaminated
 FROM docs AS d LEFT JOIN words USING (r) LEFT JOIN found USING (r)
+""",
+    "op6_jaccard_join": r"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'
+    ), x -> x <> '') AS w FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 5, 0) + 2)) AS i FROM docs WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both
+    FROM shingles AS a JOIN shingles AS b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM common JOIN sizes AS x ON x.doc_id = a JOIN sizes AS y ON y.doc_id = b
+    WHERE 100 * both >= 80 * (x.n + y.n - both)
+), reach AS (
+    SELECT doc_id, doc_id AS other FROM docs
+    UNION
+    SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)
 """
 }
