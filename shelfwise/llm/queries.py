@@ -124,11 +124,11 @@ WITH RECURSIVE docs AS (
 ), sizes AS (
     SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
 ), common AS (
-    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
     FROM shingles AS a JOIN shingles AS b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
 ), links AS (
     SELECT a, b FROM common JOIN sizes AS x ON x.doc_id = a JOIN sizes AS y ON y.doc_id = b
-    WHERE 100 * both >= 80 * (x.n + y.n - both)
+    WHERE 100 * shared >= 80 * (x.n + y.n - shared)
 ), reach AS (
     SELECT doc_id, doc_id AS other FROM docs
     UNION
