@@ -115,9 +115,9 @@ FROM docs AS d LEFT JOIN words USING (r) LEFT JOIN found USING (r)
 """,
     "op6_jaccard_join": r"""
 WITH RECURSIVE docs AS (
-    SELECT doc_id, list_filter(string_split_regex(
-        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'
-    ), x -> x <> '') AS w FROM documents
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'
+    ) AS w FROM documents
 ), shingles AS (
     SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s
     FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 5, 0) + 2)) AS i FROM docs WHERE len(w) > 0)
