@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import contamination, jaccard_join, packing, private_data, quality_classifier, token_records, toxicity
+from shelfwise.llm import contamination, jaccard_join, packing, private_data, quality_classifier, suffix_dedup, token_records, toxicity
 from shelfwise.session import scratch_dir
 
 
@@ -61,6 +61,20 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, texts = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    cut = texts.select("id", removed.alias("cut"), F.size("spans").cast("long").alias("runs"), F.sha2("kept", 256).alias("kept_sha256"))
+    joined = documents.withColumnRenamed("sha256", "own").join(cut, "id", "left")
+    return joined.select(
+        "doc_id",
+        "n_bytes",
+        F.when(F.col("whole"), F.col("n_bytes")).otherwise(F.coalesce("cut", F.lit(0))).cast("long").alias("n_removed"),
+        F.when(F.col("whole"), F.lit(1)).otherwise(F.coalesce("runs", F.lit(0))).cast("long").alias("n_spans"),
+        F.when(F.col("whole"), F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", "own")).alias("kept_sha256"),
+    )
+
+
 def _fold(n: int) -> Column:
     """The remainder by which labelled rows are held out."""
     return F.crc32(F.col("doc_id").cast("string")) % n
@@ -82,7 +96,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op1_token_records, op2_contamination, op3_private_data, op5_packing, op6_jaccard_join, op9_quality, op10_toxicity)}
+QUERIES = {q.__name__: q for q in (op1_token_records, op2_contamination, op3_private_data, op5_packing, op6_jaccard_join, op8_suffix_dedup, op9_quality, op10_toxicity)}
 
 _OP2_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
