@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import contamination, jaccard_join, packing, private_data, quality_classifier, suffix_dedup, token_records, toxicity
+from shelfwise.llm import contamination, jaccard_join, packing, private_data, quality_classifier, suffix_dedup, token_records, topk_search, toxicity
 from shelfwise.session import scratch_dir
 
 
@@ -61,6 +61,11 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row whose id is divisible by 20 against all rows."""
+    return topk_search.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, texts = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
@@ -96,7 +101,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op1_token_records, op2_contamination, op3_private_data, op5_packing, op6_jaccard_join, op8_suffix_dedup, op9_quality, op10_toxicity)}
+QUERIES = {q.__name__: q for q in (op1_token_records, op2_contamination, op3_private_data, op5_packing, op6_jaccard_join, op7_topk_search, op8_suffix_dedup, op9_quality, op10_toxicity)}
 
 _OP2_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
@@ -150,5 +155,21 @@ WITH RECURSIVE docs AS (
 )
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)
-"""
+""",
+    "op7_topk_search": """
+WITH usable AS (
+    SELECT vec_id, embedding FROM embeddings
+    WHERE embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+      AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0
+), parts AS (
+    SELECT vec_id, unnest(range(1, len(embedding) + 1)) AS i, CAST(floor(64 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS x
+    FROM usable
+), scores AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+    FROM parts AS q JOIN parts AS c ON c.i = q.i AND c.vec_id <> q.vec_id
+    WHERE q.vec_id % 20 = 0 GROUP BY ALL
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scores QUALIFY rank <= 20
+""",
 }
