@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import contamination, jaccard_join, packing, private_data, quality_classifier, suffix_dedup, token_records, topk_search, toxicity
+from shelfwise.llm import (
+    contamination,
+    html_text,
+    jaccard_join,
+    packing,
+    private_data,
+    quality_classifier,
+    suffix_dedup,
+    token_records,
+    topk_search,
+    toxicity,
+)
 from shelfwise.session import scratch_dir
 
 
@@ -50,6 +61,12 @@ def op3_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    found = html_text.extract_text(pages.select("page_id", "url", "html"), html_text.train(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(
         _table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1
@@ -101,7 +118,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op1_token_records, op2_contamination, op3_private_data, op5_packing, op6_jaccard_join, op7_topk_search, op8_suffix_dedup, op9_quality, op10_toxicity)}
+QUERIES = {
+    q.__name__: q
+    for q in (
+        op1_token_records,
+        op2_contamination,
+        op3_private_data,
+        op4_html_text,
+        op5_packing,
+        op6_jaccard_join,
+        op7_topk_search,
+        op8_suffix_dedup,
+        op9_quality,
+        op10_toxicity,
+    )
+}
 
 _OP2_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
