@@ -12,20 +12,22 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     """node, label for each node of the edges (a, b): label is the least node
     that can be reached.
 
-    A round gives each node the least label among its neighbours (folded before
-    the shuffle, so a node with very many neighbours is one row per task), then
-    the label of its label, which halves the length of chains. Rounds go on
-    until nothing changes; each is written, so a lost executor costs one.
+    A round gives each node the least label among its own and its neighbours'
+    (folded before the shuffle, so a node with very many neighbours is one row
+    per task), then the label of that label, which halves the length of chains.
+    Rounds go on until nothing changes; each is written, so a lost executor costs
+    one.
     """
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = written(both.where("a <> b").distinct(), "edges")
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")), "labels-0")
+    ends = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    loops = edges.select("a", F.col("a").alias("b")).union(edges.select(F.col("b").alias("a"), "b"))
+    near = written(ends.union(loops).distinct(), "edges")
+    labels = written(near.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")), "labels-0")
     for i in range(1, rounds):
-        near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("near"))
-        met = labels.join(near, F.col("node") == F.col("a")).select("node", "label", F.least("label", "near").alias("met"))
-        jump = labels.select(F.col("node").alias("met"), F.col("label").alias("far"))
-        # a label that is no node of its own cannot occur: labels are nodes
-        moved = met.join(jump, "met").select("node", F.least("met", "far").alias("label"), (F.least("met", "far") < F.col("label")).alias("moved"))
+        seen = near.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(
+            F.min("label").alias("met"), F.max(F.when(F.col("a") == F.col("b"), F.col("label"))).alias("old")
+        )
+        jump = labels.select(F.col("node").alias("met"), F.col("label").alias("far"))  # labels are nodes
+        moved = seen.join(jump, "met").select(F.col("a").alias("node"), F.col("far").alias("label"), (F.col("far") < F.col("old")).alias("moved"))
         moved = written(moved, f"labels-{i}")
         labels = moved.select("node", "label")
         if not moved.where("moved").take(1):

@@ -12,12 +12,15 @@ one-deletion neighbourhoods of some segments (a segment and all it becomes by
 losing one shingle also meet segments that differ by one), or, if those do not
 suffice, for empty segments as keys after all; all sets of that band then add
 these. Keys beyond what the pigeonhole needs are a set's to spare: it spends
-them on the fullest buckets (see `_rest`).
-
-Candidates are verified by their whole sets. Members of a bucket are first
-compared to one of them only; components of what is confirmed leave only pairs
-in different components to be compared. Equal sets are one set throughout.
-Shingles and sets are known by 64-bit hashes, sets by their size as well.
+them on the fullest buckets (see `_open`).
+
+Candidates are verified by their whole sets. First, each set is compared to the
+least member of most of its buckets; sets that turn out linked to the same one
+need not be compared to each other. In small buckets the other pairs are rows.
+Large ones that share members are put together to clusters, cut into blocks of
+bounded size; a task takes two blocks, looks at pairs that share one of their
+rarest shingles, and returns links only. Equal sets are one set throughout. Shingles and sets are
+known by 64-bit hashes, sets by their size as well.
 """
 
 from __future__ import annotations
@@ -40,6 +43,10 @@ BAND_RATIO = 1.5
 SPARE = 0.15
 #: Keys that a task gathers before it sends them.
 HELD_KEYS = 1 << 21
+#: Members up to which the pairs of a bucket are rows. Larger buckets are joined
+#: to clusters, which are compared block by block of about so many shingles.
+BUCKET_LIMIT = 8
+BLOCK_SHINGLES = 1 << 20
 #: Ids up to which a list of documents to read is broadcast (some 30 bytes each).
 BROADCAST_IDS = 1 << 20
 
@@ -269,9 +276,8 @@ def _met(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) of sets that are similar, by their whole sets."""
-    ids = pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
+def _sets(ids: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """set, shingles for these sets, read from one document of each."""
     wanted = written(ids.join(classes, "set").select("doc_id").distinct(), "wanted")
     few = wanted.count() <= BROADCAST_IDS
     rows = texts.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi").select("text")
@@ -283,37 +289,129 @@ def _verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFra
                 [pa.array(_set_ids(sets)), pa.array([s.tobytes() for s in sets], pa.binary())], names=["set", "shingles"]
             )
 
+    return written(rows.mapInArrow(sets_of, "set long, shingles binary").dropDuplicates(["set"]), "sets")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) of sets that are similar, by their whole sets."""
+
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = batch.column("x").to_pylist(), batch.column("y").to_pylist()
             like = [similar(np.frombuffer(p, U), np.frombuffer(q, U)) for p, q in zip(x, y, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(like, pa.bool_()))
 
-    sets = rows.mapInArrow(sets_of, "set long, shingles binary").join(ids, "set", "left_semi").dropDuplicates(["set"])
-    sets = written(sets, "sets")
+    ids = pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
+    sets = _sets(ids, texts, classes)
     x = sets.select(F.col("set").alias("a"), F.col("shingles").alias("x"))
     y = sets.select(F.col("set").alias("b"), F.col("shingles").alias("y"))
     return pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
-def _rest(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs still to be compared: in one bucket, in different components, the
-    first in its own band and no larger. Each set leaves out as many of its
-    fullest buckets as it has keys to spare: a partner meets it in another."""
+def _labels(edges: DataFrame) -> DataFrame:
+    """node, label for each set with a confirmed link to a lesser one (b in an
+    edge): what two such steps from there reach. Equal labels mean that sets are
+    connected; connected sets need not have equal labels yet."""
+    step = edges.select(F.col("a").alias("label"), F.col("b").alias("far"))
+    labels = edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
+    for _ in range(2):
+        labels = labels.join(step, "label", "left").select("node", F.coalesce("far", "label").alias("label"))
+    return written(labels, "labels")
+
+
+def _open(members: DataFrame, labels: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members of buckets with several labels, and those of them that ask there: in
+    their own band, and not in a bucket that they can do without. Each set leaves out as many of its fullest buckets as it has keys to spare;
+    a partner meets it in another."""
     known = members.join(labels, F.col("set") == F.col("node"), "left").select(
         "bucket", "set", "own", F.coalesce("label", "set").alias("label")
     )
     mixed = known.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("cost"))
     left = known.join(mixed.where("low < high").select("bucket", "cost"), "bucket")
-    left = written(left.join(classes.select("set", "n", "spare"), "set"), "left")
+    left = written(left.join(classes.select("set", "n", "spare"), "set"), "open")
     order = Window.partitionBy("set").orderBy(F.col("cost").desc(), "bucket")
     asking = left.where("own").withColumn("rank", F.row_number().over(order)).where(F.col("rank") > F.col("spare"))
-    x = asking.select("bucket", F.col("set").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"))
-    y = left.select("bucket", F.col("set").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"))
+    return left, written(asking.drop("rank", "own", "spare"), "asking")
+
+
+def _small(left: DataFrame, asking: DataFrame) -> DataFrame:
+    """Pairs (a, b) with different labels in buckets up to the limit; a asks and is no larger."""
+    x = asking.where(F.col("cost") <= BUCKET_LIMIT).select("bucket", F.col("set").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"))
+    y = left.where(F.col("cost") <= BUCKET_LIMIT).select("bucket", F.col("set").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"))
     pairs = x.join(y, "bucket").where("la <> lb and na <= nb and 5 * na >= 4 * nb")
     return pairs.select("a", "b").distinct()
 
 
+def linked(sets: list[np.ndarray], labels: list[int], side: list[bool]) -> list[tuple[int, int]]:
+    """Similar pairs of sets with different labels that join what is not joined
+    yet, one from each side (or any two, if all are on one side).
+
+    Of two similar sets, each has one of the other's shingles among its rarest
+    |x| - 0.8 |x| + 1, by any order of all shingles; here the number of sets
+    that hold them. Pairs whose places in that order leave too few shingles to
+    share are not compared, nor those that links found before have joined.
+    """
+    size = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, which, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    order = np.lexsort((which, held[which], owner))
+    which = which[order]
+    place = np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size)
+    rare = (place < (size - -(-4 * size // 5) + 1)[owner]) & (held[which] > 1)
+    owner, which, place = owner[rare], which[rare], place[rare]
+    order = np.lexsort((owner, which))
+    owner, which, place = owner[order], which[order], place[order]
+    cuts = np.flatnonzero(np.concatenate([[True], which[1:] != which[:-1], [True]])) if len(which) else [0]
+    names, numbers = np.unique(labels, return_inverse=True)
+    root = numbers.copy()  # the component of each set, as far as known
+    side = np.array(side)
+    both = side.any() and not side.all()
+    compared: set[tuple[int, int]] = set()
+    found = []
+    for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
+        for i in range(begin, end - 1):
+            a = owner[i]
+            b, at = owner[i + 1 : end], place[i + 1 : end]
+            fits = (root[b] != root[a]) & (9 * np.minimum(size[a] - place[i], size[b] - at) >= 4 * (size[a] + size[b]))
+            if both:
+                fits &= side[b] != side[a]
+            for c in b[fits].tolist():
+                pair = (int(a), c)
+                if pair not in compared and root[c] != root[a]:
+                    compared.add(pair)
+                    if similar(sets[a], sets[c]):
+                        found.append(pair)
+                        root[root == root[c]] = root[a]
+    return found
+
+
+def _large(left: DataFrame, asking: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between sets that meet in buckets above the limit."""
+    asked = asking.where(F.col("cost") > BUCKET_LIMIT).select("bucket").distinct()
+    met = written(left.join(asked, "bucket", "left_semi").select("bucket", "set", "label", "n"), "large")
+    # a bucket's cluster is the least set within two steps of it; all its members go there, some to several clusters
+    hubs = met.groupBy("bucket").agg(F.min("set").alias("hub"))
+    near = met.join(hubs, "bucket").groupBy("set").agg(F.min("hub").alias("near"))
+    clusters = met.join(near, "set").groupBy("bucket").agg(F.min("near").alias("cluster"))
+    sets = written(met.join(clusters, "bucket").select("cluster", "set", F.col("label").alias("component"), "n").distinct(), "clusters")
+    blocks = sets.groupBy("cluster").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    placed = sets.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
+    whole = _sets(placed.select("set").distinct(), texts, classes)
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = placed.join(whole, "set").withColumn("other", other).withColumns(
+        {"low": F.least("block", "other"), "high": F.greatest("block", "other")}
+    )
+
+    def compare(rows: pa.Table) -> pa.Table:
+        ids = rows.column("set").to_pylist()
+        sets = [np.frombuffer(s, U) for s in rows.column("shingles").to_pylist()]
+        side = [b == h for b, h in zip(rows.column("block").to_pylist(), rows.column("high").to_pylist(), strict=True)]
+        pairs = linked(sets, rows.column("component").to_pylist(), side)
+        return pa.table({"a": pa.array([ids[a] for a, _ in pairs], pa.int64()), "b": pa.array([ids[b] for _, b in pairs], pa.int64())})
+
+    return dealt.groupBy("cluster", "low", "high").applyInArrow(compare, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id for each document: component_id is the
     least doc_id that can be reached by links, its own if there are none.
@@ -344,15 +442,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     counted = members.where("set <> centre").groupBy("set", "centre").agg(F.count("*").alias("n"))
     best = counted.groupBy("set").agg(F.max_by("centre", F.struct("n", "centre")).alias("b")).select(F.col("set").alias("a"), "b")
     edges = written(_verified(written(best, "best"), texts, classes), "edges-1")
-    labels = components(edges)
-    rest = written(_rest(members, labels, classes), "rest")
-    if rest.take(1):
-        edges = edges.union(written(_verified(rest, texts, classes), "edges-2"))
-        labels = components(edges)
+    labels = _labels(edges)
+    left, asking = _open(members, labels, classes)
+    more = written(_verified(written(_small(left, asking), "small"), texts, classes), "edges-2")
+    most = written(_large(left, asking, texts, classes), "edges-3")
+    labels = components(edges.union(more).union(most))
 
     named = classes.join(labels, F.col("set") == F.col("node"), "left").withColumn("label", F.coalesce("label", "set"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     final = written(named.select("set", "n", "label").join(least, "label").select("set", "n", "component_id"), "final")
     return known.join(final, ["set", "n"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
     )
