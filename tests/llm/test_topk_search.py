@@ -1,0 +1,76 @@
+"""The best inner products against all of them."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from shelfwise.llm import topk_search
+
+
+def direct(rows, k, scale=64):
+    usable = {}
+    for i, v in rows:
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
+            usable.setdefault(i, []).append([math.floor(scale * x) for x in v])
+    found = []
+    for q, own in usable.items():
+        if q % 20 == 0:
+            scores = [(-sum(a * b for a, b in zip(own[0], v)), i) for i, vectors in usable.items() for v in vectors if i != q]
+            found += [(q, r + 1, i, -s) for r, (s, i) in enumerate(sorted(scores)[:k])]
+    return sorted(found)
+
+
+def sample(n, dim):
+    source = random.Random(n)
+    centres = [[source.uniform(-0.5, 0.5) for _ in range(dim)] for _ in range(5)]
+    rows = [(i, [c + source.gauss(0, 0.1) for c in source.choice(centres)]) for i in range(n)]
+    rows += [(n + i, rows[7][1]) for i in range(60)]  # ties
+    rows += [(200000, [0.0] * dim), (200001, None), (200020, [None] + [0.1] * (dim - 1)), (200040, [math.nan] * dim)]
+    rows += [(200060, [math.inf] + [0.0] * (dim - 1)), (None, [0.3] * dim), (200080, []), (200100, [0.5, -0.5])]
+    return rows + [rows[3], rows[4]]
+
+
+@pytest.mark.parametrize("chunk, ranges", [(topk_search.CHUNK_ROWS, topk_search.RANGE_ROWS), (10, 100)])
+def test_all_best_are_found(spark, monkeypatch, chunk, ranges):
+    monkeypatch.setattr(topk_search, "CHUNK_ROWS", chunk)
+    monkeypatch.setattr(topk_search, "RANGE_ROWS", ranges)
+    monkeypatch.setattr(topk_search, "BLOCK_ROWS", 32)
+    rows = sample(400, 6)
+    frame = spark.createDataFrame([(i, v, "x", 1.0) for i, v in rows], "vec_id long, embedding array<float>, PIVOT string, score double")
+    single = [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows]
+    found = topk_search.top_k(frame.repartition(3), F.col("vec_id") % 20 == 0, k=20)
+    assert found.columns == ["query_id", "rank", "vec_id", "score"]
+    assert sorted(map(tuple, found.collect())) == direct(single, 20)
+
+
+def test_fewer_rows_than_asked_for(spark):
+    frame = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (2, [-1.0])], "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, topk_search.top_k(frame, F.col("vec_id") == 0).collect())) == [(0, 1, 1, 64 * 128), (0, 2, 2, -64 * 64)]
+
+
+def test_nothing_to_search(spark):
+    frame = spark.createDataFrame([(1, None)], "vec_id long, embedding array<double>")
+    assert topk_search.top_k(frame, F.lit(True)).count() == 0
+    assert topk_search.top_k(frame.where("false"), F.lit(True)).count() == 0
+
+
+def test_large_numbers_are_exact():
+    a = np.array([[2**40 + 1, 3]])
+    assert topk_search.product(a, np.array([[2**20 + 1, -1]])).tolist() == [[(2**40 + 1) * (2**20 + 1) - 3]]
+    with pytest.raises(OverflowError):
+        topk_search.product(a, a)
+
+
+def test_blocks_below_the_kth_score_are_not_scored(monkeypatch):
+    source = np.random.default_rng(1)
+    blocks = [(np.arange(100 * b, 100 * b + 100), source.integers(0, 10, (100, 4)) + 100 * (b == 3)) for b in range(10)]
+    query = np.array([[1, 2, 3, 4]])
+    high, low = (np.array([f(v, axis=0) for _, v in blocks]) for f in (np.max, np.min))
+    calls = []
+    plain = topk_search.product
+    monkeypatch.setattr(topk_search, "product", lambda a, b: calls.append(1) or plain(a, b))
+    best = topk_search.search(query, np.array([-1]), blocks, topk_search.bounds(query, high, low), 20)
+    assert len(calls) == 2 + 1 and len(best[0]) == 20 and all(300 <= i < 400 for _, i in best[0])
