@@ -103,8 +103,9 @@ def only(spans: Column, kind: str) -> Column:
 
 
 def _patterns(text: Column, span: Column) -> Column:
-    """The lexical patterns of a span: the word before it, the two words before,
-    and the words on both sides; digits are all alike."""
+    """The lexical patterns of a span: the two words before it, the words on both
+    sides, and the word before alone if it is a label, as in "phone:"; digits are
+    all alike. A plain word alone says too little."""
 
     def form(part: Column) -> Column:
         return F.regexp_replace(F.lower(part), "[0-9]", "0")
@@ -115,7 +116,7 @@ def _patterns(text: Column, span: Column) -> Column:
     one, two = F.regexp_extract(left, r"(\S+)$", 1), F.regexp_extract(left, r"(\S+\s+\S+)$", 1)
     after = F.regexp_extract(right, r"^\s*(\S+)", 1)
     found = F.array(
-        F.when(one != "", F.concat(F.lit("1 "), one)),
+        F.when(F.regexp_like(one, F.lit("[:=#]$")), F.concat(F.lit("1 "), one)),
         F.when(two != "", F.concat(F.lit("2 "), F.regexp_replace(two, r"\s+", " "))),
         F.when((one != "") & (after != ""), F.concat(F.lit("b "), one, F.lit(" "), after)),
     )
