@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from shelfwise.session import scratch_dir
 
 SPLIT_COLUMNS = ["_file", "_block"]
-LARGEST_BROADCAST = 1_000_000  # blocks; a row is a path and three numbers
 
 
 def with_split(scan: DataFrame) -> DataFrame:
@@ -24,32 +23,28 @@ def source_ordinal(scan: DataFrame, name: str = "_ordinal") -> DataFrame:
     """0-based position of each row over all files, in path order.
 
     Takes a frame from `with_split` that nothing but projections and filters
-    separates from the files. A first job counts the rows of each block and
-    writes the position of every block's first row, a table with one row per
-    block. The rows then get their place within the block from the scan itself
-    and the block's start from that table, so they are not shuffled as long as
-    the table, whose size is known by then, may be broadcast.
+    separates from the files. How a scan is cut into splits can change from plan
+    to plan, so the rows are written once, with the file and block each was read
+    from and its position in that one scan; everything else follows from this
+    table. Rows per block give each block's start, and the blocks of a scan
+    partition, few as they are, meet its rows by the partition's number. A row
+    that finds no start is an error.
     """
-    spark = scan.sparkSession
-    located = scan.withColumn("_position", F.monotonically_increasing_id())
-    blocks = located.groupBy(*SPLIT_COLUMNS).agg(
-        F.count("*").alias("_rows"), F.min("_position").alias("_first")
-    )
+    path = f"{scratch_dir(scan.sparkSession)}/rows"
+    scan.withColumn("_position", F.monotonically_increasing_id()).write.parquet(path)
+    rows = scan.sparkSession.read.parquet(path)
+    partition = F.shiftright("_position", 33).cast("int")
+    blocks = rows.groupBy(*SPLIT_COLUMNS).agg(F.count("*").alias("_rows"), F.min("_position").alias("_first"))
     earlier = Window.orderBy(*SPLIT_COLUMNS).rowsBetween(Window.unboundedPreceding, -1)
-    starts = blocks.select(
-        *SPLIT_COLUMNS, "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start")
-    )
-    path = f"{scratch_dir(spark)}/block_starts"
-    starts.write.parquet(path)
-    starts = spark.read.parquet(path)
-    if starts.count() <= LARGEST_BROADCAST:
-        starts = F.broadcast(starts)
-    ordinal = F.col("_start") + F.col("_position") - F.col("_first")
-    return (
-        located.join(starts, SPLIT_COLUMNS)
-        .withColumn(name, ordinal)
-        .drop("_position", "_first", "_start", *SPLIT_COLUMNS)
+    starts = blocks.select("_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
+    of_partition = starts.withColumn("_partition", F.shiftright("_first", 33).cast("int")).groupBy("_partition").agg(
+        F.array_sort(F.collect_list(F.struct("_first", "_start"))).alias("_blocks")
     )
+    own = F.element_at(F.filter("_blocks", lambda b: b["_first"] <= F.col("_position")), -1)
+    missing = F.raise_error(F.concat(F.lit("no start for the row at position "), F.col("_position").cast("string")))
+    ordinal = F.coalesce(own["_start"] + F.col("_position") - own["_first"], missing.cast("bigint"))
+    numbered = rows.drop(*SPLIT_COLUMNS).withColumn("_partition", partition).join(of_partition, "_partition", "left")
+    return numbered.withColumn(name, ordinal).drop("_partition", "_position", "_blocks")
 
 
 def micro_batches(scan: DataFrame, batch_rows: int, first_ordinal: int = 0) -> DataFrame:

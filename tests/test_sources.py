@@ -200,3 +200,32 @@ def test_utc_now(spark, zone):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert abs((datetime.now(timezone.utc).replace(tzinfo=None) - now).total_seconds()) < 60
+
+
+@pytest.mark.parametrize("before, after", [(4, 16), (16, 4), (2, 3)])
+def test_numbers_do_not_depend_on_how_a_scan_is_cut(spark, tmp_path, before, after):
+    """Splits planned differently between the call and the action."""
+    path = tmp_path / "long.csv"
+    path.write_text("n,pad\n" + "".join(f"{i},{'x' * 50}\n" for i in range(8000)))
+    spark.conf.set("spark.sql.files.openCostInBytes", 1000)
+    try:
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", before)
+        numbered = source_ordinal(with_split(scan_listing_csv(spark, str(path))))
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", after)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", 30_000 * after)
+        got = numbered.collect()
+    finally:
+        for name in ("leafNodeDefaultParallelism", "files.maxPartitionBytes", "files.openCostInBytes"):
+            spark.conf.unset(f"spark.sql.{name}")
+    assert sorted((r._ordinal, int(r.n)) for r in got) == [(i, i) for i in range(8000)]
+
+
+def test_several_csv_files_are_numbered_in_path_order(spark, tmp_path):
+    expected = 0
+    for part, size in enumerate([300, 5, 900]):
+        lines = "".join(f"{i},{'x' * 30}\n" for i in range(expected, expected + size))
+        (tmp_path / f"part-{part}.csv").write_text("n,pad\n" + lines)
+        expected += size
+    got = source_ordinal(with_split(scan_listing_csv(spark, str(tmp_path)))).collect()
+    assert sorted((r._ordinal, int(r.n)) for r in got) == [(i, i) for i in range(expected)]
+
