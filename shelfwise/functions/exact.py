@@ -1,7 +1,9 @@
 """Order-independent sums, averages and shares.
 
 A sum of doubles depends on the order in which partitions arrive, so a rounded
-report could change from run to run. Summing decimals does not.
+report could change from run to run. Here a double stands for its shortest
+decimal notation, the one it is printed with; whole parts and fractions of these
+are summed apart, as wide decimals, and the result is rounded once.
 """
 
 from __future__ import annotations
@@ -10,33 +12,53 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-_EXACT = "decimal(18,6)"
 _COUNT = "decimal(20,0)"
+#: Fractions are summed to 25 digits: all that doubles of 1e-9 and more have.
+_FINE = "decimal(36,25)"
+#: From 1e10 on, a double has at most 7 digits after the point.
+_COARSE = "decimal(36,7)"
+_COARSE_FROM = 1e10
+#: Decimal sums hold a billion doubles of this size; larger ones, infinities and
+#: NaN are left to double arithmetic.
+_LARGEST = 1e28
 
 
-def _either(name: str, exact: Column, plain: Column) -> Column:
-    """`exact` if every value of the column fits a decimal, else `plain`."""
-    value = F.col(name)
-    fits = F.count(value.try_cast(_EXACT)) == F.count(value)
-    return F.when(fits, exact.cast("double")).otherwise(plain)
+def _parts(name: str) -> tuple[Column, Column, Column]:
+    """Sum of the whole parts (rounded down), sum of what they leave, and whether
+    every value took part."""
+    value = F.col(name).cast("double")
+    size = F.abs(value)
+    fine = F.when(size < F.lit(_COARSE_FROM), value).try_cast(_FINE)
+    coarse = F.when((size >= F.lit(_COARSE_FROM)) & (size < F.lit(_LARGEST)), value).try_cast(_COARSE)
+    whole = F.coalesce(F.floor(fine).cast("decimal(28,0)"), F.floor(coarse).cast("decimal(28,0)"))
+    left = F.coalesce((fine - F.floor(fine)).cast("decimal(26,25)"), (coarse - F.floor(coarse)).cast("decimal(26,25)"))
+    return F.sum(whole), F.sum(left), F.count_if(~(size < F.lit(_LARGEST))) == 0
+
+
+def _divided(whole: Column, left: Column, n: Column, digits: int) -> Column:
+    """(whole + left) / n, rounded half away from zero, as a double."""
+    power = F.lit(10**digits).cast("decimal(7,0)")
+    carry = F.floor(left)
+    total = (whole + carry).cast("decimal(38,0)")
+    part = F.pmod(total, n).cast("decimal(11,0)")
+    quotient = ((total - part) / n).cast("decimal(30,0)")
+    units = (part + (left - carry).cast("decimal(25,24)")) * power / n
+    half = F.lit("0.5").cast("decimal(2,1)")
+    nearest = F.when(total < 0, F.ceil(units - half)).otherwise(F.floor(units + half))
+    rounded = (quotient * power).cast("decimal(38,0)") + nearest.cast("decimal(18,0)")
+    return (rounded.cast("decimal(38,0)") / power).cast("double")
 
 
 def exact_avg(name: str, digits: int) -> Column:
-    value = F.col(name)
-    return _either(
-        name,
-        F.round(F.avg(value.try_cast(_EXACT)), digits),
-        F.round(F.avg(value.cast("double")), digits),
-    )
+    whole, left, fits = _parts(name)
+    exact = _divided(whole, left, F.count(name).cast("decimal(11,0)"), digits)
+    return F.when(fits, exact).otherwise(F.round(F.avg(F.col(name).cast("double")), digits))
 
 
 def exact_sum(name: str, digits: int) -> Column:
-    value = F.col(name)
-    return _either(
-        name,
-        F.round(F.sum(value.try_cast(_EXACT)), digits),
-        F.round(F.sum(value.cast("double")), digits),
-    )
+    whole, left, fits = _parts(name)
+    exact = _divided(whole, left, F.lit(1).cast("decimal(11,0)"), digits)
+    return F.when(fits, exact).otherwise(F.round(F.sum(F.col(name).cast("double")), digits))
 
 
 def percent(part: Column, whole: Column, digits: int = 1) -> Column:

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+from fractions import Fraction
 
 import pandas as pd
 import pytest
@@ -55,9 +56,22 @@ def test_texts_like_pandas(spark):
 
 IDENTIFIERS = {
     "12": 12, "12.0": 12, "1.2e1": 12, " 12 ": 12, "-3": -3, "9007199254740993": 9007199254740993,
-    "12.5": None, "x": None, "inf": None, "1e300": None, "99999999999999999999": None, None: None,
+    "9007199254740994.0": 9007199254740994, "12.5": None, "x": None, "inf": None, "1e300": None,
+    "99999999999999999999": None, None: None,
 }
 
+NUMBER_KEYS = {
+    "12": "12", "12.0": "12", "1.2e1": "12", " +012.00\t": "12", "120e-1": "12", "-3": "-3", "-0.0": "0", "0e9": "0",
+    "1.5": "15e-1", "2.5": "25e-1", ".5": "5e-1", "5.": "5", "1e3": "1000", "1e300": "1e300", "-1e-7": "-1e-7",
+    "99999999999999999999": "99999999999999999999", "88888888888888888888": "88888888888888888888",
+    "9007199254740994.0": "9007199254740994", "9007199254740993": "9007199254740993", "inf": "inf", "-Infinity": "-inf",
+    "1e9999999999": None, "x": None, "": None, "1,000": None, "1d": None, None: None,
+}
+
+
+def test_number_keys(spark):
+    assert apply(spark, text.number_key, list(NUMBER_KEYS)) == list(NUMBER_KEYS.values())
+
 
 def test_identifiers(spark):
     assert apply(spark, text.to_identifier, list(IDENTIFIERS)) == list(IDENTIFIERS.values())
@@ -152,3 +166,38 @@ def test_percent(spark):
     rows = spark.createDataFrame([(1, 3), (1, 8), (0, 0)], "a long, b long").coalesce(1)
     got = [r[0] for r in rows.select(exact.percent(F.col("a"), F.col("b"))).collect()]
     assert got == [33.3, 12.5, None]
+
+
+def fraction_of(value):
+    return Fraction(repr(value))
+
+
+def rounded(value, digits):
+    scaled = abs(value) * 10**digits
+    units = int(scaled + Fraction(1, 2))
+    return float(Fraction(units if value >= 0 else -units, 10**digits))
+
+
+EXACT_SETS = [
+    [0.0049999999] * 3, [4e-7] * 5000, [1e12, 0.01, 0.02], [1e15 + 0.5, -1e15, 0.125], [0.125, 0.125], [-0.125], [-0.3, 5.0],
+    [0.1] * 10, [2.675], [1.005, 1.005], [1e22, 1.5, -1e22], [123456789012.34, 0.01], [-2.5, -0.05], [1e-9, 2e-9], [0.0], [7.0, None],
+]
+
+
+@pytest.mark.parametrize("digits", [0, 1, 2, 6])
+def test_sums_and_averages_are_rounded_once(spark, digits):
+    rng = random.Random(digits)
+    sets = EXACT_SETS + [[rng.choice([-1, 1]) * round(rng.uniform(0, 10 ** rng.randrange(12)), rng.randrange(9)) for _ in range(50)] for _ in range(20)]
+    rows = [(i, v) for i, own in enumerate(sets) for v in own]
+    rng.shuffle(rows)
+    frame = spark.createDataFrame(rows, "i int, v double").repartition(3)
+    got = frame.groupBy("i").agg(exact.exact_avg("v", digits).alias("a"), exact.exact_sum("v", digits).alias("s"))
+    for r in got.collect():
+        own = [fraction_of(v) for v in sets[r.i] if v is not None]
+        assert (r.a, r.s) == (rounded(sum(own) / len(own), digits), rounded(sum(own), digits)), sets[r.i][:5]
+
+
+def test_sums_of_nothing_and_of_infinities(spark):
+    frame = spark.createDataFrame([(1, None), (2, math.inf), (2, 1.0), (3, 1e300), (3, 1e300)], "i int, v double")
+    got = frame.groupBy("i").agg(exact.exact_avg("v", 2).alias("a"), exact.exact_sum("v", 2).alias("s")).orderBy("i").collect()
+    assert [tuple(r) for r in got] == [(1, None, None), (2, math.inf, math.inf), (3, 1e300, 2e300)]
