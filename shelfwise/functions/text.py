@@ -11,8 +11,6 @@ from shelfwise.schema import NA_TOKENS
 # take `1d`, `1f` and hexadecimal floats.
 _NUMBER = r"^\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\s*$"
 _INFINITY = r"^[+-]?(?i:inf(?:inity)?)$"
-_INTEGER = r"^\s*[+-]?\d+\s*$"
-_LARGEST_EXACT = float(2**53)
 
 
 def na_to_null(text: Column) -> Column:
@@ -27,13 +25,35 @@ def to_number(text: Column) -> Column:
     return F.when(text.rlike(_NUMBER), finite).when(text.rlike(_INFINITY), number)
 
 
+def number_key(text: Column) -> Column:
+    """One text for each number, however it is written: `12`, `12.0` and `1.2e1`
+    are `12`, `1.50` is `15e-1`. No digit is lost, so different numbers stay
+    apart; text that is no number is NULL."""
+    plain = F.trim(F.regexp_replace(text, r"\s", " "))
+    body = F.regexp_replace(plain, r"^[+-]", "")
+    part = [F.regexp_extract(body, r"^(\d*)\.?(\d*)(?:[eE]([+-]?\d+))?$", i) for i in (1, 2, 3)]
+    digits = F.ltrim(F.concat(part[0], part[1]), F.lit("0"))
+    short = F.rtrim(digits, F.lit("0"))
+    power = F.coalesce(F.nullif(part[2], F.lit("")).try_cast("int"), F.lit(0)) - F.length(part[1])
+    power = power + F.length(digits) - F.length(short)
+    sign = F.when(plain.startswith("-"), "-").otherwise("")
+    written = F.when((power >= 0) & (power <= 30), F.concat(sign, short, F.repeat(F.lit("0"), power))).otherwise(
+        F.concat(sign, short, F.lit("e"), power.cast("string"))
+    )
+    too_far = F.length(part[2]) > 9
+    number = F.when(short == "", "0").when(~too_far, written)
+    infinite = F.concat(F.when(text.startswith("-"), "-").otherwise(""), F.lit("inf"))
+    return F.when(text.rlike(_NUMBER), number).when(text.rlike(_INFINITY), infinite)
+
+
+def key_to_identifier(key: Column) -> Column:
+    """The BIGINT that a `number_key` names, NULL if it names none."""
+    return F.when(key.rlike(r"^-?\d+$"), key.try_cast("bigint"))
+
+
 def to_identifier(text: Column) -> Column:
     """Text as BIGINT; `12`, `12.0` and `1.2e1` agree, fractions give NULL."""
-    number = to_number(text)
-    whole = (number == F.floor(number)) & (F.abs(number) <= _LARGEST_EXACT)
-    return F.when(text.rlike(_INTEGER), text.try_cast("bigint")).otherwise(
-        F.when(whole, number.try_cast("bigint"))
-    )
+    return key_to_identifier(number_key(text))
 
 
 def parse_price(text: Column) -> Column:

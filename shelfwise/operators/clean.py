@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.config import ListingConfig
 from shelfwise.functions import listing, text
@@ -18,13 +19,12 @@ from shelfwise.schema import (
 
 
 def enforce_schema(raw: DataFrame) -> DataFrame:
-    """Numeric columns from text, unusable text to NULL. Other columns pass."""
-    return raw.withColumns(
-        {
-            "product_id": text.to_identifier(F.col("product_id").cast("string")),
-            **{c: text.to_number(F.col(c).cast("string")) for c in NUMERIC_COLUMNS},
-        }
-    )
+    """Numeric columns from text, unusable text to NULL. Other columns pass, as
+    does an identifier that is a number already."""
+    typed = {c: text.to_number(F.col(c).cast("string")) for c in NUMERIC_COLUMNS}
+    if not isinstance(raw.schema["product_id"].dataType, T.LongType):
+        typed["product_id"] = text.to_identifier(F.col("product_id").cast("string"))
+    return raw.withColumns(typed)
 
 
 def drop_metadata(df: DataFrame) -> DataFrame:
@@ -64,7 +64,10 @@ def fill_missing(typed: DataFrame, discount: float | None) -> DataFrame:
 
 
 def validate(df: DataFrame, conf: ListingConfig = ListingConfig()) -> DataFrame:
-    """Ratings limited to the configured range; missing ratings stay missing."""
-    return df.withColumn(
-        "rating", listing.clamp(F.col("rating"), conf.rating_min, conf.rating_max)
+    """Ratings limited to the configured range, and whether that changed them;
+    missing ratings stay missing."""
+    rating = F.col("rating")
+    outside = F.coalesce((rating < conf.rating_min) | (rating > conf.rating_max), F.lit(False))
+    return df.withColumns(
+        {"rating": listing.clamp(rating, conf.rating_min, conf.rating_max), "rating_clamped": outside}
     )

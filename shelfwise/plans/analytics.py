@@ -127,12 +127,12 @@ def discount_rating_corr(star: Star) -> DataFrame:
 
 def top_products(star: Star, k: int = 10) -> DataFrame:
     """The most popular products with a shortened title."""
-    best = _most_popular(star, k, "product_id")
+    best = _most_popular(star, k, "product_key")
     short = F.concat(F.substring("title", 1, _TITLE_CHARACTERS), F.lit("..."))
     return (
-        best.join(star.dim_product.select("product_id", "title"), "product_id")
+        best.join(star.dim_product.select("product_key", "title"), "product_key")
         .withColumn("short_title", short)
-        .orderBy(F.col("rating_x_count").desc_nulls_last(), "product_id")
+        .orderBy(F.col("rating_x_count").desc_nulls_last(), F.col("product_id").asc_nulls_last(), "product_key")
         .select(
             "title",
             "category_slug",

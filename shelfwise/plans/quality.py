@@ -13,8 +13,8 @@ from shelfwise.plans.warehouse import Star
 KEYS = {
     "dim_category": "category_slug",
     "dim_seller": "seller_name",
-    "dim_product": "product_id",
-    "fact_product_listing": "product_id",
+    "dim_product": "product_key",
+    "fact_product_listing": "product_key",
 }
 
 

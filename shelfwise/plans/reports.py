@@ -21,8 +21,9 @@ from shelfwise.plans.warehouse import Star
 from shelfwise.schema import PRICE_BUCKETS, RATING_TIERS, UNKNOWN_SELLER
 
 
-def _top(df: DataFrame, k: int, measure: str, tie_break: str) -> DataFrame:
-    return df.orderBy(F.col(measure).desc_nulls_last(), F.col(tie_break).asc_nulls_last()).limit(k)
+def _top(df: DataFrame, k: int, measure: str, *tie_breaks: str) -> DataFrame:
+    ties = [F.col(c).asc_nulls_last() for c in tie_breaks]
+    return df.orderBy(F.col(measure).desc_nulls_last(), *ties).limit(k)
 
 
 def executive_overview(star: Star) -> DataFrame:
@@ -31,7 +32,7 @@ def executive_overview(star: Star) -> DataFrame:
     Distinct products are counted by themselves: beside the other measures,
     every one of their buffers would be shuffled by product.
     """
-    skus = star.fact_product_listing.agg(F.count_distinct("product_id")).scalar()
+    skus = star.fact_product_listing.agg(F.count_distinct("product_key")).scalar()
     return star.fact_product_listing.agg(
         exact_avg("rating", 2).alias("avg_rating"),
         exact_avg("discount", 1).alias("avg_discount_pct"),
@@ -51,7 +52,7 @@ def category_performance(star: Star) -> DataFrame:
         star.fact_product_listing.where("category_slug is not null")
         .groupBy("category_slug")
         .agg(
-            F.count("product_id").alias("product_count"),
+            F.count("product_key").alias("product_count"),
             exact_avg("rating", 2).alias("avg_rating"),
             exact_avg("final_price", 2).alias("avg_price"),
             exact_sum("final_price", 2).alias("total_revenue_potential"),
@@ -102,7 +103,7 @@ def top_sellers(star: Star, k: int = 10) -> DataFrame:
         star.fact_product_listing.where(F.col("seller_name") != UNKNOWN_SELLER)
         .groupBy("seller_name")
         .agg(
-            F.count("product_id").alias("products_listed"),
+            F.count("product_key").alias("products_listed"),
             exact_avg("rating", 2).alias("avg_product_rating"),
             exact_avg("final_price", 2).alias("avg_price"),
             exact_sum("discount_amount", 2).alias("total_discount_given"),
@@ -138,17 +139,17 @@ def _most_popular(star: Star, k: int, *required: str) -> DataFrame:
     facts = star.fact_product_listing
     for key in required:
         facts = facts.where(F.col(key).isNotNull())
-    return _top(facts, k, "rating_x_count", "product_id")
+    return _top(facts, k, "rating_x_count", "product_id", "product_key")
 
 
 def top_products(star: Star, k: int = 20) -> DataFrame:
     """Products with the highest popularity score, with title and category."""
-    best = _most_popular(star, k, "product_id", "category_slug")
+    best = _most_popular(star, k, "product_key", "category_slug")
     return (
-        best.join(star.dim_product.select("product_id", "title"), "product_id")
+        best.join(star.dim_product.select("product_key", "title"), "product_key")
         .join(star.dim_category, "category_slug")
         .withColumnRenamed("rating_x_count", "popularity_score")
-        .orderBy(F.col("popularity_score").desc_nulls_last(), "product_id")
+        .orderBy(F.col("popularity_score").desc_nulls_last(), F.col("product_id").asc_nulls_last(), "product_key")
         .select(
             "product_id",
             "title",
@@ -201,9 +202,10 @@ def revenue_by_category(star: Star, k: int = 10) -> DataFrame:
 
 def product_sample(star: Star, k: int = 20) -> DataFrame:
     """The first k listings by identifier, with title."""
-    first = star.fact_product_listing.where("product_id is not null").orderBy("product_id").limit(k)
+    order = [F.col("product_id").asc_nulls_last(), F.col("product_key")]
+    first = star.fact_product_listing.where("product_key is not null").orderBy(*order).limit(k)
     return (
-        first.join(star.dim_product.select("product_id", "title"), "product_id")
-        .orderBy("product_id")
+        first.join(star.dim_product.select("product_key", "title"), "product_key")
+        .orderBy(*order)
         .select("product_id", "title", "category_slug", "rating", "final_price", "price_bucket")
     )

@@ -11,12 +11,19 @@ from shelfwise.config import ListingConfig
 from shelfwise.plans.quality import quality_check, require_quality
 from shelfwise.plans.transform import process
 from shelfwise.plans.warehouse import Star, read_star, write_star
-from shelfwise.schema import PROCESSED_SCHEMA
 from shelfwise.sources.batches import micro_batches, with_split
 from shelfwise.sources.csv import scan_listing_csv
-from shelfwise.sources.lake import append_to_lake, read_lake, utc_now
+from shelfwise.sources.lake import ingest_once, read_lake, utc_now
 
-PUBLISHED_SCHEMA = "run_id string"
+PUBLISHED_SCHEMA = "run_id string, published_at bigint"
+
+
+def source_id(spark: SparkSession, source: str) -> str:
+    """Names what a source holds by its files' paths, sizes and times of change."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
+    each = F.xxhash64("path", "length", F.unix_micros("modificationTime"))
+    total = F.sum(each.cast("decimal(20,0)"))
+    return files.agg(F.concat_ws("-", F.count("*"), F.sum("length"), total)).first()[0]
 
 
 def ingest_csv(
@@ -25,11 +32,16 @@ def ingest_csv(
     lake: str,
     conf: ListingConfig = ListingConfig(),
     multi_line: bool | None = None,
-) -> None:
-    """Appends a CSV source to the raw lake in numbered micro-batches."""
+    ingest_id: str | None = None,
+) -> bool:
+    """Adds a CSV source to the raw lake in numbered micro-batches, once.
+
+    A repeated ingest of the same id, by default that of the source's files,
+    changes nothing; says whether rows were added.
+    """
     rows = with_split(scan_listing_csv(spark, source, multi_line))
     stamped = micro_batches(rows, conf.batch_rows).withColumn("_ingested_at", utc_now())
-    append_to_lake(stamped, lake, many_hours=False)
+    return ingest_once(stamped, lake, ingest_id or source_id(spark, source))
 
 
 def load(
@@ -49,19 +61,22 @@ def load(
     run, so they see all tables change at once, and never a run that failed.
     """
     target = f"{warehouse}/runs/{run_id}"
-    process(raw, conf, newest).write.mode("overwrite").parquet(f"{target}/processed")
-    write_star(spark.read.schema(PROCESSED_SCHEMA).parquet(f"{target}/processed"), target)
+    processed = process(raw, conf, newest)
+    processed.write.mode("overwrite").parquet(f"{target}/processed")
+    write_star(spark.read.schema(processed.schema).parquet(f"{target}/processed"), target)
     star = read_star(spark, target)
     require_quality(quality_check(star, conf))
-    published = spark.range(1).select(F.lit(run_id).alias("run_id"))
+    now = F.unix_micros(F.current_timestamp())
+    published = spark.range(1).select(F.lit(run_id).alias("run_id"), now.alias("published_at"))
     published.write.mode("append").parquet(f"{warehouse}/published")
     return star
 
 
 def published_star(spark: SparkSession, warehouse: str) -> Star:
-    """The star schema of the last published run."""
+    """The star schema of the run that was published last."""
     runs = spark.read.schema(PUBLISHED_SCHEMA).parquet(f"{warehouse}/published")
-    return read_star(spark, f"{warehouse}/runs/{runs.agg(F.max('run_id')).first()[0]}")
+    last = runs.agg(F.max_by("run_id", F.struct("published_at", "run_id"))).first()[0]
+    return read_star(spark, f"{warehouse}/runs/{last}")
 
 
 def run(

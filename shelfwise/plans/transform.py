@@ -17,13 +17,19 @@ from shelfwise.operators.clean import (
 )
 from shelfwise.operators.dedup import keep_latest
 from shelfwise.operators.features import add_features
-from shelfwise.schema import ORDER_COLUMNS, PROCESSED_SCHEMA
+from shelfwise.schema import PROCESSED_SCHEMA
+
+
+def identified(raw: DataFrame) -> DataFrame:
+    """Adds `product_key`, which tells products apart, and makes the identifier a
+    number where it is one."""
+    keyed = raw.withColumn("product_key", text.number_key(F.col("product_id").cast("string")))
+    return keyed.withColumn("product_id", text.key_to_identifier(F.col("product_key")))
 
 
 def latest_versions(raw: DataFrame) -> DataFrame:
-    """The newest raw row of each product, identifiers as numbers."""
-    identified = raw.withColumn("product_id", text.to_identifier(F.col("product_id").cast("string")))
-    return keep_latest(identified)
+    """The newest raw row of each product, identified."""
+    return keep_latest(identified(raw), "product_key")
 
 
 def process(
@@ -41,6 +47,8 @@ def process(
     discount = discount_fill_value(raw, conf)
     if newest is None:
         newest = latest_versions(raw)
+    elif "product_key" not in newest.columns:
+        newest = identified(newest)
     cleaned = (
         newest.transform(enforce_schema)
         .transform(drop_metadata)
@@ -55,24 +63,16 @@ def process(
     return cleaned.select(*typed, *surplus)
 
 
-def step_counters(
-    raw: DataFrame, processed: DataFrame, conf: ListingConfig = ListingConfig()
-) -> DataFrame:
+def step_counters(raw: DataFrame, processed: DataFrame) -> DataFrame:
     """Rows read, duplicates removed, ratings clamped, rows written.
 
     Counted from the tables, since running counters of a task that is repeated
     after a lost executor would count its rows twice.
     """
-    order = [c for c in ORDER_COLUMNS if c in raw.columns]
-    rating = text.to_number(F.col("rating").cast("string"))
     read = raw.agg(F.count("*").alias("raw_rows"))
-    clamped = latest_versions(raw.select("product_id", "rating", *order)).agg(
-        F.count_if((rating < conf.rating_min) | (rating > conf.rating_max)).alias("ratings_clamped")
+    written = processed.agg(
+        F.count_if("rating_clamped").alias("ratings_clamped"), F.count("*").alias("output_rows")
     )
-    written = processed.agg(F.count("*").alias("output_rows"))
-    return raw.sparkSession.range(1).select(
-        read.scalar().alias("raw_rows"),
-        (read.scalar() - written.scalar()).alias("duplicates_removed"),
-        clamped.scalar().alias("ratings_clamped"),
-        written.scalar().alias("output_rows"),
+    return written.select(read.scalar().alias("raw_rows"), "ratings_clamped", "output_rows").select(
+        "raw_rows", (F.col("raw_rows") - F.col("output_rows")).alias("duplicates_removed"), "ratings_clamped", "output_rows"
     )

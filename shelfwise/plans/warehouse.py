@@ -41,8 +41,9 @@ def dim_category(processed: DataFrame) -> DataFrame:
     Pairs of slug and name are collapsed first, by hash and before the shuffle;
     the choice among a slug's names then sees few rows.
     """
-    names = processed.groupBy("category_slug", "category").agg(F.min("product_id").alias("first"))
-    order = F.struct(F.col("first").isNull(), F.col("first"), F.col("category"))
+    least = F.struct(F.col("product_id").isNull(), "product_id", F.col("product_key").isNull(), "product_key")
+    names = processed.groupBy("category_slug", "category").agg(F.min(least).alias("first"))
+    order = F.struct("first", "category")
     return names.groupBy("category_slug").agg(F.min_by("category", order).alias("category_name"))
 
 

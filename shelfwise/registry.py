@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise import staging
 from shelfwise.functions.sql import register_functions
-from shelfwise.functions.text import to_identifier
 from shelfwise.operators import clean
 from shelfwise.operators.features import add_features
 from shelfwise.operators.union import union_by_name
@@ -18,7 +18,7 @@ from shelfwise.schema import LAKE_SCHEMA, NA_TOKENS
 from shelfwise.session import scratch_dir
 from shelfwise.sources.batches import micro_batches, with_split
 from shelfwise.sources.csv import scan_listing_csv
-from shelfwise.sources.lake import hour_counts
+from shelfwise.sources.lake import append_to_lake, hour_counts, read_lake
 from shelfwise.streaming import jobs, messages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,31 @@ def ingest_partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hour_counts(staging.lake(spark, sf_dir).select("_ingested_at", "_batch_id"))
 
 
+def lake_since(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lake written with a directory per hour of arrival (here, the first of
+    the month), and read again from an hour on."""
+
+    def write(path: str) -> None:
+        month = F.date_trunc("month", F.col("_ingested_at")).cast("timestamp_ntz")
+        append_to_lake(staging.lake(spark, sf_dir).withColumn("_ingested_at", month), path)
+
+    path = staging.staged(spark, sf_dir, "hourly", write)
+    return hour_counts(read_lake(spark, path, since=datetime(1996, 5, 1, 0)))
+
+
+def star_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL over the registered tables."""
+    staging.star(spark, sf_dir).register()
+    return spark.sql(
+        """
+        SELECT c.category_name, count(DISTINCT f.seller_name) AS sellers, count(p.title) AS titles,
+               count_if(p.has_variations) AS with_variations
+        FROM fact_product_listing f JOIN dim_product p USING (product_key) JOIN dim_category c USING (category_slug)
+        GROUP BY c.category_name
+        """
+    )
+
+
 def micro_batch_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     scan = with_split(spark.read.parquet(f"{sf_dir}/events.parquet"))
     return micro_batches(scan, 50).select("event_id", "event_type", "_row_id", "_batch_id")
@@ -90,9 +115,9 @@ def stream_dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = staging.lake_path(spark, sf_dir)
     out = scratch_dir(spark)
     rows = jobs.file_stream(spark, source, LAKE_SCHEMA)
-    identified = rows.withColumn("product_id", to_identifier(F.col("product_id")))
-    jobs.fold_latest(identified, f"{out}/latest", f"{out}/checkpoint").awaitTermination()
-    return jobs.read_latest(spark, f"{out}/latest", identified.schema)
+    known = transform.identified(rows)
+    jobs.fold_latest(known, f"{out}/latest", f"{out}/checkpoint", "product_key").awaitTermination()
+    return jobs.read_latest(spark, f"{out}/latest", known.schema, "product_key")
 
 
 # --- cleaning steps ---------------------------------------------------------
@@ -194,6 +219,8 @@ def queries() -> dict[str, Query]:
         src_csv_na_normalize,
         src_union_by_name,
         ingest_partition_counts,
+        lake_since,
+        star_sql,
         micro_batch_assign,
         json_roundtrip,
         stream_replay,

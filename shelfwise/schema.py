@@ -30,7 +30,9 @@ RAW_COLUMNS = [
 
 # Arrival order of a row: the newest version of a product has the greatest key.
 ORDER_COLUMNS = ["_ingested_at", "_batch_id", "_row_id", "_source_file"]
-METADATA_COLUMNS = ORDER_COLUMNS + ["ingest_year", "ingest_month", "ingest_day", "ingest_hour"]
+# The attempt of a repeatable ingest that wrote a row.
+ATTEMPT = "_attempt"
+METADATA_COLUMNS = ORDER_COLUMNS + [ATTEMPT] + ["ingest_year", "ingest_month", "ingest_day", "ingest_hour"]
 
 RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS])
 
@@ -50,7 +52,10 @@ def _table(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
+# `product_key` tells products apart: one text for each number, exact at any
+# size. `product_id` is that number where it is a BIGINT.
 PROCESSED_SCHEMA = _table(
+    product_key=T.StringType(),
     product_id=T.LongType(),
     title=T.StringType(),
     category=T.StringType(),
@@ -74,17 +79,20 @@ PROCESSED_SCHEMA = _table(
     category_slug=T.StringType(),
     title_word_count=T.IntegerType(),
     rating_x_count=T.DoubleType(),
+    rating_clamped=T.BooleanType(),
 )
 
 DIM_CATEGORY_SCHEMA = _table(category_slug=T.StringType(), category_name=T.StringType())
 DIM_SELLER_SCHEMA = _table(seller_name=T.StringType())
 DIM_PRODUCT_SCHEMA = _table(
+    product_key=T.StringType(),
     product_id=T.LongType(),
     title=T.StringType(),
     currency=T.StringType(),
     has_variations=T.BooleanType(),
 )
 FACT_SCHEMA = _table(
+    product_key=T.StringType(),
     product_id=T.LongType(),
     category_slug=T.StringType(),
     seller_name=T.StringType(),

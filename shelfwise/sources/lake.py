@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.operators.union import union_by_name
-from shelfwise.schema import LAKE_SCHEMA, RAW_COLUMNS
+from shelfwise.schema import ATTEMPT, LAKE_SCHEMA, RAW_COLUMNS
 
 HOUR_COLUMNS = ["ingest_year", "ingest_month", "ingest_day", "ingest_hour"]
 
@@ -51,11 +53,11 @@ def append_to_lake(df: DataFrame, path: str, many_hours: bool = True) -> None:
 def read_lake(spark: SparkSession, *paths: str, since: datetime | None = None) -> DataFrame:
     """The rows of one or more lake directories, optionally from an hour on.
 
-    Directories of earlier hours are not read then.
+    Directories of earlier hours are not read then. Columns beyond the known
+    ones are read as the files have them. Rows of ingests that did not finish
+    are left out.
     """
-    hours = ", ".join(f"{c} INT" for c in HOUR_COLUMNS)
-    schema = f"{LAKE_SCHEMA.toDDL()}, {hours}"
-    rows = union_by_name([spark.read.schema(schema).parquet(path) for path in paths])
+    rows = union_by_name([_finished_rows(spark, path) for path in paths])
     if since is None:
         return rows
     reached = F.lit(True)
@@ -64,6 +66,49 @@ def read_lake(spark: SparkSession, *paths: str, since: datetime | None = None) -
     return rows.where(reached)
 
 
+def surplus_columns(spark: SparkSession, path: str) -> list[T.StructField]:
+    """Columns of a directory's files that the lake's schema does not name."""
+    known = {*LAKE_SCHEMA.fieldNames(), *HOUR_COLUMNS, ATTEMPT}
+    found = spark.read.option("mergeSchema", True).parquet(path).schema
+    return [f for f in found.fields if f.name not in known]
+
+
+def _finished_rows(spark: SparkSession, path: str) -> DataFrame:
+    extra = T.StructType([*LAKE_SCHEMA.fields, *surplus_columns(spark, path), T.StructField(ATTEMPT, T.StringType())])
+    hours = ", ".join(f"{c} INT" for c in HOUR_COLUMNS)
+    rows = spark.read.schema(f"{extra.toDDL()}, {hours}").parquet(path)
+    if not _exists(spark, ingests_path(path)):
+        return rows.where(F.col(ATTEMPT).isNull()).drop(ATTEMPT)
+    finished = read_ingests(spark, path).select(ATTEMPT).distinct()
+    return rows.join(finished.withColumn("_done", F.lit(True)), ATTEMPT, "left").where(
+        F.col(ATTEMPT).isNull() | F.col("_done")
+    ).drop("_done", ATTEMPT)
+
+
+def ingests_path(lake: str) -> str:
+    """Where the finished ingests of a lake are noted, beside its directory."""
+    return f"{lake.rstrip('/')}_ingests"
+
+
+def read_ingests(spark: SparkSession, lake: str) -> DataFrame:
+    return spark.read.schema(f"ingest_id STRING, {ATTEMPT} STRING").parquet(ingests_path(lake))
+
+
+def ingest_once(df: DataFrame, path: str, ingest_id: str) -> bool:
+    """Appends rows that arrive at one time, unless an ingest of this id has
+    finished; says whether it did. Rows carry the attempt that wrote them, and an
+    attempt counts once it is noted as finished, so what a failed one left behind
+    is never read."""
+    spark = df.sparkSession
+    if _exists(spark, ingests_path(path)) and read_ingests(spark, path).where(F.col("ingest_id") == ingest_id).take(1):
+        return False
+    attempt = uuid.uuid4().hex
+    append_to_lake(df.withColumn(ATTEMPT, F.lit(attempt)), path, many_hours=False)
+    note = spark.range(1).select(F.lit(ingest_id).alias("ingest_id"), F.lit(attempt).alias(ATTEMPT))
+    note.write.mode("append").parquet(ingests_path(path))
+    return True
+
+
 def written_by_stream(spark: SparkSession, path: str) -> bool:
     """Whether a streaming sink keeps the list of a directory's files."""
     return _exists(spark, f"{path}/_spark_metadata")

@@ -23,18 +23,30 @@ from shelfwise.sources.sample_feed import sample_feed
 SOURCES = ("lineitem", "part", "supplier")
 
 _paths: dict[tuple, str] = {}
+_states: dict[tuple, tuple] = {}
 _lock = threading.RLock()
 
 
 def source_state(spark: SparkSession, sf_dir: str) -> tuple:
-    """Number, size and newest change of the source files; no content is read."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load([f"{sf_dir}/{name}.parquet" for name in SOURCES])
-    )
-    state = files.agg(F.count("*"), F.sum("length"), F.max("modificationTime").cast("string"))
-    return tuple(state.first())
+    """Number, size and newest change of the source files; no content is read.
+
+    Looked up once per session and directory; `refresh` looks again.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _states:
+        files = (
+            spark.read.format("binaryFile")
+            .option("recursiveFileLookup", True)
+            .load([f"{sf_dir}/{name}.parquet" for name in SOURCES])
+        )
+        state = files.agg(F.count("*"), F.sum("length"), F.max("modificationTime").cast("string"))
+        _states[key] = tuple(state.first())
+    return _states[key]
+
+
+def refresh(spark: SparkSession, sf_dir: str) -> None:
+    """Makes the next query see whether the source files have changed."""
+    _states.pop((spark.sparkContext.applicationId, sf_dir), None)
 
 
 def staged(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], object]) -> str:

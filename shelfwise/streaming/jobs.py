@@ -25,7 +25,7 @@ _END = "position BIGINT"
 def file_stream(
     spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1000
 ) -> DataFrame:
-    """Parquet files below a path, oldest first."""
+    """Parquet files below a path, oldest first: by time of change, then path."""
     return (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", files_per_trigger)
@@ -57,6 +57,8 @@ def land(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 def replay(rows: DataFrame, path: str, checkpoint: str, batch_rows: int = 50) -> StreamingQuery:
     """Re-stamps a file stream in batches of `batch_rows` rows in source order.
 
+    Within a trigger, rows are numbered by path and place in the file; files that
+    a later trigger finds go on after all earlier ones, whatever their paths.
     Numbering goes on across micro-batches: each leaves its end position next
     to its output, and the following one starts there.
     """

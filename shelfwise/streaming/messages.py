@@ -6,6 +6,8 @@ Kafka itself needs Spark's connector package on the class path.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,12 +29,14 @@ def decode(messages: DataFrame, schema: T.StructType = LAKE_SCHEMA) -> DataFrame
     return messages.select(parsed.alias("record")).select("record.*")
 
 
-def from_topic(messages: DataFrame) -> DataFrame:
+def from_topic(messages: DataFrame, extra_columns: Sequence[str] = ()) -> DataFrame:
     """Listings of a topic's messages; their place in the topic orders them.
 
-    Partition and offset take the place of batch and row number.
+    Partition and offset take the place of batch and row number. A stream's
+    columns are fixed when it starts, so further ones are named by the caller.
     """
-    parsed = F.from_json(F.col("value").cast("string"), RAW_SCHEMA)
+    schema = T.StructType([*RAW_SCHEMA.fields, *[T.StructField(c, T.StringType()) for c in extra_columns]])
+    parsed = F.from_json(F.col("value").cast("string"), schema)
     return messages.select(
         parsed.alias("record"),
         F.col("partition").cast("bigint").alias("_batch_id"),
@@ -40,7 +44,9 @@ def from_topic(messages: DataFrame) -> DataFrame:
     ).select("record.*", "_batch_id", "_row_id")
 
 
-def kafka_source(spark: SparkSession, conf: ListingConfig = ListingConfig()) -> DataFrame:
+def kafka_source(
+    spark: SparkSession, conf: ListingConfig = ListingConfig(), extra_columns: Sequence[str] = ()
+) -> DataFrame:
     """A topic as a stream of listings, for `jobs.land` or `jobs.fold_latest`."""
     messages = (
         spark.readStream.format("kafka")
@@ -49,7 +55,7 @@ def kafka_source(spark: SparkSession, conf: ListingConfig = ListingConfig()) ->
         .option("startingOffsets", conf.kafka_starting_offsets)
         .load()
     )
-    return from_topic(messages)
+    return from_topic(messages, extra_columns)
 
 
 def kafka_sink(rows: DataFrame, checkpoint: str, conf: ListingConfig = ListingConfig()) -> StreamingQuery:
@@ -59,5 +65,6 @@ def kafka_sink(rows: DataFrame, checkpoint: str, conf: ListingConfig = ListingCo
         .option("kafka.bootstrap.servers", conf.kafka_servers)
         .option("topic", conf.kafka_topic)
         .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
         .start()
     )

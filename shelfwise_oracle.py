@@ -104,7 +104,8 @@ CLAMP = "CASE WHEN rating < 0 THEN 0.0 WHEN rating > 5 THEN 5.0 ELSE rating END"
 
 PROCESSED = f"""
 processed AS (
-  SELECT * EXCLUDE (_ingested_at, _batch_id, _row_id) REPLACE ({CLAMP} AS rating) FROM latest
+  SELECT CAST(product_id AS VARCHAR) AS product_key, * EXCLUDE (_ingested_at, _batch_id, _row_id) REPLACE ({CLAMP} AS rating),
+    coalesce(rating < 0 OR rating > 5, false) AS rating_clamped FROM latest
 )"""
 
 CATEGORY = """
@@ -136,19 +137,21 @@ def _star(select: str) -> str:
 
 
 def _units(column: str) -> str:
-    return f"CAST(round({column} * 1000000) AS HUGEINT)"
+    """The sum of the values' decimal notations, in units of 10^-15."""
+    total = f"SUM(CAST(CAST({column} AS VARCHAR) AS DECIMAL(38,15)))"
+    return f"CAST(replace(CAST({total} AS VARCHAR), '.', '') AS HUGEINT)"
 
 
 def _avg(column: str, digits: int) -> str:
     """Average of a non-negative column, rounded half up in whole numbers."""
-    q = 10 ** (6 - digits)
-    total, n = f"SUM({_units(column)})", f"COUNT({column})"
+    q = 10 ** (15 - digits)
+    total, n = _units(column), f"COUNT({column})"
     return f"CASE WHEN {n} > 0 THEN CAST((2 * {total} + {q} * {n}) // (2 * {q} * {n}) AS DOUBLE) / {10**digits} END"
 
 
 def _sum(column: str, digits: int) -> str:
-    q = 10 ** (6 - digits)
-    return f"CAST((2 * SUM({_units(column)}) + {q}) // (2 * {q}) AS DOUBLE) / {10**digits}"
+    q = 10 ** (15 - digits)
+    return f"CAST((2 * {_units(column)} + {q}) // (2 * {q}) AS DOUBLE) / {10**digits}"
 
 
 def _share(part: str, whole: str) -> str:
@@ -160,7 +163,7 @@ DISCOUNTED = "COUNT(*) FILTER (WHERE is_discounted)"
 KNOWN = "COUNT(*) FILTER (WHERE has_seller)"
 TOTAL = "SUM(COUNT(*)) OVER ()"
 
-FACT_COLUMNS = """product_id, category_slug, seller_name, initial_price, final_price, discount,
+FACT_COLUMNS = """product_key, product_id, category_slug, seller_name, initial_price, final_price, discount,
   discount_amount, is_discounted, price_bucket, rating, ratings_count, ratings_tier,
   rating_x_count, title_word_count, has_seller"""
 
@@ -206,6 +209,14 @@ SELECT CAST(year(_ingested_at) AS INTEGER) AS ingest_year, CAST(month(_ingested_
   CAST(day(_ingested_at) AS INTEGER) AS ingest_day, CAST(hour(_ingested_at) AS INTEGER) AS ingest_hour,
   COUNT(*) AS rows, COUNT(DISTINCT _batch_id) AS batches
 FROM feed GROUP BY 1, 2, 3, 4 ORDER BY 1, 2, 3, 4"""),
+    "lake_since": _raw("""
+SELECT CAST(year(_ingested_at) AS INTEGER) AS ingest_year, CAST(month(_ingested_at) AS INTEGER) AS ingest_month,
+  1 AS ingest_day, 0 AS ingest_hour, COUNT(*) AS rows, COUNT(DISTINCT _batch_id) AS batches
+FROM feed WHERE _ingested_at >= TIMESTAMP '1996-05-01' GROUP BY 1, 2 ORDER BY 1, 2"""),
+    "star_sql": _star("""
+SELECT category_name, COUNT(DISTINCT seller_name) AS sellers, COUNT(title) AS titles,
+  COUNT(*) FILTER (WHERE has_variations) AS with_variations
+FROM processed JOIN category USING (category_slug) GROUP BY 1"""),
     "micro_batch_assign": """
 SELECT event_id, event_type, row_number() OVER (ORDER BY event_id) - 1 AS _row_id,
   (row_number() OVER (ORDER BY event_id) - 1) // 50 AS _batch_id
@@ -218,7 +229,7 @@ FROM events""",
     "stream_dedup_latest": _with(
         FEED,
         LATEST.format(source="feed"),
-        select="SELECT * REPLACE (CAST(product_id AS BIGINT) AS product_id) FROM latest",
+        select="SELECT product_id AS product_key, * REPLACE (CAST(product_id AS BIGINT) AS product_id) FROM latest",
     ),
     # ------------------------------------------------------- cleaning steps
     "enforce_schema": _raw(f"""
@@ -261,7 +272,7 @@ FROM priced""",
     "dedup_latest": _with(
         FEED,
         LATEST.format(source="feed"),
-        select="SELECT * REPLACE (CAST(product_id AS BIGINT) AS product_id) FROM latest",
+        select="SELECT product_id AS product_key, * REPLACE (CAST(product_id AS BIGINT) AS product_id) FROM latest",
     ),
     "step_counters": _with(
         FEED,
@@ -277,7 +288,7 @@ SELECT (SELECT COUNT(*) FROM feed) AS raw_rows,
     # ---------------------------------------------------------- star schema
     "dim_category": _star("SELECT * FROM category"),
     "dim_seller": _star("SELECT DISTINCT seller_name FROM processed"),
-    "dim_product": _star("SELECT product_id, title, currency, has_variations FROM processed"),
+    "dim_product": _star("SELECT product_key, product_id, title, currency, has_variations FROM processed"),
     "fact_product_listing": _star(f"SELECT {FACT_COLUMNS} FROM processed"),
     # -------------------------------------------------------------- reports
     "executive_overview": _star(f"""
@@ -418,13 +429,14 @@ FROM processed GROUP BY 1"""),
     COUNT(*) - COUNT(DISTINCT coalesce(category_slug, '')) AS repeated_keys,
     COUNT(*) FILTER (WHERE category_slug IS NULL) AS missing_keys FROM category
   UNION ALL
-  SELECT 'dim_seller', COUNT(DISTINCT seller_name), 0, COUNT(*) FILTER (WHERE seller_name IS NULL) FROM processed
+  SELECT 'dim_seller', COUNT(*), COUNT(*) - COUNT(DISTINCT coalesce(seller_name, '')),
+    COUNT(*) FILTER (WHERE seller_name IS NULL) FROM (SELECT DISTINCT seller_name FROM processed)
   UNION ALL
-  SELECT 'dim_product', COUNT(*), COUNT(*) - COUNT(DISTINCT coalesce(product_id, -1)),
-    COUNT(*) FILTER (WHERE product_id IS NULL) FROM processed
+  SELECT 'dim_product', COUNT(*), COUNT(*) - COUNT(DISTINCT coalesce(product_key, '')),
+    COUNT(*) FILTER (WHERE product_key IS NULL) FROM processed
   UNION ALL
-  SELECT 'fact_product_listing', COUNT(*), COUNT(*) - COUNT(DISTINCT coalesce(product_id, -1)),
-    COUNT(*) FILTER (WHERE product_id IS NULL) FROM processed)
+  SELECT 'fact_product_listing', COUNT(*), COUNT(*) - COUNT(DISTINCT coalesce(product_key, '')),
+    COUNT(*) FILTER (WHERE product_key IS NULL) FROM processed)
 SELECT table_name, 'row_count' AS check_name, row_count AS observed, row_count > 0 AS passed, true AS blocking
 FROM checks
 UNION ALL SELECT table_name, 'repeated_keys', repeated_keys, repeated_keys = 0, true FROM checks
@@ -436,6 +448,10 @@ UNION ALL SELECT 'fact_product_listing', 'negative_discounts', COUNT(*) FILTER (
 UNION ALL SELECT 'fact_product_listing', 'orphans_of_dim_category', COUNT(*), COUNT(*) = 0, true
   FROM processed p WHERE category_slug IS NOT NULL
     AND NOT EXISTS (SELECT 1 FROM category c WHERE c.category_slug = p.category_slug)
-UNION ALL SELECT 'fact_product_listing', 'orphans_of_dim_seller', 0, true, true
-UNION ALL SELECT 'fact_product_listing', 'orphans_of_dim_product', 0, true, true"""),
+UNION ALL SELECT 'fact_product_listing', 'orphans_of_dim_seller', COUNT(*), COUNT(*) = 0, true
+  FROM processed p WHERE seller_name IS NOT NULL
+    AND NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT seller_name FROM processed) s WHERE s.seller_name = p.seller_name)
+UNION ALL SELECT 'fact_product_listing', 'orphans_of_dim_product', COUNT(*), COUNT(*) = 0, true
+  FROM processed p WHERE product_key IS NOT NULL
+    AND NOT EXISTS (SELECT 1 FROM (SELECT product_key FROM processed) d WHERE d.product_key = p.product_key)"""),
 }

@@ -13,7 +13,7 @@ from shelfwise.operators.dedup import keep_latest
 from shelfwise.operators.features import add_features
 from shelfwise.operators.median import exact_median
 from shelfwise.operators.union import union_by_name
-from shelfwise.plans.transform import process, step_counters
+from shelfwise.plans.transform import identified, process, step_counters
 from shelfwise.schema import LAKE_SCHEMA, PROCESSED_SCHEMA, RAW_COLUMNS
 
 
@@ -143,9 +143,9 @@ def test_step_order_does_not_matter_for_row_wise_steps(spark):
     ]
     raw = raw_rows(spark, rows)
     everything = clean.fill_missing(
-        clean.clean_prices(clean.enforce_schema(raw)), clean.discount_fill_value(raw)
+        clean.clean_prices(clean.enforce_schema(identified(raw))), clean.discount_fill_value(raw)
     )
-    late = clean.validate(clean.drop_metadata(keep_latest(add_features(everything))))
+    late = clean.validate(clean.drop_metadata(keep_latest(add_features(everything), "product_key")))
     columns = PROCESSED_SCHEMA.fieldNames()
     assert sorted(process(raw).collect(), key=str) == sorted(late.select(*columns).collect(), key=str)
 

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
-from shelfwise import staging
+from shelfwise import registry, staging
 from shelfwise.plans import reports
 
 TINY = "/root/testdata/sf0.001"
@@ -13,7 +13,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_no_cross_join_and_no_python(spark, name):
     plan = plan_of(contract.queries()[name](spark, TINY))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "InPandas", "InArrow"):
@@ -72,4 +72,5 @@ def test_staged_tables_are_built_once_and_follow_their_source(spark, tmp_path):
     assert staging.lake_path(spark, str(source)) == first
     before = staging.lake(spark, str(source)).count()
     spark.read.parquet(f"{TINY}/lineitem.parquet").write.mode("append").parquet(f"{source}/lineitem.parquet")
+    staging.refresh(spark, str(source))
     assert staging.lake(spark, str(source)).count() == 2 * before

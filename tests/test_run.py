@@ -3,13 +3,15 @@
 import csv
 from datetime import datetime
 
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from shelfwise.plans import reports
 from shelfwise.plans.quality import QualityError
-from shelfwise.plans.run import load, published_star, run
-from shelfwise.schema import RAW_COLUMNS
-from shelfwise.sources.lake import read_lake
+from shelfwise.plans.run import ingest_csv, load, published_star, run
+from shelfwise.schema import ATTEMPT, RAW_COLUMNS
+from shelfwise.sources.lake import HOUR_COLUMNS, append_to_lake, read_lake
 
 
 def write_csv(path, rows):
@@ -20,6 +22,13 @@ def write_csv(path, rows):
     return str(path)
 
 
+def write_all(path, rows):
+    """With the columns that the rows have beyond the known ones."""
+    frame = pd.DataFrame(rows)
+    further = [c for c in frame.columns if c not in RAW_COLUMNS]
+    frame.reindex(columns=[*RAW_COLUMNS, *further]).to_csv(path, index=False)
+
+
 def listing(i, price="₹1,000.00", **more):
     return {"product_id": str(i), "title": f"item {i}", "category": "c", "final_price": price, "rating": "4", **more}
 
@@ -47,3 +56,57 @@ def test_failed_run_is_not_published(spark, tmp_path):
     with pytest.raises(QualityError):
         load(spark, read_lake(spark, lake).limit(0), warehouse, "20240102")
     assert published_star(spark, warehouse).fact_product_listing.count() == 1
+
+
+def test_an_ingest_repeated_changes_nothing(spark, tmp_path):
+    source, lake = str(tmp_path / "feed.csv"), str(tmp_path / "lake")
+    write_all(source, [listing(i, "10", discount=str(10 + i)) for i in range(8)])
+    assert ingest_csv(spark, source, lake)
+    before = read_lake(spark, lake).collect()
+    assert not ingest_csv(spark, source, lake)
+    assert sorted(read_lake(spark, lake).collect()) == sorted(before) and len(before) == 8
+    write_all(source, [listing(9, "10")])
+    assert ingest_csv(spark, source, lake)
+    assert read_lake(spark, lake).count() == 9
+
+
+def test_rows_of_an_unfinished_ingest_are_not_read(spark, tmp_path):
+    source, lake = str(tmp_path / "feed.csv"), str(tmp_path / "lake")
+    write_all(source, [listing(1, "10")])
+    assert ingest_csv(spark, source, lake, ingest_id="a")
+    left = read_lake(spark, lake).drop(*HOUR_COLUMNS).withColumn(ATTEMPT, F.lit("crashed"))
+    append_to_lake(left, lake)
+    assert read_lake(spark, lake).count() == 1
+
+
+def test_further_columns_reach_the_processed_table(spark, tmp_path):
+    source, lake, warehouse = (str(tmp_path / n) for n in ("feed.csv", "lake", "warehouse"))
+    write_all(source, [listing(1, "10", brand="acme"), listing(2, "20", brand=None)])
+    run(spark, source, lake, warehouse, now=datetime(2024, 1, 1))
+    rows = spark.read.parquet(f"{warehouse}/runs/*/processed").collect()
+    assert {(r.product_id, r.brand) for r in rows} == {(1, "acme"), (2, None)}
+
+
+NUMBERS = ["1", "2", "1.5", "2.5", "99999999999999999999", "88888888888888888888", "9007199254740994.0", "9007199254740996.0"]
+
+
+def test_every_number_is_a_product_of_its_own(spark, tmp_path):
+    source, lake, warehouse = (str(tmp_path / n) for n in ("feed.csv", "lake", "warehouse"))
+    feed = [{**listing(0, "10"), "product_id": p} for p in [*NUMBERS, "01.0", "x", "y", None]]
+    write_all(source, feed)
+    star = run(spark, source, lake, warehouse, now=datetime(2024, 1, 1))
+    for table in (star.fact_product_listing, star.dim_product):
+        assert table.count() == 9 and table.select("product_key").distinct().count() == 9
+        assert {r.product_id for r in table.collect()} == {1, 2, 9007199254740994, 9007199254740996, None}
+    assert reports.top_products(star).count() == 8
+
+
+def test_the_run_published_last_counts(spark, tmp_path):
+    source, lake, warehouse = (str(tmp_path / n) for n in ("feed.csv", "lake", "warehouse"))
+    write_all(source, [listing(1, "10")])
+    ingest_csv(spark, source, lake)
+    load(spark, read_lake(spark, lake), warehouse, "z-first")
+    write_all(source, [listing(2, "10")])
+    ingest_csv(spark, source, lake)
+    load(spark, read_lake(spark, lake), warehouse, "a-second")
+    assert published_star(spark, warehouse).fact_product_listing.count() == 2

@@ -6,8 +6,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.functions.text import to_identifier
-from shelfwise.plans.transform import latest_versions, process
+from shelfwise.plans.transform import identified, latest_versions, process
 from shelfwise.schema import LAKE_SCHEMA
 from shelfwise.sources import lake
 from shelfwise.streaming import jobs, messages
@@ -86,9 +85,9 @@ def test_fold_latest_is_the_batch_result(spark, tmp_path):
 
     def run():
         rows = jobs.file_stream(spark, source, LAKE_SCHEMA, files_per_trigger=2)
-        identified = rows.withColumn("product_id", to_identifier(F.col("product_id")))
-        jobs.fold_latest(identified, out, marks).awaitTermination()
-        return sorted(jobs.read_latest(spark, out, identified.schema).collect(), key=str)
+        known = identified(rows)
+        jobs.fold_latest(known, out, marks, "product_key").awaitTermination()
+        return sorted(jobs.read_latest(spark, out, known.schema, "product_key").collect(), key=str)
 
     def batch():
         return sorted(latest_versions(spark.read.schema(LAKE_SCHEMA).parquet(f"{source}/*")).collect(), key=str)
@@ -99,9 +98,9 @@ def test_fold_latest_is_the_batch_result(spark, tmp_path):
     assert got == batch()
     assert run() == got
 
-    identified = spark.read.schema(LAKE_SCHEMA).parquet(f"{source}/*").withColumn("product_id", F.lit(0).cast("long"))
+    schema = identified(spark.read.schema(LAKE_SCHEMA).parquet(f"{source}/*")).schema
     for _ in range(2):  # the second finds nothing to do
-        jobs.compact_latest(spark, out, identified.schema)
+        jobs.compact_latest(spark, out, schema, "product_key")
         assert run() == got
     for i, stamp in enumerate([("1", 4, "older than the snapshot"), ("2", 9, "newer"), ("3", 1, "first")]):
         raw_rows(spark, [dict(zip(["product_id", "_batch_id", "title"], stamp))]).coalesce(1).write.parquet(
@@ -112,7 +111,7 @@ def test_fold_latest_is_the_batch_result(spark, tmp_path):
     assert after == batch()
 
     raw = spark.read.schema(LAKE_SCHEMA).parquet(f"{source}/*")
-    kept = process(raw, newest=jobs.read_latest(spark, out, identified.schema))
+    kept = process(raw, newest=jobs.read_latest(spark, out, schema, "product_key"))
     assert sorted(kept.collect(), key=str) == sorted(process(raw).collect(), key=str)
 
 
