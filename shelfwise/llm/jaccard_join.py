@@ -124,9 +124,9 @@ class Segmented:
 
     def __init__(self, sets: list[np.ndarray], rows: np.ndarray, bands: np.ndarray) -> None:
         tops = np.array(band_tops(max((len(s) for s in sets), default=1)))
-        self.m = np.array([segments(int(t)) for t in tops])[bands]
+        self.m = np.array([segments(int(t)) for t in tops], np.int64)[bands]
         own = [sets[i] for i in rows]
-        size = np.array([len(s) for s in own])
+        size = np.array([len(s) for s in own], np.int64)
         self.first = np.cumsum(self.m) - self.m
         self.total = int(self.m.sum())
         shingles = np.concatenate(own) if own else np.zeros(0, U)
