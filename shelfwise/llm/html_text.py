@@ -346,7 +346,8 @@ def fit(nodes: Counter, edges: Counter) -> Model:
 
 def train(pages: DataFrame, column: str = "html", rows: int = SAMPLE_PAGES) -> Model:
     """A model from the labelled pages among a sample of at most `rows`. What
-    reaches the driver are counts of feature sets, a few thousand at most."""
+    reaches the driver are counts of feature sets, a few thousand at most. Copies
+    of a page are one in the sample's size but all count."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nodes, edges = Counter(), Counter()
@@ -362,8 +363,9 @@ def train(pages: DataFrame, column: str = "html", rows: int = SAMPLE_PAGES) -> M
             yield pa.RecordBatch.from_arrays(columns, names=["features", "state", "above", "n"])
 
     source = pages.select(F.col(f"`{column}`").alias("page")).where("page is not null").withColumn("rank", F.xxhash64("page"))
-    # cut twice: by rank alone, then to the number of rows, so no page but the sampled ones is sorted
-    sample = source.orderBy("rank", F.length("page")).limit(rows).select("page")
+    # the greatest rank in the sample is found from ranks alone, so whole pages stay where they are
+    last = source.select("rank").distinct().orderBy("rank").limit(rows).agg(F.max("rank")).first()[0]
+    sample = source.where(F.col("rank") <= (F.lit(None) if last is None else F.lit(last))).select("page")
     seen = sample.mapInArrow(count, "features array<int>, state int, above int, n long")
     seen = seen.groupBy("features", "state", "above").agg(F.sum("n").alias("n")).collect()
     nodes = Counter({(tuple(r.features), r.state): r.n for r in seen if r.above < 0})
