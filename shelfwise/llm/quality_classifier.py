@@ -157,12 +157,13 @@ def _featured(text: str):
             cuts = np.searchsorted(rows, np.arange(batch.num_rows + 1))
             parts = [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
             arrays = [
+                batch.column("key"),
                 batch.column("label"),
-                pa.array([dims[p].tolist() for p in parts], pa.list_(pa.int32())),
-                pa.array([values[p].tolist() for p in parts], pa.list_(pa.float32())),
                 pa.array(statistics.tolist(), pa.list_(pa.float64())),
+                pa.array([dims[p].astype("<i4").tobytes() for p in parts], pa.binary()),
+                pa.array([values[p].astype("<f4").tobytes() for p in parts], pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(arrays, names=["label", "dims", "vals", "statistics"])
+            yield pa.RecordBatch.from_arrays(arrays, names=["key", "label", "statistics", "dims", "vals"])
 
     return run
 
@@ -187,15 +188,15 @@ def train(
 ) -> Model:
     """A model fitted on the driver to a sample of at most `rows` labelled
     documents. `usable` is a condition on `labels`."""
+    texts = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")).withColumn("print", F.xxhash64("text"))
     wanted = F.broadcast(sampled(labels, key, label, usable, rows))  # `rows` ids at most
-    texts = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")).join(wanted, "key")
-    schema = "label int, dims array<int>, vals array<float>, statistics array<double>"
-    found = texts.select("label", "text", "key").orderBy("key", "text").limit(2 * rows)  # ids may repeat
-    found = found.select("label", "text").mapInArrow(_featured("text"), schema).toArrow()
+    one = texts.select("key", "print").join(wanted, "key").groupBy("key", "label").agg(F.min("print").alias("print"))
+    one = F.broadcast(one)  # one text for each id, if ids are repeated
+    schema = "key long, label int, statistics array<double>, dims binary, vals binary"
+    rows_of = texts.join(one, ["key", "print"]).select(F.col("key").cast("long"), "label", "text").mapInArrow(_featured("text"), schema)
+    found = rows_of.dropDuplicates(["key"]).toArrow().sort_by("key")
     columns = [found.column(c).to_pylist() for c in ("dims", "vals", "statistics")]
-    examples = [
-        (np.array(d, np.int64), np.array(v, np.float64), np.array(s)) for d, v, s in zip(*columns, strict=True)
-    ]
+    examples = [(np.frombuffer(d, "<i4"), np.frombuffer(v, "<f4"), np.array(s)) for d, v, s in zip(*columns, strict=True)]
     return fit(examples, np.array(found.column("label").to_pylist(), np.float64), epochs)
 
 
@@ -212,6 +213,6 @@ def add_scores(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, text):
             value = score(shared.value, *features(*joined(batch.column(text))))
-            yield plus(batch, {"score": pa.array(logistic(value), pa.float64())})
+            yield plus(batch, {"score": pa.array(np.round(logistic(value), 9), pa.float64())})
 
     return kept.mapInArrow(run, schema)
