@@ -14,6 +14,8 @@ import numpy as np
 
 from shelfwise.llm.hashing import LOWER, byte_set, piece_hashes
 
+#: Bytes of text that are encoded at once.
+BATCH_BYTES = 1 << 20
 #: Pieces whose ids one Python worker keeps, about 30 bytes each.
 KEPT_PIECES = 1_000_000
 
@@ -114,8 +116,21 @@ class Encoder:
 
     def _forget(self) -> None:
         self.keys, self.first, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.used = np.zeros(0, np.int32)  # batches that a piece was in
         self.ids = np.zeros(0, self.dtype)
 
+    def _shrink(self) -> None:
+        """Forgets pieces that only one batch had; all, if that is not half of them."""
+        kept = self.used > 1
+        if 2 * kept.sum() > len(kept):
+            return self._forget()
+        count = self.count[kept].astype(np.int64)
+        ends = np.cumsum(count)
+        take = np.repeat(self.first[kept] - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)
+        self.ids = self.ids[take]
+        self.keys, self.first, self.count = self.keys[kept], ends - count, self.count[kept]
+        self.used = np.zeros(len(self.keys), np.int32)
+
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -128,6 +143,7 @@ class Encoder:
         self.keys = merged[order]
         self.first = np.concatenate([self.first, first])[order]
         self.count = np.concatenate([self.count, count])[order]
+        self.used = np.concatenate([self.used, np.zeros(len(keys), np.int32)])[order]
 
     def _known(self, keys: np.ndarray) -> np.ndarray:
         if not len(self.keys):
@@ -144,7 +160,7 @@ class Encoder:
         folded = LOWER[data] if self.rule == "word_ends" else data
         distinct, sample, which = np.unique(piece_hashes(folded, inside, start), return_index=True, return_inverse=True)
         if len(self.keys) + len(distinct) > self.kept and len(self.keys):
-            self._forget()
+            self._shrink()
         new = np.flatnonzero(~self._known(distinct))
         if len(new):
             ends = np.append(begin[1:], len(data))
@@ -152,7 +168,9 @@ class Encoder:
             spans = zip(begin[sample[new]].tolist(), np.minimum(ends[sample[new]], rows).tolist(), strict=True)
             whole = data.tobytes()
             self._learn(distinct[new], [whole[a:b].decode() for a, b in spans])
-        at = np.searchsorted(self.keys, distinct)[which]
+        at = np.searchsorted(self.keys, distinct)
+        self.used[at] += 1
+        at = at[which]
         count = self.count[at].astype(np.int64)
         ends = np.cumsum(count)
         take = np.repeat(self.first[at] - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.encoding import encoder
+from shelfwise.llm.encoding import BATCH_BYTES, encoder
 from shelfwise.llm.frames import chunks, texts
 
 TIERS = (2048, 1024, 512, 256)
@@ -161,7 +161,7 @@ def _packed(tokenizer_path: str, end_id: int, tiers: tuple[int, ...], pool_ids:
             pool.clear()
 
         held = 0
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", BATCH_BYTES):
             for key, ids in zip(batch.column("doc_id").to_pylist(), encode.encode(texts(batch.column("text"))), strict=True):
                 keys.append(key)
                 pool.append(np.concatenate([ids, end]))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfwise.llm.encoding import encoder
+from shelfwise.llm.encoding import BATCH_BYTES, encoder
 from shelfwise.llm.frames import chunks, texts
 
 #: Fixed value: the constant that masked checksums in record files add.
@@ -76,7 +76,7 @@ def _encoded(tokenizer_path: str, end_id: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer_path)
         end = np.array([end_id], encode.dtype)
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", BATCH_BYTES):
             rows = zip(batch.column("key").to_pylist(), encode.encode(texts(batch.column("text"))), strict=True)
             frames = [record(key, np.concatenate([ids, end])) for key, ids in rows]
             yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], names=["frame"])
