@@ -10,8 +10,11 @@ string reaches over a text's end.
    about two places in 138 bytes; they are grouped by hash.
 2. Members of a group whose whole surroundings are equal are one member; what
    they cover occurs twice. Surroundings that occur with others in a group are
-   fetched; a group too large for one task is split by longer common strings.
-3. Groups are concatenated to a text of some megabytes each, whose
+   fetched. A passage that many texts share makes large groups, in which it is
+   equal and what is around it differs; these are halved by longer common strings
+   and shorter surroundings, members that have become equal are one again, until
+   what is left is small.
+3. Small groups are concatenated to a text of bounded size each, whose
    Burrows-Wheeler transform gives the lengths of common prefixes of
    neighbouring suffixes by increasing value: intervals of suffixes are
    extended backward breadth-first, one byte a round, and each interval's
@@ -35,10 +38,12 @@ from shelfwise.llm.hashing import BYTES, mix
 
 LENGTH = 200
 ANCHOR = 64
-#: Surroundings of one group that a task sorts at once; larger groups are split.
-GROUP_LIMIT = 4096
-#: Bytes of the texts that are transformed.
-TRANSFORM_BYTES = 1 << 20
+#: Members of a group that are transformed; larger groups are halved.
+SMALL_GROUP = 3
+#: Members of a group that a task halves by itself; larger ones are halved by Spark.
+GROUP_LIMIT = 1 << 15
+#: Bytes of the texts that are transformed at once; this size stays in a core's cache.
+TRANSFORM_BYTES = 1 << 17
 #: Texts to fetch up to which their ids are broadcast (some 30 bytes each).
 BROADCAST_IDS = 1 << 20
 
@@ -171,15 +176,17 @@ def _grouped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
     """Order of the suffixes of an array of 16-bit numbers that ends in its only zero."""
     n = len(symbols)
-    padded = np.concatenate([symbols, np.zeros(4, symbols.dtype)]).astype(U)
-    key = padded[:n] << U(30) | padded[1 : n + 1] << U(20) | padded[2 : n + 2] << U(10) | padded[3 : n + 3]
+    padded = np.concatenate([symbols, np.zeros(6, symbols.dtype)]).astype(U)
+    key = np.zeros(n, U)
+    for i in range(7):  # numbers below 512
+        key = key << U(9) | padded[i : n + i]
     order = np.argsort(key, kind="stable")
     ranked = key[order]
     fresh = np.concatenate([[True], ranked[1:] != ranked[:-1]])
     place = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))  # a class is named by its first place
     rank = np.empty(n, np.int64)
     rank[order] = place
-    step = 4
+    step = 7
     while True:
         single = fresh & np.append(fresh[1:], True)
         open_at = np.flatnonzero(~single)
@@ -187,7 +194,7 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
             return order
         own = order[open_at]
         following = rank[np.minimum(own + step, n - 1)]
-        again = np.lexsort((following, rank[own]))
+        again = np.argsort(rank[own] << 32 | following, kind="stable")
         own, following = own[again], following[again]
         order[open_at] = own
         head = rank[own]
@@ -263,15 +270,60 @@ def repeated_windows(parts: list[bytes], ids: np.ndarray, starts: np.ndarray, le
     return part[hit], place[hit]
 
 
+Member = tuple[int, int, int, bytes]  # id, place of the anchor in its text, in its surroundings, these
+
+
+def halved(members: list[Member], low: int, high: int, length: int) -> tuple[list[tuple[int, int, int]], list[list[Member]]]:
+    """For members around equal anchors: spans (id, start, end) of repeated
+    windows that begin `low` to `high` bytes before the anchor and were found
+    equal as a whole, and small groups in which repeated windows may be left.
+    All windows of a member hold its anchor, so together they are one span.
+    """
+    found: dict[tuple[int, int], tuple[int, int]] = {}
+    small, queue = [], [(members, low, high)]
+    while queue:
+        members, low, high = queue.pop()
+        by_core: dict[bytes, list[Member]] = {}
+        for m in members:  # the string that all these windows hold
+            reach, text = m[2], m[3]
+            if reach >= low and len(text) - reach >= length - high:
+                by_core.setdefault(text[reach - low : reach + length - high], []).append(m)
+        for own in by_core.values():
+            if len(own) < 2:
+                continue
+            by_text: dict[tuple[int, bytes], list[Member]] = {}
+            for i, pos, reach, text in own:  # all that these windows can hold
+                left = min(reach, high)
+                part = text[reach - left : reach + length - low]
+                by_text.setdefault((left, part), []).append((i, pos, left, part))
+            for (left, part), equal in by_text.items():
+                if len(equal) > 1 and len(part) >= length:
+                    for i, pos, _, _ in equal:
+                        start, end = found.get((i, pos), (pos, pos))
+                        found[i, pos] = min(start, pos - left), max(end, pos - left + len(part))
+            rest = [equal[0] for equal in by_text.values()]
+            if len(rest) < 2:
+                continue
+            if len(rest) <= SMALL_GROUP:
+                small.append(rest)
+            else:
+                middle = (low + high) // 2
+                queue += [(rest, low, middle), (rest, middle + 1, high)]
+    return [(i, start, end) for (i, _), (start, end) in found.items()], small
+
+
 def _transformed(length: int):
     """id, start, end of what repeated windows cover, from rows in order of key."""
 
-    def solve(rows: list[dict]) -> pa.RecordBatch:
-        seen = {(r["id"], r["pos"], r["text"]): r for r in rows}  # the same place from two tasks or groups
-        rows = list(seen.values())
-        starts = np.array([r["pos"] - r["reach"] for r in rows], np.int64)
-        ids = np.array([r["id"] for r in rows], np.int64)
-        part, place = repeated_windows([r["text"] for r in rows], ids, starts, length)
+    def out(spans: list[tuple[int, int, int]]) -> pa.RecordBatch:
+        columns = zip(*spans, strict=True) if spans else ((), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["id", "start", "end"])
+
+    def solve(members: list[Member]) -> pa.RecordBatch:
+        members = list(dict.fromkeys(members))  # the same place from two groups
+        starts = np.array([pos - reach for _, pos, reach, _ in members], np.int64)
+        ids = np.array([m[0] for m in members], np.int64)
+        part, place = repeated_windows([m[3] for m in members], ids, starts, length)
         order = np.lexsort((place, part))
         part, place = part[order], place[order]
         # windows that overlap or touch become one span
@@ -279,17 +331,36 @@ def _transformed(length: int):
         last = np.append(fresh[1:], len(part)) - 1
         begin = starts[part[fresh]] + place[fresh]
         end = starts[part[last]] + place[last] + length if len(part) else begin
-        return pa.RecordBatch.from_arrays([pa.array(ids[part[fresh]]), pa.array(begin), pa.array(end)], names=["id", "start", "end"])
+        return out(list(zip(ids[part[fresh]].tolist(), begin.tolist(), end.tolist(), strict=True)))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held: list[Member] = []
+        group: dict[tuple[int, int], Member] = {}  # one for each place, also if two tasks sent it
+        size, last = 0, None
+
+        def end_group() -> Iterator[pa.RecordBatch]:
+            nonlocal size
+            if group:
+                spans, small = halved(list(group.values()), last[1], last[2], length)
+                group.clear()
+                for own in small:
+                    held.extend(own)
+                    size += sum(len(m[3]) + 1 for m in own)
+                if spans:
+                    yield out(spans)
+            if size > TRANSFORM_BYTES:
+                yield solve(held)
+                held.clear()
+                size = 0
+
         for batch in batches:
-            for row in batch.to_pylist():
-                if size > TRANSFORM_BYTES and row["key"] != held[-1]["key"]:
-                    yield solve(held)
-                    held, size = [], 0
-                held.append(row)
-                size += len(row["text"]) + 1
+            columns = [batch.column(c).to_pylist() for c in ("key", "low", "high", "id", "pos", "reach", "text")]
+            for key, low, high, i, pos, reach, text in zip(*columns, strict=True):
+                if (key, low, high) != last:
+                    yield from end_group()
+                    last = (key, low, high)
+                group[i, pos] = (i, pos, reach, text)
+        yield from end_group()
         if held:
             yield solve(held)
 
@@ -313,7 +384,7 @@ def _surroundings(length: int):
 
 
 def _split(rows: DataFrame, length: int) -> tuple[DataFrame, list[DataFrame]]:
-    """Groups small enough for a task, and spans (id, start, end) of those whose
+    """Groups that a task can hold, and spans (id, start, end) of those whose
     members turned out equal over the whole length.
 
     A window around an anchor begins between 0 and `length` - ANCHOR bytes
@@ -383,7 +454,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", t
     places = found.where("not twice").groupBy("id").agg(F.collect_set(F.struct("gram", "pos")).alias("places"))
     around = _fetched(long_enough, places).mapInArrow(_surroundings(length), "key long, id long, pos long, reach long, text binary")
     groups, spans = _split(around, length)
-    ready = groups.repartition(parts, "key").sortWithinPartitions("key", "id", "pos")
+    ready = groups.repartition(parts, "key").sortWithinPartitions("key", "low", "high", "id", "pos")
     spans.append(written(ready.mapInArrow(_transformed(length), "id long, start long, end long"), "windows"))
     for more in spans:
         covered = covered.unionByName(more)

@@ -43,10 +43,11 @@ def sample():
     return rows
 
 
-@pytest.mark.parametrize("limit", [suffix_dedup.GROUP_LIMIT, 3])
-def test_removed_bytes(spark, monkeypatch, limit):
-    """Also with groups so small that most are split by longer strings."""
+@pytest.mark.parametrize("limit, small", [(1 << 15, 8), (1 << 15, 2), (1 << 15, 10**6), (3, 2)])
+def test_removed_bytes(spark, monkeypatch, limit, small):
+    """With groups transformed as they are, halved in tasks, and halved by Spark."""
     monkeypatch.setattr(suffix_dedup, "GROUP_LIMIT", limit)
+    monkeypatch.setattr(suffix_dedup, "SMALL_GROUP", small)
     rows = sample()
     docs = spark.createDataFrame([(i, t, 1, "clash") for i, t in rows], "doc_id long, text string, id int, SPANS string")
     monkeypatch.setattr(queries, "_table", lambda *_: docs.repartition(3))
