@@ -39,7 +39,7 @@ from shelfwise.llm.hashing import BYTES, mix
 LENGTH = 200
 ANCHOR = 64
 #: Members of a group that are transformed; larger groups are halved.
-SMALL_GROUP = 3
+SMALL_GROUP = 2
 #: Members of a group that a task halves by itself; larger ones are halved by Spark.
 GROUP_LIMIT = 1 << 15
 #: Bytes of the texts that are transformed at once; this size stays in a core's cache.
