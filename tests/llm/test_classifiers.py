@@ -121,3 +121,22 @@ def test_distributions_sum_to_one():
     words = [random.poisson(0.01, n).astype(float), random.poisson(0.1, n).astype(float), random.poisson(0.1, n).astype(float)]
     tables = toxicity.estimate(words, [np.zeros(n)] * 4, [(10, 3), (20, 5)])
     assert [w.sum() for w in tables.word] == pytest.approx([1, 1], abs=1e-6)
+
+
+def test_words_that_share_leading_bits_keep_their_own_counts(spark):
+    """A toxic word counts by itself, whatever ordinary word has its first 20 bits."""
+
+    def leading(words):
+        return toxicity.pairs(*joined(pa.array(words)))[1] & (toxicity.VOCABULARY - 1)
+
+    names = [f"w{i}" for i in range(4000)]
+    first = {}
+    numbers = leading(names).tolist()
+    bad, good = next((names[first[n]], names[i]) for i, n in enumerate(numbers) if first.setdefault(n, i) != i)
+    rows = [(i, f"{bad if i % 4 == 0 else good} x{i}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 4 == 0).cast("int").alias("toxic"))
+    model = toxicity.train(docs, labels, F.lit(True))
+    new = spark.createDataFrame([(1, bad), (2, good)], "doc_id long, text string")
+    scores = {r.doc_id: r.score for r in toxicity.add_scores(new, model).collect()}
+    assert scores[1] > 0.5 > scores[2]
