@@ -21,6 +21,11 @@ Large ones that share members are put together to clusters, cut into blocks of
 bounded size; a task takes two blocks, looks at pairs that share one of their
 rarest shingles, and returns links only. Equal sets are one set throughout. Shingles and sets are
 known by 64-bit hashes, sets by their size as well.
+
+Components need as many links as connect them, so what is already joined is not
+compared. With `links`, nothing is left out for that: every candidate pair is
+verified once, in the least cluster that has both sets or else as a row, and
+the block tasks return a number of links for each set instead of pairs.
 """
 
 from __future__ import annotations
@@ -33,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.components import components
-from shelfwise.llm.frames import chunks, joined, written
+from shelfwise.llm.frames import chunks, empty, joined, written
 from shelfwise.llm.hashing import LOWER, byte_set, mix, words
 
 SHINGLE = 5
@@ -342,15 +347,10 @@ def _small(left: DataFrame, asking: DataFrame) -> DataFrame:
     return pairs.select("a", "b").distinct()
 
 
-def linked(sets: list[np.ndarray], labels: list[int], side: list[bool]) -> list[tuple[int, int]]:
-    """Similar pairs of sets with different labels that join what is not joined
-    yet, one from each side (or any two, if all are on one side).
-
-    Of two similar sets, each has one of the other's shingles among its rarest
-    |x| - 0.8 |x| + 1, by any order of all shingles; here the number of sets
-    that hold them. Pairs whose places in that order leave too few shingles to
-    share are not compared, nor those that links found before have joined.
-    """
+def _prefixes(sets: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """The rarest shingles of each set, of two similar sets at least one that is
+    the same, in the order of shingles: the set, the place among its shingles;
+    where each shingle begins and the last ends; and the sizes of the sets."""
     size = np.array([len(s) for s in sets])
     owner = np.repeat(np.arange(len(sets)), size)
     _, which, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -362,6 +362,19 @@ def linked(sets: list[np.ndarray], labels: list[int], side: list[bool]) -> list[
     order = np.lexsort((owner, which))
     owner, which, place = owner[order], which[order], place[order]
     cuts = np.flatnonzero(np.concatenate([[True], which[1:] != which[:-1], [True]])) if len(which) else [0]
+    return owner, place, np.asarray(cuts), size
+
+
+def linked(sets: list[np.ndarray], labels: list[int], side: list[bool]) -> list[tuple[int, int]]:
+    """Similar pairs of sets with different labels that join what is not joined
+    yet, one from each side (or any two, if all are on one side).
+
+    Of two similar sets, each has one of the other's shingles among its rarest
+    |x| - 0.8 |x| + 1, by any order of all shingles; here the number of sets
+    that hold them. Pairs whose places in that order leave too few shingles to
+    share are not compared, nor those that links found before have joined.
+    """
+    owner, place, cuts, size = _prefixes(sets)
     names, numbers = np.unique(labels, return_inverse=True)
     root = numbers.copy()  # the component of each set, as far as known
     side = np.array(side)
@@ -385,23 +398,85 @@ def linked(sets: list[np.ndarray], labels: list[int], side: list[bool]) -> list[
     return found
 
 
-def _large(left: DataFrame, asking: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links (a, b) between sets that meet in buckets above the limit."""
+def counted(
+    sets: list[np.ndarray], weights: np.ndarray, side: np.ndarray, both: bool, clusters: list[list[int]], cluster: int
+) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """For each set the summed weights of the sets that are similar to it, one
+    from each side (or any two, unless `both`), without pairs that are counted in
+    a lesser cluster; and links that connect what is similar. Only pairs that
+    share one of their rarest shingles are compared, see `linked`."""
+    owner, place, cuts, size = _prefixes(sets)
+    n = len(sets)
+    _, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    first = np.cumsum(size) - size
+    marked = np.zeros(int(flat.max(initial=0)) + 1, bool)
+    several = [len(c) > 1 for c in clusters]
+    sums = np.zeros(n, np.int64)
+    root = np.arange(n)
+    links: list[tuple[int, int]] = []
+    which = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+    order = np.argsort(owner, kind="stable")
+    own = np.searchsorted(owner[order], np.arange(n + 1))
+    for a in np.flatnonzero(~side) if both else range(n):
+        near = np.zeros(n, bool)
+        for at in order[own[a] : own[a + 1]].tolist():
+            end = cuts[which[at] + 1]
+            # members of a shingle are in ascending order; without sides, each pair is met at its lesser member
+            near[owner[(cuts[which[at]] if both else at + 1) : end]] = True
+        if both:
+            near &= side
+        else:
+            near[a] = False
+        b = np.flatnonzero(near)
+        b = b[(5 * np.minimum(size[b], size[a]) >= 4 * np.maximum(size[b], size[a]))]
+        if not len(b):
+            continue
+        marked[flat[first[a] : first[a] + size[a]]] = True
+        length = size[b]
+        begin = np.cumsum(length) - length
+        inside = marked[flat[np.repeat(first[b] - begin, length) + np.arange(int(length.sum()))]]
+        common = np.add.reduceat(inside.astype(np.int64), begin)
+        marked[flat[first[a] : first[a] + size[a]]] = False
+        b = b[100 * common >= 80 * (size[a] + length - common)]
+        if several[a]:
+            mine = set(clusters[a])
+            b = b[[not several[c] or min(mine.intersection(clusters[c])) == cluster for c in b.tolist()]]
+        sums[a] += weights[b].sum()
+        sums[b] += weights[a]
+        for c in np.unique(root[b]).tolist():
+            if c != root[a]:
+                links.append((int(a), int(b[root[b] == c][0])))
+                root[root == c] = root[a]
+    return sums, links
+
+
+def _clusters(left: DataFrame, asking: DataFrame) -> DataFrame:
+    """cluster, set, component, n for the members of buckets above the limit."""
     asked = asking.where(F.col("cost") > BUCKET_LIMIT).select("bucket").distinct()
     met = written(left.join(asked, "bucket", "left_semi").select("bucket", "set", "label", "n"), "large")
     # a bucket's cluster is the least set within two steps of it; all its members go there, some to several clusters
     hubs = met.groupBy("bucket").agg(F.min("set").alias("hub"))
     near = met.join(hubs, "bucket").groupBy("set").agg(F.min("hub").alias("near"))
     clusters = met.join(near, "set").groupBy("bucket").agg(F.min("near").alias("cluster"))
-    sets = written(met.join(clusters, "bucket").select("cluster", "set", F.col("label").alias("component"), "n").distinct(), "clusters")
+    return written(met.join(clusters, "bucket").select("cluster", "set", F.col("label").alias("component"), "n").distinct(), "clusters")
+
+
+def _dealt(sets: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """Clusters in pairs of blocks: each set with its shingles for each block of
+    its cluster, `low` and `high` being that and its own."""
     blocks = sets.groupBy("cluster").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
     placed = sets.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
     whole = _sets(placed.select("set").distinct(), texts, classes)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = placed.join(whole, "set").withColumn("other", other).withColumns(
+    return placed.join(whole, "set").withColumn("other", other).withColumns(
         {"low": F.least("block", "other"), "high": F.greatest("block", "other")}
     )
 
+
+def _large(left: DataFrame, asking: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between sets that meet in buckets above the limit."""
+    dealt = _dealt(_clusters(left, asking), texts, classes)
+
     def compare(rows: pa.Table) -> pa.Table:
         ids = rows.column("set").to_pylist()
         sets = [np.frombuffer(s, U) for s in rows.column("shingles").to_pylist()]
@@ -412,9 +487,63 @@ def _large(left: DataFrame, asking: DataFrame, texts: DataFrame, classes: DataFr
     return dealt.groupBy("cluster", "low", "high").applyInArrow(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def _connecting(members: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b), as many as connect all similar sets."""
+    met = members.where("set <> centre").groupBy("set", "centre").agg(F.count("*").alias("n"))
+    best = met.groupBy("set").agg(F.max_by("centre", F.struct("n", "centre")).alias("b")).select(F.col("set").alias("a"), "b")
+    edges = written(_verified(written(best, "best"), texts, classes), "edges-1")
+    labels = _labels(edges)
+    left, asking = _open(members, labels, classes)
+    more = written(_verified(written(_small(left, asking), "small"), texts, classes), "edges-2")
+    most = written(_large(left, asking, texts, classes), "edges-3")
+    return edges.union(more).union(most)
+
+
+def _all_links(members: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b, n): links that connect all similar sets, and in rows with a = b how
+    many documents other sets give a set as links, in parts to be summed."""
+    left, asking = _open(members, empty(texts.sparkSession, "node long, label long"), classes)
+    weights = classes.select("set", "weight")
+    sets = _clusters(left, asking)
+    of_set = written(sets.groupBy("set").agg(F.sort_array(F.collect_set("cluster")).alias("clusters")), "of-set")
+    pairs = _small(left, asking)
+    for side in ("a", "b"):
+        pairs = pairs.join(of_set.select(F.col("set").alias(side), F.col("clusters").alias(f"of_{side}")), side, "left")
+    # each pair once: a and b if they are alike in size can both ask; with a common cluster it is compared there
+    apart = pairs.where(~F.coalesce(F.arrays_overlap("of_a", "of_b"), F.lit(False)))
+    apart = apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    few = written(_verified(written(apart, "small"), texts, classes), "links-1")
+    ends = few.select("a", "b").union(few.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    numbers = ends.join(weights, F.col("b") == F.col("set")).groupBy("a").agg(F.sum("weight").alias("n"))
+
+    def compare(rows: pa.Table) -> pa.Table:
+        ids = rows.column("set").to_numpy()
+        sets = [np.frombuffer(s, U) for s in rows.column("shingles").to_pylist()]
+        side = rows.column("block").to_numpy() == rows.column("high").to_numpy()
+        cluster = rows.column("cluster")[0].as_py()
+        both = rows.column("low")[0].as_py() != rows.column("high")[0].as_py()  # blocks can be empty
+        weights, clusters = rows.column("weight").to_numpy(), rows.column("clusters").to_pylist()
+        sums, links = counted(sets, weights, side, both, clusters, cluster)
+        full = np.flatnonzero(sums)
+        a, b = np.array(links, np.int64).reshape(-1, 2).T
+        return pa.table(
+            {
+                "a": pa.array(np.concatenate([ids[full], ids[a]])),
+                "b": pa.array(np.concatenate([ids[full], ids[b]])),
+                "n": pa.array(np.concatenate([sums[full], np.zeros(len(a), np.int64)])),
+            }
+        )
+
+    dealt = _dealt(sets, texts, classes).join(of_set, "set").join(weights, "set")
+    many = written(dealt.groupBy("cluster", "low", "high").applyInArrow(compare, "a long, b long, n long"), "links-2")
+    return many.union(few.select("a", "b", F.lit(0).cast("long"))).union(numbers.select("a", F.col("a").alias("b"), "n"))
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", links: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id for each document: component_id is the
-    least doc_id that can be reached by links, its own if there are none.
+    least doc_id that can be reached by links, its own if there are none. With
+    `links` also n_links, the number of other documents that it is linked to; an
+    id counts once for each set of shingles that it occurs with.
 
     Null and blank texts have no shingles and no links. Documents without an id
     are returned with component_id null and link to nothing. Repeated rows are
@@ -426,7 +555,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     known = written(texts.mapInArrow(_described, schema), "sets")
     usable = known.where("n > 0 and doc_id is not null")
     classes = written(
-        usable.groupBy("set", "n").agg(F.min("doc_id").alias("doc_id"), F.min("spare").alias("spare")), "classes"
+        usable.groupBy("set", "n").agg(F.min("doc_id").alias("doc_id"), F.min("spare").alias("spare"), *([F.count_distinct("doc_id").alias("weight")] if links else [])), "classes"
     )
     # at most a few wishes for each band and segment, however many sets ask for them
     wishes = usable.select("band", F.explode("asked").alias("wish")).distinct().collect()
@@ -439,20 +568,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     members = written(
         keyed.repartition(parts // 4, "part").mapInArrow(_met, "bucket long, set long, own boolean, centre long"), "members"
     )
-    counted = members.where("set <> centre").groupBy("set", "centre").agg(F.count("*").alias("n"))
-    best = counted.groupBy("set").agg(F.max_by("centre", F.struct("n", "centre")).alias("b")).select(F.col("set").alias("a"), "b")
-    edges = written(_verified(written(best, "best"), texts, classes), "edges-1")
-    labels = _labels(edges)
-    left, asking = _open(members, labels, classes)
-    more = written(_verified(written(_small(left, asking), "small"), texts, classes), "edges-2")
-    most = written(_large(left, asking, texts, classes), "edges-3")
-    labels = components(edges.union(more).union(most))
+    if links:
+        found = written(_all_links(members, texts, classes), "links")
+        labels = components(found.where("a <> b").select("a", "b"))
+        numbers = found.groupBy(F.col("a").alias("set")).agg(F.sum("n").alias("others"))
+        classes = classes.join(numbers, "set", "left").withColumn("links", F.coalesce("others", F.lit(0)) + F.col("weight") - 1)
+    else:
+        labels = components(_connecting(members, texts, classes))
 
     named = classes.join(labels, F.col("set") == F.col("node"), "left").withColumn("label", F.coalesce("label", "set"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    final = written(named.select("set", "n", "label").join(least, "label").select("set", "n", "component_id"), "final")
+    final = written(named.join(least, "label").select("set", "n", "component_id", *(["links"] if links else [])), "final")
     return known.join(final, ["set", "n"], "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
+        *([F.when(F.col("doc_id").isNotNull(), F.coalesce("links", F.lit(0))).otherwise(0).alias("n_links")] if links else []),
     )

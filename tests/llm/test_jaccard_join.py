@@ -118,3 +118,38 @@ def test_components_of_chains_and_stars(spark):
     found = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {5: 5, **{i: 100 for i in range(100, 161)}, **{i: 7 for i in [7, 900, *range(300, 400)]}}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def links(rows):
+    sets = [(i, shingles(t)) for i, t in rows if i is not None]
+    n = dict.fromkeys([i for i, _ in sets], 0)
+    for (a, x), (b, y) in itertools.combinations(sets, 2):
+        common = len(x & y)
+        if common and 100 * common >= 80 * (len(x) + len(y) - common):
+            n[a] += 1
+            n[b] += 1
+    return n
+
+
+@pytest.mark.parametrize("block", [1 << 20, 400])
+def test_every_link_is_counted_once(spark, monkeypatch, block):
+    """Groups of near copies have all their links, whatever joined them before;
+    small blocks put the sets of a cluster into many tasks, some of them empty."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", block)
+    rows = sample(3)
+    source = random.Random(5)
+    words = source.choices([f"V{i}" for i in range(300)], k=120)
+    rows += [(2 * 10**6 + i, " ".join(mutated(source, words, ["a", "b", "c"], i % 3))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = jaccard_join.near_duplicates(docs.repartition(3), links=True)
+    assert found.columns == ["doc_id", "n_shingles", "component_id", "n_links"]
+    n = links(rows)
+    assert sorted(tuple(r) for r in found.collect()) == [(i, s, c, n[i]) for i, s, c in direct(rows)]
+
+
+def test_links_of_repeated_rows_and_rows_without_id(spark):
+    text = "one two three four five six seven"
+    rows = [(4, text), (4, text), (2, text.upper()), (None, text), (9, "other words are here now"), (7, None)]
+    found = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), links=True)
+    expected = [(4, 3, 2, 1), (4, 3, 2, 1), (2, 3, 2, 1), (None, 3, None, 0), (9, 1, 9, 0), (7, 0, 7, 0)]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
