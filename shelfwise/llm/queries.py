@@ -29,7 +29,7 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes all documents as token records and reads them back."""
     path = f"{scratch_dir(spark)}/tokens"
     token_records.write_records(
-        _table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2
+        _table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2, missing=True
     )
     read = token_records.read_records(spark, path).select("part", "offset", F.crc32("ids").alias("ids_crc32"))
     return read.join(token_records.read_index(spark, path), ["part", "offset"]).select(

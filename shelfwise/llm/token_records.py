@@ -4,7 +4,8 @@ A record is framed as
 
     8 bytes  length of the payload, little-endian
     4 bytes  masked CRC-32 of those 8 bytes
-    payload  key (8 bytes), width of an id (1 byte: 2 or 4), the ids
+    payload  key (8 bytes), whether there is one (1 byte: 0 or 1; without, the key
+             bytes are 0), width of an id (1 byte: 2 or 4), the ids
     4 bytes  masked CRC-32 of the payload
     1 byte   0x0A
 
@@ -30,7 +31,7 @@ from shelfwise.llm.frames import chunks, texts
 
 #: Fixed value: the constant that masked checksums in record files add.
 MASK = 0xA282EAD8
-HEAD, KEY = struct.Struct("<QI"), struct.Struct("<qB")
+HEAD, KEY = struct.Struct("<QI"), struct.Struct("<q?B")
 FRAME_BYTES = HEAD.size + 4 + 1
 
 RECORDS = "part int, offset long, length long, key long, n_tokens long, ids binary"
@@ -48,8 +49,8 @@ def frame(payload: bytes) -> bytes:
     return length + struct.pack("<I", masked_crc(length)) + payload + struct.pack("<I", masked_crc(payload))
 
 
-def record(key: int, ids: np.ndarray) -> bytes:
-    return frame(KEY.pack(key, ids.dtype.itemsize) + ids.tobytes())
+def record(key: int | None, ids: np.ndarray) -> bytes:
+    return frame(KEY.pack(key or 0, key is not None, ids.dtype.itemsize) + ids.tobytes())
 
 
 def unframe(data: bytes | memoryview, offset: int) -> tuple[bytes, int]:
@@ -67,9 +68,9 @@ def unframe(data: bytes | memoryview, offset: int) -> tuple[bytes, int]:
     return payload, begin + length + 5
 
 
-def parse(payload: bytes) -> tuple[int, np.ndarray]:
-    key, width = KEY.unpack_from(payload)
-    return key, np.frombuffer(payload, f"<u{width}", offset=KEY.size)
+def parse(payload: bytes) -> tuple[int | None, np.ndarray]:
+    key, known, width = KEY.unpack_from(payload)
+    return key if known else None, np.frombuffer(payload, f"<u{width}", offset=KEY.size)
 
 
 def _encoded(tokenizer_path: str, end_id: int):
@@ -85,22 +86,30 @@ def _encoded(tokenizer_path: str, end_id: int):
 
 
 def write_records(
-    docs: DataFrame, path: str, tokenizer_path: str, end_id: int, key: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    path: str,
+    tokenizer_path: str,
+    end_id: int,
+    key: str = "doc_id",
+    text: str = "text",
+    missing: bool = False,
 ) -> None:
     """Writes `path`/records and the index in `path`/index.
 
     Rows are cut into ranges of the key, one file each, in ascending order of
     key and, for repeated keys, text; so files in order of their numbers hold
-    all documents in order. A null text is empty, rows without a key are refused
-    with an error, other columns are ignored. An empty table gives an empty
-    index. File size follows `spark.sql.shuffle.partitions` and the advisory
+    all documents in order. A null text is empty, other columns are ignored. Rows
+    without a key are written first, in order of text, if `missing`; otherwise
+    they are refused with an error. An empty table gives an empty index. File size follows `spark.sql.shuffle.partitions` and the advisory
     partition size.
     """
-    rows = docs.select(
-        F.coalesce(F.col(f"`{key}`"), F.raise_error(F.lit(f"{key} is null"))).cast("long").alias("key"),
-        F.col(f"`{text}`").alias("text"),
-    )
-    ordered = rows.repartitionByRange("key").sortWithinPartitions("key", "text")
+    own = F.col(f"`{key}`")
+    if not missing:
+        own = F.coalesce(own, F.raise_error(F.lit(f"{key} is null")))
+    rows = docs.select(own.cast("long").alias("key"), F.col(f"`{text}`").alias("text"))
+    # many rows without a key are several ranges: the beginnings of texts are in the order of the texts
+    begin = F.when(F.col("key").isNull(), F.substring("text", 1, 64))
+    ordered = rows.repartitionByRange("key", begin).sortWithinPartitions("key", "text")
     frames = ordered.mapInArrow(_encoded(tokenizer_path, end_id), "frame binary")
     frames.select(F.col("frame").cast("string")).write.text(f"{path}/records", lineSep="\n")
     _index(docs.sparkSession, path).write.parquet(f"{path}/index")

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from shelfwise.llm import packing, token_records
+from shelfwise.llm import packing, queries, token_records
 from shelfwise.llm.encoding import Encoder
 from shelfwise.session import scratch_dir
 
@@ -153,3 +153,13 @@ def test_query_digests(spark, docs):
     pieces = packing.pack(docs.where("doc_id = 3"), public_tokenizers.path(FILES["word"]), end_id=1)
     row = pieces.select("ids", F.crc32("ids").alias("crc")).first()
     assert row.crc == zlib.crc32(bytes(row.ids))
+
+
+def test_rows_without_a_key_are_written_and_returned(spark, tmp_path):
+    rows = [(None, "b c"), (3, "x"), (None, None), (0, "zero"), (None, "a"), (-4, "minus")]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(queries.op1_token_records(spark, str(tmp_path)).collect(), key=lambda r: r.start)
+    ordered = [(None, None), (None, "a"), (None, "b c"), (-4, "minus"), (0, "zero"), (3, "x")]
+    expected = [(key, library("byte", text, 2)) for key, text in ordered]
+    assert [(r.doc_id, r.n_tokens, r.ids_crc32) for r in got] == [(k, len(i), zlib.crc32(i.tobytes())) for k, i in expected]
+    assert [r.start for r in got] == np.cumsum([0, *[len(i) for _, i in expected]])[:-1].tolist()
