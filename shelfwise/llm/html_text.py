@@ -37,7 +37,7 @@ SAMPLE_PAGES = 1500
 #: Elements without content; elements whose content is no markup;
 #: elements that begin and end a block.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math select".split())
+RAW = frozenset("script style textarea title noscript template iframe svg select".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th "
@@ -49,7 +49,7 @@ ENDS = {
     "option": {"option"}, "body": {"head"},
 }
 #: Tags and words of classes and ids that mark what is not the article, and what is.
-ASIDE_TAGS = frozenset("nav footer header aside form button menu dialog figcaption fieldset".split())
+ASIDE_TAGS = frozenset("nav footer header aside form button menu dialog fieldset".split())
 ASIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright "
     "footer form header login menu nav navbar navigation newsletter notice popup promo related reply replies share sharing "
@@ -283,6 +283,7 @@ def extract(page: str, model: Model) -> str:
 #: What a labelled page is given more of, inside and after its article.
 _INSIDE = (
     "<h2>{0}</h2><ul><li>{1}</li><li>{2}</li></ul><blockquote>{3}</blockquote><table><tr><td>{1}</td><td>{2}</td></tr></table>"
+    "<figure><img src='x'><figcaption>{0}</figcaption></figure><p>{1} <math><mi>x</mi><mo>=</mo><mn>2</mn></math></p>"
     "<div><p>{2}</p></div><aside><p>{1}</p></aside><div class='share'><ul><li><a href='#'>{0}</a></li></ul></div>"
     "<section class='comments'><p>{3}</p><p>{1}</p></section>"
 )

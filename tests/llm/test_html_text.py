@@ -80,3 +80,14 @@ def test_nulls_and_nothing_to_learn_from(spark):
     rows = html_text.extract_text(pages, untrained).orderBy("page_id").collect()
     assert [r.text for r in rows] == ["", "", "Some text. And more.", "Some text. And more."]
     assert html_text.extract_text(pages.where("false"), html_text.train(pages.where("false"))).count() == 0
+
+
+def test_captions_and_formulas_are_kept(model):
+    page = """<html><body><nav><ul><li><a href="/">Home</a></li><li><a href="/a">About</a></li></ul></nav>
+    <article><h1>Title here</h1><p>First paragraph, long enough. It goes on. And on.</p>
+    <p>We know that <math><mi>E</mi><mo>=</mo><mi>m</mi></math> holds here. It always does.</p>
+    <figure><img src="x.png"><figcaption>A caption of the picture.</figcaption></figure>
+    <p>Last paragraph, also long enough. It ends here.</p></article><footer>bye</footer></body></html>"""
+    want = ["Title here", "First paragraph, long enough. It goes on. And on.", "We know that E=m holds here. It always does."]
+    want += ["A caption of the picture.", "Last paragraph, also long enough. It ends here."]
+    assert html_text.extract(page, model).split("\n\n") == want
