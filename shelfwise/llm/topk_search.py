@@ -31,7 +31,7 @@ CHUNK_ROWS = 1 << 12
 PIVOT_SAMPLE, PIVOTS = 4096, 64
 
 BLOCKS = "part int, ids binary, vectors binary, high binary, low binary"
-FOUND = "query_id long, vec_id long, score long"
+FOUND = "query_id long, which long, vec_id long, score long"
 
 
 def usable(vector: Column) -> Column:
@@ -45,25 +45,46 @@ def whole(vector: Column, scale: int) -> Column:
     return F.transform(vector, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("long"))
 
 
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
+
+
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """a @ b.T of 64-bit whole numbers, exactly; an error if it might not fit."""
-    top_a, top_b = (int(max(m.max(initial=0), -m.min(initial=0))) for m in (a, b))
+    """a @ b.T of 64-bit whole numbers, exactly; an error if one does not fit."""
+    found = products(a, b)
+    if found.dtype == object and found.size and (found.max() > MOST or found.min() < LEAST):
+        raise OverflowError("scores exceed 64 bits")
+    return found.astype(np.int64)
+
+
+def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a @ b.T of 64-bit whole numbers, exactly; Python's where they might not fit."""
+    top_a, top_b = (max(int(m.max(initial=0)), -int(m.min(initial=0))) for m in (a, b))
     most = top_a * top_b * a.shape[1]
     if most < 1 << 53:
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
     if most < 1 << 63:
         return a @ b.T
-    raise OverflowError("scores may exceed 64 bits")
+    return a.astype(object) @ b.astype(object).T
 
 
 def bounds(queries: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray:
-    """For each query and block, a number no score in the block exceeds."""
-    return product(np.maximum(queries, 0), high) + product(np.minimum(queries, 0), low)
+    """For each query and block, a number no score in the block exceeds, or the
+    nearest one of 64 bits."""
+    pairs = ((np.maximum(queries, 0), high), (np.minimum(queries, 0), low))
+    try:
+        up, down = (product(a, b) for a, b in pairs)
+        if max(np.abs(up).max(initial=0), np.abs(down).max(initial=0)) < 1 << 62 and min(up.min(initial=0), down.min(initial=0)) > LEAST:
+            return up + down
+    except OverflowError:
+        pass
+    up, down = (products(a, b).astype(object) for a, b in pairs)
+    return np.clip(up + down, LEAST, MOST).astype(np.int64)
 
 
 def search(queries: np.ndarray, query_ids: np.ndarray, blocks: list[tuple[np.ndarray, np.ndarray]], bound: np.ndarray, k: int) -> list[list[tuple[int, int]]]:
     """For each query the k best (score, id) over all blocks (ids, vectors), ties
-    to the smaller id; rows of the query's own id take no part."""
+    to the smaller id; rows of the query's own id take no part. A score among
+    the k best that does not fit 64 bits is an error."""
     order = np.argsort(-bound, axis=1, kind="stable")
     best: list[list[tuple[int, int]]] = [[] for _ in range(len(queries))]  # (-score, id), best first
     kth = np.full(len(queries), np.iinfo(np.int64).min)
@@ -76,8 +97,14 @@ def search(queries: np.ndarray, query_ids: np.ndarray, blocks: list[tuple[np.nda
         for b in np.unique(chosen):
             who = open_[chosen == b]
             ids, vectors = blocks[b]
-            scores = product(queries[who], vectors)
-            good = (scores >= kth[who][:, None]) & (ids[None, :] != query_ids[who][:, None])
+            try:
+                scores = product(queries[who], vectors)
+            except OverflowError:  # it matters only if such a score is among the k best
+                scores = products(queries[who], vectors)
+            good = scores >= kth[who][:, None]
+            if scores.dtype == object:  # what is below 64 bits still counts where there are fewer than k
+                good = good.astype(bool) | np.array([len(best[q]) < k for q in who])[:, None]
+            good &= ids[None, :] != query_ids[who][:, None]
             for row in np.flatnonzero(good.any(axis=1)):
                 at = np.flatnonzero(good[row])
                 found = scores[row, at]
@@ -87,7 +114,7 @@ def search(queries: np.ndarray, query_ids: np.ndarray, blocks: list[tuple[np.nda
                 q = who[row]
                 best[q] = sorted(best[q] + list(zip((-found).tolist(), ids[at].tolist(), strict=True)))[:k]
                 if len(best[q]) == k:
-                    kth[q] = -best[q][-1][0]
+                    kth[q] = max(-best[q][-1][0], LEAST)
     return [[(-score, i) for score, i in own] for own in best]
 
 
@@ -154,8 +181,8 @@ def top_k(
 
     Vectors that are null, or hold nulls or numbers that are not finite, and
     rows without an id take no part. Shorter vectors count as ending in zeros,
-    so empty ones score 0. A repeated query row is searched once; repeated
-    candidates are candidates each. Other columns are ignored.
+    so empty ones score 0. A repeated query row is searched once; of an id with
+    several vectors each is searched and has its own k rows. Repeated candidates are candidates each. Other columns are ignored.
     """
     source = vectors.select(F.col(f"`{key}`").cast("long").alias("vec_id"), F.col(f"`{vector}`").alias("_v"), is_query.alias("query"))
     rows = source.where(F.col("vec_id").isNotNull() & usable(F.col("_v"))).select("vec_id", whole(F.col("_v"), scale).alias("vector"), "query")
@@ -177,9 +204,9 @@ def top_k(
     blocks = written(ranges.mapInArrow(_blocked(dim), BLOCKS), "blocks")
     parts = [r[0] for r in blocks.select("part").distinct().collect()]  # one for RANGE_ROWS rows
 
-    asked = rows.where("query").select("vec_id", "vector").dropDuplicates(["vec_id"])
+    asked = rows.where("query").select("vec_id", "vector").distinct().withColumn("which", F.xxhash64("vector"))
     chunks = max(1, -(-asked.count() // CHUNK_ROWS))
-    asked = asked.withColumn("chunk", F.pmod(F.xxhash64("vec_id"), F.lit(chunks)).cast("int"))
+    asked = asked.withColumn("chunk", F.pmod(F.xxhash64("vec_id", "which"), F.lit(chunks)).cast("int"))
     left = blocks.withColumn("chunk", F.explode(F.array(*[F.lit(c) for c in range(chunks)])))
     right = asked.withColumn("part", F.explode(F.array(*[F.lit(p) for p in parts])))
 
@@ -193,10 +220,12 @@ def top_k(
             for i, v in zip(columns["ids"], columns["vectors"], strict=True)
         ]
         found = search(queries, ids, stored, bounds(queries, high, low), k) if len(ids) and stored else []
-        rows = [(int(q), i, score) for q, own in zip(ids, found, strict=False) for score, i in own]
-        query_id, vec_id, score = zip(*rows, strict=True) if rows else ((), (), ())
-        return pa.table({"query_id": pa.array(query_id, pa.int64()), "vec_id": pa.array(vec_id, pa.int64()), "score": pa.array(score, pa.int64())})
+        queried = zip(ids.tolist(), wanted.column("which").to_pylist(), found, strict=True) if found else ()
+        rows = [(q, w, i, score) for q, w, own in queried for score, i in own]
+        columns = zip(*rows, strict=True) if rows else ((), (), (), ())
+        names = ["query_id", "which", "vec_id", "score"]
+        return pa.table({name: pa.array(c, pa.int64()) for name, c in zip(names, columns, strict=True)})
 
     near_best = left.groupBy("part", "chunk").cogroup(right.groupBy("part", "chunk")).applyInArrow(meet, FOUND)
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    order = Window.partitionBy("query_id", "which").orderBy(F.col("score").desc(), "vec_id")
     return near_best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

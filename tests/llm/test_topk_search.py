@@ -74,3 +74,22 @@ def test_blocks_below_the_kth_score_are_not_scored(monkeypatch):
     monkeypatch.setattr(topk_search, "product", lambda a, b: calls.append(1) or plain(a, b))
     best = topk_search.search(query, np.array([-1]), blocks, topk_search.bounds(query, high, low), 20)
     assert len(calls) == 2 + 1 and len(best[0]) == 20 and all(300 <= i < 400 for _, i in best[0])
+
+
+def test_each_vector_of_a_query_id_is_searched(spark):
+    rows = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (20, [0.0, 1.0]), (1, [3.0, 1.0]), (2, [1.0, 2.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    found = sorted(map(tuple, topk_search.top_k(frame, F.col("vec_id") == 20, k=1).collect()))
+    assert found == [(20, 1, 1, 3 * 4096), (20, 1, 2, 2 * 4096)]
+
+
+def test_an_outlier_does_not_end_the_search(spark):
+    """Its product with itself, and bounds over its block, exceed 64 bits; its scores do not."""
+    rows = [(0, [1.0, 2.0]), (20, [2.0**48, 0.0]), (1, [2.0**-6, 1.0]), (2, [3.0, -(2.0**50)])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = sorted(map(tuple, topk_search.top_k(frame, F.col("vec_id") == 0).collect()))
+    assert found == [(0, 1, 20, 2**60), (0, 2, 1, 64 + 128 * 64), (0, 3, 2, 64 * 192 - 2**63)]
+    queries = np.array([[2**58, 0]])
+    blocks = [(np.array([20, 21]), np.array([[2**58, 0], [1, 5]]))]
+    best = topk_search.search(queries, np.array([20]), blocks, topk_search.bounds(queries, np.array([[2**58, 5]]), np.array([[1, 0]])), 2)
+    assert best == [[(2**58, 21)]]
