@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm import (
     contamination,
+    fill_middle,
     html_text,
     jaccard_join,
     packing,
+    periodic_runs,
+    piece_encoding,
     private_data,
     quality_classifier,
     suffix_dedup,
@@ -123,6 +126,57 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = piece_encoding.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    return piece_encoding.decode(encoded.drop("text"), model).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def _planted(doc_id: Column, text: Column) -> Column:
+    """The text; for one document in ten, by its id, its words go on periodically from one of them."""
+    h = F.crc32(doc_id.cast("string"))
+    g = F.floor(h / 10)
+    words = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    n = F.size(words)
+    a = F.pmod(g, F.greatest(n, F.lit(1))).cast("int")
+    p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))).cast("int")
+    periodic = F.transform(words, lambda word, i: F.when(i < a, word).otherwise(F.get(words, a + (i - a) % p)))
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(periodic, " ")).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs.collapse(docs.withColumn("text", _planted(F.col("doc_id"), F.col("text"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    best = F.col("best")
+    return found.withColumn("best", periodic_runs.most_periods(F.col("runs"))).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = fill_middle.restore(fill_middle.rearrange(docs).drop("text"))
+    return found.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -137,6 +191,9 @@ QUERIES = {
         op8_suffix_dedup,
         op9_quality,
         op10_toxicity,
+        op11_sentencepiece,
+        op12_periodic_runs,
+        op13_fill_middle,
     )
 }
 
@@ -208,6 +265,28 @@ WITH usable AS (
 )
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM scores QUALIFY rank <= 20
+""",
+    "op13_fill_middle": """
+WITH hashed AS (
+    SELECT doc_id, coalesce(text, '') AS t, CAST(length(coalesce(text, '')) AS BIGINT) AS n,
+           sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d
+    FROM documents
+), numbers AS (
+    SELECT doc_id, t, n, CAST('0x' || substr(d, 1, 8) AS BIGINT) % (n + 1) AS a, CAST('0x' || substr(d, 9, 8) AS BIGINT) % (n + 1) AS b,
+           CAST('0x' || substr(d, 17, 8) AS BIGINT) % 100 AS c, CAST('0x' || substr(d, 25, 8) AS BIGINT) % 100 AS e
+    FROM hashed
+), parts AS (
+    SELECT doc_id, t, n, least(a, b) AS i, greatest(a, b) - least(a, b) AS k,
+           CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR c >= 90 THEN 'plain'
+                WHEN e < 20 THEN 'spm' ELSE 'psm' END AS form,
+           substr(t, 1, least(a, b)) AS p, substr(t, least(a, b) + 1, greatest(a, b) - least(a, b)) AS m, substr(t, greatest(a, b) + 1) AS s
+    FROM numbers
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN i END AS prefix_chars, CASE WHEN form <> 'plain' THEN k END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
 """,
 }
 
