@@ -228,12 +228,14 @@ def find_runs(stretches: list[np.ndarray], size: int, least_length: int, least_e
 
 
 def _stretches(word: np.ndarray, row: np.ndarray, least_length: int, least_exponent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Where the stretches that can hold runs begin and end among the words."""
+    """Where the stretches that can hold runs begin and end among the words, which are
+    numbers from 0."""
     at = np.arange(len(word))  # words that are left
     group = row  # of each of them
+    size = int(word.max(initial=0)) + 1
     while len(at):
-        _, which, count = np.unique(np.stack([group, word[at]], 1), axis=0, return_inverse=True, return_counts=True)
-        kept = count[which.reshape(-1)] >= least_exponent
+        _, which, count = np.unique(group * size + word[at], return_inverse=True, return_counts=True)
+        kept = count[which] >= least_exponent
         if kept.all():
             first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
             long = np.diff(np.append(first, len(at))) >= least_length
@@ -298,12 +300,10 @@ def collapse(docs: DataFrame, text: str = "text", least_length: int = 24, least_
             data, offsets = joined(batch.column(text))
             hashes, begin, end, row = _words(data, offsets)
             first = np.searchsorted(row, np.arange(batch.num_rows + 1))
-            low, high = _stretches(hashes.view(np.int64), row, least_length, least_exponent)
-            of_stretch = [hashes[a:b] for a, b in zip(low, high, strict=True)]
-            distinct, number = np.unique(np.concatenate([np.zeros(0, np.uint64), *of_stretch]), return_inverse=True)
-            cuts = np.cumsum([0, *map(len, of_stretch)])
-            numbered = [number[a:b] + 1 for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            runs = find_runs(numbered, len(distinct) + 1, least_length, least_exponent)
+            distinct, number = np.unique(hashes, return_inverse=True)
+            low, high = _stretches(number, row, least_length, least_exponent)
+            stretches = [number[a:b] + 1 for a, b in zip(low, high, strict=True)]
+            runs = find_runs(stretches, len(distinct) + 1, least_length, least_exponent)
             start = low[runs[:, 0]] + runs[:, 1] if len(runs) else np.zeros(0, np.int64)
             length, period = runs[:, 2], runs[:, 3]
             order = np.lexsort((period, start))

@@ -138,12 +138,17 @@ def _planted(doc_id: Column, text: Column) -> Column:
     """The text; for one document in ten, by its id, its words go on periodically from one of them."""
     h = F.crc32(doc_id.cast("string"))
     g = F.floor(h / 10)
+
+    def periodic(words: Column) -> Column:
+        n = F.size(words)
+        a = F.pmod(g, F.greatest(n, F.lit(1))).cast("int")
+        p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))).cast("int")
+        places = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.when(i < a, i).otherwise(a + (i - a) % p))
+        return F.when(n > 0, F.array_join(F.transform(places, lambda i: F.get(words, i)), " ")).otherwise(text)
+
     words = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
-    n = F.size(words)
-    a = F.pmod(g, F.greatest(n, F.lit(1))).cast("int")
-    p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))).cast("int")
-    periodic = F.transform(words, lambda word, i: F.when(i < a, word).otherwise(F.get(words, a + (i - a) % p)))
-    return F.when((h % 10 == 0) & (n > 0), F.array_join(periodic, " ")).otherwise(text)
+    bound = F.transform(F.array(words), periodic)  # a variable, so that the words are split once
+    return F.when((h % 10 == 0) & text.isNotNull(), F.get(bound, F.lit(0))).otherwise(text)
 
 
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
