@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.frames import written
 
 
-def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """node, label for each node of the edges (a, b): label is the least node
     that can be reached.
 
@@ -22,7 +24,7 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     loops = edges.select("a", F.col("a").alias("b")).union(edges.select(F.col("b").alias("a"), "b"))
     near = written(ends.union(loops).distinct(), "edges")
     labels = written(near.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")), "labels-0")
-    for i in range(1, rounds):
+    for i in count(1):
         seen = near.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(
             F.min("label").alias("met"), F.max(F.when(F.col("a") == F.col("b"), F.col("label"))).alias("old")
         )
@@ -32,4 +34,3 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
         labels = moved.select("node", "label")
         if not moved.where("moved").take(1):
             return labels
-    raise RuntimeError(f"components did not settle in {rounds} rounds")

@@ -14,18 +14,13 @@ suffice, for empty segments as keys after all; all sets of that band then add
 these. Keys beyond what the pigeonhole needs are a set's to spare: it spends
 them on the fullest buckets (see `_open`).
 
-Candidates are verified by their whole sets. First, each set is compared to the
-least member of most of its buckets; sets that turn out linked to the same one
-need not be compared to each other. In small buckets the other pairs are rows.
-Large ones that share members are put together to clusters, cut into blocks of
-bounded size; a task takes two blocks, looks at pairs that share one of their
-rarest shingles, and returns links only. Equal sets are one set throughout. Shingles and sets are
-known by 64-bit hashes, sets by their size as well.
-
-Components need as many links as connect them, so what is already joined is not
-compared. With `links`, nothing is left out for that: every candidate pair is
-verified once, in the least cluster that has both sets or else as a row, and
-the block tasks return a number of links for each set instead of pairs.
+Every candidate pair is verified once by its whole sets, in the least cluster that
+has both or else as a row. In small buckets pairs are rows. Large ones that share
+members are put together to clusters, cut into blocks of bounded size; a task takes
+two blocks, looks at pairs that share one of their rarest shingles, and returns a
+number of links for each set and as many links as connect what is similar. Equal
+sets are one set throughout. Shingles and sets are known by 64-bit hashes, sets by
+their size as well.
 """
 
 from __future__ import annotations
@@ -38,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.components import components
-from shelfwise.llm.frames import chunks, empty, joined, written
+from shelfwise.llm.frames import chunks, joined, written
 from shelfwise.llm.hashing import LOWER, byte_set, mix, words
 
 SHINGLE = 5
@@ -251,8 +246,8 @@ def _keyed(asked: dict[int, list[int]], parts: int):
 
 
 def _met(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """bucket, set, own, centre for each member of a key with several sets. A
-    part's blobs are a hash range of all keys; centre is the least member."""
+    """bucket, set, own for each member of a key with several sets. A part's blobs
+    are a hash range of all keys."""
     blobs: dict[int, list[bytes]] = {}
     for batch in batches:
         for part, blob in zip(batch.column("part").to_pylist(), batch.column("blob").to_pylist(), strict=True):
@@ -271,13 +266,11 @@ def _met(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = np.diff(np.append(first, len(key)))
         several = np.repeat(size > 1, size)
         bucket = mix(key.astype(U) + mix(np.array([part], U))).view(np.int64)
-        centre = np.repeat(member[first], size)
         several = np.flatnonzero(several)
         for a in range(0, len(several), 200_000):
             at = several[a : a + 200_000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[at]), pa.array(member[at]), pa.array(flag[at].astype(bool)), pa.array(centre[at])],
-                names=["bucket", "set", "own", "centre"],
+                [pa.array(bucket[at]), pa.array(member[at]), pa.array(flag[at].astype(bool))], names=["bucket", "set", "own"]
             )
 
 
@@ -313,37 +306,24 @@ def _verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFra
     return pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
-def _labels(edges: DataFrame) -> DataFrame:
-    """node, label for each set with a confirmed link to a lesser one (b in an
-    edge): what two such steps from there reach. Equal labels mean that sets are
-    connected; connected sets need not have equal labels yet."""
-    step = edges.select(F.col("a").alias("label"), F.col("b").alias("far"))
-    labels = edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
-    for _ in range(2):
-        labels = labels.join(step, "label", "left").select("node", F.coalesce("far", "label").alias("label"))
-    return written(labels, "labels")
-
-
-def _open(members: DataFrame, labels: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members of buckets with several labels, and those of them that ask there: in
-    their own band, and not in a bucket that they can do without. Each set leaves out as many of its fullest buckets as it has keys to spare;
-    a partner meets it in another."""
-    known = members.join(labels, F.col("set") == F.col("node"), "left").select(
-        "bucket", "set", "own", F.coalesce("label", "set").alias("label")
-    )
-    mixed = known.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("cost"))
-    left = known.join(mixed.where("low < high").select("bucket", "cost"), "bucket")
-    left = written(left.join(classes.select("set", "n", "spare"), "set"), "open")
+def _open(members: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members with the size of their bucket, and those of them that ask there: in
+    their own band, and not in a bucket that they can do without. Each set leaves out
+    as many of its fullest buckets as it has keys to spare; a partner meets it in
+    another."""
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("cost"))
+    sets = classes.select("set", "n", "spare")
+    left = written(members.join(sizes, "bucket").join(sets, "set"), "open")
     order = Window.partitionBy("set").orderBy(F.col("cost").desc(), "bucket")
     asking = left.where("own").withColumn("rank", F.row_number().over(order)).where(F.col("rank") > F.col("spare"))
     return left, written(asking.drop("rank", "own", "spare"), "asking")
 
 
 def _small(left: DataFrame, asking: DataFrame) -> DataFrame:
-    """Pairs (a, b) with different labels in buckets up to the limit; a asks and is no larger."""
-    x = asking.where(F.col("cost") <= BUCKET_LIMIT).select("bucket", F.col("set").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"))
-    y = left.where(F.col("cost") <= BUCKET_LIMIT).select("bucket", F.col("set").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"))
-    pairs = x.join(y, "bucket").where("la <> lb and na <= nb and 5 * na >= 4 * nb")
+    """Pairs (a, b) in buckets up to the limit; a asks and is no larger."""
+    x = asking.where(F.col("cost") <= BUCKET_LIMIT).select("bucket", F.col("set").alias("a"), F.col("n").alias("na"))
+    y = left.where(F.col("cost") <= BUCKET_LIMIT).select("bucket", F.col("set").alias("b"), F.col("n").alias("nb"))
+    pairs = x.join(y, "bucket").where("a <> b and na <= nb and 5 * na >= 4 * nb")
     return pairs.select("a", "b").distinct()
 
 
@@ -365,46 +345,17 @@ def _prefixes(sets: list[np.ndarray]) -> tuple[np.ndarray, ...]:
     return owner, place, np.asarray(cuts), size
 
 
-def linked(sets: list[np.ndarray], labels: list[int], side: list[bool]) -> list[tuple[int, int]]:
-    """Similar pairs of sets with different labels that join what is not joined
-    yet, one from each side (or any two, if all are on one side).
-
-    Of two similar sets, each has one of the other's shingles among its rarest
-    |x| - 0.8 |x| + 1, by any order of all shingles; here the number of sets
-    that hold them. Pairs whose places in that order leave too few shingles to
-    share are not compared, nor those that links found before have joined.
-    """
-    owner, place, cuts, size = _prefixes(sets)
-    names, numbers = np.unique(labels, return_inverse=True)
-    root = numbers.copy()  # the component of each set, as far as known
-    side = np.array(side)
-    both = side.any() and not side.all()
-    compared: set[tuple[int, int]] = set()
-    found = []
-    for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
-        for i in range(begin, end - 1):
-            a = owner[i]
-            b, at = owner[i + 1 : end], place[i + 1 : end]
-            fits = (root[b] != root[a]) & (9 * np.minimum(size[a] - place[i], size[b] - at) >= 4 * (size[a] + size[b]))
-            if both:
-                fits &= side[b] != side[a]
-            for c in b[fits].tolist():
-                pair = (int(a), c)
-                if pair not in compared and root[c] != root[a]:
-                    compared.add(pair)
-                    if similar(sets[a], sets[c]):
-                        found.append(pair)
-                        root[root == root[c]] = root[a]
-    return found
-
-
 def counted(
     sets: list[np.ndarray], weights: np.ndarray, side: np.ndarray, both: bool, clusters: list[list[int]], cluster: int
 ) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """For each set the summed weights of the sets that are similar to it, one
     from each side (or any two, unless `both`), without pairs that are counted in
-    a lesser cluster; and links that connect what is similar. Only pairs that
-    share one of their rarest shingles are compared, see `linked`."""
+    a lesser cluster; and links that connect what is similar.
+
+    Of two similar sets, each has one of the other's shingles among its rarest
+    |x| - 0.8 |x| + 1, by any order of all shingles; here the number of sets that
+    hold them. Only pairs that share one of these are compared.
+    """
     owner, place, cuts, size = _prefixes(sets)
     n = len(sets)
     _, flat = np.unique(np.concatenate(sets), return_inverse=True)
@@ -453,12 +404,12 @@ def counted(
 def _clusters(left: DataFrame, asking: DataFrame) -> DataFrame:
     """cluster, set, component, n for the members of buckets above the limit."""
     asked = asking.where(F.col("cost") > BUCKET_LIMIT).select("bucket").distinct()
-    met = written(left.join(asked, "bucket", "left_semi").select("bucket", "set", "label", "n"), "large")
+    met = written(left.join(asked, "bucket", "left_semi").select("bucket", "set", "n"), "large")
     # a bucket's cluster is the least set within two steps of it; all its members go there, some to several clusters
     hubs = met.groupBy("bucket").agg(F.min("set").alias("hub"))
     near = met.join(hubs, "bucket").groupBy("set").agg(F.min("hub").alias("near"))
     clusters = met.join(near, "set").groupBy("bucket").agg(F.min("near").alias("cluster"))
-    return written(met.join(clusters, "bucket").select("cluster", "set", F.col("label").alias("component"), "n").distinct(), "clusters")
+    return written(met.join(clusters, "bucket").select("cluster", "set", "n").distinct(), "clusters")
 
 
 def _dealt(sets: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
@@ -473,36 +424,10 @@ def _dealt(sets: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
-def _large(left: DataFrame, asking: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links (a, b) between sets that meet in buckets above the limit."""
-    dealt = _dealt(_clusters(left, asking), texts, classes)
-
-    def compare(rows: pa.Table) -> pa.Table:
-        ids = rows.column("set").to_pylist()
-        sets = [np.frombuffer(s, U) for s in rows.column("shingles").to_pylist()]
-        side = [b == h for b, h in zip(rows.column("block").to_pylist(), rows.column("high").to_pylist(), strict=True)]
-        pairs = linked(sets, rows.column("component").to_pylist(), side)
-        return pa.table({"a": pa.array([ids[a] for a, _ in pairs], pa.int64()), "b": pa.array([ids[b] for _, b in pairs], pa.int64())})
-
-    return dealt.groupBy("cluster", "low", "high").applyInArrow(compare, "a long, b long")
-
-
-def _connecting(members: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links (a, b), as many as connect all similar sets."""
-    met = members.where("set <> centre").groupBy("set", "centre").agg(F.count("*").alias("n"))
-    best = met.groupBy("set").agg(F.max_by("centre", F.struct("n", "centre")).alias("b")).select(F.col("set").alias("a"), "b")
-    edges = written(_verified(written(best, "best"), texts, classes), "edges-1")
-    labels = _labels(edges)
-    left, asking = _open(members, labels, classes)
-    more = written(_verified(written(_small(left, asking), "small"), texts, classes), "edges-2")
-    most = written(_large(left, asking, texts, classes), "edges-3")
-    return edges.union(more).union(most)
-
-
 def _all_links(members: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
     """(a, b, n): links that connect all similar sets, and in rows with a = b how
     many documents other sets give a set as links, in parts to be summed."""
-    left, asking = _open(members, empty(texts.sparkSession, "node long, label long"), classes)
+    left, asking = _open(members, classes)
     weights = classes.select("set", "weight")
     sets = _clusters(left, asking)
     of_set = written(sets.groupBy("set").agg(F.sort_array(F.collect_set("cluster")).alias("clusters")), "of-set")
@@ -539,11 +464,11 @@ def _all_links(members: DataFrame, texts: DataFrame, classes: DataFrame) -> Data
     return many.union(few.select("a", "b", F.lit(0).cast("long"))).union(numbers.select("a", F.col("a").alias("b"), "n"))
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", links: bool = False) -> DataFrame:
-    """doc_id, n_shingles, component_id for each document: component_id is the
-    least doc_id that can be reached by links, its own if there are none. With
-    `links` also n_links, the number of other documents that it is linked to; an
-    id counts once for each set of shingles that it occurs with.
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links for each document: component_id is
+    the least doc_id that can be reached by links, its own if there are none;
+    n_links is the number of other documents that it is linked to, an id counting
+    once for each set of shingles that it occurs with.
 
     Null and blank texts have no shingles and no links. Documents without an id
     are returned with component_id null and link to nothing. Repeated rows are
@@ -555,7 +480,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", li
     known = written(texts.mapInArrow(_described, schema), "sets")
     usable = known.where("n > 0 and doc_id is not null")
     classes = written(
-        usable.groupBy("set", "n").agg(F.min("doc_id").alias("doc_id"), F.min("spare").alias("spare"), *([F.count_distinct("doc_id").alias("weight")] if links else [])), "classes"
+        usable.groupBy("set", "n").agg(F.min("doc_id").alias("doc_id"), F.min("spare").alias("spare"), F.count_distinct("doc_id").alias("weight")), "classes"
     )
     # at most a few wishes for each band and segment, however many sets ask for them
     wishes = usable.select("band", F.explode("asked").alias("wish")).distinct().collect()
@@ -566,22 +491,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", li
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     keyed = texts.where("doc_id is not null").select("text").mapInArrow(_keyed(asked, parts), "part int, blob binary")
     members = written(
-        keyed.repartition(parts // 4, "part").mapInArrow(_met, "bucket long, set long, own boolean, centre long"), "members"
+        keyed.repartition(parts // 4, "part").mapInArrow(_met, "bucket long, set long, own boolean"), "members"
     )
-    if links:
-        found = written(_all_links(members, texts, classes), "links")
-        labels = components(found.where("a <> b").select("a", "b"))
-        numbers = found.groupBy(F.col("a").alias("set")).agg(F.sum("n").alias("others"))
-        classes = classes.join(numbers, "set", "left").withColumn("links", F.coalesce("others", F.lit(0)) + F.col("weight") - 1)
-    else:
-        labels = components(_connecting(members, texts, classes))
-
+    found = written(_all_links(members, texts, classes), "links")
+    labels = components(found.where("a <> b").select("a", "b"))
+    numbers = found.groupBy(F.col("a").alias("set")).agg(F.sum("n").alias("others"))
+    classes = classes.join(numbers, "set", "left").withColumn("links", F.coalesce("others", F.lit(0)) + F.col("weight") - 1)
     named = classes.join(labels, F.col("set") == F.col("node"), "left").withColumn("label", F.coalesce("label", "set"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    final = written(named.join(least, "label").select("set", "n", "component_id", *(["links"] if links else [])), "final")
+    final = written(named.join(least, "label").select("set", "n", "component_id", "links"), "final")
     return known.join(final, ["set", "n"], "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
-        *([F.when(F.col("doc_id").isNotNull(), F.coalesce("links", F.lit(0))).otherwise(0).alias("n_links")] if links else []),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("links", F.lit(0))).otherwise(0).alias("n_links"),
     )

@@ -81,11 +81,6 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-def op6_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The join with the number of links of each document, every link verified."""
-    return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"), links=True)
-
-
 def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row whose id is divisible by 20 against all rows."""
     return topk_search.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
@@ -191,7 +186,6 @@ QUERIES = {
         op4_html_text,
         op5_packing,
         op6_jaccard_join,
-        op6_jaccard_links,
         op7_topk_search,
         op8_suffix_dedup,
         op9_quality,
@@ -252,8 +246,9 @@ WITH RECURSIVE docs AS (
     UNION
     SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other
 )
-SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(n_links, 0) AS n_links
 FROM (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)
+LEFT JOIN (SELECT a AS doc_id, count(*) AS n_links FROM links GROUP BY a) USING (doc_id)
 """,
     "op7_topk_search": """
 WITH usable AS (
@@ -294,9 +289,3 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN i END AS prefix_chars, CA
 FROM parts
 """,
 }
-
-#: The same with the number of links; the query's SQL above stays as it is.
-ORACLE_SQL["op6_jaccard_links"] = ORACLE_SQL["op6_jaccard_join"].replace(
-    "SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id\nFROM (",
-    "SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(n_links, 0) AS n_links\nFROM (",
-) + "LEFT JOIN (SELECT a AS doc_id, count(*) AS n_links FROM links GROUP BY a) USING (doc_id)\n"
