@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +13,10 @@ from shelfwise.schema import NA_TOKENS
 # take `1d`, `1f` and hexadecimal floats.
 _NUMBER = r"^\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\s*$"
 _INFINITY = r"^[+-]?(?i:inf(?:inity)?)$"
+_NUMBER_OR_INFINITY = f"{_NUMBER}|{_INFINITY}"
+_WHOLE = r"^\s*[+-]?\d{1,18}\s*$"
+# Sign, digits before and after the point, exponent.
+_PARTS = r"^\s*([+-]?)(\d*)\.?(\d*)(?:[eE]([+-]?\d+))?\s*$"
 
 
 def na_to_null(text: Column) -> Column:
@@ -21,39 +27,91 @@ def na_to_null(text: Column) -> Column:
 def to_number(text: Column) -> Column:
     """Text as DOUBLE; NULL where it is not a plain number or too large for one."""
     number = text.try_cast("double")
-    finite = F.when(F.abs(number) < F.lit(float("inf")), number)
-    return F.when(text.rlike(_NUMBER), finite).when(text.rlike(_INFINITY), number)
+    return F.when(text.rlike(_NUMBER_OR_INFINITY) & ((F.abs(number) < F.lit(float("inf"))) | text.rlike(_INFINITY)), number)
 
 
-def number_key(text: Column) -> Column:
-    """One text for each number, however it is written: `12`, `12.0` and `1.2e1`
-    are `12`, `1.50` is `15e-1`. No digit is lost, so different numbers stay
-    apart; text that is no number is NULL."""
-    plain = F.trim(F.regexp_replace(text, r"\s", " "))
-    body = F.regexp_replace(plain, r"^[+-]", "")
-    part = [F.regexp_extract(body, r"^(\d*)\.?(\d*)(?:[eE]([+-]?\d+))?$", i) for i in (1, 2, 3)]
-    digits = F.ltrim(F.concat(part[0], part[1]), F.lit("0"))
+# A number's key is made in steps, each of which uses the one before several times.
+# They are bound as variables of one-element transforms, so that none is spelled out
+# again wherever it is used, and nothing but whole numbers is part of generated code.
+
+
+def whole_number(text: Column) -> Column:
+    """Text as BIGINT where it is a whole number of up to 18 digits, as nearly all
+    identifiers are; else NULL."""
+    return F.when(text.rlike(_WHOLE), text.try_cast("bigint"))
+
+
+def _parts(text: Column) -> Column:
+    """Sign, digits before and after the point, and exponent of a number; NULL for
+    any other text."""
+    return F.when(text.rlike(_NUMBER), F.split(F.regexp_replace(text, _PARTS, "$1,$2,$3,$4"), ","))
+
+
+def _significant(parts: Column) -> Column:
+    """All digits of a number from its first one that is not 0 on."""
+    return F.ltrim(F.concat(parts[1], parts[2]), F.lit("0"))
+
+
+def _scaled(parts: Column, digits: Column) -> Column:
+    """The digits without zeros at the end, the power of ten they are multiplied by,
+    and the exponent as it is written; the power is NULL if that has over 17 digits."""
     short = F.rtrim(digits, F.lit("0"))
-    power = F.coalesce(F.nullif(part[2], F.lit("")).try_cast("int"), F.lit(0)) - F.length(part[1])
-    power = power + F.length(digits) - F.length(short)
-    sign = F.when(plain.startswith("-"), "-").otherwise("")
-    written = F.when((power >= 0) & (power <= 30), F.concat(sign, short, F.repeat(F.lit("0"), power))).otherwise(
-        F.concat(sign, short, F.lit("e"), power.cast("string"))
+    shift = F.length(digits) - F.length(short) - F.length(parts[2])
+    size = F.regexp_replace(parts[3], "^[+-]?0*", "")
+    exponent = F.concat(F.when(parts[3].startswith("-"), "-").otherwise(""), size)
+    power = F.when(size == "", F.lit(0).cast("bigint")).when(F.length(size) <= 17, exponent.try_cast("bigint")) + shift
+    return F.struct(short.alias("short"), power.alias("power"), shift.alias("shift"), exponent.alias("exponent"))
+
+
+def _scaled_key(text: Column, parts: Column, number: Column) -> Column:
+    """The key of a number from its parts, of an infinity from its text."""
+    sign = F.when(parts[0] == "-", "-").otherwise("")
+    short, power = number["short"], number["power"]
+    key = (
+        F.when(short == "", "0")
+        .when(power.isNull(), F.concat(sign, short, F.lit("e"), number["exponent"], F.lit("e"), number["shift"].cast("string")))
+        .when(power.between(0, 30), F.concat(sign, short, F.repeat(F.lit("0"), power.cast("int"))))
+        .otherwise(F.concat(sign, short, F.lit("e"), power.cast("string")))
     )
-    too_far = F.length(part[2]) > 9
-    number = F.when(short == "", "0").when(~too_far, written)
     infinite = F.concat(F.when(text.startswith("-"), "-").otherwise(""), F.lit("inf"))
-    return F.when(text.rlike(_NUMBER), number).when(text.rlike(_INFINITY), infinite)
+    return F.when(parts.isNotNull(), key).when(text.rlike(_INFINITY), infinite)
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)`, with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def other_key(text: Column, whole: Column) -> Column:
+    """The `number_key` of a text that is no `whole_number`, else NULL."""
+    key = _bound(
+        _parts(text),
+        lambda parts: _bound(
+            _significant(parts),
+            lambda digits: _bound(_scaled(parts, digits), lambda number: _scaled_key(text, parts, number)),
+        ),
+    )
+    return F.when(whole.isNull(), key)
+
+
+def number_key(text: Column) -> Column:
+    """One text for each number, however it is written: `12`, `12.0` and `1.2e1`
+    are `12`, `1.50` is `15e-1`. No digit is lost, so different numbers stay
+    apart; text that is no number is NULL. Numbers with an exponent of over 17
+    digits have the same key only if they are written with the same exponent.
+
+    See `operators.keys` for whole columns of a frame."""
+    return _bound(whole_number(text), lambda whole: F.coalesce(whole.cast("string"), other_key(text, whole)))
 
 
 def key_to_identifier(key: Column) -> Column:
     """The BIGINT that a `number_key` names, NULL if it names none."""
-    return F.when(key.rlike(r"^-?\d+$"), key.try_cast("bigint"))
+    return key.try_cast("bigint")
 
 
 def to_identifier(text: Column) -> Column:
     """Text as BIGINT; `12`, `12.0` and `1.2e1` agree, fractions give NULL."""
-    return key_to_identifier(number_key(text))
+    return F.coalesce(whole_number(text), key_to_identifier(number_key(text)))
 
 
 def parse_price(text: Column) -> Column:

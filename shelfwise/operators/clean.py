@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from shelfwise.config import ListingConfig
 from shelfwise.functions import listing, text
+from shelfwise.operators.keys import with_number_key
 from shelfwise.operators.median import exact_median
 from shelfwise.schema import (
     METADATA_COLUMNS,
@@ -21,10 +22,10 @@ from shelfwise.schema import (
 def enforce_schema(raw: DataFrame) -> DataFrame:
     """Numeric columns from text, unusable text to NULL. Other columns pass, as
     does an identifier that is a number already."""
-    typed = {c: text.to_number(F.col(c).cast("string")) for c in NUMERIC_COLUMNS}
-    if not isinstance(raw.schema["product_id"].dataType, T.LongType):
-        typed["product_id"] = text.to_identifier(F.col("product_id").cast("string"))
-    return raw.withColumns(typed)
+    typed = raw.withColumns({c: text.to_number(F.col(c).cast("string")) for c in NUMERIC_COLUMNS})
+    if isinstance(raw.schema["product_id"].dataType, T.LongType):
+        return typed
+    return with_number_key(typed, F.col("product_id").cast("string"), "_product_key").drop("_product_key")
 
 
 def drop_metadata(df: DataFrame) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.config import ListingConfig
-from shelfwise.functions import text
 from shelfwise.operators.clean import (
     clean_prices,
     discount_fill_value,
@@ -17,14 +16,14 @@ from shelfwise.operators.clean import (
 )
 from shelfwise.operators.dedup import keep_latest
 from shelfwise.operators.features import add_features
+from shelfwise.operators.keys import with_number_key
 from shelfwise.schema import PROCESSED_SCHEMA
 
 
 def identified(raw: DataFrame) -> DataFrame:
     """Adds `product_key`, which tells products apart, and makes the identifier a
     number where it is one."""
-    keyed = raw.withColumn("product_key", text.number_key(F.col("product_id").cast("string")))
-    return keyed.withColumn("product_id", text.key_to_identifier(F.col("product_key")))
+    return with_number_key(raw, F.col("product_id").cast("string"))
 
 
 def latest_versions(raw: DataFrame) -> DataFrame:

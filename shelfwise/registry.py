@@ -18,6 +18,7 @@ from shelfwise.schema import LAKE_SCHEMA, NA_TOKENS
 from shelfwise.session import scratch_dir
 from shelfwise.sources.batches import micro_batches, with_split
 from shelfwise.sources.csv import scan_listing_csv
+from shelfwise.sources.sample_feed import number_forms
 from shelfwise.sources.lake import append_to_lake, hour_counts, read_lake
 from shelfwise.streaming import jobs, messages
 
@@ -199,6 +200,13 @@ def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transform.latest_versions(staging.lake(spark, sf_dir))
 
 
+def dedup_number_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest row of each product where identifiers are written in many ways."""
+    return transform.latest_versions(number_forms(staging.lake(spark, sf_dir))).select(
+        "product_key", "product_id", "title", "_batch_id", "_row_id"
+    )
+
+
 def step_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transform.step_counters(staging.lake(spark, sf_dir), staging.processed(spark, sf_dir))
 
@@ -233,6 +241,7 @@ def queries() -> dict[str, Query]:
         validate_clamp,
         sql_functions,
         dedup_latest,
+        dedup_number_forms,
         step_counters,
     ]
     return {

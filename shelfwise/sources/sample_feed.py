@@ -59,6 +59,31 @@ def sample_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def number_forms(feed: DataFrame) -> DataFrame:
+    """A feed whose identifiers are written in many ways, by `_batch_id`: as whole
+    numbers with signs, blanks, zeros, points and exponents, as fractions, as numbers
+    beyond any integer or double, and as no numbers."""
+    number = F.col("product_id")
+    forms = [
+        number,
+        F.concat(F.lit("+"), number, F.lit(".0")),
+        F.concat(F.lit(" "), number, F.lit(" ")),
+        F.concat(F.lit("00"), number),
+        F.concat(number, F.lit("0e-1")),
+        F.concat(number, F.lit(".5")),
+        F.concat(number, F.lit("5E-1")),
+        F.concat(number, F.lit("e40")),
+        F.concat(F.lit("-"), number),
+        F.concat(number, F.lit("e9999999999")),
+        F.concat(number, F.lit("00e9999999998")),
+        F.concat(F.lit("part "), number),
+        F.concat(number, F.lit("00000000000000000000.25")),
+        F.lit("Infinity"),
+    ]
+    position = (F.col("_batch_id") % len(forms) + 1).cast("int")
+    return feed.withColumn("product_id", F.element_at(F.array(*forms), position))
+
+
 def _units(cents: Column, grouped: bool = False) -> Column:
     """Cents as units and two digits, with a thousands comma if grouped."""
     whole = F.floor(cents / 100)

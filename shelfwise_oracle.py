@@ -269,6 +269,26 @@ SELECT _batch_id, _row_id, price,
        WHEN r >= 3.0 THEN 'average' ELSE 'poor' END AS ratings_tier
 FROM priced""",
     ),
+    "dedup_number_forms": _raw("""
+, forms AS (
+  SELECT *, _batch_id % 14 AS form, rtrim(product_id, '0') AS short, len(product_id) - len(rtrim(product_id, '0')) AS zeros
+  FROM feed
+), keyed AS (
+  SELECT *, CASE WHEN form <= 4 THEN product_id
+      WHEN form <= 6 THEN ltrim(product_id || '5', '0') || 'e-1'
+      WHEN product_id = '0' AND form <= 10 THEN '0'
+      WHEN form = 7 THEN short || 'e' || (40 + zeros)
+      WHEN form = 8 THEN '-' || product_id
+      WHEN form = 9 THEN short || 'e' || (9999999999 + zeros)
+      WHEN form = 10 THEN short || 'e' || (10000000000 + zeros)
+      WHEN form = 12 THEN ltrim(product_id || repeat('0', 20) || '25', '0') || 'e-2'
+      WHEN form = 13 THEN 'inf' END AS product_key
+  FROM forms
+)
+SELECT product_key, CAST(product_id AS BIGINT) AS product_id, title, _batch_id, _row_id FROM (
+  SELECT * REPLACE (CASE WHEN form IN (0, 1, 2, 3, 4, 8) OR product_key = '0' THEN product_key END AS product_id) FROM keyed
+  QUALIFY row_number() OVER (PARTITION BY product_key ORDER BY _ingested_at DESC, _batch_id DESC, _row_id DESC) = 1
+)"""),
     "dedup_latest": _with(
         FEED,
         LATEST.format(source="feed"),

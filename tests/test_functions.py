@@ -9,8 +9,13 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from shelfwise.config import ListingConfig
 from shelfwise.functions import exact, listing, text
-from shelfwise.schema import NA_TOKENS
+from shelfwise.operators import clean
+from shelfwise.operators.features import add_features
+from shelfwise.operators.keys import with_number_key
+from shelfwise.plans import transform
+from shelfwise.schema import LAKE_SCHEMA, NA_TOKENS
 
 
 def apply(spark, expression, values, kind="string"):
@@ -65,7 +70,10 @@ NUMBER_KEYS = {
     "1.5": "15e-1", "2.5": "25e-1", ".5": "5e-1", "5.": "5", "1e3": "1000", "1e300": "1e300", "-1e-7": "-1e-7",
     "99999999999999999999": "99999999999999999999", "88888888888888888888": "88888888888888888888",
     "9007199254740994.0": "9007199254740994", "9007199254740993": "9007199254740993", "inf": "inf", "-Infinity": "-inf",
-    "1e9999999999": None, "x": None, "": None, "1,000": None, "1d": None, None: None,
+    "1e9999999999": "1e9999999999", "20e9999999998": "2e9999999999", "-1e-9999999999": "-1e-9999999999", "x": None,
+    "1e" + "9" * 17: "1e" + "9" * 17, "10e" + "9" * 17: "1e1" + "0" * 17, "1e+0" + "9" * 40: "1e" + "9" * 40 + "e0",
+    "2e-" + "9" * 40: "2e-" + "9" * 40 + "e0", "0e" + "9" * 40: "0", "1e0030": "1" + "0" * 30, "1e31": "1e31",
+    "123456789012345678901.50": "1234567890123456789015e-1", "-000000000000000000012": "-12", "": None, "1,000": None, "1d": None, None: None,
 }
 
 
@@ -73,6 +81,33 @@ def test_number_keys(spark):
     assert apply(spark, text.number_key, list(NUMBER_KEYS)) == list(NUMBER_KEYS.values())
 
 
+def test_keys_of_a_column_are_those_of_the_expression(spark):
+    rows = spark.createDataFrame([(t, 1) for t in NUMBER_KEYS], "product_id string, other int")
+    got = with_number_key(rows, F.col("product_id"), "key", "id").collect()
+    assert [r.key for r in got] == list(NUMBER_KEYS.values())
+    assert [r.id for r in got] == [int(k) if k and k.lstrip("-").isdigit() and abs(int(k)) < 2**63 else None for k in NUMBER_KEYS.values()]
+    assert got[0].asDict().keys() == {"product_id", "other", "key", "id"}
+
+
+def test_typing_compiles_in_one_piece(spark, tmp_path):
+    """The steps of a key are no copies of each other: generated code stays below the
+    8000 bytes to which the JVM compiles a method, and far from the 64 KB of Spark."""
+    path = f"{tmp_path}/raw"
+    spark.createDataFrame([], LAKE_SCHEMA).write.parquet(path)
+    raw = spark.read.schema(LAKE_SCHEMA).parquet(path)
+    typed = clean.clean_prices(clean.enforce_schema(raw))
+    featured = add_features(clean.fill_missing(typed, 1.0))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # or a plan has no code before it runs
+    try:
+        for df in (clean.enforce_schema(raw), featured, transform.process(raw, ListingConfig(discount_fill="zero"))):
+            plan = df._jdf.queryExecution().executedPlan()
+            code = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(plan)
+            sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(-?\d+)", code)]
+            assert sizes and 0 < min(sizes) and max(sizes) < 8000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_identifiers(spark):
     assert apply(spark, text.to_identifier, list(IDENTIFIERS)) == list(IDENTIFIERS.values())
 
