@@ -14,6 +14,7 @@ from shelfwise.plans.warehouse import Star, read_star, write_star
 from shelfwise.sources.batches import micro_batches, with_split
 from shelfwise.sources.csv import scan_listing_csv
 from shelfwise.sources.lake import ingest_once, read_lake, utc_now
+from shelfwise.sources.manifest import is_finished
 
 PUBLISHED_SCHEMA = "run_id string, published_at bigint"
 
@@ -37,11 +38,14 @@ def ingest_csv(
     """Adds a CSV source to the raw lake in numbered micro-batches, once.
 
     A repeated ingest of the same id, by default that of the source's files,
-    changes nothing; says whether rows were added.
+    changes nothing and does not read the source again; says whether rows were added.
     """
+    ingest_id = ingest_id or source_id(spark, source)
+    if is_finished(spark, lake, ingest_id):
+        return False
     rows = with_split(scan_listing_csv(spark, source, multi_line))
     stamped = micro_batches(rows, conf.batch_rows).withColumn("_ingested_at", utc_now())
-    return ingest_once(stamped, lake, ingest_id or source_id(spark, source))
+    return ingest_once(stamped, lake, ingest_id)
 
 
 def load(

@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.operators.union import union_by_name
 from shelfwise.schema import ATTEMPT, LAKE_SCHEMA, RAW_COLUMNS
-
-HOUR_COLUMNS = ["ingest_year", "ingest_month", "ingest_day", "ingest_hour"]
+from shelfwise.sources import manifest
+from shelfwise.sources.manifest import HOUR_COLUMNS
 
 # Fixed value: the directory layout of foreign lakes, <year>/<month>/<day>/<hour>/.
 _HOUR_PATH = r"/(\d{4})/(\d{2})/(\d{2})/(\d{2})/[^/]*$"
@@ -35,97 +33,120 @@ def with_hour(df: DataFrame, stamp: str = "_ingested_at") -> DataFrame:
     )
 
 
-def append_to_lake(df: DataFrame, path: str, many_hours: bool = True) -> None:
-    """Appends stamped rows, an hour per directory.
+def append_to_lake(df: DataFrame, path: str, many_hours: bool = True, ingest_id: str | None = None) -> None:
+    """Appends stamped rows, an hour per directory, and notes them in the lake's log.
 
     With `many_hours`, the rebalance hint gathers an hour into few files and
     lets adaptive execution split an hour that is larger than others. Rows that
     share one time of arrival are written without a shuffle.
+
+    Known columns are written in the lake's types. Rows that name their attempt
+    already are written only; readers see them once the caller notes that attempt.
     """
-    if written_by_stream(df.sparkSession, path):
+    spark = df.sparkSession
+    if written_by_stream(spark, path):
         raise ValueError(f"{path} belongs to a stream, readers would not see these rows")
-    hourly = with_hour(df)
-    if many_hours:
-        hourly = hourly.hint("rebalance", *HOUR_COLUMNS)
-    hourly.write.mode("append").partitionBy(*HOUR_COLUMNS).parquet(path)
+    known = {f.name: F.col(f.name).cast(f.dataType) for f in LAKE_SCHEMA.fields if f.name in df.columns}
+    hourly = with_hour(df.withColumns(known))
+    if ATTEMPT in df.columns:
+        _write(hourly, path, many_hours)
+        return
+    attempt, seen = manifest.new_attempt(), Observation()
+    stamp = F.col("_ingested_at")
+    # least and greatest stay the same if a task is repeated
+    marked = hourly.withColumn(ATTEMPT, F.lit(attempt)).observe(
+        seen, F.min(stamp).alias("first"), F.max(stamp).alias("last"), F.coalesce(F.bool_or(stamp.isNull()), F.lit(False)).alias("unstamped")
+    )
+    _write(marked, path, many_hours)
+    directories = manifest.written_directories(spark, path, attempt, **seen.get)
+    manifest.commit(spark, path, ingest_id or attempt, attempt, directories, surplus_columns(df.schema))
+
+
+def _write(hourly: DataFrame, path: str, many_hours: bool) -> None:
+    rows = hourly.hint("rebalance", *HOUR_COLUMNS) if many_hours else hourly
+    rows.write.mode("append").partitionBy(*HOUR_COLUMNS, ATTEMPT).parquet(path)
 
 
 def read_lake(spark: SparkSession, *paths: str, since: datetime | None = None) -> DataFrame:
     """The rows of one or more lake directories, optionally from an hour on.
 
-    Directories of earlier hours are not read then. Columns beyond the known
-    ones are read as the files have them. Rows of ingests that did not finish
-    are left out.
+    A lake with a log is read by it: directories of earlier hours are not even
+    listed, no footer is read for the schema, and rows of appends that did not
+    finish are left out. Columns beyond the known ones are NULL where an append
+    lacks them, and text if appends have them in different types. Directories of
+    streams are read by the list that their sink keeps.
     """
-    rows = union_by_name([_finished_rows(spark, path) for path in paths])
-    if since is None:
-        return rows
+    frames = [_logged_rows(spark, p, since) if manifest.has_log(spark, p) else _other_rows(spark, p) for p in paths]
+    rows = union_by_name(frames)
+    return rows if since is None else rows.where(_reached(since))
+
+
+def _reached(since: datetime) -> Column:
+    """Whether an hour is that of an instant or a later one."""
     reached = F.lit(True)
     for column, part in reversed(list(zip(HOUR_COLUMNS, [since.year, since.month, since.day, since.hour]))):
         reached = (F.col(column) > part) | ((F.col(column) == part) & reached)
-    return rows.where(reached)
+    return reached
 
 
-def surplus_columns(spark: SparkSession, path: str) -> list[T.StructField]:
-    """Columns of a directory's files that the lake's schema does not name."""
+def surplus_columns(schema: T.StructType) -> T.StructType:
+    """Columns that the lake's schema does not name."""
     known = {*LAKE_SCHEMA.fieldNames(), *HOUR_COLUMNS, ATTEMPT}
-    found = spark.read.option("mergeSchema", True).parquet(path).schema
-    return [f for f in found.fields if f.name not in known]
+    return T.StructType([f for f in schema.fields if f.name not in known])
 
 
-def _finished_rows(spark: SparkSession, path: str) -> DataFrame:
-    extra = T.StructType([*LAKE_SCHEMA.fields, *surplus_columns(spark, path), T.StructField(ATTEMPT, T.StringType())])
+def _with_hours(surplus: str) -> str:
+    """Columns of a lake's files with some further ones, as they are declared to readers."""
     hours = ", ".join(f"{c} INT" for c in HOUR_COLUMNS)
-    rows = spark.read.schema(f"{extra.toDDL()}, {hours}").parquet(path)
-    if not _exists(spark, ingests_path(path)):
-        return rows.where(F.col(ATTEMPT).isNull()).drop(ATTEMPT)
-    finished = read_ingests(spark, path).select(ATTEMPT).distinct()
-    return rows.join(finished.withColumn("_done", F.lit(True)), ATTEMPT, "left").where(
-        F.col(ATTEMPT).isNull() | F.col("_done")
-    ).drop("_done", ATTEMPT)
-
-
-def ingests_path(lake: str) -> str:
-    """Where the finished ingests of a lake are noted, beside its directory."""
-    return f"{lake.rstrip('/')}_ingests"
-
-
-def read_ingests(spark: SparkSession, lake: str) -> DataFrame:
-    return spark.read.schema(f"ingest_id STRING, {ATTEMPT} STRING").parquet(ingests_path(lake))
+    return ", ".join(filter(None, [LAKE_SCHEMA.toDDL(), surplus, hours, f"{ATTEMPT} STRING"]))
+
+
+def _logged_rows(spark: SparkSession, path: str, since: datetime | None) -> DataFrame:
+    """One scan for each set of surplus columns that occurs, over the directories of
+    its appends. The log's rows are what the driver plans a scan from."""
+    log = manifest.read_log(spark, path).where("directory IS NOT NULL")
+    entries = (log if since is None else log.where(_reached(since))).select("directory", "surplus").collect()
+    groups: dict[tuple, list[str]] = {}
+    for directory, surplus in entries:
+        groups.setdefault(tuple(tuple(c) for c in surplus), []).append(f"{path.rstrip('/')}/{directory}")
+    types: dict[str, set[str]] = {}
+    for group in groups:
+        for name, kind in group:
+            types.setdefault(name, set()).add(kind)
+    frames = []
+    for group, directories in groups.items():
+        declared = _with_hours(", ".join(f"`{name}` {kind}" for name, kind in group))
+        rows = spark.read.schema(declared).option("basePath", path).parquet(*sorted(directories))
+        frames.append(rows.withColumns({name: F.col(f"`{name}`").cast("string") for name, _ in group if len(types[name]) > 1}))
+    if not frames:
+        return spark.createDataFrame([], _with_hours("")).drop(ATTEMPT)
+    return union_by_name(frames).drop(ATTEMPT)
+
+
+def _other_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a directory without a log: the files that a stream's sink has listed,
+    or Parquet files from elsewhere, which have to agree on their columns' types."""
+    found = spark.read.option("mergeSchema", not written_by_stream(spark, path)).parquet(path).schema
+    surplus = surplus_columns(found)
+    return spark.read.schema(_with_hours(surplus.toDDL() if surplus.fields else "")).parquet(path).drop(ATTEMPT)
 
 
 def ingest_once(df: DataFrame, path: str, ingest_id: str) -> bool:
     """Appends rows that arrive at one time, unless an ingest of this id has
-    finished; says whether it did. Rows carry the attempt that wrote them, and an
-    attempt counts once it is noted as finished, so what a failed one left behind
-    is never read."""
-    spark = df.sparkSession
-    if _exists(spark, ingests_path(path)) and read_ingests(spark, path).where(F.col("ingest_id") == ingest_id).take(1):
+    finished; says whether it did."""
+    if manifest.is_finished(df.sparkSession, path, ingest_id):
         return False
-    attempt = uuid.uuid4().hex
-    append_to_lake(df.withColumn(ATTEMPT, F.lit(attempt)), path, many_hours=False)
-    note = spark.range(1).select(F.lit(ingest_id).alias("ingest_id"), F.lit(attempt).alias(ATTEMPT))
-    note.write.mode("append").parquet(ingests_path(path))
+    append_to_lake(df, path, many_hours=False, ingest_id=ingest_id)
     return True
 
 
 def written_by_stream(spark: SparkSession, path: str) -> bool:
     """Whether a streaming sink keeps the list of a directory's files."""
-    return _exists(spark, f"{path}/_spark_metadata")
+    return manifest.exists(spark, f"{path}/_spark_metadata")
 
 
 def holds_batch_files(spark: SparkSession, path: str) -> bool:
-    return _exists(spark, path) and not written_by_stream(spark, path)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.text(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    return manifest.exists(spark, path) and not written_by_stream(spark, path)
 
 
 def read_foreign_lake(

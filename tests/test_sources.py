@@ -5,10 +5,11 @@ from datetime import datetime, timezone
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.plans.transform import process
-from shelfwise.schema import LAKE_SCHEMA
-from shelfwise.sources import lake
+from shelfwise.schema import ATTEMPT, LAKE_SCHEMA
+from shelfwise.sources import lake, manifest
 from shelfwise.sources.batches import micro_batches, source_ordinal, with_split
 from shelfwise.sources.csv import scan_listing_csv
 from tests.test_operators import raw_rows
@@ -155,6 +156,58 @@ def test_lake_reads_only_hours_since(spark, tmp_path):
     assert len(recent.inputFiles()) > 0
 
 
+def test_since_opens_only_the_files_of_later_hours(spark, tmp_path):
+    path = str(tmp_path / "lake")
+    lake.append_to_lake(stamped(spark), path)
+    recent = lake.read_lake(spark, path, since=datetime(2024, 2, 5, 13))
+    hours = {f.split("ingest_hour=")[1].split("/")[0] for f in recent.inputFiles()}
+    assert hours == {str(h) for h in range(13, 24, 2)}
+    for old in (tmp_path / "lake/ingest_year=2024/ingest_month=1").rglob("*.parquet"):
+        old.write_bytes(b"no longer readable")  # neither data nor footers of other hours are looked at
+    assert recent.count() == lake.read_lake(spark, path, since=datetime(2024, 2, 5, 13)).count() > 0
+    assert lake.read_lake(spark, path, since=datetime(2030, 1, 1)).count() == 0
+
+
+def test_surplus_columns_of_two_types_are_text(spark, tmp_path):
+    path = str(tmp_path / "lake")
+    for i, extra in enumerate([F.lit("ten"), F.lit(10), F.lit(2.5), None]):
+        rows = stamped(spark).limit(2)
+        lake.append_to_lake(rows if extra is None else rows.withColumn("extra", extra).withColumn(f"own{i}", F.lit(i)), path)
+    got = lake.read_lake(spark, path)
+    assert dict(got.dtypes)["extra"] == "string" and dict(got.dtypes)["own1"] == "int"
+    assert sorted(str(r.extra) for r in got.collect()) == ["10", "10", "2.5", "2.5", "None", "None", "ten", "ten"]
+
+
+def test_an_attempt_counts_once_it_is_in_the_log(spark, tmp_path):
+    path = str(tmp_path / "lake")
+    rows = stamped(spark)
+    lake.append_to_lake(rows.withColumn(ATTEMPT, F.lit("early")), path)
+    lake.append_to_lake(rows.withColumn(ATTEMPT, F.lit("late")), path)
+    assert lake.ingest_once(rows.limit(0), path, "nothing") and not lake.ingest_once(rows, path, "nothing")
+    assert lake.read_lake(spark, path).count() == 0
+    for attempt in ("early", "late"):  # both attempts at one ingest finish
+        found = manifest.written_directories(spark, path, attempt, datetime(2024, 1, 5, 0), datetime(2024, 2, 5, 23))
+        manifest.commit(spark, path, "one", attempt, found, T.StructType())
+        assert lake.read_lake(spark, path).count() == 200
+    files = [f for f in (tmp_path / "lake_log").glob("*.parquet")]
+    assert len(files) == 3  # one file for each entry
+
+
+def test_known_columns_are_written_in_the_types_of_the_lake(spark, tmp_path):
+    path = str(tmp_path / "lake")
+    lake.append_to_lake(stamped(spark).withColumn("product_id", F.lit(7)).withColumn("_batch_id", F.lit(1)), path)
+    rows = lake.read_lake(spark, path)
+    assert rows.schema["product_id"].dataType == T.StringType() and {r.product_id for r in rows.collect()} == {"7"}
+
+
+def test_rows_without_an_hour(spark, tmp_path):
+    path = str(tmp_path / "lake")
+    lake.append_to_lake(stamped(spark).withColumn("_ingested_at", F.lit(None).cast("timestamp_ntz")), path)
+    lake.append_to_lake(stamped(spark).withColumn("_ingested_at", F.expr("CASE WHEN product_id < 150 THEN _ingested_at END")), path)
+    assert lake.read_lake(spark, path).where("ingest_hour IS NULL").count() == 250
+    assert lake.read_lake(spark, path).count() == 400
+
+
 def foreign(tmp_path):
     """Files as a pandas writer leaves them; one has a column without values."""
     rows = [
