@@ -18,12 +18,20 @@ from shelfwise.schema import LAKE_SCHEMA, NA_TOKENS
 from shelfwise.session import scratch_dir
 from shelfwise.sources.batches import micro_batches, with_split
 from shelfwise.sources.csv import scan_listing_csv
+from shelfwise.sources.lake import append_to_lake, hour_counts, import_foreign_lake, read_lake
 from shelfwise.sources.sample_feed import number_forms
-from shelfwise.sources.lake import append_to_lake, hour_counts, read_lake
 from shelfwise.streaming import jobs, messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# How the hours of a foreign lake differ: columns that are missing, further ones, other types.
+FOREIGN_KINDS = [
+    lambda rows: rows.drop("videos", "_row_id"),
+    lambda rows: rows.withColumns({"product_id": F.col("product_id").cast("bigint"), "brand": F.concat(F.lit("b"), "currency")}),
+    lambda rows: rows.drop("_ingested_at", "variations").withColumn("rating", F.col("rating").cast("double")),
+    lambda rows: rows.withColumns({"_ingested_at": F.col("_ingested_at").cast("string"), "_batch_id": F.col("_batch_id").cast("int")}),
+]
+
 EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value", "props"]
 
 
@@ -80,6 +88,37 @@ def lake_since(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hour_counts(read_lake(spark, path, since=datetime(1996, 5, 1, 0)))
 
 
+def foreign_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings as another writer keeps them, a directory for each hour and columns
+    that differ from hour to hour, imported into a lake and read from there."""
+
+    def write(path: str) -> None:
+        month = F.date_trunc("month", F.col("_ingested_at")).cast("timestamp_ntz")
+        feed = staging.lake(spark, sf_dir).withColumn("_ingested_at", month)
+        for hour, kind in enumerate(FOREIGN_KINDS):
+            rows = feed.where(F.year("_ingested_at") % len(FOREIGN_KINDS) == hour)
+            kind(rows).write.parquet(f"{path}/2024/01/02/{hour:02d}")
+
+    path = staging.staged(spark, sf_dir, "foreign", write)
+    lake = f"{scratch_dir(spark)}/lake"
+    import_foreign_lake(spark, path, lake, ["brand"])
+    return read_lake(spark, lake).select(
+        "product_id", "title", "rating", "videos", "variations", "brand", "_ingested_at", "_batch_id", "ingest_hour"
+    )
+
+
+def numbered_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in a directory of several CSV files, numbered in path order."""
+
+    def write(path: str) -> None:
+        events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "event_type", "user_id", "props")
+        ordered = events.repartitionByRange(5, "event_id").sortWithinPartitions("event_id")
+        ordered.write.option("header", True).option("escape", '"').csv(path)
+
+    path = staging.staged(spark, sf_dir, "csv_files", write)
+    return micro_batches(with_split(scan_listing_csv(spark, path)), 50)
+
+
 def star_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SQL over the registered tables."""
     staging.star(spark, sf_dir).register()
@@ -103,11 +142,17 @@ def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = f"{sf_dir}/events.parquet"
+    """Events in several files, replayed two files at a time."""
+
+    def write(path: str) -> None:
+        events = spark.read.parquet(f"{sf_dir}/events.parquet")
+        events.repartitionByRange(5, "event_id").sortWithinPartitions("event_id").write.parquet(path)
+
+    source = staging.staged(spark, sf_dir, "event_files", write)
     schema = spark.read.parquet(source).schema
     out = scratch_dir(spark)
-    rows = jobs.file_stream(spark, source, schema)
-    jobs.replay(rows, f"{out}/replay", f"{out}/checkpoint").awaitTermination()
+    rows = jobs.file_stream(spark, source, schema, files_per_trigger=2)
+    jobs.replay(rows, f"{out}/replay", f"{out}/checkpoint", source=source).awaitTermination()
     replayed = jobs.read_replay(spark, f"{out}/replay", schema)
     return replayed.select(*EVENT_COLUMNS, "_row_id", "_batch_id")
 
@@ -228,8 +273,10 @@ def queries() -> dict[str, Query]:
         src_union_by_name,
         ingest_partition_counts,
         lake_since,
+        foreign_lake,
         star_sql,
         micro_batch_assign,
+        numbered_csv,
         json_roundtrip,
         stream_replay,
         stream_dedup_latest,

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from shelfwise.operators.union import union_by_name
 from shelfwise.schema import ATTEMPT, LAKE_SCHEMA, RAW_COLUMNS
-from shelfwise.sources import manifest
+from shelfwise.sources import footers, manifest
 from shelfwise.sources.manifest import HOUR_COLUMNS
 
 # Fixed value: the directory layout of foreign lakes, <year>/<month>/<day>/<hour>/.
@@ -20,7 +20,12 @@ _HOUR_PATH = r"/(\d{4})/(\d{2})/(\d{2})/(\d{2})/[^/]*$"
 
 def utc_now() -> Column:
     """The current instant as naive UTC, whatever the session's time zone."""
-    seconds = F.unix_micros(F.current_timestamp()).cast("decimal(20,0)") / F.lit(1_000_000)
+    return _naive_utc(F.unix_micros(F.current_timestamp()))
+
+
+def _naive_utc(micros: Column) -> Column:
+    """Microseconds since 1970 as naive UTC."""
+    seconds = micros.cast("decimal(20,0)") / F.lit(1_000_000)
     since_epoch = F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since_epoch
 
@@ -154,33 +159,49 @@ def read_foreign_lake(
 ) -> DataFrame:
     """Every Parquet file below a path, columns united by name, absent ones NULL.
 
-    Files written batch by batch give a column without any value the type null,
-    which neither schema merging nor the vectorized reader takes for a string.
-    The plain reader does, so the frame comes from a session of its own that
-    uses it; write it to the raw lake (`import_foreign_lake`) for fast reads.
+    Files written batch by batch differ in their columns and types; a column without
+    any value has the type null. Files are put together by the schema that their
+    footers state, and each group is one scan by the vectorized reader: columns in
+    their own types, then as text, and NULL where the files have no type for them.
 
     The place of a row in its file and the file's path complete the order of
     arrival. Rows without time of arrival get the hour their path names.
     """
-    session = spark.newSession()
-    session.conf.set("spark.sql.parquet.enableVectorizedReader", "false")
-    texts = [*RAW_COLUMNS, *extra_columns, "_ingested_at"]
-    schema = ", ".join([f"`{c}` STRING" for c in texts] + ["_batch_id BIGINT"])
-    rows = (
-        session.read.schema(schema)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-        .parquet(path)
-    )
+    texts = [*RAW_COLUMNS, *extra_columns]
+    wanted = {*texts, "_ingested_at", "_batch_id"}
+    groups: dict[tuple, tuple[T.StructType, list[str]]] = {}
+    for files in footers.files_by_schema(spark, path).values():
+        found = spark.read.parquet(files[0]).schema
+        typed = T.StructType([f for f in found.fields if f.name in wanted and not isinstance(f.dataType, T.NullType)])
+        # files that only lack columns go with those that have them
+        key = tuple((f.name, f.dataType.simpleString()) for f in typed.fields)
+        groups.setdefault(key, (typed, []))[1].extend(files)
+    if not groups:
+        raise ValueError(f"no Parquet files below {path}")
+    return union_by_name([_foreign_rows(spark, typed, files, texts) for typed, files in groups.values()])
+
+
+def _foreign_rows(spark: SparkSession, typed: T.StructType, files: list[str], texts: Sequence[str]) -> DataFrame:
+    # a schema of its own: a frame without columns has no rows for Spark to read
+    rows = spark.read.schema(typed if typed.fields else "product_id STRING").parquet(*files)
+    kinds = {f.name: f.dataType for f in typed.fields}
+
+    def column(name: str, kind: str) -> Column:
+        value = F.col(f"`{name}`") if name in kinds else F.lit(None)
+        return value.try_cast(kind).alias(name)
+
     file_path = F.col("_metadata.file_path")
     hour = [F.regexp_extract(file_path, _HOUR_PATH, i).try_cast("int") for i in range(1, 5)]
     of_path = F.make_timestamp_ntz(*hour, F.lit(0), F.lit(0))
-    return rows.withColumns(
-        {
-            "_row_id": F.col("_metadata.row_index"),
-            "_source_file": file_path,
-            "_ingested_at": F.coalesce(F.col("_ingested_at").try_cast("timestamp_ntz"), of_path),
-        }
+    stamp = column("_ingested_at", "timestamp_ntz")
+    if isinstance(kinds.get("_ingested_at"), T.TimestampType):  # an instant
+        stamp = _naive_utc(F.unix_micros("_ingested_at"))
+    return rows.select(
+        *[column(name, "string") for name in texts],
+        F.coalesce(stamp, of_path).alias("_ingested_at"),
+        column("_batch_id", "bigint"),
+        F.col("_metadata.row_index").alias("_row_id"),
+        file_path.alias("_source_file"),
     )
 
 

@@ -16,8 +16,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfwise.operators.dedup import keep_latest
 from shelfwise.schema import ORDER_COLUMNS
-from shelfwise.sources.batches import micro_batches, with_split
-from shelfwise.sources.lake import HOUR_COLUMNS, holds_batch_files, utc_now, with_hour
+from shelfwise.sources.batches import SPLIT_COLUMNS, file_starts, rows_of_files, with_split
+from shelfwise.sources.lake import holds_batch_files, utc_now, with_hour
+from shelfwise.sources.manifest import HOUR_COLUMNS, exists
 
 _END = "position BIGINT"
 
@@ -54,24 +55,33 @@ def land(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-def replay(rows: DataFrame, path: str, checkpoint: str, batch_rows: int = 50) -> StreamingQuery:
-    """Re-stamps a file stream in batches of `batch_rows` rows in source order.
-
-    Within a trigger, rows are numbered by path and place in the file; files that
-    a later trigger finds go on after all earlier ones, whatever their paths.
-    Numbering goes on across micro-batches: each leaves its end position next
-    to its output, and the following one starts there.
+def replay(
+    rows: DataFrame, path: str, checkpoint: str, batch_rows: int = 50, source: str | None = None
+) -> StreamingQuery:
+    """Re-stamps a stream of Parquet files in batches of `batch_rows` rows in path order.
+
+    A list of files is kept next to the output, with the rows of each and the number
+    of its first one. A row's number is that and its place in the file, so it does
+    not depend on how files come in triggers. Files get their numbers when a replay
+    first sees them, those seen at one time in path order: all that `source`, the
+    directory behind `rows`, holds when the replay starts; else, or if they arrive
+    later, those of a trigger. What the list holds is never changed.
     """
+    spark = rows.sparkSession
+    if source is not None:
+        present = spark.read.schema(rows.schema).option("recursiveFileLookup", True).parquet(source)
+        _list_files(with_split(present), path)
 
     def write(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        start = 0
-        if epoch > 0:
-            start = spark.read.schema(_END).parquet(_epoch(f"{path}/ends", epoch - 1)).first()[0]
-        stamped = micro_batches(batch, batch_rows, start).withColumn("_ingested_at", utc_now())
+        _list_files(batch, path)
+        starts = _listed(batch.sparkSession, path).select("_file", "_start")
+        numbered = batch.join(starts, "_file").withColumn("_row_id", F.col("_start") + F.col("_index"))
+        stamped = numbered.drop(*SPLIT_COLUMNS, "_start").withColumns(
+            {"_batch_id": F.expr(f"_row_id div {batch_rows:d}"), "_ingested_at": utc_now()}
+        )
         target = _epoch(f"{path}/rows", epoch)
         stamped.write.mode("overwrite").parquet(target)
-        _note(spark, start + spark.read.parquet(target).count(), _epoch(f"{path}/ends", epoch))
+        _note(batch.sparkSession, epoch, _epoch(f"{path}/ends", epoch))
 
     return (
         with_split(rows)
@@ -82,6 +92,24 @@ def replay(rows: DataFrame, path: str, checkpoint: str, batch_rows: int = 50) ->
     )
 
 
+def _listed(spark: SparkSession, path: str) -> DataFrame:
+    """The list of files of a replay."""
+    schema = "_file STRING, _rows BIGINT, _start BIGINT"
+    if not exists(spark, f"{path}/files"):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/files")
+
+
+def _list_files(rows: DataFrame, path: str) -> None:
+    """Adds the files that the list lacks, in one file, so all of them or none."""
+    listed = _listed(rows.sparkSession, path)
+    new = rows_of_files(rows).join(listed, "_file", "left_anti")
+    if new.isEmpty():
+        return
+    end = listed.agg(F.coalesce(F.max(F.col("_start") + F.col("_rows")), F.lit(0))).first()[0]
+    file_starts(new, end).coalesce(1).write.mode("append").parquet(f"{path}/files")
+
+
 def read_replay(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The rows of all micro-batches a replay has finished."""
     added = "_row_id BIGINT, _batch_id BIGINT, _ingested_at TIMESTAMP_NTZ, epoch BIGINT"

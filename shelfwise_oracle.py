@@ -221,6 +221,17 @@ FROM processed JOIN category USING (category_slug) GROUP BY 1"""),
 SELECT event_id, event_type, row_number() OVER (ORDER BY event_id) - 1 AS _row_id,
   (row_number() OVER (ORDER BY event_id) - 1) // 50 AS _batch_id
 FROM events""",
+    "numbered_csv": """
+SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, CAST(user_id AS VARCHAR) AS user_id, props,
+  row_number() OVER (ORDER BY event_id) - 1 AS _row_id, (row_number() OVER (ORDER BY event_id) - 1) // 50 AS _batch_id
+FROM events""",
+    "foreign_lake": _raw("""
+, foreign_rows AS (SELECT *, year(_ingested_at) % 4 AS kind FROM feed)
+SELECT product_id, title, CASE WHEN kind = 2 THEN CAST(CAST(rating AS DOUBLE) AS VARCHAR) ELSE rating END AS rating, videos,
+  CASE WHEN kind <> 2 THEN variations END AS variations, CASE WHEN kind = 1 THEN 'b' || currency END AS brand,
+  CASE WHEN kind = 2 THEN TIMESTAMP '2024-01-02 02:00:00' ELSE CAST(date_trunc('month', _ingested_at) AS TIMESTAMP) END AS _ingested_at,
+  _batch_id, CAST(CASE WHEN kind = 2 THEN 2 ELSE 0 END AS INTEGER) AS ingest_hour
+FROM foreign_rows"""),
     "json_roundtrip": _raw("SELECT * FROM feed"),
     "stream_replay": """
 SELECT event_id, user_id, event_type, value, props, row_number() OVER (ORDER BY event_id) - 1 AS _row_id,

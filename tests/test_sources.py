@@ -1,5 +1,6 @@
 """CSV, micro-batches and the raw lake."""
 
+import os
 from datetime import datetime, timezone
 
 import pandas as pd
@@ -113,6 +114,13 @@ def test_ordinals_follow_files_and_rows(spark, tmp_path):
     assert sorted((r._ordinal, r.n) for r in rows) == [(n, n) for n in expected]
 
 
+def test_parquet_rows_are_numbered_without_a_copy(spark, tmp_path):
+    for part in range(3):
+        pd.DataFrame({"n": range(part * 10, part * 10 + 10)}).to_parquet(tmp_path / f"part-{part}.parquet")
+    numbered = source_ordinal(with_split(spark.read.parquet(str(tmp_path))))
+    assert numbered.columns == ["n", "_ordinal"] and {os.path.dirname(f) for f in numbered.inputFiles()} == {f"file://{tmp_path}"}
+
+
 def test_ordinals_over_split_text(spark, tmp_path):
     path = tmp_path / "long.csv"
     path.write_text("n,pad\n" + "".join(f"{i},{'x' * 50}\n" for i in range(5000)))
@@ -235,6 +243,37 @@ def test_foreign_lake(spark, tmp_path):
     assert spark.conf.get("spark.sql.parquet.enableVectorizedReader") == "true"
 
 
+def test_foreign_files_of_all_types_are_read_by_the_vectorized_reader(spark, tmp_path):
+    """Text, numbers, instants and columns without values, in one column each."""
+    stamp = pd.Timestamp("2024-01-02T03:04:05.25")
+    rows = [
+        {"product_id": ["7"], "rating": ["4.5"], "_ingested_at": [stamp]},
+        {"product_id": [8], "rating": [4.5], "_ingested_at": [stamp.tz_localize("UTC")], "_batch_id": ["3"]},
+        {"product_id": [None], "rating": [None], "_ingested_at": [str(stamp)], "_batch_id": [3.0]},
+        {"other": [1, 2]},
+        {"videos": [None, None], "unknown": [["a"], ["b"]]},
+    ]
+    for i, columns in enumerate(rows):
+        path = tmp_path / f"2024/02/0{i + 1}/05"
+        path.mkdir(parents=True)
+        pd.DataFrame(columns).to_parquet(path / "part.parquet", index=False, coerce_timestamps="us")
+    (tmp_path / "_temporary").mkdir()
+    (tmp_path / "_temporary/x.parquet").write_bytes(b"no file")
+    found = lake.read_foreign_lake(spark, str(tmp_path))
+    got = sorted(((r.product_id, r.rating, r._batch_id, r._ingested_at, r._row_id) for r in found.collect()), key=str)
+    at, days = datetime(2024, 1, 2, 3, 4, 5, 250000), [datetime(2024, 2, d, 5) for d in (4, 5)]
+    expected = [("7", "4.5", None, at, 0), ("8", "4.5", 3, at, 0), (None, None, 3, at, 0)]
+    expected += [(None, None, None, day, i) for day in days for i in (0, 1)]
+    assert got == sorted(expected, key=str)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Batched: true" in plan and "Batched: false" not in plan
+
+
+def test_foreign_lake_without_files(spark, tmp_path):
+    with pytest.raises(ValueError, match="no Parquet files"):
+        lake.read_foreign_lake(spark, str(tmp_path))
+
+
 def test_foreign_lake_import(spark, tmp_path):
     target = str(tmp_path / "own")
     lake.import_foreign_lake(spark, foreign(tmp_path / "theirs"), target)

@@ -1,5 +1,7 @@
 """Streams against their batch counterparts, restarts included."""
 
+import os
+
 import pandas as pd
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -39,6 +41,26 @@ def test_replay_numbers_batches_across_restarts(spark, tmp_path):
     assert [(r._row_id, r.n, r._batch_id) for r in run()] == [(i, i, i // 50) for i in range(170)]
 
 
+@pytest.mark.parametrize("files_per_trigger", [1, 2, 100])
+def test_replay_numbers_follow_paths_whatever_the_triggers(spark, tmp_path, files_per_trigger):
+    """Files that changed last come first by path, and in any number per trigger."""
+    source, out, marks = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "marks")
+
+    def run():
+        rows = jobs.file_stream(spark, str(source), NUMBERS, files_per_trigger)
+        jobs.replay(rows, out, marks, source=str(source)).awaitTermination()
+        return [(r._row_id, r.n, r._batch_id) for r in jobs.read_replay(spark, out, NUMBERS).orderBy("_row_id").collect()]
+
+    add_files(source, 0, [30, 75, 5, 60])
+    for age, name in enumerate(["part-002", "part-000", "part-003", "part-001"]):
+        os.utime(source / f"{name}.parquet", (1_700_000_000 + age, 1_700_000_000 + age))
+    assert run() == [(i, i, i // 50) for i in range(170)]
+    late = source / "a-comes-first-by-path.parquet"  # but the numbers of others are given by now
+    pd.DataFrame({"n": range(170, 180)}).to_parquet(late)
+    assert run() == [(i, i, i // 50) for i in range(180)]
+    assert spark.read.parquet(f"{out}/files").count() == 5
+
+
 def test_repeated_micro_batch_overwrites_itself(spark, tmp_path):
     """A second checkpoint replays the same epochs into the same directories."""
     source, out = tmp_path / "in", str(tmp_path / "out")
