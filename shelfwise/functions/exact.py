@@ -13,54 +13,109 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 _COUNT = "decimal(20,0)"
-#: Fractions are summed to 25 digits: all that doubles of 1e-9 and more have.
-_FINE = "decimal(36,25)"
+#: Fractions are kept to 25 digits: all that doubles of 1e-9 and more have. 38 digits
+#: then hold the fractions of 10^13 rows.
+_FINE, _FRACTION = "decimal(36,25)", "decimal(28,25)"
 #: From 1e10 on, a double has at most 7 digits after the point.
 _COARSE = "decimal(36,7)"
 _COARSE_FROM = 1e10
-#: Decimal sums hold a billion doubles of this size; larger ones, infinities and
-#: NaN are left to double arithmetic.
+#: Decimal sums hold 10^10 doubles of this size; larger ones, infinities and NaN are
+#: left to double arithmetic.
 _LARGEST = 1e28
+_WHOLE = "decimal(38,0)"
+#: A sum is divided in two limbs, the lower one of so many.
+_LIMB = 10**12
 
 
-def _parts(name: str) -> tuple[Column, Column, Column]:
+def _parts(value: Column) -> tuple[Column, Column, Column]:
     """Sum of the whole parts (rounded down), sum of what they leave, and whether
     every value took part."""
-    value = F.col(name).cast("double")
+    value = value.cast("double")
     size = F.abs(value)
     fine = F.when(size < F.lit(_COARSE_FROM), value).try_cast(_FINE)
     coarse = F.when((size >= F.lit(_COARSE_FROM)) & (size < F.lit(_LARGEST)), value).try_cast(_COARSE)
     whole = F.coalesce(F.floor(fine).cast("decimal(28,0)"), F.floor(coarse).cast("decimal(28,0)"))
-    left = F.coalesce((fine - F.floor(fine)).cast("decimal(26,25)"), (coarse - F.floor(coarse)).cast("decimal(26,25)"))
+    left = F.coalesce((fine - F.floor(fine)).cast(_FRACTION), (coarse - F.floor(coarse)).cast(_FRACTION))
     return F.sum(whole), F.sum(left), F.count_if(~(size < F.lit(_LARGEST))) == 0
 
 
-def _divided(whole: Column, left: Column, n: Column, digits: int) -> Column:
-    """(whole + left) / n, rounded half away from zero, as a double."""
-    power = F.lit(10**digits).cast("decimal(7,0)")
-    carry = F.floor(left)
-    total = (whole + carry).cast("decimal(38,0)")
-    part = F.pmod(total, n).cast("decimal(11,0)")
-    quotient = ((total - part) / n).cast("decimal(30,0)")
-    units = (part + (left - carry).cast("decimal(25,24)")) * power / n
-    half = F.lit("0.5").cast("decimal(2,1)")
-    nearest = F.when(total < 0, F.ceil(units - half)).otherwise(F.floor(units + half))
-    rounded = (quotient * power).cast("decimal(38,0)") + nearest.cast("decimal(18,0)")
-    return (rounded.cast("decimal(38,0)") / power).cast("double")
+def _number(n: int) -> Column:
+    return F.lit(str(n)).cast(_WHOLE)
+
+
+def _over(a: Column, b: Column) -> tuple[Column, Column]:
+    """Quotient and remainder of whole numbers that are not negative; the quotient
+    has up to 32 digits."""
+    rest = (a % b).cast(_WHOLE)
+    return ((a - rest).cast(_WHOLE) / b).cast(_WHOLE), rest
+
+
+def divided(whole: Column, left: Column, n: Column, digits: int) -> Column:
+    """(whole + left) / n as a double, rounded half away from zero to some digits.
+
+    Long division of a sum's whole part and fraction by up to 10^13: with q the
+    quotient in units of the last digit, q = floor((2 * sum + n) / 2n) in these units.
+    Each step is bound, as the next one uses it twice; the result is a decimal
+    notation, which the cast to a double rounds once.
+    """
+    sums = F.struct(whole.cast(_WHOLE).alias("whole"), left.cast("decimal(38,25)").alias("left"), n.cast(_WHOLE).alias("n"))
+    unit = 10**digits
+
+    def carried(s: Column) -> Column:
+        carry = F.floor(s["left"])
+        total, rest = (s["whole"] + carry).cast(_WHOLE), (s["left"] - carry).cast("decimal(26,25)")
+        below = total < 0  # then the size is -total - rest
+        borrowed = below & (rest > 0)
+        size = F.when(below, -total).otherwise(total) - F.when(borrowed, _number(1)).otherwise(_number(0))
+        high, low = _over(size.cast(_WHOLE), _number(_LIMB))
+        fraction = F.when(borrowed, F.lit(1).cast("decimal(1,0)") - rest).otherwise(rest).cast("decimal(26,25)")
+        extra = F.floor(fraction * F.lit(2 * unit).cast("decimal(8,0)")).cast(_WHOLE) + s["n"]
+        twice = (s["n"] * _number(2)).cast(_WHOLE)
+        return F.struct(
+            below.alias("below"), high.alias("high"), (low * _number(2 * unit) + extra).cast(_WHOLE).alias("low"), twice.alias("twice")
+        )
+
+    def first(s: Column) -> Column:
+        quotient, rest = _over((s["high"] * _number(2)).cast(_WHOLE), s["twice"])
+        low = (rest * _number(_LIMB * unit)).cast(_WHOLE) + s["low"]
+        return F.struct(s["below"].alias("below"), quotient.alias("high"), low.cast(_WHOLE).alias("low"), s["twice"].alias("twice"))
+
+    def second(s: Column) -> Column:
+        units, _ = _over(s["low"], s["twice"])
+        return F.struct(s["below"].alias("below"), s["high"].alias("high"), units.alias("units"))
+
+    def notation(s: Column) -> Column:
+        ones, rest = _over(s["units"], _number(unit))
+        number = ((s["high"] * _number(_LIMB)).cast(_WHOLE) + ones).cast(_WHOLE).cast("string")
+        parts = [F.when(s["below"], "-").otherwise(""), number]
+        if digits:
+            parts += [F.lit("."), F.lpad(rest.cast("string"), digits, "0")]
+        return F.concat(*parts).cast("double") + F.lit(0.0)  # no negative zero
+
+    bound = F.array(sums)
+    for step in (carried, first, second, notation):
+        bound = F.transform(bound, step)
+    return F.get(bound, F.lit(0))
 
 
 def exact_avg(name: str, digits: int) -> Column:
-    whole, left, fits = _parts(name)
-    exact = _divided(whole, left, F.count(name).cast("decimal(11,0)"), digits)
+    whole, left, fits = _parts(F.col(name))
+    exact = F.when(F.count(name) > 0, divided(whole, left, F.count(name), digits))
     return F.when(fits, exact).otherwise(F.round(F.avg(F.col(name).cast("double")), digits))
 
 
 def exact_sum(name: str, digits: int) -> Column:
-    whole, left, fits = _parts(name)
-    exact = _divided(whole, left, F.lit(1).cast("decimal(11,0)"), digits)
+    whole, left, fits = _parts(F.col(name))
+    exact = divided(whole, left, F.lit(1), digits)
     return F.when(fits, exact).otherwise(F.round(F.sum(F.col(name).cast("double")), digits))
 
 
+def exact_total(value: Column) -> Column:
+    """The sum of a column as a double, the same bits for rows in any order."""
+    whole, left, fits = _parts(value)
+    return F.when(fits, whole.cast("double") + left.cast("double")).otherwise(F.sum(value))
+
+
 def percent(part: Column, whole: Column, digits: int = 1) -> Column:
     """100 * part / whole over counts; NULL when whole is 0."""
     ratio = (part * 100).cast(_COUNT) / F.nullif(whole, F.lit(0)).cast(_COUNT)

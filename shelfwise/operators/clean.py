@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.config import ListingConfig
 from shelfwise.functions import listing, text
 from shelfwise.operators.keys import with_number_key
-from shelfwise.operators.median import exact_median
+from shelfwise.operators.median import exact_median, merged_median
 from shelfwise.schema import (
     METADATA_COLUMNS,
     NO_VALUE,
@@ -39,14 +39,22 @@ def clean_prices(typed: DataFrame) -> DataFrame:
     return typed.withColumn("final_price", F.coalesce(price, F.col("initial_price")))
 
 
-def discount_fill_value(raw: DataFrame, conf: ListingConfig = ListingConfig()) -> float | None:
+def discount_value() -> Column:
+    return text.to_number(F.col("discount").cast("string"))
+
+
+def discount_fill_value(
+    raw: DataFrame, conf: ListingConfig = ListingConfig(), counts: DataFrame | None = None
+) -> float | None:
     """Value for missing discounts: the median over all raw rows, or 0.0.
 
-    Older versions of a product count, so call it before `keep_latest`.
+    Older versions of a product count, so call it before `keep_latest`. `counts` are
+    the raw rows' `value_counts` of the discount where a lake keeps them
+    (`sources.summary`); the rows themselves are not read then.
     """
     if conf.discount_fill != "median":
         return 0.0
-    return exact_median(raw, text.to_number(F.col("discount").cast("string")))
+    return exact_median(raw, discount_value()) if counts is None else merged_median(counts)
 
 
 def fill_missing(typed: DataFrame, discount: float | None) -> DataFrame:

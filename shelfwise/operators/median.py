@@ -11,17 +11,28 @@ _ACCURACY = 10_000
 _MARGIN = 3.0 / _ACCURACY  # of the rows, on both sides; the sketch errs by a third of it
 
 
+def value_counts(df: DataFrame, value: Column) -> DataFrame:
+    """v and n: how often each value occurs, NULLs left out. Counts of parts of the
+    rows add up to those of all, so they can be kept and merged."""
+    return df.select(value.cast("double").alias("v")).where(F.col("v").isNotNull()).groupBy("v").agg(F.count("*").alias("n"))
+
+
 def exact_median(df: DataFrame, value: Column, max_values: int = 200_000) -> float | None:
-    """Interpolated median, NULLs left out; None when there is no value.
+    """Interpolated median, NULLs left out; None when there is no value."""
+    return merged_median(df.select(value.cast("double").alias("v"), F.lit(1).cast("bigint").alias("n")), max_values)
+
+
+def merged_median(counts: DataFrame, max_values: int = 200_000) -> float | None:
+    """Interpolated median of values `v` that occur `n` times, in any number of rows
+    for each; None when there is no value.
 
-    Rows are collapsed to value counts, and these summed up in order. While more
-    than `max_values` distinct values remain, a quantile sketch first narrows
-    them to a bracket around the middle, which is kept only if counting shows
-    that it holds the middle ranks. Every pass reads one column and returns
-    scalars.
+    Counts are merged by value, and these summed up in order. While more than
+    `max_values` distinct values remain, a quantile sketch first narrows them to a
+    bracket around the middle, which is kept only if counting shows that it holds the
+    middle ranks. Every pass reads two columns and returns scalars.
     """
-    inside = df.select(value.cast("double").alias("v")).where(F.col("v").isNotNull())
-    size, distinct = inside.agg(F.count("v"), F.approx_count_distinct("v")).first()
+    inside = counts.select("v", "n").where("v IS NOT NULL AND n > 0")
+    size, distinct = inside.agg(F.sum("n"), F.approx_count_distinct("v")).first()
     if not size:
         return None
     ranks = ((size - 1) // 2, size // 2)  # 0-based, among the values inside the bracket
@@ -32,8 +43,8 @@ def exact_median(df: DataFrame, value: Column, max_values: int = 200_000) -> flo
         for bracket in ((low, high), (-inf, high), (low, inf)):
             within = F.col("v").between(*bracket)
             smaller, kept, kept_distinct = inside.agg(
-                F.count_if(F.col("v") < bracket[0]),
-                F.count_if(within),
+                F.coalesce(F.sum(F.when(F.col("v") < bracket[0], F.col("n"))), F.lit(0)),
+                F.coalesce(F.sum(F.when(within, F.col("n"))), F.lit(0)),
                 F.approx_count_distinct(F.when(within, F.col("v"))),
             ).first()
             if smaller <= ranks[0] and ranks[1] < smaller + kept:
@@ -47,12 +58,12 @@ def exact_median(df: DataFrame, value: Column, max_values: int = 200_000) -> flo
     return _at_ranks(inside, ranks)
 
 
-def _at_ranks(values: DataFrame, ranks: tuple[int, int]) -> float:
+def _at_ranks(counts: DataFrame, ranks: tuple[int, int]) -> float:
     """Mean of the values at two 0-based ranks, from running value counts."""
     so_far = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     running = (
-        values.groupBy("v")
-        .agg(F.count("*").alias("n"))
+        counts.groupBy("v")
+        .agg(F.sum("n").alias("n"))
         .select("v", F.sum("n").over(so_far).alias("up_to"))
     )
     picks = [F.min(F.when(F.col("up_to") > rank, F.col("v"))) for rank in ranks]

@@ -8,6 +8,7 @@ from pyspark.sql import Window
 
 from shelfwise.functions.exact import exact_avg, exact_sum, share_of_total
 from shelfwise.operators import counts
+from shelfwise.operators.comoments import comoments
 from shelfwise.plans.reports import _most_popular, _top
 from shelfwise.plans.warehouse import Star
 from shelfwise.schema import PRICE_BUCKETS, RATING_TIERS, UNKNOWN
@@ -92,13 +93,12 @@ def discount_rating_scatter(star: Star) -> DataFrame:
 def discount_rating_trend(star: Star, points: int = 100) -> DataFrame:
     """Least-squares line of rating on discount at evenly spaced discounts."""
     fact = star.fact_product_listing
-    line = fact.agg(
-        F.regr_slope("rating", "discount").alias("slope"),
-        F.regr_intercept("rating", "discount").alias("intercept"),
-        F.min("discount").alias("lo"),
-        F.max("discount").alias("hi"),
+    slope = F.col("xy") / F.nullif("xx", F.lit(0.0))
+    line = comoments(fact, "discount", "rating").select(
+        slope.alias("slope"), (F.col("mean_y") - slope * F.col("mean_x")).alias("intercept")
     )
-    fit = line.select(F.struct("slope", "intercept", "lo", "hi")).scalar()
+    ends = fact.agg(F.min("discount").alias("lo"), F.max("discount").alias("hi"))
+    fit = ends.select(F.struct(line.select(F.struct("*")).scalar().alias("line"), "lo", "hi")).scalar()
     position = F.col("id")
     step = (F.col("fit.hi") - F.col("fit.lo")) / (points - 1)
     x = F.when(position == points - 1, F.col("fit.hi")).otherwise(position * step + F.col("fit.lo"))
@@ -109,7 +109,7 @@ def discount_rating_trend(star: Star, points: int = 100) -> DataFrame:
         .select(
             (position + 1).cast("int").alias("point"),
             F.round("x", 6).alias("discount"),
-            F.round(F.col("fit.slope") * F.col("x") + F.col("fit.intercept"), 6).alias("rating"),
+            F.round(F.col("fit.line.slope") * F.col("x") + F.col("fit.line.intercept"), 6).alias("rating"),
         )
         .orderBy("point")
     )
@@ -117,12 +117,9 @@ def discount_rating_trend(star: Star, points: int = 100) -> DataFrame:
 
 def discount_rating_corr(star: Star) -> DataFrame:
     """Pearson correlation of discount and rating; NULL if one is constant."""
-    x, y = F.col("discount"), F.col("rating")
-    both = star.fact_product_listing.where(x.isNotNull() & y.isNotNull())
-    spread = F.stddev_pop(x) * F.stddev_pop(y)
-    return both.agg(
-        F.round(F.covar_pop(x, y) / F.nullif(spread, F.lit(0.0)), 6).alias("correlation")
-    )
+    sums = comoments(star.fact_product_listing, "discount", "rating")
+    spread = F.sqrt("xx") * F.sqrt("yy")
+    return sums.select(F.round(F.col("xy") / F.nullif(spread, F.lit(0.0)), 6).alias("correlation"))
 
 
 def top_products(star: Star, k: int = 10) -> DataFrame:

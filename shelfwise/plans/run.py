@@ -15,6 +15,7 @@ from shelfwise.sources.batches import micro_batches, with_split
 from shelfwise.sources.csv import scan_listing_csv
 from shelfwise.sources.lake import ingest_once, read_lake, utc_now
 from shelfwise.sources.manifest import is_finished
+from shelfwise.sources.summary import discount_counts, update_summary
 
 PUBLISHED_SCHEMA = "run_id string, published_at bigint"
 
@@ -55,17 +56,19 @@ def load(
     run_id: str,
     conf: ListingConfig = ListingConfig(),
     newest: DataFrame | None = None,
+    discounts: DataFrame | None = None,
 ) -> Star:
     """Processed table and star schema of one run, published once they pass.
 
-    `newest` holds the newest raw versions where a stream keeps them, see
-    `process`; else they are picked from all of `raw`.
+    `newest` holds the newest raw versions where a stream keeps them, `discounts` the
+    counts of discounts where a lake does, see `process`; else both come from all of
+    `raw`.
 
     Every run writes directories of its own. Readers look up the last published
     run, so they see all tables change at once, and never a run that failed.
     """
     target = f"{warehouse}/runs/{run_id}"
-    processed = process(raw, conf, newest)
+    processed = process(raw, conf, newest, discounts)
     processed.write.mode("overwrite").parquet(f"{target}/processed")
     write_star(spark.read.schema(processed.schema).parquet(f"{target}/processed"), target)
     star = read_star(spark, target)
@@ -95,6 +98,7 @@ def run(
     started = now or datetime.now(timezone.utc)
     ingest_csv(spark, source, lake, conf)
     run_id = started.strftime("%Y%m%dT%H%M%S%f")
-    star = load(spark, read_lake(spark, lake), warehouse, run_id, conf)
+    update_summary(spark, lake)
+    star = load(spark, read_lake(spark, lake), warehouse, run_id, conf, discounts=discount_counts(spark, lake))
     star.register()
     return star

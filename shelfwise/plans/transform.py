@@ -32,7 +32,10 @@ def latest_versions(raw: DataFrame) -> DataFrame:
 
 
 def process(
-    raw: DataFrame, conf: ListingConfig = ListingConfig(), newest: DataFrame | None = None
+    raw: DataFrame,
+    conf: ListingConfig = ListingConfig(),
+    newest: DataFrame | None = None,
+    discounts: DataFrame | None = None,
 ) -> DataFrame:
     """Cleaned newest versions with features, one row per product.
 
@@ -41,9 +44,10 @@ def process(
     precede validation: they see unclamped ratings. Surplus columns pass.
 
     `newest` is what `latest_versions(raw)` gives, where a stream keeps it
-    (`streaming.jobs.read_latest`); of `raw`, only the discounts are read then.
+    (`streaming.jobs.read_latest`), `discounts` the counts of all discounts where a
+    lake keeps them (`sources.summary`). With both, nothing of `raw` is read.
     """
-    discount = discount_fill_value(raw, conf)
+    discount = discount_fill_value(raw, conf, discounts)
     if newest is None:
         newest = latest_versions(raw)
     elif "product_key" not in newest.columns:

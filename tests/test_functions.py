@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from shelfwise.config import ListingConfig
 from shelfwise.functions import exact, listing, text
 from shelfwise.operators import clean
+from shelfwise.operators.comoments import comoments
 from shelfwise.operators.features import add_features
 from shelfwise.operators.keys import with_number_key
 from shelfwise.plans import transform
@@ -197,6 +198,51 @@ def test_exact_sum_does_not_depend_on_partitions(spark):
     assert sums == {1999900.0}
 
 
+def test_large_sums_are_exact(spark):
+    """Totals beyond 30 digits, in any partitioning."""
+    values = [9e27] * 200 + [-1.5, 0.25] * 30
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    for parts in (1, 7):
+        row = frame.repartition(parts).agg(exact.exact_avg("v", 2), exact.exact_sum("v", 2)).first()
+        own = sum(map(fraction_of, values))
+        assert tuple(row) == (rounded(own / len(values), 2), rounded(own, 2))
+
+
+@pytest.mark.parametrize("digits", [0, 2, 6])
+def test_partial_sums_of_very_many_rows_are_divided_exactly(spark, digits):
+    rng = random.Random(digits)
+    rows = [(rng.choice([-1, 1]) * rng.randrange(10 ** rng.randint(1, 37)), rng.randrange(10**38) % 10 ** rng.randint(1, 38), n)
+            for n in (1, 7, 10**11, 2 * 10**11 + 1, 10**13) for _ in range(40)]
+    rows += [(-3, 0, 2), (1, 5 * 10**24, 10), (0, 0, 10**12), (10**11, 0, 2 * 10**11)]
+    text = [(str(w), f"{f // 10**25}.{f % 10**25:025d}", n) for w, f, n in rows]
+    sums = spark.createDataFrame(text, "w string, f string, n long").coalesce(1)
+    got = sums.select(exact.divided(F.col("w").cast("decimal(38,0)"), F.col("f").cast("decimal(38,25)"), F.col("n"), digits))
+    expected = [rounded((w + Fraction(f, 10**25)) / n, digits) for w, f, n in rows]
+    assert [r[0] for r in got.collect()] == expected
+
+
+def test_comoments_do_not_depend_on_the_order_of_rows(spark):
+    rng = random.Random(1)
+    rows = [(rng.uniform(0, 90), rng.gauss(3, 1) * 10 ** rng.randint(-3, 3)) for _ in range(3000)] + [(None, 1.0), (2.0, None)]
+    frame = spark.createDataFrame(rows, "a double, b double")
+    found = {tuple(comoments(frame.repartition(n).orderBy(F.rand(n)), "a", "b").first()) for n in (1, 2, 5, 8)}
+    assert len(found) == 1
+    both = [(Fraction(a), Fraction(b)) for a, b in rows if a is not None and b is not None]
+    mx, my = (sum(column) / len(both) for column in zip(*both))
+    expected = [mx, my, sum((a - mx) ** 2 for a, _ in both), sum((b - my) ** 2 for _, b in both), sum((a - mx) * (b - my) for a, b in both)]
+    assert list(found.pop()) == pytest.approx([float(e) for e in expected], rel=1e-12)
+
+
+def test_comoments_of_tiny_constant_and_no_values(spark):
+    tiny = spark.createDataFrame([(i * 1e-200, (i % 7) * 1e150) for i in range(50)], "a double, b double")
+    row = comoments(tiny, "a", "b").first()
+    plain = comoments(spark.createDataFrame([(float(i), float(i % 7)) for i in range(50)], "a double, b double"), "a", "b").first()
+    assert row.xy == pytest.approx(plain.xy * 1e-50, rel=1e-9) and plain.yy == pytest.approx(sum((i % 7 - 2.94) ** 2 for i in range(50)))
+    same = comoments(spark.createDataFrame([(0.0, 2.0)] * 3, "a double, b double"), "a", "b").first()
+    assert tuple(same) == (0.0, 2.0, 0.0, 0.0, 0.0)
+    assert tuple(comoments(tiny.where("false"), "a", "b").first()) == (None,) * 5
+
+
 def test_percent(spark):
     rows = spark.createDataFrame([(1, 3), (1, 8), (0, 0)], "a long, b long").coalesce(1)
     got = [r[0] for r in rows.select(exact.percent(F.col("a"), F.col("b"))).collect()]

@@ -1,17 +1,23 @@
 """The whole run from CSV to published tables."""
 
 import csv
+import random
 from datetime import datetime
+from statistics import median
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from shelfwise.operators.clean import discount_value
+from shelfwise.operators.median import exact_median, merged_median
 from shelfwise.plans import reports
 from shelfwise.plans.quality import QualityError
 from shelfwise.plans.run import ingest_csv, load, published_star, run
+from shelfwise.plans.transform import latest_versions, process
 from shelfwise.schema import ATTEMPT, RAW_COLUMNS
 from shelfwise.sources.lake import HOUR_COLUMNS, append_to_lake, read_lake
+from shelfwise.sources.summary import discount_counts, new_rows, update_summary
 
 
 def write_csv(path, rows):
@@ -110,3 +116,30 @@ def test_the_run_published_last_counts(spark, tmp_path):
     ingest_csv(spark, source, lake)
     load(spark, read_lake(spark, lake), warehouse, "a-second")
     assert published_star(spark, warehouse).fact_product_listing.count() == 2
+
+
+def test_the_median_comes_from_kept_counts(spark, tmp_path):
+    """A later run reads the discounts of its own append only."""
+    source, lake = str(tmp_path / "feed.csv"), str(tmp_path / "lake")
+    seen = set()
+    for n, discounts in enumerate([["10", "20", "n/a", "20"], ["", "x"], ["7.5", "90", "90", "1e1"]]):
+        write_all(source, [listing(i, "10", discount=d) for i, d in enumerate(discounts)])
+        ingest_csv(spark, source, lake, ingest_id=str(n))
+        new, all_files = set(new_rows(spark, lake).inputFiles()), set(read_lake(spark, lake).inputFiles())
+        assert new == all_files - seen
+        seen = all_files
+        assert update_summary(spark, lake) and not update_summary(spark, lake)
+        assert merged_median(discount_counts(spark, lake)) == exact_median(read_lake(spark, lake), discount_value())
+    counts = discount_counts(spark, lake)
+    assert new_rows(spark, lake) is None and merged_median(counts) == 20.0
+    newest = latest_versions(read_lake(spark, lake))
+    with_counts = process(read_lake(spark, lake), newest=newest, discounts=counts)
+    assert sorted(with_counts.collect(), key=str) == sorted(process(read_lake(spark, lake)).collect(), key=str)
+
+
+def test_counts_merge_to_the_median_of_all_values(spark):
+    rng = random.Random(2)
+    for size in (1, 2, 501, 4000):
+        values = [float(rng.randrange(rng.choice([3, 1000]))) for _ in range(size)]
+        rows = spark.createDataFrame([(v, n) for v in values for n in (2, 1, 0)], "v double, n bigint")
+        assert merged_median(rows, max_values=50) == median(values)
