@@ -26,94 +26,79 @@ _WHOLE = "decimal(38,0)"
 #: A sum is divided in two limbs, the lower one of so many.
 _LIMB = 10**12
 
+# Written as SQL text: a report has dozens of these sums, and a call to the JVM for
+# each part of each would take longer than the report.
 
-def _parts(value: Column) -> tuple[Column, Column, Column]:
+
+def _sums(value: str) -> tuple[str, str, str]:
     """Sum of the whole parts (rounded down), sum of what they leave, and whether
     every value took part."""
-    value = value.cast("double")
-    size = F.abs(value)
-    fine = F.when(size < F.lit(_COARSE_FROM), value).try_cast(_FINE)
-    coarse = F.when((size >= F.lit(_COARSE_FROM)) & (size < F.lit(_LARGEST)), value).try_cast(_COARSE)
-    whole = F.coalesce(F.floor(fine).cast("decimal(28,0)"), F.floor(coarse).cast("decimal(28,0)"))
-    left = F.coalesce((fine - F.floor(fine)).cast(_FRACTION), (coarse - F.floor(coarse)).cast(_FRACTION))
-    return F.sum(whole), F.sum(left), F.count_if(~(size < F.lit(_LARGEST))) == 0
-
-
-def _number(n: int) -> Column:
-    return F.lit(str(n)).cast(_WHOLE)
+    number = f"CAST({value} AS DOUBLE)"
+    size = f"abs({number})"
+    fine = f"try_cast(CASE WHEN {size} < {_COARSE_FROM:e}D THEN {number} END AS {_FINE})"
+    coarse = f"try_cast(CASE WHEN {size} >= {_COARSE_FROM:e}D AND {size} < {_LARGEST:e}D THEN {number} END AS {_COARSE})"
+    whole = [f"CAST(floor({part}) AS decimal(28,0))" for part in (fine, coarse)]
+    left = [f"CAST({part} - floor({part}) AS {_FRACTION})" for part in (fine, coarse)]
+    return (
+        f"sum(coalesce({', '.join(whole)}))",
+        f"sum(coalesce({', '.join(left)}))",
+        f"count_if(NOT ({size} < {_LARGEST:e}D)) = 0",
+    )
 
 
-def _over(a: Column, b: Column) -> tuple[Column, Column]:
-    """Quotient and remainder of whole numbers that are not negative; the quotient
-    has up to 32 digits."""
-    rest = (a % b).cast(_WHOLE)
-    return ((a - rest).cast(_WHOLE) / b).cast(_WHOLE), rest
+def _over(a: str, b: str) -> str:
+    """Quotient of whole numbers that are not negative, rounded down; it has up to 32 digits."""
+    return f"CAST(CAST({a} - {a} % {b} AS {_WHOLE}) / {b} AS {_WHOLE})"
 
 
-def divided(whole: Column, left: Column, n: Column, digits: int) -> Column:
+def divided(whole: str, left: str, n: str, digits: int) -> str:
     """(whole + left) / n as a double, rounded half away from zero to some digits.
 
     Long division of a sum's whole part and fraction by up to 10^13: with q the
     quotient in units of the last digit, q = floor((2 * sum + n) / 2n) in these units.
-    Each step is bound, as the next one uses it twice; the result is a decimal
-    notation, which the cast to a double rounds once.
+    Each step is bound by a one-element transform, as the next one uses it several
+    times; the last is a decimal notation, which the cast to a double rounds once.
     """
-    sums = F.struct(whole.cast(_WHOLE).alias("whole"), left.cast("decimal(38,25)").alias("left"), n.cast(_WHOLE).alias("n"))
-    unit = 10**digits
-
-    def carried(s: Column) -> Column:
-        carry = F.floor(s["left"])
-        total, rest = (s["whole"] + carry).cast(_WHOLE), (s["left"] - carry).cast("decimal(26,25)")
-        below = total < 0  # then the size is -total - rest
-        borrowed = below & (rest > 0)
-        size = F.when(below, -total).otherwise(total) - F.when(borrowed, _number(1)).otherwise(_number(0))
-        high, low = _over(size.cast(_WHOLE), _number(_LIMB))
-        fraction = F.when(borrowed, F.lit(1).cast("decimal(1,0)") - rest).otherwise(rest).cast("decimal(26,25)")
-        extra = F.floor(fraction * F.lit(2 * unit).cast("decimal(8,0)")).cast(_WHOLE) + s["n"]
-        twice = (s["n"] * _number(2)).cast(_WHOLE)
-        return F.struct(
-            below.alias("below"), high.alias("high"), (low * _number(2 * unit) + extra).cast(_WHOLE).alias("low"), twice.alias("twice")
-        )
-
-    def first(s: Column) -> Column:
-        quotient, rest = _over((s["high"] * _number(2)).cast(_WHOLE), s["twice"])
-        low = (rest * _number(_LIMB * unit)).cast(_WHOLE) + s["low"]
-        return F.struct(s["below"].alias("below"), quotient.alias("high"), low.cast(_WHOLE).alias("low"), s["twice"].alias("twice"))
-
-    def second(s: Column) -> Column:
-        units, _ = _over(s["low"], s["twice"])
-        return F.struct(s["below"].alias("below"), s["high"].alias("high"), units.alias("units"))
-
-    def notation(s: Column) -> Column:
-        ones, rest = _over(s["units"], _number(unit))
-        number = ((s["high"] * _number(_LIMB)).cast(_WHOLE) + ones).cast(_WHOLE).cast("string")
-        parts = [F.when(s["below"], "-").otherwise(""), number]
-        if digits:
-            parts += [F.lit("."), F.lpad(rest.cast("string"), digits, "0")]
-        return F.concat(*parts).cast("double") + F.lit(0.0)  # no negative zero
-
-    bound = F.array(sums)
-    for step in (carried, first, second, notation):
-        bound = F.transform(bound, step)
-    return F.get(bound, F.lit(0))
+    unit, limb = f"{10**digits}BD", f"{_LIMB}BD"
+    borrowed = "(s.total < 0 AND s.rest > 0)"  # the size of a negative sum is -total - rest
+    steps = [
+        f"named_struct('n', s.n, 'total', CAST(s.whole + floor(s.rest) AS {_WHOLE}), "
+        "'rest', CAST(s.rest - floor(s.rest) AS decimal(26,25)))",
+        f"named_struct('below', s.total < 0, 'n', s.n, 'size', CAST(abs(s.total) - if({borrowed}, 1, 0) AS {_WHOLE}), "
+        f"'part', CAST(if({borrowed}, 1 - s.rest, s.rest) AS decimal(26,25)))",
+        f"named_struct('below', s.below, 'twice', CAST(2 * s.n AS {_WHOLE}), 'high', CAST(2 * {_over('s.size', limb)} AS {_WHOLE}), "
+        f"'low', CAST(s.size % {limb} * 2 * {unit} + floor(s.part * 2 * {unit}) + s.n AS {_WHOLE}))",
+        f"named_struct('below', s.below, 'twice', s.twice, 'high', {_over('s.high', 's.twice')}, "
+        f"'low', CAST(CAST(s.high % s.twice * {limb} * {unit} AS {_WHOLE}) + s.low AS {_WHOLE}))",
+        f"named_struct('below', s.below, 'high', s.high, 'units', {_over('s.low', 's.twice')})",
+        f"CAST(concat(if(s.below, '-', ''), CAST(CAST(s.high * {limb} + {_over('s.units', unit)} AS {_WHOLE}) AS string), '.', "
+        f"lpad(CAST(s.units % {unit} AS string), {digits}, '0')) AS double) + 0D",  # no negative zero
+    ]
+    bound = (
+        f"array(named_struct('whole', CAST({whole} AS {_WHOLE}), 'rest', CAST({left} AS decimal(38,25)), 'n', CAST({n} AS {_WHOLE})))"
+    )
+    for step in steps:
+        bound = f"transform({bound}, s -> {step})"
+    return f"get({bound}, 0)"
 
 
 def exact_avg(name: str, digits: int) -> Column:
-    whole, left, fits = _parts(F.col(name))
-    exact = F.when(F.count(name) > 0, divided(whole, left, F.count(name), digits))
-    return F.when(fits, exact).otherwise(F.round(F.avg(F.col(name).cast("double")), digits))
+    whole, left, fits = _sums(f"`{name}`")
+    n = f"count(`{name}`)"
+    other = f"round(avg(CAST(`{name}` AS double)), {digits})"
+    return F.expr(f"CASE WHEN NOT {fits} THEN {other} WHEN {n} > 0 THEN {divided(whole, left, n, digits)} END")
 
 
 def exact_sum(name: str, digits: int) -> Column:
-    whole, left, fits = _parts(F.col(name))
-    exact = divided(whole, left, F.lit(1), digits)
-    return F.when(fits, exact).otherwise(F.round(F.sum(F.col(name).cast("double")), digits))
+    whole, left, fits = _sums(f"`{name}`")
+    other = f"round(sum(CAST(`{name}` AS double)), {digits})"
+    return F.expr(f"CASE WHEN {fits} THEN {divided(whole, left, '1', digits)} ELSE {other} END")
 
 
-def exact_total(value: Column) -> Column:
-    """The sum of a column as a double, the same bits for rows in any order."""
-    whole, left, fits = _parts(value)
-    return F.when(fits, whole.cast("double") + left.cast("double")).otherwise(F.sum(value))
+def exact_total(value: str) -> Column:
+    """The sum of an expression as a double, the same bits for rows in any order."""
+    whole, left, fits = _sums(value)
+    return F.expr(f"CASE WHEN {fits} THEN CAST({whole} AS double) + CAST({left} AS double) ELSE sum({value}) END")
 
 
 def percent(part: Column, whole: Column, digits: int = 1) -> Column:

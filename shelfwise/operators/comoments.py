@@ -20,7 +20,7 @@ def comoments(df: DataFrame, x: str, y: str) -> DataFrame:
     both = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).where("x IS NOT NULL AND y IS NOT NULL")
     first = both.agg(
         F.count("*").alias("n"),
-        *[exact_total(F.col(c)).alias(f"sum_{c}") for c in "xy"],
+        *[exact_total(c).alias(f"sum_{c}") for c in "xy"],
         *[F.max(F.abs(c)).alias(f"unit_{c}") for c in "xy"],
     )
     means = first.select(
@@ -35,9 +35,9 @@ def comoments(df: DataFrame, x: str, y: str) -> DataFrame:
     centred = both.withColumn("m", means.select(F.struct("*")).scalar()).select("m", off("x").alias("dx"), off("y").alias("dy"))
     sums = centred.agg(
         F.any_value("m").alias("m"),
-        exact_total(F.col("dx") * F.col("dx")).alias("xx"),
-        exact_total(F.col("dy") * F.col("dy")).alias("yy"),
-        exact_total(F.col("dx") * F.col("dy")).alias("xy"),
+        exact_total("dx * dx").alias("xx"),
+        exact_total("dy * dy").alias("yy"),
+        exact_total("dx * dy").alias("xy"),
     )
     return sums.select(
         m["mean_x"].alias("mean_x"),

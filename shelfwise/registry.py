@@ -12,6 +12,7 @@ from shelfwise import staging
 from shelfwise.functions.sql import register_functions
 from shelfwise.operators import clean
 from shelfwise.operators.features import add_features
+from shelfwise.operators.median import merged_median
 from shelfwise.operators.union import union_by_name
 from shelfwise.plans import analytics, dashboard, quality, reports, transform, warehouse
 from shelfwise.schema import LAKE_SCHEMA, NA_TOKENS
@@ -20,6 +21,7 @@ from shelfwise.sources.batches import micro_batches, with_split
 from shelfwise.sources.csv import scan_listing_csv
 from shelfwise.sources.lake import append_to_lake, hour_counts, import_foreign_lake, read_lake
 from shelfwise.sources.sample_feed import number_forms
+from shelfwise.sources.summary import discount_counts, update_summary
 from shelfwise.streaming import jobs, messages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,16 +78,27 @@ def ingest_partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hour_counts(staging.lake(spark, sf_dir).select("_ingested_at", "_batch_id"))
 
 
-def lake_since(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The lake written with a directory per hour of arrival (here, the first of
-    the month), and read again from an hour on."""
+def _hourly_lake(spark: SparkSession, sf_dir: str) -> str:
+    """A lake with a directory per hour of arrival (here, the first of the month)."""
 
     def write(path: str) -> None:
         month = F.date_trunc("month", F.col("_ingested_at")).cast("timestamp_ntz")
         append_to_lake(staging.lake(spark, sf_dir).withColumn("_ingested_at", month), path)
 
-    path = staging.staged(spark, sf_dir, "hourly", write)
-    return hour_counts(read_lake(spark, path, since=datetime(1996, 5, 1, 0)))
+    return staging.staged(spark, sf_dir, "hourly", write)
+
+
+def lake_since(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An hourly lake read from an hour on."""
+    return hour_counts(read_lake(spark, _hourly_lake(spark, sf_dir), since=datetime(1996, 5, 1, 0)))
+
+
+def lake_discount_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fill value of a lake from the counts that are kept beside it."""
+    lake = _hourly_lake(spark, sf_dir)
+    update_summary(spark, lake)
+    fill = merged_median(discount_counts(spark, lake))
+    return spark.range(1).select(F.lit(fill).cast("double").alias("fill_value"))
 
 
 def foreign_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,8 +113,7 @@ def foreign_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
             kind(rows).write.parquet(f"{path}/2024/01/02/{hour:02d}")
 
     path = staging.staged(spark, sf_dir, "foreign", write)
-    lake = f"{scratch_dir(spark)}/lake"
-    import_foreign_lake(spark, path, lake, ["brand"])
+    lake = staging.staged(spark, sf_dir, "imported", lambda p: import_foreign_lake(spark, path, p, ["brand"]))
     return read_lake(spark, lake).select(
         "product_id", "title", "rating", "videos", "variations", "brand", "_ingested_at", "_batch_id", "ingest_hour"
     )
@@ -273,6 +285,7 @@ def queries() -> dict[str, Query]:
         src_union_by_name,
         ingest_partition_counts,
         lake_since,
+        lake_discount_median,
         foreign_lake,
         star_sql,
         micro_batch_assign,

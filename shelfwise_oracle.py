@@ -221,6 +221,7 @@ FROM processed JOIN category USING (category_slug) GROUP BY 1"""),
 SELECT event_id, event_type, row_number() OVER (ORDER BY event_id) - 1 AS _row_id,
   (row_number() OVER (ORDER BY event_id) - 1) // 50 AS _batch_id
 FROM events""",
+    "lake_discount_median": _typed("SELECT fill_value FROM middle"),
     "numbered_csv": """
 SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, CAST(user_id AS VARCHAR) AS user_id, props,
   row_number() OVER (ORDER BY event_id) - 1 AS _row_id, (row_number() OVER (ORDER BY event_id) - 1) // 50 AS _batch_id

@@ -216,7 +216,7 @@ def test_partial_sums_of_very_many_rows_are_divided_exactly(spark, digits):
     rows += [(-3, 0, 2), (1, 5 * 10**24, 10), (0, 0, 10**12), (10**11, 0, 2 * 10**11)]
     text = [(str(w), f"{f // 10**25}.{f % 10**25:025d}", n) for w, f, n in rows]
     sums = spark.createDataFrame(text, "w string, f string, n long").coalesce(1)
-    got = sums.select(exact.divided(F.col("w").cast("decimal(38,0)"), F.col("f").cast("decimal(38,25)"), F.col("n"), digits))
+    got = sums.select(F.expr(exact.divided("w", "f", "n", digits)))
     expected = [rounded((w + Fraction(f, 10**25)) / n, digits) for w, f, n in rows]
     assert [r[0] for r in got.collect()] == expected
 
