@@ -37,7 +37,7 @@ SAMPLE_PAGES = 1500
 #: Elements without content; elements whose content is no markup;
 #: elements that begin and end a block.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg select".split())
+RAW = frozenset("script style textarea title iframe select".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th "
@@ -58,8 +58,21 @@ ASIDE_WORDS = frozenset(
 MAIN_TAGS = frozenset(("article", "main"))
 MAIN_WORDS = frozenset("article articlebody content entry main post story".split())
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>|<[!?/][^>]*+>""", re.S)
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*+)"|'([^']*+)'|([^\s>"']++))""", re.I)
+#: Words that stand beside such words in names of parts of a page, and say nothing alone.
+FURNITURE = MAIN_WORDS | frozenset(
+    "area bar block body bottom box button buttons col column container frame group head holder icon icons inner item items "
+    "left line link links list message messages module outer page panel posts primary right row secondary section site slot "
+    "strip text title top unit wrap wrapper".split()
+)
+#: Of the marks, those that a paragraph or heading of an article may have itself; and such tags.
+ADVERT_WORDS = frozenset("ad ads advert adverts advertisement promo sponsor sponsored".split())
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th figure figcaption table ul ol dl".split())
+
+# Attribute values end at their quote or, without one, at a blank or the end of the tag.
+_TAG = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+)|[^\s/>=]++)*+)>|<[!?/][^>]*+>""", re.S
+)
+_NAMES = re.compile(r"""(?:^|[\s/"'])(?:class|id|role)\s*=\s*(?:"([^"]*+)"|'([^']*+)'|([^\s>]++))""", re.I)
 _WORD = re.compile(r"[a-z]+")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*+>|</{name}\Z", re.I) for name in RAW}
 
@@ -77,14 +90,19 @@ class Tree:
 
     parent: list[int]
     tag: list[str]  # "" for a block of text
-    words: list[frozenset]
+    words: list[tuple]  # of classes, ids and roles: the words of each
     text: list[str]
     links: list[int]  # code points of a block that are inside links
 
 
+def _split(names: str) -> tuple[frozenset, ...]:
+    """The words of each name, as in `site-header` and `siteHeader`."""
+    return tuple(frozenset(_WORD.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", name).lower())) for name in names.split())
+
+
 def parse(page: str) -> Tree:
     """The tree of a page; forgiving about ends that are missing or have no start."""
-    tree = Tree([-1], ["#"], [frozenset()], [""], [0])
+    tree = Tree([-1], ["#"], [()], [""], [0])
     stack, open_tags = [0], Counter()
     run: list[str] = []
     in_links, linked = 0, 0
@@ -95,7 +113,7 @@ def parse(page: str) -> Tree:
             text = " ".join("".join(run).split())
             if text:
                 at = next((s for s in reversed(stack) if tree.tag[s] in BLOCK), 0)
-                for part, value in zip((tree.parent, tree.tag, tree.words, tree.text, tree.links), (at, "", frozenset(), text, linked), strict=True):
+                for part, value in zip((tree.parent, tree.tag, tree.words, tree.text, tree.links), (at, "", (), text, linked), strict=True):
                     part.append(value)
             run, linked = [], 0
 
@@ -153,7 +171,7 @@ def parse(page: str) -> Tree:
         found = " ".join(filter(None, (a or b or c for a, b, c in _NAMES.findall(match[3])))) if match[3] else ""
         for part, value in zip(
             (tree.parent, tree.tag, tree.words, tree.text, tree.links),
-            (stack[-1], name, frozenset(_WORD.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", found).lower())) if found else frozenset(), "", 0),
+            (stack[-1], name, _split(found), "", 0),
             strict=True,
         ):
             part.append(value)
@@ -167,8 +185,34 @@ def parse(page: str) -> Tree:
 
 
 def _marks(tree: Tree, masked: bool) -> tuple[list[bool], list[bool]]:
-    aside = [t in ASIDE_TAGS or bool(w & ASIDE_WORDS) for t, w in zip(tree.tag, tree.words, strict=True)]
-    main = [not a and not masked and (t in MAIN_TAGS or bool(w & MAIN_WORDS)) for t, w, a in zip(tree.tag, tree.words, aside, strict=True)]
+    """Which nodes are marked as something beside the article, and which as the
+    article.
+
+    A name is a mark as a whole, `related` or `related-links` but not `related-work`.
+    An article and what contains it is never marked as beside it, whatever its names
+    (`has-comments`); prose inside one only by names of adverts.
+    """
+    n = len(tree.tag)
+    inside, holds = [t in MAIN_TAGS for t in tree.tag], [t in MAIN_TAGS or t in ("html", "body") for t in tree.tag]
+    for i in range(1, n):
+        inside[i] = inside[i] or inside[tree.parent[i]]
+    for i in range(n - 1, 0, -1):
+        if holds[i]:
+            holds[tree.parent[i]] = True
+
+    def beside(i: int) -> bool:
+        if holds[i]:
+            return False
+        if tree.tag[i] in ASIDE_TAGS:
+            return True
+        marks = ADVERT_WORDS if inside[i] and tree.tag[i] in PROSE else ASIDE_WORDS
+        return any(words & marks and words <= ASIDE_WORDS | FURNITURE for words in tree.words[i])
+
+    aside = [bool(t) and beside(i) for i, t in enumerate(tree.tag)]
+    main = [
+        not a and not masked and (t in MAIN_TAGS or any(words & MAIN_WORDS for words in w))
+        for t, w, a in zip(tree.tag, tree.words, aside, strict=True)
+    ]
     return aside, main
 
 
@@ -214,16 +258,19 @@ def evidence(tree: Tree, masked: bool = False) -> tuple[list[tuple[int, ...]], l
     return found, kinds
 
 
+_ADDED = frozenset(("xbeside",))
+
+
 def labels(tree: Tree) -> list[int] | None:
-    """States that the markup gives: a block is content inside an article and
-    not inside anything marked as something else; an element is if most of its
-    text is. None if the page has no article."""
-    aside, _ = _marks(tree, False)
+    """States that the elements give, whatever they are named: a block is content
+    inside an article and not inside an element for something else there, nor inside
+    what `enriched` has added as such; an element is if most of its text is. None if
+    the page has no article."""
     inside = [False] * len(tree.tag)
     content, total = [0] * len(tree.tag), [0] * len(tree.tag)
     for i in range(1, len(tree.tag)):
-        p = tree.parent[i]
-        inside[i] = not aside[i] and (inside[p] or tree.tag[i] in MAIN_TAGS)
+        p, tag = tree.parent[i], tree.tag[i]
+        inside[i] = tag in MAIN_TAGS or (inside[p] and tag not in ASIDE_TAGS and _ADDED not in tree.words[i])
         content[i], total[i] = len(tree.text[i]) * inside[i], len(tree.text[i])
     if not any(t in MAIN_TAGS for t in tree.tag):
         return None
@@ -281,11 +328,12 @@ def extract(page: str, model: Model) -> str:
 
 
 #: What a labelled page is given more of, inside and after its article.
+# `xbeside` tells the labels which of the added parts are not of the article.
 _INSIDE = (
     "<h2>{0}</h2><ul><li>{1}</li><li>{2}</li></ul><blockquote>{3}</blockquote><table><tr><td>{1}</td><td>{2}</td></tr></table>"
     "<figure><img src='x'><figcaption>{0}</figcaption></figure><p>{1} <math><mi>x</mi><mo>=</mo><mn>2</mn></math></p>"
-    "<div><p>{2}</p></div><aside><p>{1}</p></aside><div class='share'><ul><li><a href='#'>{0}</a></li></ul></div>"
-    "<section class='comments'><p>{3}</p><p>{1}</p></section>"
+    "<div><p>{2}</p></div><aside><p>{1}</p></aside><div class='share xbeside'><ul><li><a href='#'>{0}</a></li></ul></div>"
+    "<section class='comments xbeside'><p>{3}</p><p>{1}</p></section><div class='notice xbeside'><p>{2}</p></div>"
 )
 _AFTER = (
     "<section class='comments'><h3>{0}</h3><p>{1}</p><p>{3}</p></section><div class='sidebar'><p>{2}</p></div>"

@@ -91,3 +91,35 @@ def test_captions_and_formulas_are_kept(model):
     want = ["Title here", "First paragraph, long enough. It goes on. And on.", "We know that E=m holds here. It always does."]
     want += ["A caption of the picture.", "Last paragraph, also long enough. It ends here."]
     assert html_text.extract(page, model).split("\n\n") == want
+
+
+A, B, C = ("One paragraph of the article. It says a good deal. And more.", "Another one, as long. It goes on. It ends.", "The last. Not short either. Done now.")
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        f'<article class="post has-comments"><p>{A}</p><p>{B}</p><p>{C}</p></article>',
+        f"<article><p title=it's>{A}</p><p>{B}</p><p>{C}</p><!-- it's --></article>",
+        f'<article><p class="a"">{A}</p><p data-x="a>b" hidden = "">{B}</p><p id=p3/>{C}</p></article>',
+        f"<article><section class='related-work'><p>{A}</p></section><p class='notice-board'>{B}</p><p class='login'>{C}</p></article>",
+        f'<div id="page-with-sidebar"><main role="main" class="content comments-open"><p>{A}</p><p>{B}</p><p>{C}</p></main></div>',
+        f"<article><noscript><p>{A}</p></noscript><svg><text>{B}</text></svg><template><p>{C}</p></template></article>",
+        f'<form action="/"><div class="header-less widget-area"><article id="social-post-1"><p>{A}</p><p>{B}</p><p>{C}</p></article></div></form>',
+        f'<body class="login ad-free"><article><ul class="comments-list-style"><li>{A}</li><li>{B}</li></ul><p>{C}</p></article></body>',
+        f'<article class="sponsored"><h2 class="popup">{A}</h2><blockquote class="share">{B}</blockquote><p>{C}</p></article>',
+    ],
+)
+@pytest.mark.parametrize("beside", ["", '<div class="comments"><p>Nice post! Thanks. I like it.</p></div><div class="siteFooter">About us</div>'])
+def test_names_and_attributes_do_not_cost_an_article(model, body, beside):
+    page = f'<html><head><title>t</title></head><body><nav><a href="/">Home</a> <a href="/x">About</a></nav>{body}{beside}<footer>bye</footer></body></html>'
+    assert html_text.extract(page, model).split("\n\n") == [A, B, C]
+
+
+@pytest.mark.parametrize(
+    "mark", ['div class="related-links"', 'section id="comment-list"', 'p class="ad"', "div class=shareButtons", "aside", "form", 'div role="menu"']
+)
+def test_marked_parts_of_an_article_are_left_out(model, mark):
+    name = mark.split()[0]
+    page = f"<body><article><p>{A}</p><p>{B}</p><{mark}>Read this too. It is nice.</{name}><p>{C}</p></article></body>"
+    assert html_text.extract(page, model).split("\n\n") == [A, B, C]
