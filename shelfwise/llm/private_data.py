@@ -29,15 +29,16 @@ FORMS = {
 KINDS = tuple(FORMS)
 #: Tests that a text must pass before its matches are located.
 _HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){12}", "phone": r"\+[0-9]"}
-#: Other identifiers: runs of identifier characters with a digit or @ early on.
-CANDIDATE = r"(?<![\w.@%+-])(?=[A-Za-z._@%+-]{0,40}[0-9@])[A-Za-z0-9][A-Za-z0-9._@%+-]{3,62}[A-Za-z0-9](?!\w)"
+#: Other identifiers: whole runs of identifier characters, of any length, that hold a digit or @.
+CANDIDATE = r"(?<![\w.@%+-])(?=[A-Za-z._%+-]*+[0-9@])[A-Za-z0-9][A-Za-z0-9._@%+-]{3,}[A-Za-z0-9](?!\w)"
 
 ROUNDS = 3
 #: Distinct known instances that a pattern must have.
 MIN_SUPPORT = 4
 #: Least trust in a pattern, and in an instance, to be used further.
 PATTERN_TRUST, INSTANCE_TRUST = 0.75, 0.75
-#: Code points around a span that are searched for words.
+#: Code points around a span that are searched for words; a word that reaches
+#: further is part of no pattern.
 REACH = 48
 
 SPANS = "array<struct<kind:string,start:long,end:long>>"
@@ -110,9 +111,12 @@ def _patterns(text: Column, span: Column) -> Column:
     def form(part: Column) -> Column:
         return F.regexp_replace(F.lower(part), "[0-9]", "0")
 
-    begin = F.greatest(span["start"] - REACH, F.lit(0))
-    left = form(F.rtrim(F.substring(text, (begin + 1).cast("int"), (span["start"] - begin).cast("int"))))
-    right = form(F.substring(text, (span["end"] + 1).cast("int"), F.lit(REACH)))
+    # one more than REACH, so that a word which ends there is told from one that goes on
+    begin = F.greatest(span["start"] - REACH - 1, F.lit(0))
+    left = F.substring(text, (begin + 1).cast("int"), (span["start"] - begin).cast("int"))
+    right = F.substring(text, (span["end"] + 1).cast("int"), F.lit(REACH + 1))
+    left = form(F.rtrim(F.when(begin > 0, F.regexp_replace(left, r"^\S+", "")).otherwise(left)))
+    right = form(F.when(F.length(right) > REACH, F.regexp_replace(right, r"\S+$", "")).otherwise(right))
     one, two = F.regexp_extract(left, r"(\S+)$", 1), F.regexp_extract(left, r"(\S+\s+\S+)$", 1)
     after = F.regexp_extract(right, r"^\s*(\S+)", 1)
     found = F.array(
@@ -123,6 +127,12 @@ def _patterns(text: Column, span: Column) -> Column:
     return F.array_compact(found)
 
 
+def _instance(value: Column) -> Column:
+    """What tells identifiers apart: their letters in lower case, long ones by a hash."""
+    low = F.lower(value)
+    return F.when(F.length(low) > 64, F.md5(low)).otherwise(low)
+
+
 def _instances(texts: DataFrame) -> DataFrame:
     """key, base (spans), seen (spans of base and candidates with patterns), for
     each distinct text that has any."""
@@ -139,7 +149,7 @@ def _instances(texts: DataFrame) -> DataFrame:
     def seen(s: Column) -> Column:
         return F.struct(
             s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
-            F.lower(s["value"]).alias("instance"), _patterns(F.col("text"), s).alias("patterns"),
+            _instance(s["value"]).alias("instance"), _patterns(F.col("text"), s).alias("patterns"),
         )
 
     spans = F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))

@@ -71,6 +71,23 @@ def test_contexts_reveal_unseen_identifiers(spark):
         assert rows[i].spans == [] and rows[i].clean == rows[i].text
 
 
+def test_identifiers_of_any_length_are_found_whole(spark):
+    known = [f"lorem ipsum please write to u{i}x@mail.org for more {i % 7}" for i in range(30)]
+    long = ["user_4477at.mail" + "x9" * 30, "a" * 52 + "7", "b" * 5000 + "@c" + "d" * 5000, "é" * 70]
+    texts = known + [f"lorem ipsum please write to {one} for more" for one in long]
+    found = private_data.find_private(frame(spark, texts)).where("id >= 30").orderBy("id")
+    rows = found.withColumn("clean", private_data.redact(F.col("text"), F.col("spans"))).collect()
+    assert [r.clean == "lorem ipsum please write to [EMAIL] for more" for r in rows] == [True, True, True, False]
+    assert rows[3].spans == []
+
+
+def test_words_beyond_reach_make_no_pattern(spark):
+    """Seeds beside words of which only ends are near do not make a pattern of these ends."""
+    known = [f"{'z' * 60}{chr(97 + i)}please {'y' * 60}write u{i}x@mail.org" for i in range(20)]
+    found = private_data.find_private(frame(spark, [*known, f"{'q' * 60}{'y' * 60}write abc123"]))
+    assert [len(r.spans) for r in found.orderBy("id").collect()] == [1] * 20 + [0]
+
+
 def test_few_seeds_reveal_nothing(spark):
     texts = [f"please write to u{i}x@mail.org" for i in range(2)] + ["please write to user_4477at.mail"]
     assert [len(r.spans) for r in private_data.find_private(frame(spark, texts)).orderBy("id").collect()] == [1, 1, 0]
