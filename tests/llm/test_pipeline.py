@@ -21,7 +21,7 @@ def test_query_matches_sql(spark, name):
 
 def test_all_are_registered():
     found = contract.queries()
-    assert {f"op{n}_" for n in range(1, 11)} == {name[: name.index("_") + 1] for name in found if name in queries.QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {name[: name.index("_") + 1] for name in found if name in queries.QUERIES}
     assert found["pipeline"] is corpus_pipeline.run
 
 
