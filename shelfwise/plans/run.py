@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 from shelfwise.config import ListingConfig
 from shelfwise.plans.quality import quality_check, require_quality
-from shelfwise.plans.transform import process
+from shelfwise.plans.transform import identified, process
 from shelfwise.plans.warehouse import Star, read_star, write_star
+from shelfwise.schema import LAKE_SCHEMA
 from shelfwise.sources.batches import micro_batches, with_split
 from shelfwise.sources.csv import scan_listing_csv
 from shelfwise.sources.lake import ingest_once, read_lake, utc_now
 from shelfwise.sources.manifest import is_finished
 from shelfwise.sources.summary import discount_counts, update_summary
+from shelfwise.streaming import jobs
 
 PUBLISHED_SCHEMA = "run_id string, published_at bigint"
 
@@ -102,3 +104,29 @@ def run(
     star = load(spark, read_lake(spark, lake), warehouse, run_id, conf, discounts=discount_counts(spark, lake))
     star.register()
     return star
+
+
+def run_landed(
+    spark: SparkSession,
+    landed: str,
+    latest: str,
+    checkpoint: str,
+    warehouse: str,
+    conf: ListingConfig = ListingConfig(),
+    now: datetime | None = None,
+) -> Star:
+    """The hourly run over a lake that `streaming.jobs.land` writes.
+
+    Folds what has landed since the last run into the newest versions kept at `latest`,
+    compacts the buckets that it touches and loads from them. Of older rows only the
+    discounts are read.
+    """
+    started = now or datetime.now(timezone.utc)
+    rows = identified(jobs.file_stream(spark, landed, LAKE_SCHEMA))
+    jobs.fold_latest(rows, latest, checkpoint, "product_key").awaitTermination()
+    jobs.compact_latest(spark, latest, rows.schema, "product_key")
+    newest = jobs.read_latest(spark, latest, rows.schema, "product_key")
+    run_id = started.strftime("%Y%m%dT%H%M%S%f")
+    star = load(spark, read_lake(spark, landed), warehouse, run_id, conf, newest)
+    star.register()
+    return star

@@ -178,6 +178,19 @@ def stream_dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.read_latest(spark, f"{out}/latest", known.schema, "product_key")
 
 
+def stream_latest_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest versions of a lake that arrives in two parts, compacted after the first."""
+    rows = spark.read.schema(LAKE_SCHEMA).option("recursiveFileLookup", True).parquet(staging.lake_path(spark, sf_dir))
+    out = scratch_dir(spark)
+    for part in range(2):
+        rows.where(F.col("_batch_id") % 2 == part).write.parquet(f"{out}/in/{part}")
+        known = transform.identified(jobs.file_stream(spark, f"{out}/in", LAKE_SCHEMA))
+        jobs.fold_latest(known, f"{out}/latest", f"{out}/checkpoint", "product_key").awaitTermination()
+        if part == 0:
+            jobs.compact_latest(spark, f"{out}/latest", known.schema, "product_key", buckets=8)
+    return jobs.read_latest(spark, f"{out}/latest", known.schema, "product_key")
+
+
 # --- cleaning steps ---------------------------------------------------------
 
 
@@ -293,6 +306,7 @@ def queries() -> dict[str, Query]:
         json_roundtrip,
         stream_replay,
         stream_dedup_latest,
+        stream_latest_compacted,
         enforce_schema,
         clean_prices,
         fill_missing,

@@ -40,6 +40,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a file or directory, if there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def matching(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a pattern, as the file system spells them."""
     at = spark._jvm.org.apache.hadoop.fs.Path(pattern)

@@ -19,6 +19,16 @@ from shelfwise.schema import ORDER_COLUMNS
 from shelfwise.sources.batches import SPLIT_COLUMNS, file_starts, rows_of_files, with_split
 from shelfwise.sources.lake import holds_batch_files, utc_now, with_hour
 from shelfwise.sources.manifest import HOUR_COLUMNS, exists
+from shelfwise.streaming.snapshots import (
+    BUCKETS,
+    GRACE_SECONDS,
+    Snapshot,
+    bucket_of,
+    drop_covered,
+    last_snapshot,
+    read_buckets,
+    write_buckets,
+)
 
 _END = "position BIGINT"
 
@@ -137,7 +147,6 @@ def fold_latest(
         target = _epoch(f"{path}/changes", epoch)
         keep_latest(batch, key, order).write.mode("overwrite").parquet(target)
 
-    _note(rows.sparkSession, -1, f"{path}/compacted", mode="ignore")
     return (
         rows.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
@@ -153,12 +162,12 @@ def read_latest(
     key: str = "product_id",
     order: Sequence[str] = ORDER_COLUMNS,
 ) -> DataFrame:
-    """The newest version per key: the last snapshot and the changes since."""
-    done = _compacted(spark, path)
-    versions = _changes(spark, path, schema).where(F.col("epoch") > done).drop("epoch")
-    if done >= 0:
-        versions = spark.read.schema(schema).parquet(f"{path}/snapshots/{done}").unionByName(versions)
-    return keep_latest(versions, key, order)
+    """The newest version per key: the last snapshot and the changes since.
+
+    Only the changes are shuffled, into the buckets of the snapshot.
+    """
+    snapshot = last_snapshot(spark, path)
+    return _merged(spark, path, snapshot, _changes(spark, path, schema), schema, key, order)
 
 
 def compact_latest(
@@ -167,32 +176,54 @@ def compact_latest(
     schema: T.StructType,
     key: str = "product_id",
     order: Sequence[str] = ORDER_COLUMNS,
+    buckets: int = BUCKETS,
+    grace_seconds: float = GRACE_SECONDS,
 ) -> None:
-    """Writes a new snapshot of all changes so far; run it between streams.
+    """Writes the buckets anew that changes since the last snapshot touch; run it
+    between streams.
 
-    The snapshot counts once it is complete and noted. Older snapshots and the
-    changes it covers are no longer read and may be deleted.
+    The new snapshot counts once it is complete and noted. Changes and buckets that it
+    replaces are deleted by the first call after the grace period. `buckets` holds for
+    the first snapshot, later ones keep it.
     """
-    last = _changes(spark, path, schema).agg(F.max("epoch")).first()[0]
-    if last is None or last <= _compacted(spark, path):
-        return
-    newest = read_latest(spark, path, schema, key, order)
-    newest.write.mode("overwrite").parquet(f"{path}/snapshots/{last}")
-    _note(spark, last, f"{path}/compacted", mode="append")
+    snapshot = last_snapshot(spark, path, buckets)
+    changes = _changes(spark, path, schema)
+    new = changes.where(F.col("epoch") > snapshot.position).groupBy(bucket_of(key, snapshot.buckets).alias("bucket"))
+    found = new.agg(F.max("epoch").alias("epoch")).collect()  # a row for each bucket at most
+    if found:
+        touched = [r.bucket for r in found]
+        merged = _merged(spark, path, snapshot, changes, schema, key, order, touched)
+        write_buckets(merged, path, snapshot, max(r.epoch for r in found), touched, key)
+    drop_covered(spark, path, grace_seconds)
+
+
+def _merged(
+    spark: SparkSession,
+    path: str,
+    snapshot: Snapshot,
+    changes: DataFrame,
+    schema: T.StructType,
+    key: str,
+    order: Sequence[str],
+    only: list[int] | None = None,
+) -> DataFrame:
+    """Newest versions of a snapshot, or some of its buckets, and the changes after it."""
+    since = changes.where(F.col("epoch") > snapshot.position).drop("epoch")
+    if snapshot.position < 0 and only is None:
+        return keep_latest(since, key, order)
+    held = read_buckets(spark, path, snapshot, schema, key, only)
+    return keep_latest(held.unionByName(since.repartition(snapshot.buckets, key)), key, order)
 
 
 def _changes(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    if not exists(spark, f"{path}/changes"):
+        return spark.createDataFrame([], f"{schema.toDDL()}, epoch BIGINT")
     return spark.read.schema(f"{schema.toDDL()}, epoch BIGINT").parquet(f"{path}/changes")
 
 
-def _compacted(spark: SparkSession, path: str) -> int:
-    """The last micro-batch in the newest snapshot, -1 without one."""
-    return spark.read.schema(_END).parquet(f"{path}/compacted").agg(F.max("position")).first()[0]
-
-
-def _note(spark: SparkSession, position: int, path: str, mode: str = "overwrite") -> None:
+def _note(spark: SparkSession, position: int, path: str) -> None:
     note = spark.range(1).select(F.lit(position).cast("bigint").alias("position"))
-    note.write.mode(mode).parquet(path)
+    note.write.mode("overwrite").parquet(path)
 
 
 def _epoch(path: str, epoch: int) -> str:

@@ -487,3 +487,6 @@ UNION ALL SELECT 'fact_product_listing', 'orphans_of_dim_product', COUNT(*), COU
   FROM processed p WHERE product_key IS NOT NULL
     AND NOT EXISTS (SELECT 1 FROM (SELECT product_key FROM processed) d WHERE d.product_key = p.product_key)"""),
 }
+
+# However the versions arrive and are compacted, the newest ones are the same.
+ORACLE_SQL["stream_latest_compacted"] = ORACLE_SQL["stream_dedup_latest"]

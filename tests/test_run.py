@@ -13,11 +13,13 @@ from shelfwise.operators.clean import discount_value
 from shelfwise.operators.median import exact_median, merged_median
 from shelfwise.plans import reports
 from shelfwise.plans.quality import QualityError
-from shelfwise.plans.run import ingest_csv, load, published_star, run
+from shelfwise.plans.run import ingest_csv, load, published_star, run, run_landed
 from shelfwise.plans.transform import latest_versions, process
-from shelfwise.schema import ATTEMPT, RAW_COLUMNS
+from shelfwise.schema import ATTEMPT, LAKE_SCHEMA, RAW_COLUMNS
 from shelfwise.sources.lake import HOUR_COLUMNS, append_to_lake, read_lake
 from shelfwise.sources.summary import discount_counts, new_rows, update_summary
+from shelfwise.streaming import jobs
+from tests.test_operators import raw_rows
 
 
 def write_csv(path, rows):
@@ -143,3 +145,22 @@ def test_counts_merge_to_the_median_of_all_values(spark):
         values = [float(rng.randrange(rng.choice([3, 1000]))) for _ in range(size)]
         rows = spark.createDataFrame([(v, n) for v in values for n in (2, 1, 0)], "v double, n bigint")
         assert merged_median(rows, max_values=50) == median(values)
+
+
+def test_an_hourly_run_over_a_landed_lake(spark, tmp_path):
+    source, landed, marks = (str(tmp_path / name) for name in ("in", "lake", "marks"))
+
+    def hour(i, rows):
+        raw_rows(spark, rows).write.parquet(f"{source}/{i}")
+        jobs.land(jobs.file_stream(spark, source, LAKE_SCHEMA), landed, f"{marks}/land").awaitTermination()
+        star = run_landed(spark, landed, str(tmp_path / "latest"), f"{marks}/fold", str(tmp_path / "warehouse"))
+        return {r.product_id: r.title for r in star.dim_product.collect()}
+
+    def version(product, title):
+        fields = {"title": title, "category": "Toys", "seller_name": "s", "currency": "INR"}
+        return {"product_id": product, "final_price": "10", "initial_price": "20", "discount": "1", "rating": "4", "ratings_count": "3", **fields}
+
+    assert hour(0, [version("1", "a"), version("2", "b")]) == {1: "a", 2: "b"}
+    assert hour(1, [version("2", "c"), version("3", "d")]) == {1: "a", 2: "c", 3: "d"}
+    expected = process(read_lake(spark, landed)).select("product_id", "title").collect()
+    assert {r.product_id: r.title for r in expected} == {1: "a", 2: "c", 3: "d"}

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from shelfwise.plans.transform import identified, latest_versions, process
 from shelfwise.schema import LAKE_SCHEMA
 from shelfwise.sources import lake
-from shelfwise.streaming import jobs, messages
+from shelfwise.streaming import jobs, messages, snapshots
 from tests.test_operators import raw_rows
 
 NUMBERS = T.StructType([T.StructField("n", T.LongType())])
@@ -176,3 +176,64 @@ def test_topic_messages_get_their_place(spark):
     assert [(r.product_id, r.title, r._batch_id, r._row_id) for r in rows] == [
         ("1", "t", 3, 41), (None, None, 3, 42),
     ]
+
+
+def exchanged(frame):
+    """The formatted plan's exchanges, with the scans below each."""
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange" in line], plan
+
+
+def test_a_snapshot_is_merged_in_its_buckets(spark, tmp_path):
+    source, out, marks = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "marks")
+
+    def fold():
+        known = identified(jobs.file_stream(spark, source, LAKE_SCHEMA))
+        jobs.fold_latest(known, out, marks, "product_key").awaitTermination()
+        return known.schema
+
+    def titles(schema):
+        rows = jobs.read_latest(spark, out, schema, "product_key").collect()
+        return sorted((r.product_key or "", r.title) for r in rows)
+
+    first = [{"product_id": str(i), "_batch_id": 1, "title": "a"} for i in range(40)] + [{"_batch_id": 1, "title": "a"}]
+    raw_rows(spark, first).write.parquet(f"{source}/0")
+    schema = fold()
+    jobs.compact_latest(spark, out, schema, "product_key", buckets=8)
+    start = snapshots.last_snapshot(spark, out)
+    assert start.buckets == 8 and set(start.upto.values()) == {start.position} and len(start.upto) > 5
+
+    later = [{"product_id": "7", "_batch_id": 2, "title": "b"}, {"product_id": "9", "_batch_id": 0, "title": "old"}]
+    raw_rows(spark, [*later, {"product_id": "99", "_batch_id": 1, "title": "a"}, {"_batch_id": 2, "title": "b"}]).write.parquet(f"{source}/1")
+    fold()
+    expected = sorted([(str(i), "b" if i == 7 else "a") for i in [*range(40), 99]] + [("", "b")])
+    merged = jobs.read_latest(spark, out, schema, "product_key")
+    exchanges, plan = exchanged(merged)
+    assert len(exchanges) == 1 and "REPARTITION_BY_NUM" in exchanges[0], plan
+    assert "Bucketed: true" in plan and titles(schema) == expected
+
+    jobs.compact_latest(spark, out, schema, "product_key", buckets=3, grace_seconds=0)
+    end = snapshots.last_snapshot(spark, out)
+    touched = {b for b, upto in end.upto.items() if upto == end.position}
+    keys = spark.createDataFrame([("7",), ("9",), ("99",), (None,)], "product_key STRING")
+    assert end.buckets == 8 and touched == {r[0] for r in keys.select(snapshots.bucket_of("product_key", 8)).collect()}
+    assert titles(schema) == expected
+    left = {p.parent.name for p in (tmp_path / "out").glob("snapshots/upto=0/*/*.parquet")}
+    assert left == {f"_bucket={b}" for b, upto in end.upto.items() if upto == 0}
+    assert not list((tmp_path / "out").glob("changes/*/*.parquet"))
+
+    for _ in range(2):  # there is nothing to do
+        jobs.compact_latest(spark, out, schema, "product_key", grace_seconds=0)
+    assert snapshots.snapshots(spark, out) == [end] and fold() == schema and titles(schema) == expected
+
+
+def test_a_compaction_keeps_what_readers_may_use(spark, tmp_path):
+    source, out, marks = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "marks")
+    for i in range(2):
+        raw_rows(spark, [{"product_id": "1", "_batch_id": i, "title": str(i)}]).write.parquet(f"{source}/{i}")
+        known = identified(jobs.file_stream(spark, source, LAKE_SCHEMA))
+        jobs.fold_latest(known, out, marks, "product_key").awaitTermination()
+        before = jobs.read_latest(spark, out, known.schema, "product_key")
+        jobs.compact_latest(spark, out, known.schema, "product_key")
+        assert [r.title for r in before.collect()] == [str(i)]
+    assert len(snapshots.snapshots(spark, out)) == 2
