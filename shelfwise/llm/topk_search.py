@@ -7,8 +7,14 @@ matrix. For a query, the sum over components of what a block's extremes allow is
 a bound on all scores in it. Blocks are scored in order of falling bounds, until
 a query's next bound falls below its kth score.
 
-Queries are a set of their own, met by all blocks in pieces: (a range of blocks,
-a chunk of queries) is the unit of work, so neither side is held as a whole.
+Ranges of blocks are met in the same way. What the extremes of whole ranges allow,
+for few enough of them to be sent to all tasks, ranks the ranges for each query. A
+round sends each query to its next ranges in that order, three times as many as in
+all rounds before, but to none whose bound is below the kth score found so far, and
+a range returns only scores that reach it. As later ranges rank lower, a round adds
+about k rows for a query times the growth of its share, whatever the number of ranges.
+The unit of work is (a range, a chunk of the queries sent there), so neither side is
+held as a whole, and a range is copied only as often as it has chunks.
 """
 
 from __future__ import annotations
@@ -16,7 +22,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.frames import written
@@ -30,7 +36,17 @@ CHUNK_ROWS = 1 << 12
 #: order of rows, never the result.
 PIVOT_SAMPLE, PIVOTS = 4096, 64
 
-BLOCKS = "part int, ids binary, vectors binary, high binary, low binary"
+#: Bytes of extremes that are sent to all tasks. Beyond as many ranges, neighbours
+#: share a summary.
+SUMMARY_BYTES = 1 << 24
+#: Ranges of a query in the first round, and by how much its rounds grow.
+FIRST_RANGES, GROWTH = 1, 4
+#: Numbers in a matrix of bounds of queries and summaries.
+BOUND_CELLS = 1 << 20
+
+EXTREMES = "summary int, first long, high binary, low binary"
+ROUTES = "vec_id long, which long, vector array<long>, kth long, kth_id long, summary int"
+BLOCKS = "part int, first long, ids binary, vectors binary, high binary, low binary"
 FOUND = "query_id long, which long, vec_id long, score long"
 
 
@@ -81,13 +97,15 @@ def bounds(queries: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray
     return np.clip(up + down, LEAST, MOST).astype(np.int64)
 
 
-def search(queries: np.ndarray, query_ids: np.ndarray, blocks: list[tuple[np.ndarray, np.ndarray]], bound: np.ndarray, k: int) -> list[list[tuple[int, int]]]:
+def search(
+    queries: np.ndarray, query_ids: np.ndarray, blocks: list[tuple[np.ndarray, np.ndarray]], bound: np.ndarray, k: int, least: np.ndarray | None = None
+) -> list[list[tuple[int, int]]]:
     """For each query the k best (score, id) over all blocks (ids, vectors), ties
-    to the smaller id; rows of the query's own id take no part. A score among
-    the k best that does not fit 64 bits is an error."""
-    order = np.argsort(-bound, axis=1, kind="stable")
+    to the smaller id; rows of the query's own id take no part, nor do scores below
+    its `least`. A score among the k best that does not fit 64 bits is an error."""
+    order = np.argsort(~bound, axis=1, kind="stable")  # ~x falls as x rises, without overflow
     best: list[list[tuple[int, int]]] = [[] for _ in range(len(queries))]  # (-score, id), best first
-    kth = np.full(len(queries), np.iinfo(np.int64).min)
+    kth = np.full(len(queries), LEAST, np.int64) if least is None else least.astype(np.int64)
     open_ = np.arange(len(queries))
     for turn in range(len(blocks)):
         open_ = open_[bound[open_, order[open_, turn]] >= kth[open_]]
@@ -114,7 +132,7 @@ def search(queries: np.ndarray, query_ids: np.ndarray, blocks: list[tuple[np.nda
                 q = who[row]
                 best[q] = sorted(best[q] + list(zip((-found).tolist(), ids[at].tolist(), strict=True)))[:k]
                 if len(best[q]) == k:
-                    kth[q] = max(-best[q][-1][0], LEAST)
+                    kth[q] = max(-best[q][-1][0], kth[q])
     return [[(-score, i) for score, i in own] for own in best]
 
 
@@ -151,11 +169,11 @@ def _blocked(dim: int):
         rows.sort(key=lambda r: r[0])
         vectors = _matrix([r[1] for r in rows], dim)
         ids = np.array([r[0] for r in rows], np.int64)
-        return TaskContext.get().partitionId(), *(x.tobytes() for x in (ids, vectors, vectors.max(axis=0), vectors.min(axis=0)))
+        return TaskContext.get().partitionId(), int(ids[0]), *(x.tobytes() for x in (ids, vectors, vectors.max(axis=0), vectors.min(axis=0)))
 
     def run(batches):
         held, pivot = [], None
-        names, types = ["part", "ids", "vectors", "high", "low"], [pa.int32(), *[pa.binary()] * 4]
+        names, types = ["part", "first", "ids", "vectors", "high", "low"], [pa.int32(), pa.int64(), *[pa.binary()] * 4]
         for batch in batches:
             done = []
             for i, vector, own in zip(*(batch.column(c).to_pylist() for c in ("vec_id", "vector", "pivot")), strict=True):
@@ -202,13 +220,91 @@ def top_k(
     placed = rows.select("vec_id", "vector").mapInArrow(near, "vec_id long, vector array<long>, pivot int")
     ranges = placed.repartitionByRange(-(-total // RANGE_ROWS), "pivot", "vec_id").sortWithinPartitions("pivot", "vec_id", "vector")
     blocks = written(ranges.mapInArrow(_blocked(dim), BLOCKS), "blocks")
-    parts = [r[0] for r in blocks.select("part").distinct().collect()]  # one for RANGE_ROWS rows
+    extremes = _extremes(blocks, dim)
 
     asked = rows.where("query").select("vec_id", "vector").distinct().withColumn("which", F.xxhash64("vector"))
-    chunks = max(1, -(-asked.count() // CHUNK_ROWS))
-    asked = asked.withColumn("chunk", F.pmod(F.xxhash64("vec_id", "which"), F.lit(chunks)).cast("int"))
-    left = blocks.withColumn("chunk", F.explode(F.array(*[F.lit(c) for c in range(chunks)])))
-    right = asked.withColumn("part", F.explode(F.array(*[F.lit(p) for p in parts])))
+    asked = written(asked.withColumns(dict.fromkeys(("kth", "kth_id"), F.lit(None).cast("long"))), "asked")
+    best = spark.createDataFrame([], f"{FOUND}, rank int")
+    done, upto, order = 0, FIRST_RANGES, Window.partitionBy("query_id", "which").orderBy(F.col("score").desc(), "vec_id")
+    while done < extremes.count:
+        routes = written(asked.mapInArrow(extremes.routes(done, upto), ROUTES), "routes")
+        if routes.isEmpty():  # bounds fall from rank to rank, so no later one is reached either
+            break
+        found = _met(blocks, routes, extremes.span, dim, k)
+        ranked = best.drop("rank").unionByName(found).withColumn("rank", F.row_number().over(order))
+        best = written(ranked.where(F.col("rank") <= k), "best")
+        last = best.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), "which", F.col("score").alias("kth"), best.vec_id.alias("kth_id"))
+        asked = asked.drop("kth", "kth_id").join(last, ["vec_id", "which"], "left").select("vec_id", "vector", "which", "kth", "kth_id")
+        if upto < extremes.count:
+            asked = written(asked, "asked")
+        done, upto = upto, upto * GROWTH
+    return best.select("query_id", "rank", "vec_id", "score")
+
+
+class _Summaries:
+    """Extremes of ranges, each of `span` neighbours, at most SUMMARY_BYTES of them."""
+
+    def __init__(self, spark: SparkSession, first: np.ndarray, high: np.ndarray, low: np.ndarray, names: np.ndarray, span: int):
+        self.count, self.span = len(names), span
+        self._sent = spark.sparkContext.broadcast((first, high, low, names))
+
+    def routes(self, done: int, upto: int):
+        """Sends queries to their ranges of ranks done to upto, best bounds first, that
+        can reach the kth row so far: a greater score, or an equal one with a smaller id."""
+        sent = self._sent
+
+        def run(batches):
+            first, high, low, names = sent.value
+            dim = high.shape[1]
+            step = max(1, BOUND_CELLS // len(names))
+            for batch in batches:
+                for start in range(0, batch.num_rows, step):
+                    part = batch.slice(start, step)
+                    bound = bounds(_matrix(part.column("vector").to_pylist(), dim), high, low)
+                    kth, kth_id = (part.column(c).fill_null(v).to_numpy()[:, None] for c, v in (("kth", LEAST), ("kth_id", MOST)))
+                    reached = (bound > kth) | ((bound == kth) & (first[None, :] <= kth_id))
+                    order = np.argsort(~bound, axis=1, kind="stable")[:, done:upto]
+                    row, rank = np.nonzero(np.take_along_axis(reached, order, axis=1))
+                    who = part.take(pa.array(row))
+                    yield pa.RecordBatch.from_arrays(
+                        [*(who.column(c) for c in ("vec_id", "which", "vector")), pa.array(kth[row, 0]), pa.array(kth_id[row, 0]), pa.array(names[order[row, rank]], pa.int32())],
+                        names=["vec_id", "which", "vector", "kth", "kth_id", "summary"],
+                    )
+
+        return run
+
+
+def _extremes(blocks: DataFrame, dim: int) -> _Summaries:
+    last = blocks.agg(F.max("part")).first()[0]
+    span = -(-(last + 1) // max(1, SUMMARY_BYTES // (16 * dim)))
+
+    def fold(name: str):
+        def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+            high, low = (np.frombuffer(b"".join(table.column(c).to_pylist()), np.int64).reshape(-1, dim) for c in ("high", "low"))
+            folded = (key[0].as_py(), min(table.column("first").to_pylist()), high.max(axis=0).tobytes(), low.min(axis=0).tobytes())
+            types = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
+            return pa.table([pa.array([v], t) for v, t in zip(folded, types, strict=True)], names=[name, "first", "high", "low"])
+
+        return run
+
+    # by range first, so that the ranges of a summary meet as one row each
+    by_part = blocks.groupBy("part").applyInArrow(fold("part"), EXTREMES.replace("summary", "part"))
+    by_summary = by_part.withColumn("summary", F.expr(f"part div {span}").cast("int")).drop("part")
+    if span > 1:
+        by_summary = by_summary.groupBy("summary").applyInArrow(fold("summary"), EXTREMES)
+    rows = by_summary.orderBy("summary").toArrow()  # SUMMARY_BYTES at most
+    high, low = (np.frombuffer(b"".join(rows.column(c).to_pylist()), np.int64).reshape(-1, dim) for c in ("high", "low"))
+    return _Summaries(blocks.sparkSession, rows.column("first").to_numpy(), high, low, rows.column("summary").to_numpy(), span)
+
+
+def _met(blocks: DataFrame, routes: DataFrame, span: int, dim: int, k: int) -> DataFrame:
+    """What ranges give to the queries sent there, in chunks of queries."""
+    chunks = routes.groupBy("summary").agg(F.ceil(F.count("*") / CHUNK_ROWS).cast("int").alias("chunks"))
+    summary = F.expr(f"part div {span}").cast("int")
+    left = blocks.withColumn("summary", summary).join(chunks, "summary").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    dealt = routes.join(chunks, "summary").withColumn("chunk", F.pmod(F.xxhash64("vec_id", "which"), F.col("chunks")).cast("int"))
+    first = F.col("summary") * span
+    right = dealt.withColumn("part", F.explode(F.sequence(first, first + (span - 1))))
 
     def meet(ranges: pa.Table, wanted: pa.Table) -> pa.Table:
         columns = {c: ranges.column(c).to_pylist() for c in ("ids", "vectors", "high", "low")}
@@ -219,13 +315,14 @@ def top_k(
             (np.frombuffer(i, np.int64), np.frombuffer(v, np.int64).reshape(-1, dim))
             for i, v in zip(columns["ids"], columns["vectors"], strict=True)
         ]
-        found = search(queries, ids, stored, bounds(queries, high, low), k) if len(ids) and stored else []
-        queried = zip(ids.tolist(), wanted.column("which").to_pylist(), found, strict=True) if found else ()
-        rows = [(q, w, i, score) for q, w, own in queried for score, i in own]
+        found = search(queries, ids, stored, bounds(queries, high, low), k, wanted.column("kth").to_numpy()) if len(ids) and stored else []
+        kth, kth_id = (wanted.column(c).to_pylist() for c in ("kth", "kth_id"))
+        queried = zip(ids.tolist(), wanted.column("which").to_pylist(), kth, kth_id, found, strict=True) if found else ()
+        rows = [(q, w, i, score) for q, w, low, last, own in queried for score, i in own if score > low or i <= last]
         columns = zip(*rows, strict=True) if rows else ((), (), (), ())
         names = ["query_id", "which", "vec_id", "score"]
         return pa.table({name: pa.array(c, pa.int64()) for name, c in zip(names, columns, strict=True)})
 
-    near_best = left.groupBy("part", "chunk").cogroup(right.groupBy("part", "chunk")).applyInArrow(meet, FOUND)
-    order = Window.partitionBy("query_id", "which").orderBy(F.col("score").desc(), "vec_id")
-    return near_best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    left = left.select("part", "chunk", "ids", "vectors", "high", "low")
+    right = right.select("part", "chunk", "vec_id", "which", "vector", "kth", "kth_id")
+    return left.groupBy("part", "chunk").cogroup(right.groupBy("part", "chunk")).applyInArrow(meet, FOUND)

@@ -33,8 +33,9 @@ def sample(n, dim):
     return rows + [rows[3], rows[4]]
 
 
-@pytest.mark.parametrize("chunk, ranges", [(topk_search.CHUNK_ROWS, topk_search.RANGE_ROWS), (10, 100)])
-def test_all_best_are_found(spark, monkeypatch, chunk, ranges):
+@pytest.mark.parametrize("chunk, ranges, sent", [(topk_search.CHUNK_ROWS, topk_search.RANGE_ROWS, 1 << 24), (10, 60, 1 << 24), (10, 60, 16 * 6 * 3)])
+def test_all_best_are_found(spark, monkeypatch, chunk, ranges, sent):
+    monkeypatch.setattr(topk_search, "SUMMARY_BYTES", sent)
     monkeypatch.setattr(topk_search, "CHUNK_ROWS", chunk)
     monkeypatch.setattr(topk_search, "RANGE_ROWS", ranges)
     monkeypatch.setattr(topk_search, "BLOCK_ROWS", 32)
@@ -93,3 +94,22 @@ def test_an_outlier_does_not_end_the_search(spark):
     blocks = [(np.array([20, 21]), np.array([[2**58, 0], [1, 5]]))]
     best = topk_search.search(queries, np.array([20]), blocks, topk_search.bounds(queries, np.array([[2**58, 5]]), np.array([[1, 0]])), 2)
     assert best == [[(2**58, 21)]]
+
+
+@pytest.mark.parametrize("common", [False, True])
+def test_rows_found_grow_less_than_ranges(spark, monkeypatch, common):
+    """Ranges return what can still be among the best, not k rows for each query."""
+    monkeypatch.setattr(topk_search, "RANGE_ROWS", 40)
+    monkeypatch.setattr(topk_search, "BLOCK_ROWS", 8)
+    counts, plain = [], topk_search._met
+    monkeypatch.setattr(topk_search, "_met", lambda *args: counts.append(plain(*args).count()) or plain(*args))
+    source = np.random.default_rng(3)
+    centres = source.normal(0, 1, (20, 4))
+    vectors = (centres[source.integers(0, 20, 1600)] + source.normal(0, 0.1, (1600, 4))).tolist()
+    if common:  # one vector that half of all rows have: ties in half of all ranges
+        vectors[400:1200] = [vectors[0]] * 800
+    rows = list(enumerate(vectors))
+    found = topk_search.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, k=5)
+    assert sorted(map(tuple, found.collect())) == direct(rows, 5)
+    queries, ranges, k = 80, 40, 5
+    assert len(counts) > 1 and queries * k <= sum(counts) <= 4 * queries * k < queries * ranges * k / 5, counts
