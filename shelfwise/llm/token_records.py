@@ -12,7 +12,9 @@ A record is framed as
 The mask turns a checksum right by 15 bits and adds a constant, so that a frame
 stored inside a payload does not carry its own valid checksum. Spark's text
 writer writes the frames, so any file system that Spark knows will do and a
-repeated task leaves no second copy; the last byte is its line end.
+repeated task leaves no second copy; the last byte is its line end. A line is as many
+frames as FILE_BYTES allow, or one that is longer, and a file is one line; so no file
+is longer than Spark can read as one value, however many rows share a key.
 """
 
 from __future__ import annotations
@@ -27,15 +29,22 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.encoding import BATCH_BYTES, encoder
-from shelfwise.llm.frames import chunks, texts
+from shelfwise.llm.frames import chunks, texts, written
 
 #: Fixed value: the constant that masked checksums in record files add.
 MASK = 0xA282EAD8
 HEAD, KEY = struct.Struct("<QI"), struct.Struct("<q?B")
 FRAME_BYTES = HEAD.size + 4 + 1
 
-RECORDS = "part int, offset long, length long, key long, n_tokens long, ids binary"
-INDEX = "key long, part int, offset long, length long, n_tokens long, start long"
+#: Bytes of records of a file; a single longer record makes a file of its own.
+FILE_BYTES = 1 << 26
+#: Characters of a text that order rows of a key before the text's hash does.
+BEGIN = 64
+
+#: `part` numbers files: the task that wrote one, and its place among those of the task.
+FILE_BITS = 24
+RECORDS = "part long, offset long, length long, key long, n_tokens long, ids binary"
+INDEX = "key long, part long, offset long, length long, n_tokens long, start long"
 
 
 def masked_crc(data: bytes) -> int:
@@ -74,13 +83,25 @@ def parse(payload: bytes) -> tuple[int | None, np.ndarray]:
 
 
 def _encoded(tokenizer_path: str, end_id: int):
+    """Lines of frames, each a file."""
+
+    def line(frames: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([b"\n".join(frames)], pa.binary())], names=["line"])
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer_path)
         end = np.array([end_id], encode.dtype)
+        held, size = [], 0
         for batch in chunks(batches, "text", BATCH_BYTES):
-            rows = zip(batch.column("key").to_pylist(), encode.encode(texts(batch.column("text"))), strict=True)
-            frames = [record(key, np.concatenate([ids, end])) for key, ids in rows]
-            yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], names=["frame"])
+            for key, ids in zip(batch.column("key").to_pylist(), encode.encode(texts(batch.column("text"))), strict=True):
+                own = record(key, np.concatenate([ids, end]))
+                if held and size + len(own) + 1 > FILE_BYTES:
+                    yield line(held)
+                    held, size = [], 0
+                held.append(own)
+                size += len(own) + 1
+        if held:
+            yield line(held)
 
     return run
 
@@ -96,40 +117,41 @@ def write_records(
 ) -> None:
     """Writes `path`/records and the index in `path`/index.
 
-    Rows are cut into ranges of the key, one file each, in ascending order of
-    key and, for repeated keys, text; so files in order of their numbers hold
-    all documents in order. A null text is empty, other columns are ignored. Rows
-    without a key are written first, in order of text, if `missing`; otherwise
-    they are refused with an error. An empty table gives an empty index. File size follows `spark.sql.shuffle.partitions` and the advisory
-    partition size.
+    Rows are cut into ranges in ascending order of key and, for repeated keys, of the
+    first BEGIN characters of text and then its hash; so files in order of their numbers
+    hold all documents in order. Rows that agree in all of these may be in several ranges
+    too. A null text is empty, other columns are ignored. Rows without a key are written
+    first if `missing`; otherwise they are refused with an error. An empty table gives an
+    empty index. Ranges follow `spark.sql.shuffle.partitions` and the advisory partition
+    size, files hold FILE_BYTES at most.
     """
     own = F.col(f"`{key}`")
     if not missing:
         own = F.coalesce(own, F.raise_error(F.lit(f"{key} is null")))
     rows = docs.select(own.cast("long").alias("key"), F.col(f"`{text}`").alias("text"))
-    # many rows without a key are several ranges: the beginnings of texts are in the order of the texts
-    begin = F.when(F.col("key").isNull(), F.substring("text", 1, 64))
-    ordered = rows.repartitionByRange("key", begin).sortWithinPartitions("key", "text")
-    frames = ordered.mapInArrow(_encoded(tokenizer_path, end_id), "frame binary")
-    frames.select(F.col("frame").cast("string")).write.text(f"{path}/records", lineSep="\n")
+    order = ["key", F.substring("text", 1, BEGIN), F.xxhash64("text")]
+    ordered = rows.repartitionByRange(*order, F.monotonically_increasing_id()).sortWithinPartitions(*order)
+    lines = ordered.mapInArrow(_encoded(tokenizer_path, end_id), "line binary")
+    lines.select(F.col("line").cast("string")).write.option("maxRecordsPerFile", 1).text(f"{path}/records", lineSep="\n")
     _index(docs.sparkSession, path).write.parquet(f"{path}/index")
 
 
 def _parsed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Records of whole files, one output batch for some megabytes."""
+    """Records of whole files and the ids before each in its file, one output batch
+    for some megabytes."""
     schema = pa.schema(
-        [("part", pa.int32()), ("offset", pa.int64()), ("length", pa.int64()), ("key", pa.int64())]
-        + [("n_tokens", pa.int64()), ("ids", pa.binary())]
+        [(name, pa.int64()) for name in ("part", "offset", "length", "key", "n_tokens")] + [("ids", pa.binary()), ("before", pa.int64())]
     )
     for batch in batches:
         for i in range(batch.num_rows):
             data = memoryview(batch.column("content")[i].as_buffer())
-            part, rows, size, offset = batch.column("part")[i].as_py(), [], 0, 0
+            part, rows, size, offset, before = batch.column("part")[i].as_py(), [], 0, 0, 0
             while offset < len(data):
                 payload, following = unframe(data, offset)
                 key, ids = parse(payload)
-                rows.append((part, offset, following - offset, key, len(ids), ids.astype("<u4").tobytes()))
-                size += len(rows[-1][-1])
+                rows.append((part, offset, following - offset, key, len(ids), ids.astype("<u4").tobytes(), before))
+                size += 4 * len(ids)
+                before += len(ids)
                 offset = following
                 if size > 1 << 22 or offset >= len(data):
                     columns = zip(*rows, strict=True)
@@ -139,27 +161,29 @@ def _parsed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/records")
-    part = F.regexp_extract("path", r"part-(\d+)-[^/]*$", 1).cast("int")
-    return files.select(part.alias("part"), "content")
+    task, place = (F.regexp_extract("path", r"part-(\d+)-[^/]*-c(\d+)[^/]*$", i).cast("long") for i in (1, 2))
+    return files.select((F.shiftleft(task, FILE_BITS) + place).alias("part"), "content")
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """Every record, checksums verified: part, offset, length, key, n_tokens and
     the ids as little-endian unsigned 32-bit integers."""
-    return _files(spark, path).mapInArrow(_parsed, RECORDS)
+    return _records(spark, path).drop("before")
+
+
+def _records(spark: SparkSession, path: str) -> DataFrame:
+    return _files(spark, path).mapInArrow(_parsed, f"{RECORDS}, before long")
 
 
 def _index(spark: SparkSession, path: str) -> DataFrame:
-    """Where each record is, and how many ids lie before it. Running totals are
-    taken within a file; the window over all rows is over one row per file."""
-    rows = read_records(spark, path).drop("ids")
-    within = Window.partitionBy("part").orderBy("offset").rowsBetween(Window.unboundedPreceding, -1)
-    files = rows.groupBy("part").agg(F.sum("n_tokens").alias("total"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = files.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
-    local = rows.withColumn("local", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)))
-    return local.join(bases, "part").select(
-        "key", "part", "offset", "length", "n_tokens", (F.col("base") + F.col("local")).alias("start")
+    """Where each record is, and how many ids lie before it: those of its file, as
+    its task counted them, and all of earlier files. The window is over one row per file."""
+    rows = written(_records(spark, path).drop("ids"), "records")
+    files = rows.groupBy("part").agg(F.max(F.col("before") + F.col("n_tokens")).alias("total"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = files.select("part", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("base"))
+    return rows.join(bases, "part").select(
+        "key", "part", "offset", "length", "n_tokens", (F.col("base") + F.col("before")).alias("start")
     )
 
 
@@ -182,7 +206,7 @@ def read_selected(spark: SparkSession, path: str, selected: DataFrame) -> DataFr
                     key, ids = parse(payload)
                     found.append((row["part"], offset, following - offset, key, len(ids), ids.astype("<u4").tobytes()))
                 names = ["part", "offset", "length", "key", "n_tokens", "ids"]
-                types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+                types = [*[pa.int64()] * 5, pa.binary()]
                 columns = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 

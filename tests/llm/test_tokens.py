@@ -163,3 +163,29 @@ def test_rows_without_a_key_are_written_and_returned(spark, tmp_path):
     expected = [(key, library("byte", text, 2)) for key, text in ordered]
     assert [(r.doc_id, r.n_tokens, r.ids_crc32) for r in got] == [(k, len(i), zlib.crc32(i.tobytes())) for k, i in expected]
     assert [r.start for r in got] == np.cumsum([0, *[len(i) for _, i in expected]])[:-1].tolist()
+
+
+def test_files_stay_below_what_spark_reads_as_one_value(spark, monkeypatch):
+    """All rows share one key, many the text too: several files, none longer than allowed."""
+    monkeypatch.setattr(token_records, "FILE_BYTES", 2000)
+    path = f"{scratch_dir(spark)}/small"
+    own = [f"text {i} " + "word " * (i % 90) for i in range(300)] + ["the same words"] * 300 + ["long " * 3000]
+    docs = spark.createDataFrame([(7, t) for t in own] + [(8, "last")], "doc_id long, text string")
+    before = spark.conf.get("spark.sql.sources.binaryFile.maxLength")
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "7000")  # the long text alone takes 6000
+    try:
+        token_records.write_records(docs, path, public_tokenizers.path(FILES["byte"]), end_id=2)
+        rows = token_records.read_records(spark, path).join(token_records.read_index(spark, path).select("part", "offset", "start"), ["part", "offset"]).orderBy("start").collect()
+        some = token_records.read_index(spark, path).where("start % 3 = 0")
+        picked = token_records.read_selected(spark, path, some).select("part", "offset", "ids").collect()
+    finally:
+        spark.conf.set("spark.sql.sources.binaryFile.maxLength", before)
+    expected = sorted(library("byte", t, 2).tobytes() for t in [*own, "last"])
+    assert sorted(bytes(r.ids) for r in rows) == expected and [r.key for r in rows] == [7] * 601 + [8]
+    assert [r.start for r in rows] == [sum(r.n_tokens for r in rows[:i]) for i in range(len(rows))]
+    by_place = {(r.part, r.offset): r.ids for r in rows}
+    assert len(picked) == some.count() and all(by_place[r.part, r.offset] == r.ids for r in picked)
+    sizes = {}
+    for r in rows:
+        sizes.setdefault(r.part, []).append(r.length)
+    assert len(sizes) > 10 and all(sum(of) <= 2000 or len(of) == 1 for of in sizes.values())
