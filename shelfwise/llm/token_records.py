@@ -13,8 +13,9 @@ The mask turns a checksum right by 15 bits and adds a constant, so that a frame
 stored inside a payload does not carry its own valid checksum. Spark's text
 writer writes the frames, so any file system that Spark knows will do and a
 repeated task leaves no second copy; the last byte is its line end. A line is as many
-frames as FILE_BYTES allow, or one that is longer, and a file is one line; so no file
-is longer than Spark can read as one value, however many rows share a key.
+frames as LINE_BYTES allow, or one that is longer, and a file as many of the longest
+lines as FILE_BYTES allow; so no file is longer than Spark can read as one value,
+however many rows share a key.
 """
 
 from __future__ import annotations
@@ -36,8 +37,9 @@ MASK = 0xA282EAD8
 HEAD, KEY = struct.Struct("<QI"), struct.Struct("<q?B")
 FRAME_BYTES = HEAD.size + 4 + 1
 
-#: Bytes of records of a file; a single longer record makes a file of its own.
-FILE_BYTES = 1 << 26
+#: Bytes of records that the writer takes at once, and of a file; a single longer
+#: record makes a line or file of its own.
+LINE_BYTES, FILE_BYTES = 1 << 21, 1 << 25
 #: Characters of a text that order rows of a key before the text's hash does.
 BEGIN = 64
 
@@ -83,7 +85,7 @@ def parse(payload: bytes) -> tuple[int | None, np.ndarray]:
 
 
 def _encoded(tokenizer_path: str, end_id: int):
-    """Lines of frames, each a file."""
+    """Lines of frames."""
 
     def line(frames: list[bytes]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([b"\n".join(frames)], pa.binary())], names=["line"])
@@ -95,7 +97,7 @@ def _encoded(tokenizer_path: str, end_id: int):
         for batch in chunks(batches, "text", BATCH_BYTES):
             for key, ids in zip(batch.column("key").to_pylist(), encode.encode(texts(batch.column("text"))), strict=True):
                 own = record(key, np.concatenate([ids, end]))
-                if held and size + len(own) + 1 > FILE_BYTES:
+                if held and size + len(own) + 1 > LINE_BYTES:
                     yield line(held)
                     held, size = [], 0
                 held.append(own)
@@ -132,7 +134,10 @@ def write_records(
     order = ["key", F.substring("text", 1, BEGIN), F.xxhash64("text")]
     ordered = rows.repartitionByRange(*order, F.monotonically_increasing_id()).sortWithinPartitions(*order)
     lines = ordered.mapInArrow(_encoded(tokenizer_path, end_id), "line binary")
-    lines.select(F.col("line").cast("string")).write.option("maxRecordsPerFile", 1).text(f"{path}/records", lineSep="\n")
+    # an id takes four bytes at most and stands for a byte of text at least
+    longest = 4 * (rows.agg(F.max(F.octet_length("text"))).first()[0] or 0) + KEY.size + 4 + FRAME_BYTES
+    lines_of_file = max(1, FILE_BYTES // max(LINE_BYTES, longest))
+    lines.select(F.col("line").cast("string")).write.option("maxRecordsPerFile", lines_of_file).text(f"{path}/records", lineSep="\n")
     _index(docs.sparkSession, path).write.parquet(f"{path}/index")
 
 

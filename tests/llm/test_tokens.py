@@ -165,11 +165,13 @@ def test_rows_without_a_key_are_written_and_returned(spark, tmp_path):
     assert [r.start for r in got] == np.cumsum([0, *[len(i) for _, i in expected]])[:-1].tolist()
 
 
-def test_files_stay_below_what_spark_reads_as_one_value(spark, monkeypatch):
+@pytest.mark.parametrize("longest", [3000, 30])
+def test_files_stay_below_what_spark_reads_as_one_value(spark, monkeypatch, longest):
     """All rows share one key, many the text too: several files, none longer than allowed."""
+    monkeypatch.setattr(token_records, "LINE_BYTES", 700)
     monkeypatch.setattr(token_records, "FILE_BYTES", 2000)
     path = f"{scratch_dir(spark)}/small"
-    own = [f"text {i} " + "word " * (i % 90) for i in range(300)] + ["the same words"] * 300 + ["long " * 3000]
+    own = [f"text {i} " + "word " * (i % 90) for i in range(300)] + ["the same words"] * 300 + ["long " * longest]
     docs = spark.createDataFrame([(7, t) for t in own] + [(8, "last")], "doc_id long, text string")
     before = spark.conf.get("spark.sql.sources.binaryFile.maxLength")
     spark.conf.set("spark.sql.sources.binaryFile.maxLength", "7000")  # the long text alone takes 6000
