@@ -1,6 +1,9 @@
 """Quality and toxicity models: held-out labels, identities, odd input."""
 
+import math
+import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -140,3 +143,78 @@ def test_words_that_share_leading_bits_keep_their_own_counts(spark):
     new = spark.createDataFrame([(1, bad), (2, good)], "doc_id long, text string")
     scores = {r.doc_id: r.score for r in toxicity.add_scores(new, model).collect()}
     assert scores[1] > 0.5 > scores[2]
+
+
+def kneser_ney(texts):
+    """Values of texts by the two models, from dictionaries of words. `texts` = (text, toxic)."""
+    n, before = [Counter(), Counter()], {}
+    for text, toxic in texts:
+        for pair in zip(["", *text.split()], text.split()):
+            n[1 - toxic][pair] += 1
+            before.setdefault(pair[1], set()).add(pair[0])
+    words, after, types, discount = ([Counter(), Counter()] for _ in range(4))
+    for c in (0, 1):
+        for (h, w), count in n[c].items():
+            words[c][w] += count
+            after[c][h] += count
+            types[c][h] += 1
+        one, two = (sum(1 for x in n[c].values() if x == times) for times in (1, 2))
+        discount[c] = min(max(one / max(one + 2 * two, 1), 0.1), 0.95)
+    tokens = [sum(words[c].values()) for c in (0, 1)]
+    follows, vocabulary = sum(map(len, before.values())), len(before) + 1
+
+    def single(c, w):
+        shared = (len(before[w]) + 1) / (follows + vocabulary)
+        return max(words[c][w] - discount[c], 0) / tokens[c] + discount[c] * len(words[c]) / tokens[c] * shared
+
+    def double(c, h, w):
+        if not after[c][h]:
+            return single(c, w)
+        return max(n[c][h, w] - discount[c], 0) / after[c][h] + discount[c] * types[c][h] / after[c][h] * single(c, w)
+
+    def telling(a, b, all_a, all_b):
+        share, statistic = (a + b) / max(all_a + all_b, 1), 0.0
+        for x, whole in ((a, all_a), (b, all_b)):
+            for part, mean in ((x, whole * share), (whole - x, whole * (1 - share))):
+                statistic += 2 * part * math.log(part / mean) if part else 0
+        return statistic >= toxicity.SIGNIFICANT
+
+    def difference(h, w):
+        if w not in before:
+            return 0.0
+        if n[0][h, w] + n[1][h, w] >= 2 and telling(n[0][h, w], n[1][h, w], after[0][h], after[1][h]):
+            return math.log(double(0, h, w)) - math.log(double(1, h, w))
+        return math.log(single(0, w) / single(1, w)) if telling(words[0][w], words[1][w], *tokens) else 0.0
+
+    def value(text):
+        own = text.split()
+        return sum(difference(h, w) for h, w in zip(["", *own], own)) / max(len(own), 1)
+
+    return value
+
+
+@pytest.mark.parametrize("block", [toxicity.BLOCK_PAIRS, 2])
+def test_values_are_those_of_the_two_models(spark, monkeypatch, block):
+    """All terms at once, and in several passes over the documents."""
+    monkeypatch.setattr(toxicity, "BLOCK_PAIRS", block)
+    source = random.Random(8)
+    common = [f"word{i}" for i in range(30)]
+    rows = []
+    for i in range(400):
+        toxic = int(i % 4 == 0)
+        text = source.choices(common, k=source.randint(5, 30))
+        text += source.choices(["vile", "foul"] if toxic else ["kind", "calm"], k=2)
+        for _ in range(2):  # two words that are no sign by themselves, but one after the other
+            text += ["bad", "apple"] if toxic else ["bad", source.choice(common), "apple"]
+            text.append(source.choice(common))
+        rows.append((" ".join(text), toxic))
+    labelled = spark.createDataFrame(rows, "text string, label int").repartition(3)
+    counts = labelled.mapInArrow(toxicity._counted, "h long, w long, n0 long, n1 long")
+    counts = counts.groupBy("h", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    model = toxicity.Terms(toxicity._terms(counts))
+    assert model.terms.count() > 4
+    asked = [text for text, _ in rows[:60]] + ["", "unseen words only", "bad apple", "apple bad", "vile bad apple word1 word2", "kind"]
+    got = toxicity.add_values(spark.createDataFrame([(t,) for t in asked], "text string"), model).collect()
+    direct = kneser_ney(rows)
+    assert {r.text: r.value for r in got} == pytest.approx({t: direct(t) for t in asked}, abs=1e-5)
+    assert direct("bad apple") > direct("apple bad") + 0.5 and direct("vile") > 0.5 > -0.5 > direct("kind")
