@@ -14,7 +14,7 @@ from shelfwise.operators.clean import (
     fill_missing,
     validate,
 )
-from shelfwise.operators.dedup import keep_latest
+from shelfwise.operators.dedup import keep_latest, without_superseded
 from shelfwise.operators.features import add_features
 from shelfwise.operators.keys import with_number_key
 from shelfwise.schema import PROCESSED_SCHEMA
@@ -28,7 +28,7 @@ def identified(raw: DataFrame) -> DataFrame:
 
 def latest_versions(raw: DataFrame) -> DataFrame:
     """The newest raw row of each product, identified."""
-    return keep_latest(identified(raw), "product_key")
+    return keep_latest(without_superseded(identified(raw), "product_key"), "product_key")
 
 
 def process(

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+from datetime import datetime
 
 import numpy as np
 import pytest
@@ -9,11 +10,11 @@ from pyspark.sql import functions as F
 
 from shelfwise.config import ListingConfig
 from shelfwise.operators import clean, counts
-from shelfwise.operators.dedup import keep_latest
+from shelfwise.operators.dedup import keep_latest, without_superseded
 from shelfwise.operators.features import add_features
 from shelfwise.operators.median import exact_median
 from shelfwise.operators.union import union_by_name
-from shelfwise.plans.transform import identified, process, step_counters
+from shelfwise.plans.transform import identified, latest_versions, process, step_counters
 from shelfwise.schema import LAKE_SCHEMA, PROCESSED_SCHEMA, RAW_COLUMNS
 
 
@@ -85,6 +86,31 @@ def test_keep_latest_needs_an_order(spark):
         keep_latest(spark.range(1).withColumnRenamed("id", "product_id"))
 
 
+@pytest.mark.parametrize("groups", [1, 3, 1 << 18])
+def test_superseded_rows_are_dropped_before_the_sort(spark, groups):
+    """Whatever the number of groups, each key keeps its newest rows, with missing keys,
+    keys without any time, some rows without, and ties of the first order column."""
+    source = random.Random(4)
+    rows = [
+        {"product_id": source.choice(["1", "2", "3", "4", None]), "_ingested_at": datetime(2024, 1, source.randint(1, 20)), "title": str(i)}
+        for i in range(200)
+    ]
+    rows += [{"product_id": "1", "title": "no time"}] + [{"product_id": p, "title": "never"} for p in ("5", "5", "6")]
+    rows += [{"product_id": "2", "_ingested_at": datetime(2024, 1, 20), "title": "tie"} for _ in range(2)]
+    raw = raw_rows(spark, rows)
+    kept = without_superseded(raw, "product_id", groups=groups)
+    assert kept.columns == raw.columns
+    assert sorted(keep_latest(kept).collect(), key=str) == sorted(keep_latest(raw).collect(), key=str)
+    timed = raw.where("product_id IN ('1', '2', '3', '4')")
+    assert without_superseded(timed, "product_id", groups=groups).count() < timed.count() / 2
+
+
+def test_latest_versions_sort_what_is_left(spark):
+    """The wide rows meet the bounds before the group limit sorts them."""
+    plan = latest_versions(raw_rows(spark, [{"product_id": "1"}]))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan.rsplit("WindowGroupLimit", 1)[1]
+
+
 # --- cleaning ---------------------------------------------------------------
 
 
