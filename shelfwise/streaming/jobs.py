@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfwise.operators.dedup import keep_latest
+from shelfwise.operators.dedup import keep_latest, without_superseded
 from shelfwise.schema import ORDER_COLUMNS
 from shelfwise.sources.batches import SPLIT_COLUMNS, file_starts, rows_of_files, with_split
 from shelfwise.sources.lake import holds_batch_files, utc_now, with_hour
@@ -145,7 +145,7 @@ def fold_latest(
 
     def write(batch: DataFrame, epoch: int) -> None:
         target = _epoch(f"{path}/changes", epoch)
-        keep_latest(batch, key, order).write.mode("overwrite").parquet(target)
+        keep_latest(without_superseded(batch, key, order), key, order).write.mode("overwrite").parquet(target)
 
     return (
         rows.writeStream.foreachBatch(write)
