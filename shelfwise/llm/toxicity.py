@@ -2,20 +2,26 @@
 
 For each class c (toxic, ordinary) and pair of words h w:
 
-    p_c(w | h) = max(n_c(h w) - D_c, 0) / n_c(h) + D_c t_c(h) / n_c(h) * p_c(w)
+    p_c(w | h) = (1 - b(h)) * q_c(w | h) + b(h) * p_c(w)
+    q_c(w | h) = max(n_c(h w) - D_c, 0) / n_c(h) + D_c t_c(h) / n_c(h) * q(w | h)
+    q(w | h)   = max(n(h w) - D, 0) / (n(h) - D t(h))
     p_c(w)     = max(n_c(w) - D_c, 0) / n_c + D_c t_c / n_c * p(w)
     p(w)       = (number of words that w follows + 1) / (sum of these + vocabulary)
-
-n counts tokens, t distinct successors (or words), and p(w) is taken over both
-classes, so a rare expression weighs the same in both. Beyond that, a word or
-pair whose counts do not tell the classes apart (a likelihood-ratio statistic
-below SIGNIFICANT) backs off to the counts that they share: it adds nothing to
-the difference, instead of adding noise for each word that the smaller class
-happens to lack. A text's value is the difference of its log-likelihoods per
-word. Counts are taken by Spark over the labelled documents that are not held
+    b(h)       = D t(h) / n(h)
+
+n counts tokens, t distinct successors (or words). The counts of the backoff, for q, b
+and p(w), are taken over both classes, so a rare expression weighs the same in both, and
+a class of which there is less text is not the likelier one for whatever is new. A class
+without h has q for its q_c. A text's value is the difference of its log-likelihoods per
+word, over all its words and pairs: those that were counted, however seldom, and those
+that were not. With `telling_only`, `train` makes a smaller model instead: p_c(w | h) backs
+off to p_c(w) by D_c t_c(h) / n_c(h), without q, and a word or pair whose counts do not
+tell the classes apart (by a likelihood-ratio statistic) adds nothing.
+
+Counts are taken by Spark over the labelled documents that are not held
 back, see HELD_BACK, each distinct text once. Words are known by 64-bit hashes and pairs by two of them; counts of words,
-histories and pairs are tables that are joined, and only the words and pairs that
-tell the classes apart are sent to executors, in blocks, see `Terms`.
+histories and pairs are tables that are joined. Their values are sent to executors in
+blocks, see `Terms`; more than PASSES blocks are joined with the words of the texts.
 """
 
 from __future__ import annotations
@@ -37,12 +43,14 @@ BITS = 20
 VOCABULARY = 1 << BITS
 #: Words before: of a row's first word, and of a word by itself.
 FIRST, ALONE = 0, 1
-#: Least likelihood-ratio statistic of counts that are kept apart by class. It
-#: is well above what chance gives, as words of repeated passages come in bursts.
+#: Least likelihood-ratio statistic of counts that a smaller model keeps apart by class.
+#: It is well above what chance gives, as words of repeated passages come in bursts.
 SIGNIFICANT = 25.0
 #: Words and pairs that an executor holds at once (20 bytes each). A larger model is
 #: applied in several passes over the documents; their values add up.
 BLOCK_PAIRS = 1 << 23
+#: Passes up to which a whole model is sent to executors; a larger one is joined.
+PASSES = 4
 #: Labelled ids up to which labels are broadcast (some 40 bytes each) instead of
 #: shuffling the documents to them.
 BROADCAST_LABELS = 1 << 20
@@ -98,6 +106,7 @@ class Totals:
     discount: tuple[float, float]
     before: float  # sum over words of distinct words before
     vocabulary: int
+    shared: float = 0.75  # discount of the counts of both classes
 
     def word(self, c: int, n: np.ndarray, before: np.ndarray) -> np.ndarray:
         """p_c(w) of words with n tokens in the class."""
@@ -105,9 +114,13 @@ class Totals:
         left = self.discount[c] * self.types[c] / total if self.tokens[c] else 1.0
         return np.maximum(n - self.discount[c], 0) / total + left * (before + 1.0) / (self.before + self.vocabulary)
 
+    def single(self, n: tuple[np.ndarray, np.ndarray], before: np.ndarray) -> np.ndarray:
+        """Log of p_toxic(w) / p_ordinary(w); with no tokens that of an unknown word."""
+        return np.log(self.word(0, n[0], before)) - np.log(self.word(1, n[1], before))
+
     def alone(self, n: tuple[np.ndarray, np.ndarray], before: np.ndarray) -> np.ndarray:
-        """Log of p_toxic(w) / p_ordinary(w), 0 for words that the classes share."""
-        ratio = np.log(self.word(0, n[0], before)) - np.log(self.word(1, n[1], before))
+        """As `single`, 0 for words that the classes share."""
+        ratio = self.single(n, before)
         return np.where(apart(n[0], n[1], self.tokens[0], self.tokens[1]) >= SIGNIFICANT, ratio, 0.0)
 
     def pair(self, n, after, types, of_word, before) -> np.ndarray:
@@ -121,6 +134,20 @@ class Totals:
             value.append(np.log(direct + backoff * self.word(c, of_word[c], before)))
         return value[0] - value[1] - self.alone(of_word, before)
 
+    def seen(self, n, after, types, all_types, of_word, before) -> np.ndarray:
+        """As `pair`, by the model of all words and pairs, beyond `single`; all_types =
+        distinct words after the first word in either class."""
+        whole, every = n[0] + n[1], after[0] + after[1]
+        left = self.shared * all_types / every
+        common = np.maximum(whole - self.shared, 0) / (every - self.shared * all_types)
+        value = []
+        for c in (0, 1):
+            d = self.discount[c]
+            own = (np.maximum(n[c] - d, 0) + d * types[c] * common) / np.maximum(after[c], 1)
+            direct = np.where(after[c] > 0, own, common)
+            value.append(np.log((1 - left) * direct + left * self.word(c, of_word[c], before)))
+        return value[0] - value[1] - self.single(of_word, before)
+
 
 @dataclass
 class Model:
@@ -135,12 +162,14 @@ class Model:
 
 @dataclass
 class Terms:
-    """`terms` is a table (key, word, delta) of the words (after ALONE) and pairs
-    that tell the classes apart, by `term_keys`. What `train` makes."""
+    """`terms` is a table (key, word, delta) of words (after ALONE) and pairs by `term_keys`; a smaller model has the words and pairs that tell
+    the classes apart. `unknown` is the value of a word that is not in it. What `train`
+    makes."""
 
     terms: DataFrame
     slope: float = 1.0
     intercept: float = 0.0
+    unknown: float = 0.0
 
 
 def discounts(repeats: list[tuple[int, int]]) -> tuple[float, float]:
@@ -190,33 +219,74 @@ def _hashes(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return batch.column(name).to_numpy(zero_copy_only=False).view(np.uint64)
 
 
-def _terms(counts: DataFrame) -> DataFrame:
-    """key, word, delta for all words and pairs of `counts` (h, w, n0, n1) that
-    tell the classes apart."""
+def _sums(counts: DataFrame) -> tuple[DataFrame, DataFrame, Totals]:
+    """Counts by word and by history, and the totals of `counts` (h, w, n0, n1)."""
     sums = [F.sum("n0").alias("a0"), F.sum("n1").alias("a1")]
     by_word = written(counts.groupBy("w").agg(*sums, F.count("*").alias("before")), "words")
     by_history = counts.groupBy("h").agg(
-        *sums, F.count_if(F.col("n0") > 0).alias("t0"), F.count_if(F.col("n1") > 0).alias("t1")
+        *sums,
+        F.count_if(F.col("n0") > 0).alias("t0"),
+        F.count_if(F.col("n1") > 0).alias("t1"),
+        F.count("*").alias("t"),
     )
-    once = counts.agg(*[F.count_if(F.col(f"n{c}") == n) for c in (0, 1) for n in (1, 2)]).first()
+    numbers = [F.col("n0"), F.col("n1"), F.col("n0") + F.col("n1")]
+    once = counts.agg(*[F.count_if(number == n) for number in numbers for n in (1, 2)]).first()
     whole = by_word.agg(
         *[F.coalesce(F.sum(c), F.lit(0)) for c in ("a0", "a1", "before")],
         *[F.count_if(F.col(c) > 0) for c in ("a0", "a1")],
         F.count("*"),
     ).first()
     # one number more than there are words, for all that is unknown
-    totals = Totals(whole[:2], whole[3:5], discounts([once[:2], once[2:]]), whole[2], whole[5] + 1)
+    *discount, shared = discounts([once[:2], once[2:4], once[4:]])
+    totals = Totals(whole[:2], whole[3:5], tuple(discount), whole[2], whole[5] + 1, shared)
+    return by_word, by_history, totals
+
+
+def _found(before: np.ndarray, word: np.ndarray, delta: np.ndarray) -> pa.RecordBatch:
+    arrays = [pa.array(term_keys(before, word).view(np.int64)), pa.array(word.view(np.int64)), pa.array(delta.astype(np.float32))]
+    return pa.RecordBatch.from_arrays(arrays, names=["key", "word", "delta"])
+
+
+_TERM = "key long, word long, delta float"
+
+
+def _of_words(by_word: DataFrame) -> DataFrame:
+    return by_word.select("w", F.col("a0").alias("w0"), F.col("a1").alias("w1"), "before")
+
+
+def _all_terms(counts: DataFrame) -> Terms:
+    """The model of all words and pairs of `counts` (h, w, n0, n1). The values of a pair
+    and of its second word add up to the difference of their log-likelihoods."""
+    by_word, by_history, totals = _sums(counts)
+    unknown = float(totals.single((np.zeros(1), np.zeros(1)), np.zeros(1))[0])
 
-    def found(before: np.ndarray, word: np.ndarray, delta: np.ndarray) -> pa.RecordBatch:
-        arrays = [pa.array(term_keys(before, word).view(np.int64)), pa.array(word.view(np.int64)), pa.array(delta.astype(np.float32))]
-        return pa.RecordBatch.from_arrays(arrays, names=["key", "word", "delta"])
+    def singles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n0, n1, before = _columns(batch, "a0", "a1", "before")
+            word = _hashes(batch, "w")
+            yield _found(np.full_like(word, ALONE), word, totals.single((n0, n1), before) - unknown)
+
+    def seen(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, of_h, types, of_w = (_columns(batch, f"{x}0", f"{x}1") for x in ("n", "a", "t", "w"))
+            delta = totals.seen(n, of_h, types, *_columns(batch, "t"), of_w, *_columns(batch, "before"))
+            yield _found(_hashes(batch, "h"), _hashes(batch, "w"), delta)
+
+    pairs_of = counts.join(by_history, "h").join(_of_words(by_word), "w").mapInArrow(seen, _TERM)
+    return Terms(written(by_word.mapInArrow(singles, _TERM).union(pairs_of), "terms"), unknown=unknown)
+
+
+def _terms(counts: DataFrame) -> DataFrame:
+    """key, word, delta for the words and pairs of `counts` (h, w, n0, n1) that
+    tell the classes apart."""
+    by_word, by_history, totals = _sums(counts)
 
     def alone(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n0, n1, before = _columns(batch, "a0", "a1", "before")
             delta, word = totals.alone((n0, n1), before), _hashes(batch, "w")
             kept = delta != 0
-            yield found(np.full(int(kept.sum()), ALONE, np.uint64), word[kept], delta[kept])
+            yield _found(np.full(int(kept.sum()), ALONE, np.uint64), word[kept], delta[kept])
 
     def kept(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -226,15 +296,13 @@ def _terms(counts: DataFrame) -> DataFrame:
         for batch in batches:
             n, of_h, types, of_w = (_columns(batch, f"{x}0", f"{x}1") for x in ("n", "a", "t", "w"))
             delta = totals.pair(n, of_h, types, of_w, *_columns(batch, "before"))
-            yield found(_hashes(batch, "h"), _hashes(batch, "w"), delta)
+            yield _found(_hashes(batch, "h"), _hashes(batch, "w"), delta)
 
-    schema = "key long, word long, delta float"
     again = counts.where(F.col("n0") + F.col("n1") >= 2)
     judged = again.join(by_history, "h").select("h", "w", "n0", "n1", "a0", "a1", "t0", "t1")
     telling = written(judged.mapInArrow(kept, judged.schema), "telling")
-    of_words = by_word.select("w", F.col("a0").alias("w0"), F.col("a1").alias("w1"), "before")
-    of_pairs = telling.join(of_words, "w").mapInArrow(after, schema)
-    return written(by_word.mapInArrow(alone, schema).union(of_pairs), "terms")
+    of_pairs = telling.join(_of_words(by_word), "w").mapInArrow(after, _TERM)
+    return written(by_word.mapInArrow(alone, _TERM).union(of_pairs), "terms")
 
 
 def train(
@@ -244,10 +312,12 @@ def train(
     key: str = "doc_id",
     label: str = "toxic",
     text: str = "text",
+    telling_only: bool = False,
 ) -> Terms:
     """Models from the labelled documents for which `usable`, a condition on
     `labels`, holds; one in HELD_BACK is for calibration only. Rows without id or label are left out; of an id's different
-    labels the greatest holds. With no labelled rows every score is one half."""
+    labels the greatest holds. With no labelled rows every score is one half.
+    `telling_only` gives the smaller model."""
     one = labels.where(usable).select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").cast("int").alias("label"))
     one = one.dropna().groupBy("key").agg(F.max("label").alias("label"))
     back = F.pmod(F.xxhash64("key"), F.lit(HELD_BACK)) == 0
@@ -259,7 +329,7 @@ def train(
     rows = texts.join(F.broadcast(counted) if small else counted, "key").select("text", "label")
     parts = rows.mapInArrow(_counted, "h long, w long, n0 long, n1 long")
     counts = written(parts.groupBy("h", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "pairs")
-    model = Terms(_terms(counts))
+    model = Terms(_terms(counts)) if telling_only else _all_terms(counts)
 
     sample = one.where(back).orderBy(F.xxhash64(F.lit(1), "key"), "key").limit(CALIBRATION_ROWS)
     chosen = add_values(texts.join(F.broadcast(sample), "key"), model).select("value", "label").toArrow()
@@ -287,6 +357,11 @@ def calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 VALUE = T.StructType([T.StructField("value", T.DoubleType())])
 
 
+def _parts(before: np.ndarray, word: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The terms whose values a word of a text adds up."""
+    return [(np.full_like(word, ALONE), word), (before, word)]
+
+
 def _numbered(word: np.ndarray, table: pa.Table):
     """Values of the words of texts by a `Model`."""
     keys, deltas = table.column("key").to_numpy(), table.column("delta").to_numpy()
@@ -303,18 +378,18 @@ def _numbered(word: np.ndarray, table: pa.Table):
     return values
 
 
-def _told(table: pa.Table):
+def _told(table: pa.Table, unknown: float):
     """Values of the words of texts by `Terms`."""
     keys, own, deltas = (table.column(c).to_numpy() for c in ("key", "word", "delta"))
 
     def values(data: np.ndarray, offsets: np.ndarray, again: bool) -> tuple[np.ndarray, np.ndarray]:
         row, before, word = word_pairs(data, offsets)
-        value = np.zeros(len(word))
+        value = np.full(len(word), 0.0 if again else unknown)
         if len(keys):
-            for h in (np.full_like(word, ALONE), before):
-                distinct, first, which = np.unique(term_keys(h, word).view(np.int64), return_index=True, return_inverse=True)
+            for h, w in _parts(before, word):
+                distinct, first, which = np.unique(term_keys(h, w).view(np.int64), return_index=True, return_inverse=True)
                 at = np.minimum(np.searchsorted(keys, distinct), len(keys) - 1)
-                same = (keys[at] == distinct) & (own[at] == word.view(np.int64)[first])
+                same = (keys[at] == distinct) & (own[at] == w.view(np.int64)[first])
                 value += np.where(same, deltas[at], 0)[which]
         return row, value
 
@@ -323,30 +398,74 @@ def _told(table: pa.Table):
 
 def add_values(docs: DataFrame, model: Model | Terms, text: str = "text") -> DataFrame:
     """The documents with `value`: toxic minus ordinary log-likelihood per word,
-    in place of any column of that name; 0 for texts without words."""
-    spark = docs.sparkSession
+    in place of any column of that name; 0 for texts without words.
+
+    With several passes, and with a join, values are added up by text (its 64-bit
+    hash), so texts are neither written nor shuffled."""
     kept, schema = extended(docs, VALUE)
-    numbered = isinstance(model, Model)
-    table = model.pairs if numbered else model.terms
+    table = model.pairs if isinstance(model, Model) else model.terms
     passes = max(1, -(-table.count() // BLOCK_PAIRS))
-    for i in range(passes):
-        own = table.where(F.pmod(F.xxhash64("key"), F.lit(passes)) == i).toArrow().sort_by("key").combine_chunks()
-        block = spark.sparkContext.broadcast((model.word if numbered else None, own))
-
-        def run(batches: Iterable[pa.RecordBatch], block=block, again: bool = i > 0) -> Iterator[pa.RecordBatch]:
-            word, own = block.value
-            values = _told(own) if word is None else _numbered(word, own)
-            for batch in chunks(batches, text):
-                row, value = values(*joined(batch.column(text)), again)
-                n = np.maximum(np.bincount(row, minlength=batch.num_rows), 1)
-                total = np.bincount(row, value, batch.num_rows) / n
-                if again:
-                    total = total + batch.column("value").to_numpy()
-                    batch = batch.select([c for c in batch.schema.names if c != "value"])
-                yield plus(batch, {"value": pa.array(total, pa.float64())})
-
-        kept = (written(kept, f"values-{i}") if i else kept).mapInArrow(run, schema)
-    return kept
+    if passes == 1:
+        return kept.mapInArrow(_pass(table, model, text, schema.names), schema)
+    printed = kept.select(F.xxhash64(f"`{text}`").alias("_print"), F.col(f"`{text}`"))
+    if passes > PASSES and isinstance(model, Terms):
+        values = _joined_values(printed, model, text)
+    else:
+        parts = None
+        for i in range(passes):
+            block = table.where(F.pmod(F.xxhash64("key"), F.lit(passes)) == i)
+            part = printed.mapInArrow(_pass(block, model, text, ["_print", "value"], i > 0), "_print long, value double")
+            parts = part if parts is None else parts.union(part)
+        # each pass has a row for each copy of a text
+        values = parts.groupBy("_print").agg((F.sum("value") * passes / F.count("*")).alias("value"))
+    return kept.withColumn("_print", F.xxhash64(f"`{text}`")).join(values, "_print").drop("_print")
+
+
+def _pass(table: DataFrame, model: Model | Terms, text: str, names: list[str], again: bool = False):
+    """Adds to texts what the terms of a block give; `names` are the columns to return."""
+    own = table.toArrow().sort_by("key").combine_chunks()
+    numbered = isinstance(model, Model)
+    block = table.sparkSession.sparkContext.broadcast((model.word if numbered else None, own))
+    unknown = 0.0 if numbered else model.unknown
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        word, own = block.value
+        values = _told(own, unknown) if word is None else _numbered(word, own)
+        for batch in chunks(batches, text):
+            row, value = values(*joined(batch.column(text)), again)
+            n = np.maximum(np.bincount(row, minlength=batch.num_rows), 1)
+            total = np.bincount(row, value, batch.num_rows) / n
+            yield plus(batch, {"value": pa.array(total, pa.float64())}).select(names)
+
+    return run
+
+
+def _joined_values(printed: DataFrame, model: Terms, text: str) -> DataFrame:
+    """_print, value of texts, by a join of their terms with those of the model."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, text):
+            row, before, word = word_pairs(*joined(batch.column(text)))
+            prints = batch.column("_print").to_numpy()
+            share = 1 / np.maximum(np.bincount(row, minlength=batch.num_rows), 1)
+            for h, w in _parts(before, word):
+                arrays = [prints[row], term_keys(h, w).view(np.int64), w.view(np.int64), share[row]]
+                terms = pa.table([pa.array(a) for a in arrays], names=["_print", "key", "word", "share"])
+                sums = terms.group_by(["_print", "key", "word"], use_threads=False).aggregate([("share", "sum")])
+                yield from sums.select(["_print", "key", "word", "share_sum"]).rename_columns(terms.column_names).to_batches()
+
+    terms = printed.mapInArrow(run, "_print long, key long, word long, share double")
+    told = terms.join(model.terms, ["key", "word"]).groupBy("_print").agg(F.sum(F.col("share") * F.col("delta")).alias("told"))
+    empty = F.lit(0.0)
+    unknown = F.when(F.max(_has_words(text)), F.lit(model.unknown)).otherwise(empty)
+    copies = printed.groupBy("_print").agg(F.count("*").alias("copies"), unknown.alias("unknown"))
+    value = F.col("unknown") + F.coalesce(F.col("told") / F.col("copies"), empty)
+    return copies.join(told, "_print", "left").select("_print", value.alias("value"))
+
+
+def _has_words(text: str) -> Column:
+    """Whether a text has any byte of `_letters`."""
+    return F.coalesce(F.col(f"`{text}`").rlike("[0-9A-Za-z]|[^\\x00-\\x7F]"), F.lit(False))
 
 
 def add_scores(docs: DataFrame, model: Model | Terms, text: str = "text") -> DataFrame:

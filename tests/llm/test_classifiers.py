@@ -218,3 +218,65 @@ def test_values_are_those_of_the_two_models(spark, monkeypatch, block):
     direct = kneser_ney(rows)
     assert {r.text: r.value for r in got} == pytest.approx({t: direct(t) for t in asked}, abs=1e-5)
     assert direct("bad apple") > direct("apple bad") + 0.5 and direct("vile") > 0.5 > -0.5 > direct("kind")
+
+
+def whole_model(texts):
+    """Values of texts by the two models with all words and pairs, from dictionaries."""
+    n, before = [Counter(), Counter(), Counter()], {}
+    for text, toxic in texts:
+        for pair in zip(["", *text.split()], text.split()):
+            n[1 - toxic][pair] += 1
+            n[2][pair] += 1
+            before.setdefault(pair[1], set()).add(pair[0])
+    words, after, types, discount = ([Counter(), Counter(), Counter()] for _ in range(4))
+    for c in range(3):
+        for (h, w), count in n[c].items():
+            words[c][w] += count
+            after[c][h] += count
+            types[c][h] += 1
+        one, two = (sum(1 for x in n[c].values() if x == times) for times in (1, 2))
+        discount[c] = min(max(one / max(one + 2 * two, 1), 0.1), 0.95)
+    follows, vocabulary = sum(map(len, before.values())), len(before) + 1
+
+    def single(c, w):
+        tokens, shared = sum(words[c].values()), (len(before.get(w, ())) + 1) / (follows + vocabulary)
+        return max(words[c][w] - discount[c], 0) / tokens + discount[c] * len(words[c]) / tokens * shared
+
+    def double(c, h, w):
+        if not after[2][h]:
+            return single(c, w)
+        back = discount[2] * types[2][h] / after[2][h]
+        direct = max(n[2][h, w] - discount[2], 0) / (after[2][h] - discount[2] * types[2][h])
+        if after[c][h]:
+            direct = (max(n[c][h, w] - discount[c], 0) + discount[c] * types[c][h] * direct) / after[c][h]
+        return (1 - back) * direct + back * single(c, w)
+
+    def value(text):
+        own = text.split()
+        return sum(math.log(double(0, h, w) / double(1, h, w)) for h, w in zip(["", *own], own)) / max(len(own), 1)
+
+    return value, double, [w for w in words[2] if words[2][w]]
+
+
+@pytest.mark.parametrize("block, passes", [(toxicity.BLOCK_PAIRS, 4), (200, 100), (200, 1)])
+def test_all_words_and_pairs_count(spark, monkeypatch, block, passes):
+    """In one pass, in several and by a join; pairs seen once and words that both classes
+    have alike add their difference too, and copies of a text change nothing."""
+    monkeypatch.setattr(toxicity, "BLOCK_PAIRS", block)
+    monkeypatch.setattr(toxicity, "PASSES", passes)
+    source = random.Random(9)
+    common = [f"word{i}" for i in range(30)]
+    rows = [(" ".join(source.choices(common, k=source.randint(3, 9)) + [f"new{i}"]), int(i % 3 == 0)) for i in range(150)]
+    labelled = spark.createDataFrame(rows, "text string, label int").repartition(3)
+    counts = labelled.mapInArrow(toxicity._counted, "h long, w long, n0 long, n1 long")
+    model = toxicity._all_terms(counts.groupBy("h", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
+    value, double, known = whole_model(rows)
+    asked = [text for text, _ in rows[:40]] + ["word1 word1 word1", "word1 word1 word1", "unseen word2", "", " ,;"]
+    docs = spark.createDataFrame([(t,) for t in [*asked, None]], "text string")
+    got = [(r.text, r.value) for r in toxicity.add_values(docs, model).collect()]
+    assert sorted(t or "" for t, _ in got) == sorted([*asked, ""])
+    for text, found in got:
+        assert found == pytest.approx(value((text or "").replace(",;", "")), abs=1e-5)
+    for c in (0, 1):  # each a distribution: known words, and one number for the unknown
+        for h in ("", "word1", "unseen"):
+            assert sum(double(c, h, w) for w in [*known, "unseen"]) == pytest.approx(1)
