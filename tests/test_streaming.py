@@ -1,6 +1,7 @@
 """Streams against their batch counterparts, restarts included."""
 
 import os
+from datetime import datetime
 
 import pandas as pd
 import pytest
@@ -137,6 +138,26 @@ def test_fold_latest_is_the_batch_result(spark, tmp_path):
     assert sorted(kept.collect(), key=str) == sorted(process(raw).collect(), key=str)
 
 
+def test_fold_latest_sorts_what_is_left(spark, tmp_path, monkeypatch):
+    """A micro-batch drops superseded rows before the group limit sorts whole ones."""
+    source, out, marks = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "marks")
+    rows = [{"product_id": str(i % 2), "_ingested_at": datetime(2024, 1, 1 + i), "title": str(i)} for i in range(20)]
+    raw_rows(spark, rows).coalesce(1).write.parquet(f"{source}/000")
+    left, keep_latest = [], jobs.keep_latest
+
+    def counted(batch, *args):
+        left.append(batch.count())
+        return keep_latest(batch, *args)
+
+    monkeypatch.setattr(jobs, "keep_latest", counted)
+    known = identified(jobs.file_stream(spark, source, LAKE_SCHEMA))
+    jobs.fold_latest(known, out, marks, "product_key").awaitTermination()
+    assert left == [2]
+    monkeypatch.undo()
+    got = jobs.read_latest(spark, out, known.schema, "product_key").collect()
+    assert sorted(r.title for r in got) == ["18", "19"]
+
+
 def test_land_appends_to_the_lake(spark, tmp_path):
     source, target, marks = str(tmp_path / "in"), str(tmp_path / "lake"), str(tmp_path / "marks")
     versions(spark, source, [("1", 1, "a"), ("2", 1, "b")])
