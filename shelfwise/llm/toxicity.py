@@ -19,19 +19,22 @@ off to p_c(w) by D_c t_c(h) / n_c(h), without q, and a word or pair whose counts
 tell the classes apart (by a likelihood-ratio statistic) adds nothing.
 
 Counts are taken by Spark over the labelled documents that are not held
-back, see HELD_BACK, each distinct text once. Words are known by 64-bit hashes and pairs by two of them; counts of words,
-histories and pairs are tables that are joined. Their values are sent to executors in
-blocks, see `Terms`; more than PASSES blocks are joined with the words of the texts.
+back, see HELD_BACK, each distinct text once. Words are known by 64-bit hashes and pairs by two of them. Pairs are
+shuffled once, by their first words; what is counted of a first word is kept with its pairs.
+Counts are sent to executors in packed blocks, see `Counted`, and become values there; more
+than PASSES blocks are joined with the words of the texts.
 """
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,7 +49,7 @@ FIRST, ALONE = 0, 1
 #: Least likelihood-ratio statistic of counts that a smaller model keeps apart by class.
 #: It is well above what chance gives, as words of repeated passages come in bursts.
 SIGNIFICANT = 25.0
-#: Words and pairs that an executor holds at once (20 bytes each). A larger model is
+#: Words and pairs that an executor's worker holds at once (20 bytes each at most). A larger model is
 #: applied in several passes over the documents; their values add up.
 BLOCK_PAIRS = 1 << 23
 #: Passes up to which a whole model is sent to executors; a larger one is joined.
@@ -58,6 +61,13 @@ BROADCAST_LABELS = 1 << 20
 #: probabilities; of these at most CALIBRATION_ROWS, by hash of the id.
 HELD_BACK = 8
 CALIBRATION_ROWS = 4000
+CALIBRATION_FILES = 3
+#: Pairs that a task packs, and later unpacks, together.
+PACKED_PAIRS = 1 << 16
+#: Bytes of text that a task looks at in one numpy pass, and texts that it gets at once:
+#: little, as it holds a block too.
+TEXT_BYTES = 1 << 18
+TEXT_ROWS = 1000
 
 _letters = byte_set([*range(65, 91), *range(97, 123), *range(0x80, 0x100), *range(48, 58)])
 
@@ -164,7 +174,7 @@ class Model:
 class Terms:
     """`terms` is a table (key, word, delta) of words (after ALONE) and pairs by `term_keys`; a smaller model has the words and pairs that tell
     the classes apart. `unknown` is the value of a word that is not in it. What `train`
-    makes."""
+    makes with `telling_only`."""
 
     terms: DataFrame
     slope: float = 1.0
@@ -172,6 +182,21 @@ class Terms:
     unknown: float = 0.0
 
 
+@dataclass
+class Counted:
+    """All words and pairs: `pairs` is a table (h, w, n0, n1, a0, a1, t0, t1, t) with the counts
+    of a pair and of its first word, `words` is (w, a0, a1, before). What `train` makes.
+    `blocks` are those that were sent to executors; a word and the pairs that end in it are
+    in the same one."""
+
+    pairs: DataFrame
+    words: DataFrame
+    totals: Totals
+    slope: float = 1.0
+    intercept: float = 0.0
+    blocks: list[Broadcast] = field(default_factory=list)
+
+
 def discounts(repeats: list[tuple[int, int]]) -> tuple[float, float]:
     return tuple(float(np.clip(one / max(one + 2 * two, 1), 0.1, 0.95)) for one, two in repeats)
 
@@ -190,15 +215,24 @@ def estimate(words_of: list[np.ndarray], histories: list[np.ndarray], repeats: l
     return Tables(tuple(totals.word(c, words_of[c], words_of[2]) for c in (0, 1)))
 
 
+def _trimmed() -> None:
+    """Gives freed memory back: a worker lives on, and its executor has others."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs with their counts, one row for each pair in some megabytes of text."""
 
     def out(parts: list[pa.Table]) -> Iterator[pa.RecordBatch]:
         sums = pa.concat_tables(parts).group_by(["h", "w"], use_threads=False).aggregate([("n0", "sum"), ("n1", "sum")])
-        yield from sums.select(["h", "w", "n0_sum", "n1_sum"]).rename_columns(["h", "w", "n0", "n1"]).to_batches()
+        sums = sums.select(["h", "w", "n0_sum", "n1_sum"]).rename_columns(["h", "w", "n0", "n1"])
+        # in this order the shuffle's compression leaves little more than the second words
+        yield from sums.sort_by([("h", "ascending"), ("w", "ascending")]).to_batches()
 
     held, size = [], 0
-    for batch in chunks(batches, "text"):
+    for batch in chunks(batches, "text", TEXT_BYTES):
         row, before, word = word_pairs(*joined(batch.column("text")))
         toxic = np.array(batch.column("label").to_numpy(zero_copy_only=False), np.int64)[row]
         arrays = [pa.array(before.view(np.int64)), pa.array(word.view(np.int64)), pa.array(toxic), pa.array(1 - toxic)]
@@ -209,6 +243,8 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held, size = [], 0
     if held:
         yield from out(held)
+        del held
+        _trimmed()
 
 
 def _columns(batch: pa.RecordBatch, *names: str) -> tuple[np.ndarray, ...]:
@@ -219,16 +255,27 @@ def _hashes(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return batch.column(name).to_numpy(zero_copy_only=False).view(np.uint64)
 
 
-def _sums(counts: DataFrame) -> tuple[DataFrame, DataFrame, Totals]:
-    """Counts by word and by history, and the totals of `counts` (h, w, n0, n1)."""
+def _settled(df: DataFrame, name: str, of_texts: bool = False) -> DataFrame:
+    """As `written`; files of the shuffles that lead to it are removed when it is there.
+    `of_texts`: executors' workers get few texts at a time, TEXT_ROWS."""
+    conf = df.sparkSession.conf
+    own = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+    if of_texts:
+        own["spark.sql.execution.arrow.maxRecordsPerBatch"] = str(TEXT_ROWS)
+    before = {key: conf.get(key) for key in own}
+    try:
+        for key, value in own.items():
+            conf.set(key, value)
+        return written(df, name)
+    finally:
+        for key, value in before.items():
+            conf.set(key, value)
+
+
+def _words_of(counts: DataFrame) -> tuple[DataFrame, Totals]:
+    """Counts by word, and the totals of `counts` (h, w, n0, n1)."""
     sums = [F.sum("n0").alias("a0"), F.sum("n1").alias("a1")]
-    by_word = written(counts.groupBy("w").agg(*sums, F.count("*").alias("before")), "words")
-    by_history = counts.groupBy("h").agg(
-        *sums,
-        F.count_if(F.col("n0") > 0).alias("t0"),
-        F.count_if(F.col("n1") > 0).alias("t1"),
-        F.count("*").alias("t"),
-    )
+    by_word = _settled(counts.groupBy("w").agg(*sums, F.count("*").alias("before")), "words")
     numbers = [F.col("n0"), F.col("n1"), F.col("n0") + F.col("n1")]
     once = counts.agg(*[F.count_if(number == n) for number in numbers for n in (1, 2)]).first()
     whole = by_word.agg(
@@ -238,10 +285,35 @@ def _sums(counts: DataFrame) -> tuple[DataFrame, DataFrame, Totals]:
     ).first()
     # one number more than there are words, for all that is unknown
     *discount, shared = discounts([once[:2], once[2:4], once[4:]])
-    totals = Totals(whole[:2], whole[3:5], tuple(discount), whole[2], whole[5] + 1, shared)
+    return by_word, Totals(whole[:2], whole[3:5], tuple(discount), whole[2], whole[5] + 1, shared)
+
+
+def _sums(counts: DataFrame) -> tuple[DataFrame, DataFrame, Totals]:
+    """Counts by word and by history, and the totals of `counts` (h, w, n0, n1)."""
+    by_word, totals = _words_of(counts)
+    by_history = counts.groupBy("h").agg(
+        F.sum("n0").alias("a0"),
+        F.sum("n1").alias("a1"),
+        F.count_if(F.col("n0") > 0).alias("t0"),
+        F.count_if(F.col("n1") > 0).alias("t1"),
+    )
     return by_word, by_history, totals
 
 
+def _with_histories(counts: DataFrame) -> DataFrame:
+    """`counts` (h, w, n0, n1) and the counts of first words, in order of h and w. Counts
+    that are dealt out by h are not shuffled."""
+    of_h = Window.partitionBy("h")
+    added = {
+        "a0": F.sum("n0").over(of_h),
+        "a1": F.sum("n1").over(of_h),
+        "t0": F.count_if(F.col("n0") > 0).over(of_h),
+        "t1": F.count_if(F.col("n1") > 0).over(of_h),
+        "t": F.count("*").over(of_h),
+    }
+    return counts.sortWithinPartitions("h", "w").withColumns(added)
+
+
 def _found(before: np.ndarray, word: np.ndarray, delta: np.ndarray) -> pa.RecordBatch:
     arrays = [pa.array(term_keys(before, word).view(np.int64)), pa.array(word.view(np.int64)), pa.array(delta.astype(np.float32))]
     return pa.RecordBatch.from_arrays(arrays, names=["key", "word", "delta"])
@@ -254,11 +326,20 @@ def _of_words(by_word: DataFrame) -> DataFrame:
     return by_word.select("w", F.col("a0").alias("w0"), F.col("a1").alias("w1"), "before")
 
 
-def _all_terms(counts: DataFrame) -> Terms:
-    """The model of all words and pairs of `counts` (h, w, n0, n1). The values of a pair
-    and of its second word add up to the difference of their log-likelihoods."""
-    by_word, by_history, totals = _sums(counts)
-    unknown = float(totals.single((np.zeros(1), np.zeros(1)), np.zeros(1))[0])
+def _all_terms(counts: DataFrame) -> Counted:
+    """The model of all words and pairs of `counts` (h, w, n0, n1)."""
+    pairs_of = _settled(_with_histories(counts), "pairs", of_texts=True)
+    return Counted(pairs_of, *_words_of(pairs_of))
+
+
+def _unknown(totals: Totals) -> float:
+    return float(totals.single((np.zeros(1), np.zeros(1)), np.zeros(1))[0])
+
+
+def _valued(model: Counted) -> Terms:
+    """The values of all words and pairs as a table. Those of a pair and of its second word
+    add up to the difference of their log-likelihoods."""
+    totals, unknown = model.totals, _unknown(model.totals)
 
     def singles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -272,8 +353,132 @@ def _all_terms(counts: DataFrame) -> Terms:
             delta = totals.seen(n, of_h, types, *_columns(batch, "t"), of_w, *_columns(batch, "before"))
             yield _found(_hashes(batch, "h"), _hashes(batch, "w"), delta)
 
-    pairs_of = counts.join(by_history, "h").join(_of_words(by_word), "w").mapInArrow(seen, _TERM)
-    return Terms(written(by_word.mapInArrow(singles, _TERM).union(pairs_of), "terms"), unknown=unknown)
+    pairs_of = model.pairs.join(_of_words(model.words), "w").mapInArrow(seen, _TERM)
+    return Terms(_settled(model.words.mapInArrow(singles, _TERM).union(pairs_of), "terms"), unknown=unknown)
+
+
+def _packed(columns: dict[str, np.ndarray]) -> bytes:
+    table, out = pa.table(columns), pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd", use_threads=False)) as stream:
+        stream.write_table(table)
+    return out.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> dict[str, np.ndarray]:
+    table = pa.ipc.open_stream(data, options=pa.ipc.IpcReadOptions(use_threads=False)).read_all().combine_chunks()
+    return {name: table.column(name).to_numpy() for name in table.column_names}
+
+
+def _packer(words: Broadcast):
+    """Packs pairs in order of h and w: first words with their counts and numbers of pairs,
+    pairs with the numbers that `words` gives to their second words."""
+
+    def pack(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        of = {c: table.column(c).to_numpy() for c in table.column_names}
+        first = np.flatnonzero(np.append(True, of["h"][1:] != of["h"][:-1]))
+        histories = {c: of[c][first] for c in ("h", "a0", "a1", "t0", "t1", "t")}
+        histories["pairs"] = np.diff(np.append(first, len(table)))
+        number = np.searchsorted(words.value, of["w"]).astype(np.int32)
+        parts = _packed(histories), _packed({"number": number, "n0": of["n0"], "n1": of["n1"]})
+        return pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in parts], names=["histories", "pairs"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= PACKED_PAIRS:
+                yield pack(held)
+                held, size = [], 0
+        if size:
+            yield pack(held)
+
+    return run
+
+
+class Block:
+    """Words with the pairs that end in them, packed: on disk and on the way a pair takes
+    some 3 bytes. An executor's worker, which gets it by `pickle`, has it unpacked, to 8
+    bytes for each pair: `word` and `single`, hashes in order and their values beyond `unknown`; `history`
+    and `number`, hashes of first words in order and their numbers; `second` and `deltas`,
+    places of the second words of pairs, in order for each first word, and what they add to
+    the value of a second word; `start`, where those of each number begin."""
+
+    def __init__(self, words: bytes, parts: list[tuple[bytes, bytes]], totals: Totals):
+        self.packed = words, parts, totals
+
+    def __getstate__(self) -> tuple[bytes, list[tuple[bytes, bytes]], Totals]:
+        return self.packed
+
+    def __setstate__(self, packed: tuple[bytes, list[tuple[bytes, bytes]], Totals]) -> None:
+        _trimmed()
+        words, parts, totals = packed
+        of = _unpacked(words)
+        self.word, self.unknown = of.pop("w"), _unknown(totals)
+        single = totals.single((of["a0"].astype(float), of["a1"].astype(float)), of["before"].astype(float))
+        self.single = (single - self.unknown).astype(np.float32)
+        del single
+        _trimmed()
+        hashes, sizes = [np.zeros(0, np.int64)], []
+        for x, _ in parts:  # unpacked twice, so that all of them are never held at once
+            x = _unpacked(x)
+            hashes.append(x["h"].copy())
+            sizes.append(int(x["pairs"].sum()))
+        # a first word whose pairs were packed in two parts keeps its first number
+        self.history, number, which = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+        self.number, numbers = number.astype(np.int32), number[which]
+        del hashes, number, which
+        _trimmed()
+        pairs_of = np.zeros(len(numbers) + 1, np.int64)
+        self.second, self.deltas = np.empty(sum(sizes), np.int32), np.empty(sum(sizes), np.float32)
+        at = first = 0
+        for (x, y), n in zip(parts, sizes):
+            x, y = _unpacked(x), _unpacked(y)
+            w, pair = y["number"], (y["n0"].astype(float), y["n1"].astype(float))
+            of_w, before = (of["a0"][w].astype(float), of["a1"][w].astype(float)), of["before"][w].astype(float)
+            a0, a1, t0, t1, t = (np.repeat(x[c].astype(float), x["pairs"]) for c in ("a0", "a1", "t0", "t1", "t"))
+            self.second[at : at + n] = w
+            self.deltas[at : at + n] = totals.seen(pair, (a0, a1), (t0, t1), t, of_w, before)
+            pairs_of[first + 1 : first + 1 + len(x["h"])] = x["pairs"]
+            at, first = at + n, first + len(x["h"])
+        if (numbers[1:] < numbers[:-1]).any() or len(self.history) < len(numbers):
+            # parts of a first word are brought together
+            order = np.lexsort((self.second, np.repeat(numbers, pairs_of[1:])))
+            self.second, self.deltas = self.second[order], self.deltas[order]
+            pairs_of[1:] = np.bincount(numbers, pairs_of[1:], len(numbers)).astype(np.int64)
+        self.start = np.cumsum(pairs_of)
+
+    def added(self, number: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """`deltas` of pairs of a first word's number and a second word's place, or 0."""
+        low, end = self.start[number], self.start[number + 1]
+        high, open_ = end.copy(), np.flatnonzero(low < end)
+        while len(open_):
+            middle = (low[open_] + high[open_]) >> 1
+            less = self.second[middle] < second[open_]
+            low[open_[less]], high[open_[~less]] = middle[less] + 1, middle[~less]
+            open_ = open_[low[open_] < high[open_]]
+        value, inside = np.zeros(len(low)), np.flatnonzero(low < end)
+        found = inside[self.second[low[inside]] == second[inside]]
+        value[found] = self.deltas[low[found]]
+        return value
+
+
+def _blocks(model: Counted, passes: int) -> list[Broadcast]:
+    """The model in so many blocks, by second words; sent once."""
+    if len(model.blocks) != passes:
+        spark = model.pairs.sparkSession
+        model.blocks = []
+        for i in range(passes):
+            mine = F.pmod(F.col("w"), F.lit(passes)) == i
+            words_of = model.words.where(mine).toArrow().sort_by("w").combine_chunks()
+            own = spark.sparkContext.broadcast(words_of.column("w").to_numpy())
+            packed = model.pairs.where(mine).mapInArrow(_packer(own), "histories binary, pairs binary").toArrow()
+            parts = list(zip(packed.column("histories").to_pylist(), packed.column("pairs").to_pylist()))
+            columns = {c: words_of.column(c).to_numpy() for c in words_of.column_names}
+            model.blocks.append(spark.sparkContext.broadcast(Block(_packed(columns), parts, model.totals)))
+            own.destroy()
+    return model.blocks
 
 
 def _terms(counts: DataFrame) -> DataFrame:
@@ -313,7 +518,7 @@ def train(
     label: str = "toxic",
     text: str = "text",
     telling_only: bool = False,
-) -> Terms:
+) -> Terms | Counted:
     """Models from the labelled documents for which `usable`, a condition on
     `labels`, holds; one in HELD_BACK is for calibration only. Rows without id or label are left out; of an id's different
     labels the greatest holds. With no labelled rows every score is one half.
@@ -328,11 +533,14 @@ def train(
     small = counted.count() <= BROADCAST_LABELS
     rows = texts.join(F.broadcast(counted) if small else counted, "key").select("text", "label")
     parts = rows.mapInArrow(_counted, "h long, w long, n0 long, n1 long")
-    counts = written(parts.groupBy("h", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "pairs")
-    model = Terms(_terms(counts)) if telling_only else _all_terms(counts)
+    # dealt out by first words alone, so that these are counted where their pairs are
+    counts = parts.repartition("h").groupBy("h", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    model = Terms(_terms(_settled(counts, "pairs", of_texts=True))) if telling_only else _all_terms(counts)
 
     sample = one.where(back).orderBy(F.xxhash64(F.lit(1), "key"), "key").limit(CALIBRATION_ROWS)
-    chosen = add_values(texts.join(F.broadcast(sample), "key"), model).select("value", "label").toArrow()
+    # in few files, as each worker that has some of it unpacks the blocks
+    own = written(texts.join(F.broadcast(sample), "key").repartition(CALIBRATION_FILES), "sample")
+    chosen = add_values(own, model).select("value", "label").toArrow()
     x, y = chosen.column("value").to_numpy(), chosen.column("label").to_numpy().astype(float)
     model.slope, model.intercept = calibrate(x, y)
     return model
@@ -396,43 +604,91 @@ def _told(table: pa.Table, unknown: float):
     return values
 
 
-def add_values(docs: DataFrame, model: Model | Terms, text: str = "text") -> DataFrame:
+def _counted_values(block: Block, part: int, passes: int):
+    """Values of the words of texts by a block of a `Counted`; 0 for words of other blocks."""
+
+    def places(sorted_: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(sorted_):
+            return np.zeros(len(asked), np.int64), np.zeros(len(asked), bool)
+        at = np.minimum(np.searchsorted(sorted_, asked), len(sorted_) - 1)
+        return at, sorted_[at] == asked
+
+    def values(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        row, before, own = word_pairs(data, offsets)
+        value = np.zeros(len(own))
+        mine = np.flatnonzero(own.view(np.int64) % passes == part)
+        distinct, which = np.unique(own[mine].view(np.int64), return_inverse=True)
+        place, known = places(block.word, distinct)
+        of_words = np.full(len(distinct), block.unknown)
+        of_words[known] += block.single[place[known]]
+        value[mine] = of_words[which]
+        first, of_first = np.unique(before[mine].view(np.int64), return_inverse=True)
+        at, seen = places(block.history, first)
+        both = np.flatnonzero(known[which] & seen[of_first])
+        if len(both):
+            value[mine[both]] += block.added(block.number[at[of_first[both]]], place[which[both]])
+        return row, value
+
+    return values
+
+
+def add_values(docs: DataFrame, model: Model | Terms | Counted, text: str = "text") -> DataFrame:
     """The documents with `value`: toxic minus ordinary log-likelihood per word,
     in place of any column of that name; 0 for texts without words.
 
-    With several passes, and with a join, values are added up by text (its 64-bit
-    hash), so texts are neither written nor shuffled."""
+    With a `Counted`, several passes or a join, values are added up by text (its 64-bit
+    hash), so texts are neither written nor shuffled; those of a `Counted` are written."""
     kept, schema = extended(docs, VALUE)
-    table = model.pairs if isinstance(model, Model) else model.terms
-    passes = max(1, -(-table.count() // BLOCK_PAIRS))
-    if passes == 1:
-        return kept.mapInArrow(_pass(table, model, text, schema.names), schema)
+    size = sum(t.count() for t in _tables(model))  # of a `Counted` words twice, as they are first words too
+    passes = max(1, -(-size // BLOCK_PAIRS))
+    counted = isinstance(model, Counted)
+    if passes == 1 and not counted:
+        return kept.mapInArrow(_pass(model, 0, 1, text, schema.names), schema)
     printed = kept.select(F.xxhash64(f"`{text}`").alias("_print"), F.col(f"`{text}`"))
-    if passes > PASSES and isinstance(model, Terms):
-        values = _joined_values(printed, model, text)
+    if passes > PASSES and not isinstance(model, Model):
+        values = _joined_values(printed, _valued(model) if counted else model, text)
     else:
         parts = None
         for i in range(passes):
-            block = table.where(F.pmod(F.xxhash64("key"), F.lit(passes)) == i)
-            part = printed.mapInArrow(_pass(block, model, text, ["_print", "value"], i > 0), "_print long, value double")
+            part = printed.mapInArrow(_pass(model, i, passes, text, ["_print", "value"]), "_print long, value double")
             parts = part if parts is None else parts.union(part)
         # each pass has a row for each copy of a text
         values = parts.groupBy("_print").agg((F.sum("value") * passes / F.count("*")).alias("value"))
+        values = _settled(values, "values", of_texts=True) if counted else values
     return kept.withColumn("_print", F.xxhash64(f"`{text}`")).join(values, "_print").drop("_print")
 
 
-def _pass(table: DataFrame, model: Model | Terms, text: str, names: list[str], again: bool = False):
+def _tables(model: Model | Terms | Counted) -> list[DataFrame]:
+    if isinstance(model, Counted):
+        return [model.words, model.words, model.pairs]
+    return [model.pairs if isinstance(model, Model) else model.terms]
+
+
+def _pass(model: Model | Terms | Counted, part: int, passes: int, text: str, names: list[str]):
     """Adds to texts what the terms of a block give; `names` are the columns to return."""
-    own = table.toArrow().sort_by("key").combine_chunks()
-    numbered = isinstance(model, Model)
-    block = table.sparkSession.sparkContext.broadcast((model.word if numbered else None, own))
-    unknown = 0.0 if numbered else model.unknown
+    if isinstance(model, Counted):
+        block = _blocks(model, passes)[part]
+
+        def prepared():
+            values = _counted_values(block.value, part, passes)
+            _trimmed()
+            return values
+    else:
+        table = _tables(model)[0]
+        own = table.where(F.pmod(F.xxhash64("key"), F.lit(passes)) == part).toArrow().sort_by("key").combine_chunks()
+        numbered = isinstance(model, Model)
+        block = table.sparkSession.sparkContext.broadcast((model.word if numbered else None, own))
+        unknown = 0.0 if numbered else model.unknown
+
+        def prepared():
+            word, own = block.value
+            values = _told(own, unknown) if word is None else _numbered(word, own)
+            return lambda data, offsets: values(data, offsets, part > 0)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word, own = block.value
-        values = _told(own, unknown) if word is None else _numbered(word, own)
-        for batch in chunks(batches, text):
-            row, value = values(*joined(batch.column(text)), again)
+        values = prepared()
+        for batch in chunks(batches, text, TEXT_BYTES):
+            row, value = values(*joined(batch.column(text)))
             n = np.maximum(np.bincount(row, minlength=batch.num_rows), 1)
             total = np.bincount(row, value, batch.num_rows) / n
             yield plus(batch, {"value": pa.array(total, pa.float64())}).select(names)
@@ -468,7 +724,7 @@ def _has_words(text: str) -> Column:
     return F.coalesce(F.col(f"`{text}`").rlike("[0-9A-Za-z]|[^\\x00-\\x7F]"), F.lit(False))
 
 
-def add_scores(docs: DataFrame, model: Model | Terms, text: str = "text") -> DataFrame:
+def add_scores(docs: DataFrame, model: Model | Terms | Counted, text: str = "text") -> DataFrame:
     """The documents with `value` and a `score` from 0 to 1, higher for toxic
     ones, in place of columns of these names. Null texts are empty; every row
     gets a score, and equal texts get the same."""

@@ -1,9 +1,11 @@
 """Quality and toxicity models: held-out labels, identities, odd input."""
 
 import math
+import pickle
 import random
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -280,3 +282,54 @@ def test_all_words_and_pairs_count(spark, monkeypatch, block, passes):
     for c in (0, 1):  # each a distribution: known words, and one number for the unknown
         for h in ("", "word1", "unseen"):
             assert sum(double(c, h, w) for w in [*known, "unseen"]) == pytest.approx(1)
+
+
+def pair_table(n):
+    """Pairs in order of first and second word, each with the counts of its first word."""
+    random_ = np.random.default_rng(5)
+    words = np.sort(random_.integers(-(2**63), 2**63 - 1, n // 8))
+    at = np.unique(random_.zipf(1.3, n) % len(words) * len(words) + random_.integers(0, len(words), n))
+    h, w = words[at // len(words)], words[at % len(words)]
+    counts = {"n0": random_.poisson(0.1, len(at)), "n1": 1 + random_.poisson(0.2, len(at))}
+    first, of_h = np.unique(h, return_inverse=True)
+    for c in (0, 1):
+        counts[f"a{c}"] = np.bincount(of_h, counts[f"n{c}"]).astype(int)[of_h]
+        counts[f"t{c}"] = np.bincount(of_h, counts[f"n{c}"] > 0).astype(int)[of_h]
+    counts["t"] = np.bincount(of_h)[of_h]
+    of_words = {"w": words, "a0": random_.poisson(1, len(words)), "a1": random_.poisson(9, len(words)), "before": random_.poisson(9, len(words))}
+    return pa.table({"h": h, "w": w, **counts}), of_words
+
+
+@pytest.mark.parametrize("packed, mixed", [(1 << 16, False), (50, False), (50, True)])
+def test_packed_block_has_each_pair(monkeypatch, packed, mixed):
+    """Also if the pairs of a first word are packed in several parts, in any order of these;
+    a pair takes less than half of the 20 bytes that its two hashes and value had."""
+    monkeypatch.setattr(toxicity, "PACKED_PAIRS", packed)
+    table, words = pair_table(20000)
+    totals = toxicity.Totals((2e3, 2e4), (1e3, 2e3), (0.7, 0.8), 2e4, len(words["w"]) + 1, 0.6)
+    made = toxicity._packer(SimpleNamespace(value=words["w"]))(table.to_batches(max_chunksize=20))
+    parts = [(b.column(0)[0].as_py(), b.column(1)[0].as_py()) for b in made]
+    if mixed:
+        parts = parts[::2] + parts[1::2]
+    data = pickle.dumps(toxicity.Block(toxicity._packed(words), parts, totals))
+    block = pickle.loads(data)
+    if packed > 50:
+        assert len(parts) == 1 and len(parts[0][0]) + len(parts[0][1]) < 10 * len(table)
+    of = {c: table.column(c).to_numpy() for c in table.column_names}
+    second = np.searchsorted(words["w"], of["w"])
+    number = block.number[np.searchsorted(block.history, of["h"])]
+    of_w = words["a0"][second], words["a1"][second]
+    expected = totals.seen((of["n0"], of["n1"]), (of["a0"], of["a1"]), (of["t0"], of["t1"]), of["t"], of_w, words["before"][second])
+    assert block.added(number, second) == pytest.approx(expected, abs=1e-5)
+    there = set(zip(of["h"].tolist(), second.tolist()))
+    other = np.array([(h, w) for h in set(of["h"][:200].tolist()) for w in range(100) if (h, w) not in there])
+    assert len(other) and not block.added(block.number[np.searchsorted(block.history, other[:, 0])], other[:, 1]).any()
+
+
+def test_pairs_are_shuffled_once_to_meet_their_first_words(spark):
+    counts = spark.createDataFrame([(1, 2, 1, 0), (1, 3, 0, 2), (1, 2, 1, 1), (4, 2, 0, 1)], "h long, w long, n0 long, n1 long")
+    summed = counts.repartition("h").groupBy("h", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    got = toxicity._with_histories(summed)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Join" not in plan
+    assert sorted(map(tuple, got.collect())) == [(1, 2, 2, 1, 2, 3, 1, 2, 2), (1, 3, 0, 2, 2, 3, 1, 2, 2), (4, 2, 0, 1, 0, 1, 0, 1, 1)]
